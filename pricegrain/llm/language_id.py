@@ -14,6 +14,8 @@ from pricegrain.llm.common import map_batches, texts
 #: N-grams that a profile keeps, of a document and of a language.
 PROFILE = 400
 UNDETERMINED = "und"
+#: Stands for what is no letter; above 0, so that codes of different lengths differ.
+BLANK = 1
 
 
 def letter_table() -> np.ndarray:
@@ -28,14 +30,14 @@ def gram_counts(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     character, so no two n-grams share one.
     """
     a = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    x = np.zeros(len(a) + 2, np.int64)
-    x[1:-1] = np.where(letters[a], a, 0)
-    x = x[np.concatenate(([True], (x[1:] != 0) | (x[:-1] != 0)))]
+    x = np.full(len(a) + 2, BLANK, np.int64)
+    x[1:-1] = np.where(letters[a], a, BLANK)
+    x = x[np.concatenate(([True], (x[1:] != BLANK) | (x[:-1] != BLANK)))]
     if len(x) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     pairs = x[:-1] << 21 | x[1:]
-    triples = (pairs[:-1] << 21 | x[2:])[x[1:-1] != 0]
-    return np.unique(np.concatenate((x[x != 0], pairs, triples)), return_counts=True)
+    triples = (pairs[:-1] << 21 | x[2:])[x[1:-1] != BLANK]
+    return np.unique(np.concatenate((x[x != BLANK], pairs, triples)), return_counts=True)
 
 
 def profile_table(docs: DataFrame, learn_from: Column) -> DataFrame:

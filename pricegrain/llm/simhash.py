@@ -118,12 +118,13 @@ class Bucket:
 
 
 def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """a, b: enough links between distinct fingerprints at ``radius`` or fewer bits to keep all components.
+    """a, b: pairs of fingerprints that links at ``radius`` or fewer bits join, enough to keep all components.
 
     Every fingerprint has all variants within half the radius; two that share one differ in at most the
     radius, and two that differ in at most the radius share one. The shuffle on variants carries each
     fingerprint once for every prefix that its variants have; the task of a prefix spells the variants out,
-    sorts them and joins the owners of each, so no pair needs a second look. A variant has at most
+    sorts them and joins the owners of each, so no pair needs a second look. Its links leave the task as
+    trees: each fingerprint with the root of its tree. A variant has at most
     1 + 64 + 2016 owners, whatever the table holds. The number of prefix bits follows the table's size.
     """
     if radius % 2:
