@@ -1,0 +1,256 @@
+"""Operators on small hand-made rows: semantics, edges, nulls and empty tables."""
+
+import math
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricegrain.functions import scalars as sc
+from pricegrain.operators import baskets, geo, ingest, quality, text, variability
+from pricegrain.operators import index as ix
+from pricegrain.sources import readers
+from pricegrain.streaming import streams
+
+PRICE = "product_id long, store_id long, cents long, promo string, price_date date, fetched_at date, unit string"
+D = date(2026, 4, 30)
+
+
+def prices(spark, rows):
+    return spark.createDataFrame([(p, s, c, promo, d, d, None) for p, s, c, promo, d in rows], PRICE)
+
+
+@pytest.fixture
+def flags_fixture(spark):
+    cur = [(1, 1, 1000, None, D), (1, 2, 1020, None, D), (1, 3, 99900, None, D), (2, 1, 500, None, D), (2, 2, 510, None, D), (2, 3, 50, "PROMO", D)]
+    return prices(spark, cur), prices(spark, [(1, 1, 1000, None, D), (1, 1, 550, None, D - timedelta(1))])
+
+
+def test_flags(flags_fixture):
+    current, history = flags_fixture
+    assert {(r["product_id"], r["store_id"]) for r in quality.flag_outliers(current).collect()} == {(1, 3), (2, 3)}
+    spike = quality.flag_spikes(history).collect()
+    assert len(spike) == 1 and '"change_pct":81.8' in spike[0]["details"]
+    deep = quality.flag_promo_depth(current).collect()
+    assert [(r["product_id"], r["store_id"]) for r in deep] == [(2, 3)] and '"pct_of_regular":9.9' in deep[0]["details"]
+    flags = quality.all_flags(current, history)
+    assert ingest.insert_absent(flags, flags, ["product_id", "store_id", "price_date", "flag_type"]).count() == flags.count() == 4
+
+
+def test_flags_on_empty(spark):
+    none = prices(spark, [])
+    assert quality.all_flags(none, none).count() == 0
+
+
+def test_change_log(spark):
+    at = [D + timedelta(i) for i in range(5)]
+    log = prices(spark, [(1, 1, 1000, None, at[0]), (1, 1, 1000, None, at[1]), (1, 1, 1100, None, at[2]), (1, 1, 1100, "PROMO", at[3]), (1, 1, 1000, None, at[4])])
+    got = [(r["cents"], r["promo"], r["change_type"]) for r in ingest.ingest_changes(log).orderBy("fetched_at").collect()]
+    assert got == [(1000, None, "new"), (1100, None, "changed"), (1100, "PROMO", "changed"), (1000, None, "changed")]
+    snapshot = log.limit(0).select("product_id", "store_id", "cents", "promo", F.col("fetched_at").alias("last_checked_at"), F.col("fetched_at").alias("last_changed_at"), "fetched_at")
+    rows = log.orderBy("fetched_at").collect()
+    for r in rows:
+        snapshot = ingest.snapshot_after(prices(spark, [(r["product_id"], r["store_id"], r["cents"], r["promo"], r["fetched_at"])]), snapshot).withColumn("fetched_at", F.col("last_checked_at"))
+        snapshot = spark.createDataFrame(snapshot.collect(), snapshot.schema)
+    last = snapshot.collect()[0]
+    assert (last["cents"], last["promo"], last["last_checked_at"], last["last_changed_at"]) == (1000, None, at[4], at[4])
+
+
+def test_same_date_twice(spark):
+    rows = spark.createDataFrame([(1, 1, 10, None, D, D, None), (1, 1, 12, None, D, D + timedelta(1), None)], PRICE)
+    assert ingest.first_price_kept(rows).collect()[0]["cents"] == 10
+    assert ingest.snapshot_latest(rows).collect()[0]["cents"] == 12
+
+
+def test_propagate_prices_counts_null_promo_as_same(spark):
+    cur = prices(spark, [(1, 1, 10, None, D), (2, 1, 20, "P", D), (3, 1, 5, None, D), (1, 2, 10, "P", D), (2, 2, 21, "P", D)])
+    got = {r["product_id"]: r["change"] for r in ingest.propagate_prices(cur, 1, spark.createDataFrame([(2,)], "store_id long")).collect()}
+    assert got == {1: "same", 2: "changed", 3: "new"}
+
+
+def one(spark, value, fn, kind="string"):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(fn(F.col("x"))).collect()[0][0]
+
+
+@pytest.mark.parametrize(
+    ("value", "a", "b", "c"),
+    [("Kg", "kg", "kg", "kg"), ("K", "kg", "kg", "k"), ("1kg", "1KG", "kg", "1kg"), ("BUC.", "BUC.", "buc", "buc"), ("Litru", "L", "L", "l"), ("ml", "ml", "L", "ml"), ("500g", "500G", "kg", "500g"), ("4x2ml", "4X2ML", "L", "4x2ml"), ("XX", "XX", None, "xx"), ("", None, None, ""), (None, None, None, "")],
+)
+def test_units(spark, value, a, b, c):
+    assert (one(spark, value, sc.store_unit), one(spark, value, sc.pack_unit), one(spark, value, sc.analysis_unit)) == (a, b, c)
+
+
+@pytest.mark.parametrize(("value", "want"), [("21.06.2026 14:05", "2026-06-21 14:05"), ("21/06/2026", "2026-06-21"), ("2026-06-21 14:05", "2026-06-21 14:05"), ("", ""), (None, None)])
+def test_dates(spark, value, want):
+    got = one(spark, value, sc.iso_date)
+    assert got == want and (got is None or one(spark, got, sc.iso_date) == got)
+
+
+def test_text_functions(spark):
+    assert one(spark, "Brânză & Țuică", sc.without_marks) == "Branza & Tuica"
+    assert len({one(spark, b, sc.brand_key) for b in ("DR OETKER", "Dr. Oetker", "DR.OETKER")}) == 1
+    assert one(spark, "a&#11;b&#x1F;c&#10;d&#65;", sc.clean_xml) == "abc&#10;d&#65;"
+    shorts = sc.map_of({"n1": "Uno"})
+    assert [one(spark, v, lambda x: sc.short_name(x, shorts)) for v in ("N1", "other shop", None)] == ["Uno", "Other Shop", ""]
+    box = one(spark, "POLYGON((20 44, 22 44, 22 46, 20 46, 20 44))", sc.wkt_centre)
+    assert (box["lat"], box["lon"]) == (45.0, 21.0)
+
+
+def test_medians(spark):
+    for values, want in (([1, 2, 10, 20], 10), ([1, 2, 3], 2), ([5], 5)):
+        df = spark.createDataFrame([(v,) for v in values], "cents long")
+        assert df.agg(sc.upper_median("cents")).collect()[0][0] == want
+
+
+def test_outlier_filter_drops_low_minimum(spark):
+    m = spark.createDataFrame([(1, "a", 100), (1, "b", 1000), (1, "c", 1100)], "product_id long, network string, cents long")
+    assert {r["network"] for r in baskets.outlier_filter(m).collect()} == {"b", "c"}
+
+
+def test_price_index_needs_three_networks(spark):
+    rows = [(1, n, c) for n, c in (("a", 100), ("b", 110), ("c", 150))] + [(2, "a", 5), (2, "b", 6)]
+    got = {r["network"]: (r["price_index"], r["products"]) for r in ix.price_index(spark.createDataFrame(rows, "product_id long, network string, cents long")).collect()}
+    assert got == {"a": (100.0, 1), "b": (110.0, 1), "c": (150.0, 1)}
+
+
+def test_rank_matches_window(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.randrange(20)) for i in range(200)]
+    got = {r["i"]: r["rk"] for r in ix.rank_by_value(spark.createDataFrame(rows, "i long, v long"), "v", "rk").collect()}
+    assert got == {i: 1 + sum(w > v for _, w in rows) for i, v in rows}
+
+
+def test_trend_windows_reopen(spark):
+    days = [date(2026, 1, 1) + timedelta(d) for d in (0, 6, 7, 20)]
+    g = spark.createDataFrame([("n", 1, 1, d, 0.5) for d in days], "network string, type_id long, product_id long, price_date date, spread_pct double")
+    got = {(r["window_start"] - days[0]).days: r["groups"] for r in variability.similarity_trend(g).collect()}
+    assert got == {0: 2, 7: 1, 20: 1}
+
+
+def test_islands(spark):
+    rows = [(i, "s", D + timedelta(i), st, 0) for i, st in enumerate("AABA")]
+    got = sorted((r["latest_id"], r["status"], r["count"]) for r in quality.run_islands(spark.createDataFrame(rows, "id long, script string, started date, status string, records long")).collect())
+    assert got == [(1, "A", 2), (2, "B", 1), (3, "A", 1)]
+
+
+def km(a, b):
+    h = math.sin(math.radians(b[1] - a[1]) / 2) ** 2 + math.cos(math.radians(a[1])) * math.cos(math.radians(b[1])) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+
+def points(seed, n=150):
+    rng = random.Random(seed)
+    return [(i, 44 + rng.random() * 0.6 - 60 * (i % 7 == 0), 25 + rng.random() * 0.8, rng.randrange(20)) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_pairs_and_dedup(spark, seed):
+    pts = points(seed)
+    df = spark.createDataFrame(pts, "id long, lat double, lon double, population long")
+    assert {(r["a_id"], r["b_id"]) for r in geo.near_pairs(df, df, 5).collect()} == {(a[0], b[0]) for a in pts for b in pts if km(a, b) <= 5}
+    kept = []
+    for p in sorted(pts, key=lambda p: (-p[3], p[0])):
+        if all(km(p, k) > 4 for k in kept):
+            kept.append(p)
+    assert {r["id"] for r in geo.dedup_points(df).collect()} == {p[0] for p in kept}
+
+
+def test_clusters_cover_all(spark):
+    pts = points(5)
+    got = geo.store_clusters(spark.createDataFrame(pts, "id long, lat double, lon double, population long"), max_per_cluster=6).collect()
+    by = {p[0]: p for p in pts}
+    assert sorted(r["store_id"] for r in got) == sorted(by)
+    assert all(km(by[r["anchor_id"]], by[r["store_id"]]) * 1000 <= r["radius_m"] + 1e-6 for r in got)
+    size = {}
+    for r in got:
+        size.setdefault((r["anchor_id"], r["radius_m"]), []).append(r)
+    assert all(len(v) <= 6 or k[1] <= 1250 for k, v in size.items())
+
+
+def test_population_is_zero_without_neighbours(spark):
+    s = spark.createDataFrame([(1, 45.0, 25.0), (2, -30.0, 10.0)], "id long, lat double, lon double")
+    loc = spark.createDataFrame([(1, 45.0, 25.05, 700), (2, 45.0, 25.2, 900)], "id long, lat double, lon double, population long")
+    assert {r["store_id"]: r["surrounding_population"] for r in geo.surrounding_population(s, loc).collect()} == {1: 700, 2: 0}
+
+
+def test_bigrams_skip_noise(spark):
+    df = spark.createDataFrame([(1, "Lapte UHT 1.5% 1L"), (2, "Lapte de UHT"), (3, None)], "id long, name string")
+    got = {r["token"]: r["count"] for r in text.ngrams(df, 2).collect()}
+    assert got == {"lapte uht": 2}
+
+
+XML = """<Root><RetailStore><Id>1</Id><Name>Shop</Name><Addr><Addrstring>Str</Addrstring><Zipcode>1</Zipcode><Location><Lat>45</Lat><Lon>25</Lon></Location><Uat>7</Uat></Addr>
+<Products><Product><Id>5</Id><Network>N2</Network><Price>3.50</Price><PriceDate>21.06.2026 14:05</PriceDate><Promo></Promo><Unit>Kg</Unit></Product>
+<Product><Id>6</Id><Price>0</Price><PriceDate>21.06.2026</PriceDate></Product><Product><Price>2</Price><PriceDate>21.06.2026</PriceDate></Product></Products></RetailStore>
+<RetailStore><Id>2</Id><Network>N1</Network><Products><Product><Id>5</Id><Network>N2</Network><Price>4</Price><PriceDate>2026-06-21</PriceDate><Promo>da</Promo></Product></Products></RetailStore>
+<RetailStore><Id>3</Id><Name>Empty</Name></RetailStore></Root>"""
+
+
+def test_xml_documents(spark, tmp_path):
+    (tmp_path / "s.xml").write_text(XML)
+    stores, got, conflicts = readers.parse_stores(readers.read_xml(spark, str(tmp_path), "RetailStore", readers.STORE_XML))
+    assert {r["id"]: r["network_id"] for r in stores.collect()} == {1: "N2", 2: "N1", 3: None}
+    assert sorted((r["product_id"], r["store_id"], r["cents"], r["price_date"], r["promo"]) for r in got.collect()) == [(5, 1, 350, "2026-06-21 14:05", None), (5, 2, 400, "2026-06-21", "da")]
+    assert [r["store_id"] for r in conflicts.collect()] == [2]
+
+
+def test_config_and_sinks(spark, tmp_path):
+    (tmp_path / "b.json").write_text('{"baskets":[{"id":"x","items":[{"label":"milk","qty":2,"product_ids":[1,2]},{"label":"bread","qty":1,"product_ids":[3]}]}]}')
+    b = readers.baskets(spark.read.option("multiLine", True).json(str(tmp_path / "b.json")))
+    assert sorted((r["item_no"], r["product_id"]) for r in b.collect()) == [(0, 1), (0, 2), (1, 3)]
+    look = readers.network_lookup(spark.createDataFrame([("N1", "Uno", ["Alt"], None)], "id string, short string, aliases array<string>, b2b boolean"))
+    assert {(r["key"], r["b2b"]) for r in look.collect()} == {("n1", False), ("alt", False)}
+    (tmp_path / "ids.txt").write_text("# c\n3\n\n4\n4\n")
+    assert sorted(r["id"] for r in readers.allow_list(spark, str(tmp_path / "ids.txt")).collect()) == [3, 4]
+    (tmp_path / "p.csv").write_text("name,lat,lon,population\nA,45,25,3000\nB,x,25,3000\nC,45,25,10\n")
+    assert [r["name"] for r in readers.localities(spark.read.option("header", True).csv(str(tmp_path / "p.csv"))).collect()] == ["A"]
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, name string")
+    readers.write_csv(df, str(tmp_path / "out"), by="id")
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
+    readers.write_ids(df, "id", str(tmp_path / "idlist"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "idlist")).collect()) == ["1", "2"]
+    readers.write_json(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 2
+    assert readers.properties_json(df, "id").collect()[0]["properties"] == '{"name":"x"}'
+
+
+def observations():
+    rng = random.Random(7)
+    t0 = datetime(2026, 1, 1)
+    return [(rng.randrange(6), rng.randrange(2), rng.choice([100, 110]), rng.choice([None, "P"]), (t0 + timedelta(hours=i)).date(), t0 + timedelta(hours=i)) for i in range(200)]
+
+
+OBS = "product_id long, store_id long, cents long, promo string, price_date date, fetched_at timestamp"
+
+
+@pytest.fixture
+def stream_dir(spark, tmp_path):
+    rows = observations()
+    for k in range(5):
+        spark.createDataFrame(rows[k * 40 : k * 40 + 40], OBS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return rows, str(tmp_path / "in"), tmp_path
+
+
+def source(spark, path):
+    return spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_stream_changes_equal_batch(spark, stream_dir):
+    rows, path, tmp = stream_dir
+    job = streams.stream_changes(source(spark, path)).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp / "c1")).trigger(availableNow=True).start()
+    job.awaitTermination(120)
+    got = {tuple(r) for r in spark.table("changes").collect()}
+    assert got == {tuple(r) for r in ingest.ingest_changes(spark.createDataFrame(rows, OBS)).collect()}
+
+
+def test_stream_dedup_snapshot_and_windows(spark, stream_dir):
+    rows, path, tmp = stream_dir
+    run = lambda df, sink, name, mode="append": df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", str(tmp / name)).trigger(availableNow=True).start().awaitTermination(120)
+    run(streams.stream_dedup(source(spark, path)), streams.append_absent(str(tmp / "hist")), "c2")
+    assert spark.read.parquet(str(tmp / "hist")).count() == len({(r[0], r[1], r[4]) for r in rows})
+    run(source(spark, path), streams.stream_snapshot(str(tmp / "snap")), "c3")
+    assert {tuple(r) for r in spark.read.parquet(str(tmp / "snap/batch=4")).collect()} == {tuple(r) for r in ingest.snapshot_latest(spark.createDataFrame(rows, OBS)).collect()}
+    avg = streams.stream_window_avg(source(spark, path), ["store_id"], "1 day")
+    avg.writeStream.outputMode("complete").format("memory").queryName("avgs").option("checkpointLocation", str(tmp / "c4")).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.table("avgs").agg(F.sum("n"), F.sum("cents")).first()[:] == (200, sum(r[2] for r in rows))
