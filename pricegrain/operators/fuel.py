@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, mean_cents, money
 
-ONE = F.lit(1)
 
 
 def fuel_prices(gas: DataFrame) -> DataFrame:
@@ -30,7 +29,7 @@ def fuel_cheapest(gas: DataFrame) -> DataFrame:
 
 
 def fuel_spread(gas: DataFrame) -> DataFrame:
-    g = fuel_prices(gas).groupBy("fuel").agg(F.count(ONE).alias("networks"), F.min("avg_price").alias("cheapest"), F.max("avg_price").alias("dearest"))
+    g = fuel_prices(gas).groupBy("fuel").agg(F.count("*").alias("networks"), F.min("avg_price").alias("cheapest"), F.max("avg_price").alias("dearest"))
     return g.withColumn("spread_pct", half_up(F.try_divide(F.lit(100.0) * (F.col("dearest") - F.col("cheapest")), F.col("cheapest"))))
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, haversine_km
 
-ONE = F.lit(1)
 #: Kilometres of a degree of latitude, a little less than the shortest, so that cells are never too small.
 DEGREE_KM = 110.0
 
@@ -157,7 +156,7 @@ def stores_index(stores: DataFrame, scored: DataFrame, national: DataFrame, bask
 
 def uat_stats(stores: DataFrame, scored: DataFrame, basket: str, exclude: tuple = ()) -> DataFrame:
     """Stores, networks and basket costs of each place."""
-    a = stores.groupBy("uat_id").agg(F.count(ONE).alias("n_stores"), F.countDistinct(F.when(~F.col("network").isin(*exclude), F.col("network"))).alias("n_networks"))
+    a = stores.groupBy("uat_id").agg(F.count("*").alias("n_stores"), F.countDistinct(F.when(~F.col("network").isin(*exclude), F.col("network"))).alias("n_networks"))
     b = scored.filter(F.col("comparable") & (F.col("basket_id") == basket)).groupBy("uat_id").agg(F.min(F.struct("cost_month", "network")).alias("m"), F.max("cost_month").alias("basket_max_month"))
     return a.join(b, "uat_id", "left").select("uat_id", "n_stores", "n_networks", F.col("m.cost_month").alias("basket_min_month"), "basket_max_month", F.col("m.network").alias("cheapest_net"))
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, mean_cents, money
 
-ONE = F.lit(1)
 
 
 def clean_prices(ps: DataFrame, flags: DataFrame) -> DataFrame:
@@ -20,9 +19,9 @@ def price_index(ps: DataFrame, by: tuple = (), min_networks: int = 3, flags: Dat
     ps = clean_prices(ps, flags) if flags is not None else ps
     m = ps.groupBy(*by, "product_id", "network").agg(F.floor(F.sum("cents").cast("double") / F.count("cents") + 0.5).alias("m"))
     w = Window.partitionBy(*by, "product_id")
-    r = m.withColumns({"low": F.min("m").over(w), "k": F.count(ONE).over(w)}).filter((F.col("k") >= min_networks) & (F.col("low") > 0))
+    r = m.withColumns({"low": F.min("m").over(w), "k": F.count("*").over(w)}).filter((F.col("k") >= min_networks) & (F.col("low") > 0))
     ratio = F.floor(F.col("m").cast("double") / F.col("low") * 1e6 + 0.5)  # integers, so that sums do not depend on order
-    return r.withColumn("ratio", ratio).groupBy(*by, "network").agg(half_up(F.sum("ratio").cast("double") / F.count(ONE) / 1e4).alias("price_index"), F.count(ONE).alias("products"))
+    return r.withColumn("ratio", ratio).groupBy(*by, "network").agg(half_up(F.sum("ratio").cast("double") / F.count("*") / 1e4).alias("price_index"), F.count("*").alias("products"))
 
 
 def category_trends(ps: DataFrame, products: DataFrame) -> DataFrame:
@@ -35,7 +34,7 @@ def price_movers(ps: DataFrame, last, days: int = 7, min_networks: int = 2, top:
     p = ps.filter(F.col("price_date") >= F.date_sub(F.lit(last).cast("date"), days))
     w = Window.partitionBy("product_id")
     p = p.withColumns({"first_date": F.min("price_date").over(w), "last_date": F.max("price_date").over(w)}).filter("first_date < last_date")
-    mean_on = lambda d: F.floor(F.sum(F.when(F.col("price_date") == F.col(d), F.col("cents"))).cast("double") / F.count(F.when(F.col("price_date") == F.col(d), ONE)) + 0.5)
+    mean_on = lambda d: F.floor(F.sum(F.when(F.col("price_date") == F.col(d), F.col("cents"))).cast("double") / F.count(F.when(F.col("price_date") == F.col(d), 1)) + 0.5)
     g = p.groupBy("product_id", "first_date", "last_date").agg(mean_on("first_date").alias("a"), mean_on("last_date").alias("b"), F.countDistinct("network").alias("networks")).filter((F.col("networks") >= min_networks) & (F.col("a") > 0))
     g = g.select("product_id", money(F.col("a")).alias("price_start"), money(F.col("b")).alias("price_end"), half_up(F.lit(100.0) * (F.col("b") - F.col("a")) / F.col("a")).alias("change_pct"), "first_date", "last_date")
     up = g.filter("change_pct > 0").orderBy(F.desc("change_pct"), "product_id").limit(top).withColumn("direction", F.lit("up"))
@@ -50,7 +49,7 @@ def promo_effectiveness(ps: DataFrame, min_products: int = 5, exclude: tuple = (
     best = p.filter("promo is not null").groupBy("product_id", "network").agg(F.min("cents").alias("best"))
     j = best.join(regular, "product_id").filter("floor > 0")
     ratio = F.floor(F.lit(1e6) * F.col("best") / F.col("floor") + 0.5)
-    g = j.groupBy("network").agg(F.count(ONE).alias("promo_products"), F.count_if(F.col("best") < F.col("floor")).alias("genuinely_cheap"), F.sum(ratio).alias("r")).filter(F.col("promo_products") >= min_products)
+    g = j.groupBy("network").agg(F.count("*").alias("promo_products"), F.count_if(F.col("best") < F.col("floor")).alias("genuinely_cheap"), F.sum(ratio).alias("r")).filter(F.col("promo_products") >= min_products)
     return g.select("network", "promo_products", "genuinely_cheap", half_up(F.lit(100.0) * F.col("genuinely_cheap") / F.col("promo_products"), 1).alias("pct_genuinely_cheap"), half_up(F.col("r").cast("double") / F.col("promo_products") / 1e4, 1).alias("avg_promo_vs_market_min_pct"))
 
 
@@ -76,7 +75,7 @@ def compare_history(ps: DataFrame, day, min_networks: int = 3) -> DataFrame:
 
 def coverage_by_network(ps: DataFrame, stores: DataFrame, day) -> DataFrame:
     """Stores with prices, products and all stores per network on one day, with a band of the share."""
-    total = stores.groupBy("network").agg(F.count(ONE).alias("total_stores"))
+    total = stores.groupBy("network").agg(F.count("*").alias("total_stores"))
     g = ps.filter(F.col("price_date") == F.lit(day)).groupBy("network").agg(F.countDistinct("store_id").alias("stores_with_prices"), F.countDistinct("product_id").alias("products_covered"))
     share = half_up(F.lit(100.0) * F.col("stores_with_prices") / F.col("total_stores"), 1)
     return g.join(total, "network").withColumn("share_pct", share).withColumn("band", F.when(F.col("share_pct") >= 50, "good").when(F.col("share_pct") >= 20, "partial").otherwise("low"))
@@ -86,7 +85,7 @@ def summary_counts(**tables: DataFrame) -> DataFrame:
     """One row of rows for each table."""
     out = None
     for name in sorted(tables):
-        one = tables[name].agg(F.count(ONE).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
+        one = tables[name].agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -94,14 +93,14 @@ def summary_counts(**tables: DataFrame) -> DataFrame:
 def methodology_stats(ps: DataFrame, stores: DataFrame, products: DataFrame, day) -> DataFrame:
     a = ps.agg(F.countDistinct("price_date").alias("dates"), F.min("price_date").cast("string").alias("earliest"), F.max("price_date").cast("string").alias("latest"))
     b = stores.agg(F.count_if(F.col("network").isNull()).alias("unmapped_stores"), F.countDistinct("uat_id").alias("uats_with_stores"))
-    c = products.join(ps.filter(F.col("price_date") == F.lit(day)).select(F.col("product_id").alias("id")).distinct(), "id", "left_anti").agg(F.count(ONE).alias("products_not_priced"))
+    c = products.join(ps.filter(F.col("price_date") == F.lit(day)).select(F.col("product_id").alias("id")).distinct(), "id", "left_anti").agg(F.count("*").alias("products_not_priced"))
     return a.join(b, F.lit(True)).join(c, F.lit(True))  # three one-row tables
 
 
 def top_products(ps: DataFrame, stores: DataFrame, top: int = 50) -> DataFrame:
     """Most stocked products with prices and their share of all stores."""
     g = ps.groupBy("product_id").agg(F.countDistinct("store_id").alias("store_count"), F.countDistinct("network").alias("network_count"), mean_cents().alias("avg_price"), money(F.min("cents")).alias("min_price"), money(F.max("cents")).alias("max_price"))
-    all_ = stores.agg(F.count(ONE).alias("all"))
+    all_ = stores.agg(F.count("*").alias("all"))
     return g.join(all_, F.lit(True)).withColumn("coverage_pct", half_up(F.lit(100.0) * F.col("store_count") / F.col("all"), 1)).drop("all").orderBy(F.desc("store_count"), "product_id").limit(top)
 
 
@@ -114,7 +113,7 @@ def top_per_category(ps: DataFrame, products: DataFrame, n: int = 5) -> DataFram
 
 def network_order(trends: DataFrame) -> DataFrame:
     """Networks by mean index over dates."""
-    return trends.groupBy("network").agg(half_up(F.sum(F.floor(F.col("price_index") * 100.0 + 0.5)).cast("double") / F.count(ONE) / 100.0).alias("mean_index"))
+    return trends.groupBy("network").agg(half_up(F.sum(F.floor(F.col("price_index") * 100.0 + 0.5)).cast("double") / F.count("*") / 100.0).alias("mean_index"))
 
 
 def headline(index: DataFrame) -> DataFrame:
@@ -128,14 +127,14 @@ def rank_by_value(df: DataFrame, value: str, name: str) -> DataFrame:
 
     The running sum is over distinct values only.
     """
-    counts = df.groupBy(value).agg(F.count(ONE).alias("_n"))
+    counts = df.groupBy(value).agg(F.count("*").alias("_n"))
     ranks = counts.select(value, (F.sum("_n").over(Window.orderBy(F.desc(value))) - F.col("_n") + 1).alias(name))
     return df.join(ranks, value)
 
 
 def product_popularity(ps: DataFrame) -> DataFrame:
     """Mean of the ranks by stores and by rows."""
-    g = ps.groupBy("product_id").agg(F.countDistinct("store_id").alias("store_count"), F.count(ONE).alias("record_count"))
+    g = ps.groupBy("product_id").agg(F.countDistinct("store_id").alias("store_count"), F.count("*").alias("record_count"))
     g = rank_by_value(rank_by_value(g, "store_count", "r1"), "record_count", "r2")
     return g.select("product_id", "store_count", "record_count", ((F.col("r1") + F.col("r2")) / 2.0).alias("blended_rank"))
 
@@ -146,11 +145,11 @@ def private_label(ps: DataFrame) -> DataFrame:
 
 
 def stores_per_network(stores: DataFrame) -> DataFrame:
-    return stores.groupBy(F.coalesce("network", F.lit("Unknown")).alias("network")).agg(F.count(ONE).alias("stores"))
+    return stores.groupBy(F.coalesce("network", F.lit("Unknown")).alias("network")).agg(F.count("*").alias("stores"))
 
 
 def price_freshness(ps: DataFrame) -> DataFrame:
-    return ps.groupBy("price_date").agg(F.count(ONE).alias("records"), F.countDistinct("store_id").alias("stores"), F.countDistinct("product_id").alias("products"))
+    return ps.groupBy("price_date").agg(F.count("*").alias("records"), F.countDistinct("store_id").alias("stores"), F.countDistinct("product_id").alias("products"))
 
 
 def products_no_prices(products: DataFrame, ps: DataFrame) -> DataFrame:
@@ -159,18 +158,18 @@ def products_no_prices(products: DataFrame, ps: DataFrame) -> DataFrame:
 
 def store_coverage(ps: DataFrame, stores: DataFrame) -> DataFrame:
     a = ps.agg(F.countDistinct("store_id").alias("with_prices"))
-    return a.join(stores.agg(F.count(ONE).alias("total")), F.lit(True))
+    return a.join(stores.agg(F.count("*").alias("total")), F.lit(True))
 
 
 def stores_fetched_on(ps: DataFrame, day) -> DataFrame:
-    return ps.filter(F.col("fetched_at") == F.lit(day)).groupBy("store_id").agg(F.count(ONE).alias("records"))
+    return ps.filter(F.col("fetched_at") == F.lit(day)).groupBy("store_id").agg(F.count("*").alias("records"))
 
 
 def population_band(stores: DataFrame, low: float = 0.35, high: float = 0.65) -> DataFrame:
     """Stores of middling population, by rank, ties by id."""
-    ranked = stores.withColumns({"rn": F.row_number().over(Window.orderBy("population", "id")), "n": F.count(ONE).over(Window.partitionBy())})
+    ranked = stores.withColumns({"rn": F.row_number().over(Window.orderBy("population", "id")), "n": F.count("*").over(Window.partitionBy())})
     return ranked.filter((F.col("rn") > F.col("n") * low) & (F.col("rn") <= F.col("n") * high)).select("id", "network", "population")
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(ONE).alias(name))
+    return df.groupBy(*keys).agg(F.count("*").alias(name))

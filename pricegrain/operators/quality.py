@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, upper_median
 
-ONE = F.lit(1)
 FLAG = ["product_id", "store_id", "price_date"]
 
 
 def flag_outliers(current: DataFrame, z: float = 3.0) -> DataFrame:
     """Modified z-score by median absolute deviation, both upper medians, over products with three rows."""
-    mid = current.groupBy("product_id").agg(upper_median("cents").alias("med"), F.count(ONE).alias("n")).filter("n >= 3")
+    mid = current.groupBy("product_id").agg(upper_median("cents").alias("med"), F.count("*").alias("n")).filter("n >= 3")
     d = current.join(mid, "product_id").withColumn("dev", F.abs(F.col("cents") - F.col("med")))
     mad = d.groupBy("product_id").agg(upper_median("dev").alias("mad")).filter("mad > 0")
     score = F.lit(0.6745) * F.col("dev") / F.col("mad")
@@ -33,7 +32,7 @@ def flag_spikes(prices: DataFrame, pct: float = 0.5) -> DataFrame:
 
 def flag_promo_depth(current: DataFrame, depth: float = 0.2) -> DataFrame:
     """Promo prices below a fifth of the product's regular average."""
-    regular = current.filter("promo is null").groupBy("product_id").agg(F.sum("cents").alias("s"), F.count(ONE).alias("n"))
+    regular = current.filter("promo is null").groupBy("product_id").agg(F.sum("cents").alias("s"), F.count("*").alias("n"))
     j = current.filter("promo is not null").join(regular, "product_id")
     mean = F.col("s").cast("double") / F.col("n")
     return j.filter(F.col("cents") < mean * depth).select(*FLAG, F.lit("promo_too_deep").alias("flag_type"), F.to_json(F.struct((F.col("cents") / 100.0).alias("price"), half_up(F.lit(100.0) * F.col("cents") / mean, 1).alias("pct_of_regular"))).alias("details"))
@@ -44,7 +43,7 @@ def all_flags(current: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def flag_summary(flags: DataFrame) -> DataFrame:
-    return flags.groupBy("flag_type").agg(F.count(ONE).alias("flags"), F.countDistinct("product_id").alias("products"), F.countDistinct("store_id").alias("stores"))
+    return flags.groupBy("flag_type").agg(F.count("*").alias("flags"), F.countDistinct("product_id").alias("products"), F.countDistinct("store_id").alias("stores"))
 
 
 def store_freshness(current: DataFrame, stores: DataFrame, as_of, stale_days: int = 2) -> DataFrame:
@@ -57,25 +56,25 @@ def store_freshness(current: DataFrame, stores: DataFrame, as_of, stale_days: in
 def outlier_summary(current: DataFrame, z: float = 3.0) -> DataFrame:
     """Rows beyond three deviations or of products whose maximum is over ten times the minimum, by product."""
     s = F.sum("cents").cast("double")
-    g = current.groupBy("product_id").agg(F.count(ONE).alias("n"), s.alias("s"), F.sum(F.col("cents") * F.col("cents")).cast("double").alias("q"), F.min("cents").alias("lo"), F.max("cents").alias("hi"))
+    g = current.groupBy("product_id").agg(F.count("*").alias("n"), s.alias("s"), F.sum(F.col("cents") * F.col("cents")).cast("double").alias("q"), F.min("cents").alias("lo"), F.max("cents").alias("hi"))
     mean = F.col("s") / F.col("n")
     var = F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean)
     g = g.select("product_id", "n", "lo", "hi", mean.alias("mean"), var.alias("var"))
     by_z = (F.col("n") >= 3) & (F.col("var") > 10.0) & (F.abs(F.col("cents") - F.col("mean")) > F.lit(z) * F.sqrt("var"))
     by_ratio = (F.col("n") >= 2) & (F.col("hi") > F.col("lo") * 10) & ((F.col("cents") == F.col("hi")) | (F.col("cents") == F.col("lo")))
-    return current.select("product_id", "cents").join(g, "product_id").filter(by_z | by_ratio).groupBy("product_id").agg(F.count(ONE).alias("outlier_count"))
+    return current.select("product_id", "cents").join(g, "product_id").filter(by_z | by_ratio).groupBy("product_id").agg(F.count("*").alias("outlier_count"))
 
 
 def price_velocity(prices: DataFrame, current: DataFrame) -> DataFrame:
     """Rows on the newest date against the snapshot: stuck, ok or bulk change."""
-    days = prices.groupBy("price_date").agg(F.count(ONE).alias("n"))
-    g = days.agg(F.max("price_date").alias("curr"), F.max_by("n", "price_date").alias("changed_count"), F.count(ONE).alias("k")).join(current.agg(F.count(ONE).alias("total_current")), F.lit(True))
+    days = prices.groupBy("price_date").agg(F.count("*").alias("n"))
+    g = days.agg(F.max("price_date").alias("curr"), F.max_by("n", "price_date").alias("changed_count"), F.count("*").alias("k")).join(current.agg(F.count("*").alias("total_current")), F.lit(True))
     pct = half_up(F.try_divide(F.lit(100.0) * F.col("changed_count"), F.col("total_current")), 1)
     return g.select(F.col("curr").cast("string").alias("curr_date"), "changed_count", "total_current", pct.alias("changed_pct"), F.when(F.col("k") < 2, "insufficient").when(F.col("changed_count") == 0, "stuck").when(pct > 30, "bulk_change").otherwise("ok").alias("status"))
 
 
 def audit_store_freshness(freshness: DataFrame, most_pct: float = 10) -> DataFrame:
-    g = freshness.agg(F.count(ONE).alias("stores"), F.count_if("stale").alias("stale"))
+    g = freshness.agg(F.count("*").alias("stores"), F.count_if("stale").alias("stale"))
     pct = half_up(F.try_divide(F.lit(100.0) * F.col("stale"), F.col("stores")), 1)
     return g.select(F.lit("store_freshness").alias("name"), F.coalesce(pct > most_pct, F.lit(False)).alias("red"), "stores", "stale", pct.alias("stale_pct"))
 
@@ -90,7 +89,7 @@ def audit_run_history(runs: DataFrame, as_of, days: int = 7) -> DataFrame:
 def audit_coverage_gaps(stores: DataFrame, current: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Networks with stores whose newest check is older than ``days``."""
     newest = current.groupBy(F.col("store_id").alias("id")).agg(F.max("fetched_at").alias("d"))
-    g = stores.join(newest, "id", "left").groupBy("network").agg(F.count(ONE).alias("stores"), F.max("d").alias("newest"))
+    g = stores.join(newest, "id", "left").groupBy("network").agg(F.count("*").alias("stores"), F.max("d").alias("newest"))
     return g.select("network", "stores", F.col("newest").cast("string").alias("newest"), (F.coalesce(F.col("newest") < F.date_sub(F.lit(as_of).cast("date"), days), F.lit(True))).alias("gap"))
 
 
@@ -120,7 +119,7 @@ def run_islands(runs: DataFrame) -> DataFrame:
     """Consecutive runs of one script and status, merged with their number."""
     w = Window.partitionBy("script").orderBy("started", "id")
     r = runs.withColumn("new", F.coalesce((F.lag("status").over(w) != F.col("status")).cast("int"), F.lit(1))).withColumn("island", F.sum("new").over(w))
-    return r.groupBy("script", "island", "status").agg(F.max_by("id", F.struct("started", "id")).alias("latest_id"), F.count(ONE).alias("count"))
+    return r.groupBy("script", "island", "status").agg(F.max_by("id", F.struct("started", "id")).alias("latest_id"), F.count("*").alias("count"))
 
 
 def run_status_by_script(runs: DataFrame, as_of, days: int = 30) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pricegrain.operators.index import population_band, product_popularity, top_per_category
 
-ONE = F.lit(1)
 
 
 def ci_stores(stores: DataFrame, per_net: int = 10, band: tuple[float, float] = (0.35, 0.65), mid: int = 50) -> DataFrame:
@@ -65,4 +64,4 @@ def non_sentinels(stores: DataFrame, sentinels: DataFrame) -> DataFrame:
 def skippable_clusters(clusters: DataFrame, skip: DataFrame) -> DataFrame:
     """Anchors whose every member is in the given set."""
     marked = clusters.join(skip.select("store_id", F.lit(True).alias("s")).distinct(), "store_id", "left")
-    return marked.groupBy("anchor_id").agg(F.bool_and(F.coalesce("s", F.lit(False))).alias("skippable"), F.count(ONE).alias("members"))
+    return marked.groupBy("anchor_id").agg(F.bool_and(F.coalesce("s", F.lit(False))).alias("skippable"), F.count("*").alias("members"))

@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import brand_key, half_up, is_noise, without_marks
 
-ONE = F.lit(1)
 
 
 def canonical(counted: DataFrame, keys: list[str], raw: str) -> DataFrame:
     """Rows in all, the most frequent spelling (the last in order on ties), and all spellings with counts."""
     listed = F.array_join(F.array_sort(F.collect_list(F.concat(raw, F.lit(" ("), F.col("n").cast("string"), F.lit(")")))), "; ")
-    return counted.groupBy(*keys).agg(F.max_by(raw, F.struct("n", raw)).alias("canonical"), F.sum("n").alias("total"), F.count(ONE).alias("variant_count"), listed.alias("variants"))
+    return counted.groupBy(*keys).agg(F.max_by(raw, F.struct("n", raw)).alias("canonical"), F.sum("n").alias("total"), F.count("*").alias("variant_count"), listed.alias("variants"))
 
 
 def brands(ps: DataFrame, top: int = 150) -> DataFrame:
     """Brands by key, with their usual spelling and variants."""
-    p = ps.filter(F.col("brand").isNotNull()).groupBy("brand").agg(F.count(ONE).alias("n")).withColumn("key", brand_key(F.col("brand"))).filter("key <> ''")
+    p = ps.filter(F.col("brand").isNotNull()).groupBy("brand").agg(F.count("*").alias("n")).withColumn("key", brand_key(F.col("brand"))).filter("key <> ''")
     return canonical(p, ["key"], "brand").orderBy(F.desc("total"), "key").limit(top)
 
 
@@ -36,13 +35,13 @@ def ngrams(names: DataFrame, n: int, top: int = 150, text: str = "name") -> Data
     else:
         grams = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.array_join(F.slice("words", i + 1, n), " "))
         raw = w.filter(F.size("words") >= n).select(F.explode(grams).alias("raw"))
-    counted = raw.groupBy("raw").agg(F.count(ONE).alias("n")).withColumn("token", F.lower(without_marks(F.col("raw"))))
+    counted = raw.groupBy("raw").agg(F.count("*").alias("n")).withColumn("token", F.lower(without_marks(F.col("raw"))))
     return canonical(counted, ["token"], "raw").select("token", "canonical", F.col("total").alias("count")).orderBy(F.desc("count"), "token").limit(top)
 
 
 def category_anomalies(products: DataFrame, brand: str = "p_brand", threshold: float = 0.8, min_products: int = 5) -> DataFrame:
     """Products outside the category in which at least 80 % of their brand's products are."""
-    by = products.groupBy(brand, "categ_id").agg(F.count(ONE).alias("n"))
+    by = products.groupBy(brand, "categ_id").agg(F.count("*").alias("n"))
     w = Window.partitionBy(brand)
     top = by.withColumns({"all": F.sum("n").over(w), "rn": F.row_number().over(w.orderBy(F.desc("n"), "categ_id"))}).filter((F.col("rn") == 1) & (F.col("all") >= min_products) & (F.col("n") >= F.col("all") * threshold))
     top = top.select(brand, F.col("categ_id").alias("dominant_categ"), half_up(F.lit(100.0) * F.col("n") / F.col("all"), 1).alias("dominant_share_pct"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, mean_cents, money, sampling_tier, spread_bucket, spread_pct, upper_median
 
-LO, HI = F.min("cents"), F.max("cents")
 
 
 def stats(df: DataFrame, *keys: str, **more: Column) -> DataFrame:

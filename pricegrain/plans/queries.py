@@ -304,7 +304,7 @@ q("skippable_clusters", lambda t: sampling.skippable_clusters(geo.store_clusters
 FU = f"fp AS (SELECT network_id, fuel, {MEAN} AS avg_price, min(cents) / 1e2 AS min_price, max(cents) / 1e2 AS max_price, count(DISTINCT station_id) AS stations FROM gas_prices GROUP BY ALL)"
 q("fuel_prices", lambda t: fu.fuel_prices(t.gas_prices), "SELECT * FROM fp", more=FU)
 q("fuel_trends", lambda t: text_dates(fu.fuel_trends(t.gas_prices)), f"SELECT price_date::VARCHAR AS price_date, network_id, fuel, {MEAN} AS avg_price FROM gas_prices GROUP BY 1, 2, 3")
-q("fuel_station_latest", lambda t: fu.fuel_station_latest(t.gas_prices), "SELECT station_id, string_agg(fuel || '=' || cents, ';' ORDER BY fuel || '=' || cents) AS prices, max(d)::VARCHAR AS newest FROM (SELECT station_id, fuel, first(cents ORDER BY gas_prices."at" DESC, id DESC) AS cents, max(price_date) AS d FROM gas_prices GROUP BY ALL) GROUP BY station_id")
+q("fuel_station_latest", lambda t: fu.fuel_station_latest(t.gas_prices), "SELECT station_id, string_agg(fuel || '=' || cents, ';' ORDER BY fuel || '=' || cents) AS prices, max(d)::VARCHAR AS newest FROM (SELECT station_id, fuel, first(cents ORDER BY gas_prices.at DESC, id DESC) AS cents, max(price_date) AS d FROM gas_prices GROUP BY ALL) GROUP BY station_id")
 q("fuel_cheapest", lambda t: fu.fuel_cheapest(t.gas_prices), "SELECT fuel, first(network_id ORDER BY avg_price, network_id) AS network_id, min(avg_price) AS avg_price FROM fp GROUP BY fuel", more=FU)
 q("fuel_spread", lambda t: fu.fuel_spread(t.gas_prices), f"SELECT fuel, count(*) AS networks, min(avg_price) AS cheapest, max(avg_price) AS dearest, {r('1e2 * (max(avg_price) - min(avg_price)) / min(avg_price)')} AS spread_pct FROM fp GROUP BY fuel", more=FU)
 q("fuel_ranking", lambda t: fu.fuel_ranking(t.gas_prices), f"SELECT fuel, network_id, avg_price, rank() OVER (PARTITION BY fuel ORDER BY avg_price) AS rank, {r('max(avg_price) OVER (PARTITION BY fuel) - min(avg_price) OVER (PARTITION BY fuel)')} AS range FROM fp", more=FU)
