@@ -18,8 +18,8 @@ MOST_EXAMPLES, MOST_TERMS = 20_000, 2048
 LEAST_G2, LEAST_DOCS = 12.0, 3
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
 BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 25, 0.05, 0.25
-#: Prefixes of these lengths are terms beside the whole word.
-PREFIXES = (4, 5, 6)
+#: Prefixes of these lengths are terms beside the whole word; one of two or more different words is a further term.
+PREFIXES = (4, 5, 6, 7, 8)
 #: Words whose terms a Python worker remembers.
 MEMO_WORDS = 400_000
 
@@ -35,8 +35,14 @@ def terms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def shared(term: str) -> str:
+    """The term for a prefix that two or more different words of a document have."""
+    return term + "*"
+
+
 def document_terms(text: str | None) -> set[str]:
-    return {t for w in word_counts(text) for t in terms_of(w)}
+    words = Counter(t for w in word_counts(text) for t in terms_of(w))
+    return {*words, *(shared(t) for t, n in words.items() if n > 1)}
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:
@@ -76,13 +82,14 @@ class Vectors:
 
     def __init__(self, vocabulary: list[str], idf: np.ndarray | None = None):
         self.ids = {t: i for i, t in enumerate(vocabulary)}
+        self.more = {t.removesuffix("*") for t in vocabulary if t.endswith("**")}
         self.idf = idf
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, tuple[str, ...]] = {}
 
-    def term_ids(self, word: str) -> tuple[int, ...]:
+    def known_terms(self, word: str) -> tuple[str, ...]:
         found = self.memo.get(word)
         if found is None:
-            found = tuple(self.ids[t] for t in terms_of(word) if t in self.ids)
+            found = tuple(t for t in terms_of(word) if t in self.ids or t in self.more)
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
             self.memo[word] = found
@@ -90,9 +97,15 @@ class Vectors:
 
     def counts(self, text: str | None) -> Counter:
         out: Counter = Counter()
+        words: Counter = Counter()
         for word, n in word_counts(text).items():
-            for t in self.term_ids(word):
-                out[t] += n
+            for t in self.known_terms(word):
+                words[t] += 1
+                if t in self.ids:
+                    out[self.ids[t]] += n
+        for t, n in words.items():
+            if n > 1 and t in self.more:
+                out[self.ids[shared(t)]] = n - 1
         return out
 
     def of(self, text: str | None) -> tuple[tuple[int, ...], np.ndarray]:
