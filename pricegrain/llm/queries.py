@@ -8,14 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrain.llm import mixing
+from pricegrain.llm import mixing, url_filter
 from pricegrain.llm.common import crc_bucket, map_batches
 from pricegrain.llm.decontaminate import contaminated
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.language_id import predict_language
 from pricegrain.llm.licenses import license_scan
 from pricegrain.llm.mixing import mix
-from pricegrain.llm.repeats import digest, remove_repeats
+from pricegrain.llm.repeats import LENGTH, digest, remove_repeats
 from pricegrain.llm.simhash import near_duplicates
 from pricegrain.llm.tokens import token_counts
 from pricegrain.llm.toxicity import score_toxicity
@@ -51,7 +51,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"))
+    return judge_urls(table(spark, sf_dir, "pages")).drop("trust", "distrust")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,4 +113,45 @@ got AS (SELECT doc_id, first_word, source_no, sum((least(first_word + size, (b +
 SELECT p.doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM placed p LEFT JOIN got g ON g.doc_id IS NOT DISTINCT FROM p.doc_id AND g.first_word = p.first_word AND g.source_no = p.source_no AND p.size > 0"""
 
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing_sql()}
+def url_sql() -> str:
+    """Rules and propagation in DuckDB, one CTE for each round."""
+    ordered = sorted(url_filter.RULES, key=lambda x: -len(x[1] + x[2]))
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    pick = lambda value: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{value(v, h, p)}'" for v, h, p in ordered) + " END"
+    host = lambda u: f"translate(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    d, rounds, last = f"{url_filter.DAMPING:e}", [], "start"
+    for k in range(url_filter.ROUNDS):
+        rounds.append(f"r{k} AS (SELECT kind, host, sum(score) AS score FROM (SELECT s.kind, t.dst AS host, s.score * t.step AS score FROM {last} s JOIN steps t ON t.kind = s.kind AND t.src = s.host UNION ALL SELECT kind, host, score FROM start) GROUP BY ALL)")
+        last = f"r{k}"
+    return f"""
+WITH parts AS (SELECT page_id, html, coalesce({host('url')}, '') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+judged AS (SELECT *, {pick(lambda v, h, p: h + p)} AS rule, {pick(lambda v, h, p: v)} AS by_rule FROM parts),
+hosts AS (SELECT host, count(*) FILTER (by_rule = 'allow') AS trust, count(*) FILTER (by_rule = 'block') AS distrust FROM judged WHERE host <> '' GROUP BY host),
+links AS (SELECT src, dst, 1e0 AS links FROM (SELECT host AS src, {host('link')} AS dst FROM (SELECT host, unnest(regexp_extract_all(html, '(?i)(?:href|src)\\s*=\\s*["'']?(https?://[^"''\\s>]+)', 1)) AS link FROM parts)) WHERE src <> dst AND src <> '' AND dst <> ''),
+labels AS (SELECT string_split(host, '.') AS l FROM hosts),
+chains AS (SELECT DISTINCT array_to_string(l[i + 1:], '.') AS child, array_to_string(l[i + 2:], '.') AS above, len(l[i + 2:]) AS left_labels FROM (SELECT l, unnest(range(0, greatest(len(l) - 2, 0) + 1)) AS i FROM labels)),
+ties AS (SELECT child, above FROM chains WHERE left_labels >= 2),
+edges AS (SELECT src, dst, sum(links) AS links FROM (SELECT * FROM links UNION ALL SELECT child, above, {url_filter.PARENT_LINKS:e} FROM ties UNION ALL SELECT above, child, {url_filter.PARENT_LINKS:e} FROM ties) GROUP BY ALL),
+directed AS (SELECT 'trust' AS kind, src, dst, links FROM edges UNION ALL SELECT 'distrust', dst, src, links FROM edges),
+steps AS (SELECT kind, src, dst, {d} * links / sum(links) OVER (PARTITION BY kind, src) AS step FROM directed),
+marks AS (SELECT 'trust' AS kind, host, trust AS n FROM hosts WHERE trust > 0 UNION ALL SELECT 'distrust', host, distrust FROM hosts WHERE distrust > 0),
+start AS (SELECT kind, host, (1 - {d}) * n / sum(n) OVER (PARTITION BY kind) AS score FROM marks),
+{', '.join(rounds)},
+scores AS (SELECT host, coalesce(sum(score) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(score) FILTER (kind = 'distrust'), 0) AS d FROM {last} GROUP BY host)
+SELECT page_id, j.host, path, rule, coalesce(by_rule, CASE WHEN d > {url_filter.BLOCK_FROM:e} * (t + d) THEN 'block' ELSE 'allow' END) AS verdict FROM judged j LEFT JOIN scores s ON s.host = j.host"""
+
+
+def repeats_sql() -> str:
+    """All 100-byte windows as hexadecimal text; fit for small tables only."""
+    n = LENGTH
+    return f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, {2 * n}) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - {n} + 1)) AS p FROM d)),
+g AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+r AS (SELECT doc_id, min(p) AS a, max(p) + {n} AS z FROM (SELECT *, sum(CASE WHEN p <= before + {n} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT *, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000000) AS before FROM g)) GROUP BY doc_id, run),
+e AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) AS back FROM r),
+k AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)) || CASE WHEN back = 1 THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY a) AS kept FROM e JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op6_url_filter": url_sql(), "op8_suffix_dedup": repeats_sql(), "op10_mixing": mixing_sql()}
