@@ -24,16 +24,16 @@ STRANGE = 0.97
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, in a language that was learnt from their lang column."""
-    said = predict_language(docs, F.lit(True))
+    """Documents with letters, in a language that was learnt from their lang column. Rows without a doc_id, which no later decision could name, go too."""
+    said = predict_language(docs, F.lit(True)).filter("doc_id is not null")
     kept = said.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("distance") < STRANGE)).select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document of smallest doc_id."""
+    """Of each component of near duplicates the document of smallest doc_id; of repeated rows of an id one."""
     kept = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     cut = remove_repeats(docs).filter((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_removed") == 0))
     new = map_batches(cut.select("doc_id", "kept"), "doc_id long, text string, n_chars long", decode)
-    rest = docs.drop("text", "n_chars")
-    return new.join(rest, "doc_id").select(docs.columns)
+    rest = docs.drop("text", "n_chars").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "_id")
+    return new.join(rest, new["doc_id"].eqNullSafe(rest["_id"])).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
