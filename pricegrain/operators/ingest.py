@@ -86,9 +86,9 @@ def propagate_prices(current: DataFrame, source_id: int, targets: DataFrame) ->
 
     A null promo against a value counts as unchanged, as the price model has it.
     """
-    source = current.filter(F.col("store_id") == source_id).select("product_id", "cents", "promo", "price_date")
-    wanted = targets.select("store_id").distinct()
-    imputed = source.join(wanted, F.lit(True))  # every product of one store for every target: the result itself
+    source = current.filter(F.col("store_id") == source_id).select(F.col("store_id").alias("source_id"), "product_id", "cents", "promo", "price_date")
+    pairs = targets.select(F.lit(source_id).cast("long").alias("source_id"), "store_id").distinct()
+    imputed = source.join(pairs, "source_id").drop("source_id")
     old = current.select(*KEY, F.col("cents").alias("old_cents"), F.col("promo").alias("old_promo"))
     moved = (F.col("cents") != F.col("old_cents")) | F.coalesce(F.col("promo") != F.col("old_promo"), F.lit(False))
     return imputed.join(old, KEY, "left").select(*KEY, "cents", "promo", "price_date", F.when(F.col("old_cents").isNull(), "new").when(moved, "changed").otherwise("same").alias("change"))
