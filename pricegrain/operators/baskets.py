@@ -136,3 +136,9 @@ def stories(kept: DataFrame, products: DataFrame) -> DataFrame:
     cat = category_index(kept, products).agg(F.max_by("categ_id", F.struct("total_save_lei", "categ_id")).cast("string").alias("value")).select(F.lit("largest_saving").alias("story"), "value")
     three = a.agg(F.count_if(F.col("ratio") >= 3).cast("string").alias("value")).select(F.lit("ratio_3_and_more").alias("story"), "value")
     return top.unionByName(net).unionByName(cat).unionByName(three)
+
+
+def filter_category_items(items: DataFrame, names: DataFrame, text: str = "", min_networks: int = 2, top: int = 50) -> DataFrame:
+    """Items of the category explorer whose name holds a text, in enough networks, widest ratio first."""
+    named = items.join(names.select(F.col("id").alias("product_id"), "name"), "product_id").filter(F.col("networks") >= min_networks)
+    return named.filter(F.lower("name").contains(text.lower())).orderBy(F.desc("ratio"), "product_id").limit(top).select("categ_id", "product_id", "name", "networks", "ratio")

@@ -173,3 +173,21 @@ def population_band(stores: DataFrame, low: float = 0.35, high: float = 0.65) ->
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
+
+
+def popular_products(ps: DataFrame, stores: DataFrame, top: int = 100) -> DataFrame:
+    """Products by stores, with networks, mean price and share of all stores."""
+    return top_products(ps, stores, top).select("product_id", "store_count", "network_count", "avg_price", "coverage_pct")
+
+
+def top_level_category(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Name of each product's parent category where it has one below the root, else of its own."""
+    own = categories.select(F.col("id").alias("categ_id"), F.col("name").alias("own_name"), "parent_id")
+    up = categories.filter("parent_id is not null").select(F.col("id").alias("parent_id"), F.col("name").alias("parent_name"))
+    return products.join(own, "categ_id", "left").join(up, "parent_id", "left").select("id", F.coalesce("parent_name", "own_name").alias("top_category"))
+
+
+def short_names(stores: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Stores with the short name and wholesale mark of their network, found by id or alias in any case."""
+    keyed = stores.withColumn("key", F.lower("network"))
+    return keyed.join(lookup.select("key", "short", "b2b"), "key", "left").select("id", F.coalesce("short", F.initcap("network"), F.lit("")).alias("short"), F.coalesce("b2b", F.lit(False)).alias("b2b"))

@@ -133,3 +133,8 @@ def store_tiers(stores: DataFrame, current: DataFrame, as_of, days: int = 7) ->
 
 def prune_history(prices: DataFrame) -> DataFrame:
     return snapshot_latest(prices)
+
+
+def backfill_changed(current: DataFrame) -> DataFrame:
+    """Rows without a time of change take that of the check; stores without a mark count as active."""
+    return current.withColumn("last_changed_at", F.coalesce("last_changed_at", "last_checked_at"))

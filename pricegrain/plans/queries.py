@@ -13,7 +13,9 @@ from pricegrain.operators import fuel as fu
 from pricegrain.operators import geo, ingest, quality, sampling, text
 from pricegrain.operators import index as ix
 from pricegrain.operators import variability as va
+from pricegrain.plans import stream_queries as sq
 from pricegrain.plans.mapping import B2B, Tables, sql
+from pricegrain.sources import readers
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -308,3 +310,22 @@ q("fuel_station_latest", lambda t: fu.fuel_station_latest(t.gas_prices), "SELECT
 q("fuel_cheapest", lambda t: fu.fuel_cheapest(t.gas_prices), "SELECT fuel, first(network_id ORDER BY avg_price, network_id) AS network_id, min(avg_price) AS avg_price FROM fp GROUP BY fuel", more=FU)
 q("fuel_spread", lambda t: fu.fuel_spread(t.gas_prices), f"SELECT fuel, count(*) AS networks, min(avg_price) AS cheapest, max(avg_price) AS dearest, {r('1e2 * (max(avg_price) - min(avg_price)) / min(avg_price)')} AS spread_pct FROM fp GROUP BY fuel", more=FU)
 q("fuel_ranking", lambda t: fu.fuel_ranking(t.gas_prices), f"SELECT fuel, network_id, avg_price, rank() OVER (PARTITION BY fuel ORDER BY avg_price) AS rank, {r('max(avg_price) OVER (PARTITION BY fuel) - min(avg_price) OVER (PARTITION BY fuel)')} AS range FROM fp", more=FU)
+
+# --- more of ingest, catalogue and sinks
+
+q("gas_first_price", lambda t: text_dates(ingest.first_price_kept(t.gas_prices.select(F.col("station_id").alias("store_id"), F.col("fuel").alias("product_id"), "cents", "price_date", F.col("at").alias("fetched_at"))).drop("last_checked_at")), "SELECT fuel AS product_id, station_id AS store_id, price_date::VARCHAR AS price_date, first(cents ORDER BY gas_prices.at, cents) AS cents FROM gas_prices GROUP BY fuel, station_id, gas_prices.price_date")
+q("prune_history", lambda t: ingest.prune_history(t.prices()).groupBy("store_id").agg(F.count("*").alias("n_rows")), "SELECT store_id, count(*) AS n_rows FROM current_p GROUP BY store_id")
+q("popular_products", lambda t: ix.popular_products(ps(t), t.stores), f"SELECT product_id, count(DISTINCT store_id) AS store_count, count(DISTINCT network) AS network_count, {MEAN} AS avg_price, {r('1e2 * count(DISTINCT store_id) / (SELECT count(*) FROM stores)', 1)} AS coverage_pct FROM ps GROUP BY product_id ORDER BY store_count DESC, product_id LIMIT 100")
+q("top_level_category", lambda t: ix.top_level_category(t.products, t.categories), "SELECT p.id, coalesce(u.name, c.name) AS top_category FROM products p LEFT JOIN categories c ON c.id = p.categ_id LEFT JOIN categories u ON u.id = c.parent_id AND u.parent_id IS NOT NULL")
+q("network_short_names", lambda t: ix.short_names(t.stores, readers.network_lookup(t.networks.select(F.lower("name").alias("id"), F.substring("name", 1, 3).alias("short"), F.array(F.upper("name")).alias("aliases"), (F.col("name") == B2B).alias("b2b")))), f"SELECT id, substr(network, 1, 3) AS short, network = '{B2B}' AS b2b FROM stores")
+q("category_items_filter", lambda t: bk.filter_category_items(bk.category_spread(kept(t), t.products), t.products, "red", 3), "SELECT categ_id, product_id, name, networks, ratio FROM (SELECT ac.*, row_number() OVER (PARTITION BY categ_id ORDER BY ratio DESC, product_id) AS rn FROM ac) c JOIN (SELECT id, name FROM products) p ON p.id = product_id WHERE rn <= 200 AND networks >= 3 AND contains(lower(name), 'red') ORDER BY ratio DESC, product_id LIMIT 50", more=ANP)
+q("uat_properties", lambda t: readers.properties_json(ustats(t), "uat_id"))
+q("audit_report", lambda t: quality.audit_store_freshness(fresh(t)).select("name", "red").unionByName(drift(t).select("name", "red")), f"SELECT 'store_freshness' AS name, 1e2 * count(*) FILTER (stale) / count(*) > 10 AS red FROM fr UNION ALL SELECT 'flag_drift', coalesce(max(n) FILTER (rn = 1) > median(n) FILTER (rn BETWEEN 2 AND 31) * 3, false) FROM (SELECT started, count(*) AS n, row_number() OVER (ORDER BY started DESC) AS rn FROM runs WHERE status = 'abandoned' GROUP BY started)", more=FR)
+q("spread_buckets", lambda t: va.intra_spread_all(ps(t, "list")).groupBy(sc.spread_bucket(F.col("spread_pct")).cast("long").alias("bucket")).agg(F.count("*").alias("groups")), f"SELECT CASE WHEN p < 1 THEN 0 WHEN p < 5 THEN 1 WHEN p < 10 THEN 2 ELSE 3 END::BIGINT AS bucket, count(*) AS groups FROM (SELECT {PCT} AS p FROM ps GROUP BY network, product_id HAVING count(DISTINCT store_id) >= 2) GROUP BY 1", "list")
+
+# --- streams
+
+q("stream_changes", sq.stream_changes, "SELECT product_id, store_id, cents, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc FROM obs WINDOW w AS (PARTITION BY product_id, store_id ORDER BY ts, cents)) WHERE rn = 1 OR cents <> pc", more=sq.OBS)
+q("stream_dedup", sq.stream_dedup, "SELECT DISTINCT product_id, store_id, ts::DATE::VARCHAR AS price_date FROM obs", more=sq.OBS)
+q("stream_window_avg", sq.stream_window_avg, "SELECT ts::DATE::VARCHAR AS day, product_id, sum(cents)::BIGINT AS cents, count(*) AS n FROM obs GROUP BY ALL", more=sq.OBS)
+q("stream_snapshot", sq.stream_snapshot, "SELECT product_id, store_id, cents FROM obs QUALIFY row_number() OVER (PARTITION BY product_id, store_id ORDER BY ts DESC) = 1", more=sq.OBS)

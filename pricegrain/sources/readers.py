@@ -87,3 +87,15 @@ def write_ids(df: DataFrame, column: str, path: str) -> None:
 def properties_json(df: DataFrame, key: str) -> DataFrame:
     """GeoJSON properties: the key and one JSON object of all other columns."""
     return df.select(key, F.to_json(F.struct(*[c for c in df.columns if c != key])).alias("properties"))
+
+
+def export_all(results: dict[str, DataFrame], path: str) -> None:
+    """One CSV folder for each named result."""
+    for name, df in results.items():
+        write_csv(df, f"{path}/{name}")
+
+
+def write_product_csvs(latest: DataFrame, history: DataFrame, path: str) -> None:
+    """Latest and history rows of every product, in one folder a product."""
+    write_csv(latest, f"{path}/latest", by="product_id")
+    write_csv(history, f"{path}/history", by="product_id")
