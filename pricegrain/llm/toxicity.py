@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
 import numpy as np
@@ -20,14 +19,16 @@ LEAST_G2, LEAST_DOCS = 12.0, 3
 BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 25, 0.05, 0.25
 #: Prefixes of these lengths are terms beside the whole word; one of two or more different words is a further term.
 PREFIXES = (4, 5, 6, 7, 8)
-#: Words whose terms a Python worker remembers.
-MEMO_WORDS = 400_000
+#: Bytes by which words without any term are told at once, and words whose terms a Python worker remembers.
+HEAD, MEMO_WORDS = 4, 100_000
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Blanks for all ASCII bytes but digits and small letters: what is left between them are words.
+SEPARATED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def word_counts(text: str | None) -> Counter:
-    return Counter(WORD.findall((text or "").lower()))
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased words, in UTF-8."""
+    return (text or "").lower().encode().translate(SEPARATED).split()
 
 
 def terms_of(word: str) -> list[str]:
@@ -41,7 +42,7 @@ def shared(term: str) -> str:
 
 
 def document_terms(text: str | None) -> set[str]:
-    words = Counter(t for w in word_counts(text) for t in terms_of(w))
+    words = Counter(t for w in set(words_of(text)) for t in terms_of(w.decode()))
     return {*words, *(shared(t) for t, n in words.items() if n > 1)}
 
 
@@ -83,13 +84,14 @@ class Vectors:
     def __init__(self, vocabulary: list[str], idf: np.ndarray | None = None):
         self.ids = {t: i for i, t in enumerate(vocabulary)}
         self.more = {t.removesuffix("*") for t in vocabulary if t.endswith("**")}
+        self.heads = {t.rstrip("*").encode()[:HEAD] for t in vocabulary}
         self.idf = idf
-        self.memo: dict[str, tuple[str, ...]] = {}
+        self.memo: dict[bytes, tuple[str, ...]] = {}
 
-    def known_terms(self, word: str) -> tuple[str, ...]:
+    def known_terms(self, word: bytes) -> tuple[str, ...]:
         found = self.memo.get(word)
         if found is None:
-            found = tuple(t for t in terms_of(word) if t in self.ids or t in self.more)
+            found = tuple(t for t in terms_of(word.decode()) if t in self.ids or t in self.more)
             if len(self.memo) >= MEMO_WORDS:
                 self.memo.clear()
             self.memo[word] = found
@@ -98,7 +100,8 @@ class Vectors:
     def counts(self, text: str | None) -> Counter:
         out: Counter = Counter()
         words: Counter = Counter()
-        for word, n in word_counts(text).items():
+        heads = self.heads
+        for word, n in Counter([w for w in words_of(text) if w[:HEAD] in heads]).items():
             for t in self.known_terms(word):
                 words[t] += 1
                 if t in self.ids:
@@ -133,8 +136,8 @@ def idf_of(docs: DataFrame, vocabulary: list[str]) -> np.ndarray:
 class BlockMaxIndex:
     """Inverted index over example vectors, with the highest weight of each term in each block of examples.
 
-    Examples of equal vectors are one entry with counts. ``nearest`` is exact: blocks are scored in order of
-    their upper bound until no other block can reach the last neighbour's similarity.
+    Examples of equal vectors are one entry with counts. ``nearest`` is exact: a block is left out only if its
+    upper bound cannot reach the last neighbour's similarity.
     """
 
     def __init__(self, rows: list[tuple[int, tuple[int, ...], np.ndarray, int]], n_terms: int, prior: float):
@@ -160,31 +163,40 @@ class BlockMaxIndex:
         self.begin = np.searchsorted(term * (self.blocks + 1) + self.example // BLOCK, np.arange(n_terms * (self.blocks + 1) + 1)).reshape(-1)
         np.maximum.at(self.bound, (term, self.example // BLOCK), self.weight)
 
+    def floor(self, entries: np.ndarray, sims: np.ndarray, k: int) -> float:
+        """Similarity of the k-th nearest example among some entries, 0 if they hold fewer."""
+        if len(sims) > k:  # an entry is one example at least
+            top = np.argpartition(-sims, k - 1)[:k]
+            entries, sims = entries[top], sims[top]
+        order = np.argsort(-sims, kind="stable")
+        enough = np.searchsorted(np.cumsum(self.n[entries[order]]), k)
+        return float(sims[order[enough]]) if enough < len(order) else 0.0
+
     def nearest(self, terms: tuple[int, ...], weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Entries and cosines of the k nearest examples (all that tie with the last), above zero."""
+        """Entries and cosines of the k nearest examples (all that tie with the last), above zero.
+
+        The block of highest bound is scored first; of the others only those are whose bound reaches the
+        k-th similarity found there.
+        """
         if not terms or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
         upper = weights @ self.bound[list(terms)]
-        found, sims, floor = [], [], 0.0
-        for b in np.argsort(-upper, kind="stable"):
-            if upper[b] <= 0 or upper[b] < floor - 1e-9:
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                at = t * (self.blocks + 1) + b
-                lo, hi = self.begin[at], self.begin[at + 1]
-                if lo < hi:
-                    score[self.example[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            here = np.flatnonzero(score > 0)
-            found.append(here + b * BLOCK), sims.append(score[here])
-            e, s = np.concatenate(found), np.concatenate(sims)
-            order = np.argsort(-s, kind="stable")
-            enough = np.searchsorted(np.cumsum(self.n[e[order]]), k)
-            if enough < len(order):
-                floor = s[order[enough]]
-        if not found:
-            return np.empty(0, np.int64), np.empty(0)
-        keep = s >= floor - 1e-9
+        rows = np.array(terms) * (self.blocks + 1)
+
+        def scored(begin: np.ndarray, end: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+            at = np.concatenate([self.example[lo:hi] for lo, hi in zip(begin, end, strict=True)])
+            gain = np.concatenate([w * self.weight[lo:hi] for w, lo, hi in zip(weights, begin, end, strict=True)])
+            if live is not None:
+                kept = live[at // BLOCK]
+                at, gain = at[kept], gain[kept]
+            score = np.bincount(at, gain, minlength=len(self.n))
+            found = np.flatnonzero(score > 0)
+            return found, score[found]
+
+        best = rows + int(np.argmax(upper))
+        floor = self.floor(*scored(self.begin[best], self.begin[best + 1]), k)
+        e, s = scored(self.begin[rows], self.begin[rows + self.blocks], upper >= floor - 1e-9)
+        keep = s >= self.floor(e, s, k) - 1e-9
         order = np.lexsort((self.doc_id[e[keep]], -np.round(s[keep], 9)))
         return e[keep][order], np.minimum(1.0, s[keep][order])
 
