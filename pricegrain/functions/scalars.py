@@ -6,11 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Unit spellings of the three normalisers.
-STORE_UNITS = {"KG": "kg", "KILOGRAM": "kg", "KILOGRAME": "kg", "K": "kg", "BUC": "pcs", "BUCATA": "pcs", "BUCATI": "pcs", "PCS": "pcs", "L": "L", "LITRU": "L", "LITRI": "L", "ML": "ml", "G": "g", "GR": "g", "GRAME": "g"}
-PACK_UNITS = {"kg": "kg", "k": "kg", "kilogram": "kg", "g": "kg", "gr": "kg", "l": "L", "litru": "L", "litri": "L", "ml": "L", "buc": "buc", "bucata": "buc", "bucati": "buc", "pcs": "buc"}
-ANALYSIS_UNITS = {"Kg": "kg", "KG": "kg", "kg": "kg", "BUC": "buc", "Buc": "buc", "buc": "buc", "BUC.": "buc", "L": "l", "l": "l", "Litru": "l", "LITRU": "l"}
-#: Words that say nothing about a product.
-STOPWORDS = ("cu", "de", "din", "fara", "la", "pentru", "si", "sau", "in", "pe", "the", "and", "of")
+STORE_UNITS = {
+    "KG": "kg", "K": "kg", "KILOGRAM": "kg",
+    "BUC": "pcs", "BUCATA": "pcs", "BUCATI": "pcs", "BU": "pcs", "PC": "pcs", "PIECE": "pcs", "PCS": "pcs", "PIECES": "pcs",
+    "L": "L", "LITRU": "L", "LITER": "L", "ML": "ml", "G": "g",
+}
+PACK_UNITS = {
+    "kg": "kg", "k": "kg", "kilogram": "kg", "grame": "kg", "g": "kg", "l": "L", "litru": "L", "ml": "L",
+    "buc": "buc", "bu": "buc", "bucata": "buc", "bucati": "buc", "pc": "buc", "pieces": "buc",
+}
+ANALYSIS_UNITS = {
+    "kg": "kg", "Kg": "kg", "KG": "kg", "K": "kg", "k": "kg", "1kg": "kg",
+    "BUC": "buc", "BUCATA": "buc", "BUCATI": "buc", "Buc": "buc", "Buc.": "buc", "buc": "buc", "bucata": "buc", "BU": "buc", "PC": "buc", "CU": "buc", "BO": "buc",
+    "Litru": "l", "L": "l", "l": "l",
+}
+#: Words that say nothing about a product, without marks.
+STOPWORDS = (
+    "de", "cu", "la", "din", "si", "sau", "pe", "in", "fara", "pt", "pentru", "ale", "al", "cel", "cea", "un", "una", "o", "kg", "g", "l", "ml",
+    "buc", "bucata", "vrac", "felii", "feliata", "feliat", "srl", "com", "pan", "fel", "pret", "set", "mix", "bio", "eco",
+)
+#: South-west corner and cell of the grid, in degrees.
+GRID_LAT, GRID_LON, GRID_CELL = 43.6, 20.3, 0.45
 #: Letters with marks and the plain ones.
 MARKED, PLAIN = "ăâîșşțţĂÂÎȘŞȚŢáàäéèêëíïóöôúüûçñ", "aaissttAAISSTTaaaeeeeiiooouuucn"
 
@@ -72,9 +88,9 @@ def brand_key(brand: Column) -> Column:
 
 
 def is_noise(token: Column) -> Column:
-    """Short, a stopword, a size such as 500g, or a number."""
+    """Short, a stopword, a size such as 500g, or a number with points and commas."""
     t = F.lower(without_marks(token))
-    return (F.char_length(t) < 3) | t.isin(*STOPWORDS) | t.rlike(r"^[\d.,x]+(kg|g|gr|l|ml|cl|buc|%)?$")
+    return (F.char_length(t) < 3) | t.isin(*STOPWORDS) | t.rlike(r"^\d+[.,]?\d*\s*[gklmc][gl]?$") | t.rlike(r"^[.,]*\d[\d.,]*$")
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -82,9 +98,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
-def snake_key(lat: Column, lon: Column, cell: float = 0.1) -> Column:
+def snake_key(lat: Column, lon: Column, cell: float = GRID_CELL) -> Column:
     """Row of a grid and column within it, every other row from right to left."""
-    row, col = (lat / cell).cast("int"), (lon / cell).cast("int")
+    row, col = ((lat - GRID_LAT) / cell).cast("int"), ((lon - GRID_LON) / cell).cast("int")
     return F.struct(row.alias("row"), F.when(row % 2 == 0, col).otherwise(1000 - col).alias("col"))
 
 
@@ -92,9 +108,9 @@ def spread_bucket(pct: Column) -> Column:
     return F.when(pct < 1, 0).when(pct < 5, 1).when(pct < 10, 2).otherwise(3)
 
 
-def sampling_tier(under1: Column, to5: Column) -> Column:
-    """A from 80 % below 1; B from 50 % below 1 with at least 40 % more below 5, else C."""
-    return F.when(under1 >= 80, "A").when((under1 >= 50) & (to5 >= 40), "B").otherwise("C")
+def sampling_tier(under1: Column, over10: Column) -> Column:
+    """A from 80 % below 1; B from 40 % below 1 with at most 50 % above 10; else C."""
+    return F.when(under1 >= 80, "A").when((100 - over10 >= 50) & (under1 >= 40), "B").otherwise("C")
 
 
 def wkt_points(wkt: Column) -> Column:
@@ -120,8 +136,8 @@ def iso_date(text: Column) -> Column:
 
 
 def clean_xml(text: Column) -> Column:
-    """Without character references that XML 1.0 forbids."""
-    return F.regexp_replace(text, r"&#(?:0*(?:[0-8]|1[1-2]|1[4-9]|2\d|3[01])|[xX]0*(?:[0-8bBcCeEfF]|1[0-9a-fA-F]));", "")
+    """Without character references, decimal or hexadecimal, to control characters."""
+    return F.regexp_replace(text, r"&#(?:0*(?:[0-8]|1[1-2]|1[4-9]|2\d|3[01]|127)|[xX]0*(?:[0-8bBcCeEfF]|1[0-9a-fA-F]|7[fF]));", "")
 
 
 def short_name(network: Column, shorts: Column) -> Column:

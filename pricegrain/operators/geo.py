@@ -58,7 +58,7 @@ def sampling_points(boxes: DataFrame, min_population: int = 10_000, spacing_km:
     small = F.col("km") <= max_diagonal_km
     step_lat = F.lit(spacing_km / 111.0)
     step_lon = F.lit(spacing_km) / (F.lit(111.0) * F.cos(F.radians("mid_lat")))
-    n = lambda a, z, step: F.sequence(F.lit(0), F.floor((F.col(z) - F.col(a)) / step).cast("int"))
+    n = lambda a, z, step: F.sequence(F.lit(0), F.floor((F.col(z) - F.col(a)) / step + 0.5).cast("int"))
     g = b.withColumn("i", F.explode(F.when(small, F.array(F.lit(0))).otherwise(n("south", "north", step_lat)))).withColumn("j", F.explode(F.when(small, F.array(F.lit(0))).otherwise(n("west", "east", step_lon))))
     return g.select("label", F.when(small, F.col("mid_lat")).otherwise(F.col("south") + F.col("i") * step_lat).alias("lat"), F.when(small, F.col("mid_lon")).otherwise(F.col("west") + F.col("j") * step_lon).alias("lon"))
 

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["product_id", "store_id"]
-#: Ordered rules, a part of a store's name and the network it tells.
-NAME_RULES = [("PROFI", "PROFI"), ("MEGA", "MEGA IMAGE"), ("KAUFLAND", "KAUFLAND"), ("LIDL", "LIDL"), ("PENNY", "PENNY"), ("CARREFOUR", "CARREFOUR"), ("AUCHAN", "AUCHAN"), ("SELGROS", "SELGROS"), ("SEGLROS", "SELGROS"), ("METRO", "METRO"), ("CORA", "CORA"), ("EXPRESS", "CARREFOUR")]
+#: Ordered rules, a LIKE pattern of a store's name in capitals and the network id it tells.
+NAME_RULES = [
+    ("%KAUFLAND%", "KAUFLAND"), ("%PROFI%", "PROFI"), ("%SELGROS%", "SELGROS"), ("%SEGLROS%", "SELGROS"), ("%CORA%", "5948914999995"), ("%AUCHAN%", "AUCHAN"),
+    ("%SUPECO%", "SUPECO"), ("%CARREFOUR%", "5940475006709"), ("%MEGA IMAGE%", "5940475870003"), ("MI %", "5940475870003"), ("SG %", "5940475870003"), ("EXPRESS %", "5940475006709"),
+]
 
 
 def latest_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -95,10 +98,10 @@ def propagate_prices(current: DataFrame, source_id: int, targets: DataFrame) ->
 
 
 def network_by_name(stores: DataFrame, rules=NAME_RULES) -> DataFrame:
-    """Fill missing networks by the first rule whose word is in the name."""
+    """Fill missing networks by the first rule that the name fits."""
     name, rule = F.upper("name"), F.lit(None).cast("string")
-    for word, network in reversed(rules):
-        rule = F.when(name.contains(word), network).otherwise(rule)
+    for pattern, network in reversed(rules):
+        rule = F.when(name.like(pattern), network).otherwise(rule)
     return stores.withColumn("inferred", F.col("network").isNull() & rule.isNotNull()).withColumn("network", F.coalesce("network", rule))
 
 

@@ -23,7 +23,7 @@ def brands(ps: DataFrame, top: int = 150) -> DataFrame:
 
 def tokens(names: DataFrame, text: str = "name") -> DataFrame:
     """id and its words that say something, in order."""
-    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\s,;:()/\n]+"), lambda w: (w != "") & ~is_noise(w))
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: (w != "") & ~is_noise(w))
     return names.select("id", words.alias("words"))
 
 

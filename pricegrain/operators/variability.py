@@ -119,7 +119,7 @@ def shares(*keys: str):
 
 def similarity_tiers(groups: DataFrame) -> DataFrame:
     """Shares of the four spread buckets and the sampling tier per network and store type."""
-    return shares("network", "type_id")(groups, F.countDistinct("product_id").alias("products")).withColumn("tier", sampling_tier(F.col("pct_b0"), F.col("pct_b1")))
+    return shares("network", "type_id")(groups, F.countDistinct("product_id").alias("products")).withColumn("tier", sampling_tier(F.col("pct_b0"), F.col("pct_b3")))
 
 
 def similarity_trend(groups: DataFrame, days: int = 7) -> DataFrame:

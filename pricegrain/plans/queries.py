@@ -70,7 +70,7 @@ q("keys_with_changes", lambda t: ingest.keys_with_changes(t.prices()), "SELECT c
 q("store_upsert", lambda t: ingest.store_upsert(t.stores.select("id", "name", "network"), t.stores.filter("id % 3 = 0").select("id", F.concat("name", F.lit(" new")).alias("name"), F.when(F.col("id") % 2 == 0, F.col("network")).alias("network"))), "SELECT id, CASE WHEN id % 3 = 0 THEN name || ' new' ELSE name END AS name, network, true AS is_active FROM stores")
 q("propagate_checked", lambda t: text_dates(ingest.propagate_checked(t.current().withColumn("last_checked_at", F.col("fetched_at")), t.stores.filter("id % 4 = 1").select(F.col("id").alias("store_id")), as_of(t)).select("product_id", "store_id", "last_checked_at")), f"SELECT product_id, store_id, (CASE WHEN store_id % 4 = 1 THEN {ASOF} ELSE fetched_at END)::VARCHAR AS last_checked_at FROM current_p")
 q("propagate_prices", lambda t: text_dates(ingest.propagate_prices(t.current(), 1, t.stores.filter("id % 20 = 2").select(F.col("id").alias("store_id")))), "SELECT s.product_id, w.id AS store_id, s.cents, s.promo, s.price_date::VARCHAR AS price_date, CASE WHEN c.cents IS NULL THEN 'new' WHEN s.cents <> c.cents OR coalesce(s.promo <> c.promo, false) THEN 'changed' ELSE 'same' END AS change FROM (SELECT * FROM current_p WHERE store_id = 1) s CROSS JOIN (SELECT id FROM stores WHERE id % 20 = 2) w LEFT JOIN current_p c ON c.product_id = s.product_id AND c.store_id = w.id")
-q("network_by_name", lambda t: ingest.network_by_name(t.stores.select("id", F.element_at(F.array(*[F.lit(x) for x in ("Profi Cluj", "MEGA X", "SG NORD", "EXPRESS 1", "SEGLROS", "Lidl")]), (F.col("id") % 6 + 1).cast("int")).alias("name"), F.when(F.col("id") % 7 == 0, F.col("network")).alias("network"))).groupBy("network", "inferred").agg(F.count(F.lit(1)).alias("stores")), "SELECT coalesce(n, CASE k WHEN 0 THEN 'PROFI' WHEN 1 THEN 'MEGA IMAGE' WHEN 3 THEN 'CARREFOUR' WHEN 4 THEN 'SELGROS' WHEN 5 THEN 'LIDL' END) AS network, n IS NULL AND k <> 2 AS inferred, count(*) AS stores FROM (SELECT id % 6 AS k, CASE WHEN id % 7 = 0 THEN network END AS n FROM stores) GROUP BY 1, 2")
+q("network_by_name", lambda t: ingest.network_by_name(t.stores.select("id", F.element_at(F.array(*[F.lit(x) for x in ("Profi Cluj", "MEGA IMAGE X", "SG NORD", "EXPRESS 1", "SEGLROS", "Unknown")]), (F.col("id") % 6 + 1).cast("int")).alias("name"), F.when(F.col("id") % 7 == 0, F.col("network")).alias("network"))).groupBy("network", "inferred").agg(F.count(F.lit(1)).alias("stores")), "SELECT coalesce(n, CASE k WHEN 0 THEN 'PROFI' WHEN 1 THEN '5940475870003' WHEN 2 THEN '5940475870003' WHEN 3 THEN '5940475006709' WHEN 4 THEN 'SELGROS' END) AS network, n IS NULL AND k <> 5 AS inferred, count(*) AS stores FROM (SELECT id % 6 AS k, CASE WHEN id % 7 = 0 THEN network END AS n FROM stores) GROUP BY 1, 2")
 LOGO_S = lambda t: t.stores.select("id", "name", F.when(F.col("id") % 2 == 0, F.col("network_id")).alias("network_id"), F.concat(F.lit("logo"), (F.col("id") % 6).cast("string")).alias("logo_url"))
 LOGO_N = lambda t: t.networks.select("id", "name", F.concat(F.lit("logo"), F.col("id").cast("string")).alias("logo_url"))
 q("network_by_logo", lambda t: ingest.network_by_logo(LOGO_S(t), LOGO_N(t)).select("id", "network_id", "inferred"), "SELECT id, CASE WHEN id % 2 = 0 THEN network_id WHEN id % 6 < 5 THEN id % 6 END AS network_id, id % 2 = 1 AND id % 6 < 5 AS inferred FROM stores")
@@ -125,7 +125,7 @@ SIM = f"g AS (SELECT network, type_id, product_id, price_date, count(DISTINCT st
 SHARES = ", ".join(f"{r(f'1e2 * count(*) FILTER (b = {k}) / count(*)', 1)} AS pct_b{k}" for k in range(4))
 sims = lambda t: va.similarity_groups(ps(t, "list"), "1995-01-01")
 q("similarity_groups", lambda t: text_dates(sims(t)), "SELECT * REPLACE (price_date::VARCHAR AS price_date) FROM g", "list", SIM)
-q("similarity_tiers", lambda t: va.similarity_tiers(sims(t)), f"SELECT *, CASE WHEN pct_b0 >= 80 THEN 'A' WHEN pct_b0 >= 50 AND pct_b1 >= 40 THEN 'B' ELSE 'C' END AS tier FROM (SELECT network, type_id, count(*) AS groups, count(DISTINCT product_id) AS products, {SHARES} FROM gb GROUP BY ALL)", "list", SIM)
+q("similarity_tiers", lambda t: va.similarity_tiers(sims(t)), f"SELECT *, CASE WHEN pct_b0 >= 80 THEN 'A' WHEN 100 - pct_b3 >= 50 AND pct_b0 >= 40 THEN 'B' ELSE 'C' END AS tier FROM (SELECT network, type_id, count(*) AS groups, count(DISTINCT product_id) AS products, {SHARES} FROM gb GROUP BY ALL)", "list", SIM)
 q("similarity_trend", lambda t: text_dates(va.similarity_trend(sims(t), 700)), f"SELECT network, type_id, window_start::VARCHAR AS window_start, count(*) AS groups, {SHARES} FROM (SELECT gb.*, (SELECT max(o.d) FROM opens o WHERE o.network = gb.network AND o.type_id = gb.type_id AND o.d <= gb.price_date) AS window_start FROM gb) GROUP BY ALL", "list", SIM + ", ds AS (SELECT DISTINCT network, type_id, price_date AS d FROM gb), nx AS (SELECT a.network, a.type_id, a.d, min(b.d) AS nxt FROM ds a LEFT JOIN ds b ON a.network = b.network AND a.type_id = b.type_id AND b.d >= a.d + 700 GROUP BY ALL), o1 AS (SELECT network, type_id, min(d) AS d FROM ds GROUP BY ALL), " + ", ".join(f"o{k} AS (SELECT nx.network, nx.type_id, nx.nxt AS d FROM o{k - 1} o JOIN nx ON o.network = nx.network AND o.type_id = nx.type_id AND o.d = nx.d WHERE nx.nxt IS NOT NULL)" for k in range(2, 8)) + ", opens AS (" + " UNION ALL ".join(f"SELECT * FROM o{k}" for k in range(1, 8)) + ")")
 q("sentinel_stores", lambda t: va.sentinel_stores(ps(t), t.stores))
 q("sentinel_networks", lambda t: va.sentinel_networks(va.similarity_tiers(sims(t))), "SELECT network, bool_and(100 * b0 >= 80 * n) AS all_a, count(*) AS types FROM (SELECT network, type_id, count(*) AS n, count(*) FILTER (b = 0) AS b0 FROM gb GROUP BY ALL) GROUP BY network", "list", SIM)
@@ -264,7 +264,7 @@ q("near_pairs", lambda t: geo.near_pairs(t.stores, t.stores, 5).select("a_id", "
 q("dedup_points", lambda t: geo.dedup_points(t.localities))
 q("store_clusters", lambda t: geo.store_clusters(t.stores, max_per_cluster=20))
 boxes = lambda t: t.stores.groupBy("uat_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.sum("population").alias("population")).withColumnRenamed("uat_id", "label")
-q("sampling_points", lambda t: geo.sampling_points(boxes(t), 1000, 80).groupBy("label").agg(F.count(F.lit(1)).alias("points")), f"SELECT label, CASE WHEN km <= 10 THEN 1 ELSE (floor((north - south) / (80e0 / 111e0)) + 1) * (floor((east - west) / (80e0 / (111e0 * cos(radians((south + north) / 2))))) + 1) END::BIGINT AS points FROM (SELECT *, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(north - south) / 2), 2) + cos(radians(south)) * cos(radians(north)) * pow(sin(radians(east - west) / 2), 2)))) AS km FROM (SELECT uat_id AS label, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east, sum(population) AS population FROM stores GROUP BY uat_id)) WHERE population >= 1000")
+q("sampling_points", lambda t: geo.sampling_points(boxes(t), 1000, 80).groupBy("label").agg(F.count(F.lit(1)).alias("points")), f"SELECT label, CASE WHEN km <= 10 THEN 1 ELSE (floor((north - south) / (80e0 / 111e0) + 5e-1) + 1) * (floor((east - west) / (80e0 / (111e0 * cos(radians((south + north) / 2)))) + 5e-1) + 1) END::BIGINT AS points FROM (SELECT *, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(north - south) / 2), 2) + cos(radians(south)) * cos(radians(north)) * pow(sin(radians(east - west) / 2), 2)))) AS km FROM (SELECT uat_id AS label, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east, sum(population) AS population FROM stores GROUP BY uat_id)) WHERE population >= 1000")
 q("nearby_stores", lambda t: geo.nearby_stores(t.stores, 44.5, 22.6, 80), "SELECT id, network, d AS dist_m FROM (SELECT id, network, floor(" + KM.format(a="c", b="s") + " * 1e3 + 5e-1)::BIGINT AS d FROM stores s, (SELECT 445e-1 AS lat, 226e-1 AS lon) c) WHERE d <= 80000 ORDER BY d, id LIMIT 200")
 q("stores_index", lambda t: geo.stores_index(t.stores, scored_uat(t), scored(t), "staples"), "SELECT s.id, s.name, s.network, s.uat_id, coalesce(own, (SELECT min(cost_month) FROM sco WHERE comparable AND basket_id = 'staples')) AS basket_min_month FROM stores s LEFT JOIN (SELECT uat_id, min(cost_month) AS own FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id)", more=BI + BU)
 UST = BI + BU + f", us AS (SELECT * FROM (SELECT uat_id, count(*) AS n_stores, count(DISTINCT network) FILTER (network <> '{B2B}') AS n_networks FROM stores GROUP BY 1) LEFT JOIN (SELECT uat_id, min(cost_month) AS basket_min_month, max(cost_month) AS basket_max_month, first(network ORDER BY cost_month, network) AS cheapest_net FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id))"
@@ -273,12 +273,13 @@ q("uat_stats", ustats, "SELECT * FROM us", more=UST)
 q("uat_kpis", lambda t: geo.uat_kpis(ustats(t)), "SELECT count(*) FILTER (n_networks >= 1) AS covered, count(*) FILTER (n_networks = 1) AS deserts, (SELECT uat_id FROM us WHERE basket_min_month IS NOT NULL ORDER BY basket_min_month, uat_id LIMIT 1) AS cheapest_uat FROM us", more=UST)
 q("uat_bins", lambda t: geo.uat_bins(ustats(t), "n_stores", [3, 10, 30, 100]), "SELECT uat_id, n_stores, (n_stores >= 3)::BIGINT + (n_stores >= 10)::BIGINT + (n_stores >= 30)::BIGINT + (n_stores >= 100)::BIGINT AS bin FROM us", more=UST)
 q("stores_for_map", lambda t: geo.stores_for_map(t.stores), f"SELECT id, name, network, {r('lat', 3)} AS lat, {r('lon', 3)} AS lon FROM stores")
-q("grid_order", lambda t: t.stores.select("id", sc.snake_key(F.col("lat"), F.col("lon")).alias("k")).select("id", F.col("k.row").cast("long").alias("row"), F.col("k.col").cast("long").alias("col")), "SELECT id, trunc(lat / 1e-1)::BIGINT AS row, CASE WHEN trunc(lat / 1e-1)::BIGINT % 2 = 0 THEN trunc(lon / 1e-1)::BIGINT ELSE 1000 - trunc(lon / 1e-1)::BIGINT END AS col FROM stores")
+q("grid_order", lambda t: t.stores.select("id", sc.snake_key(F.col("lat"), F.col("lon")).alias("k")).select("id", F.col("k.row").cast("long").alias("row"), F.col("k.col").cast("long").alias("col")), "SELECT id, r AS row, CASE WHEN r % 2 = 0 THEN c ELSE 1000 - c END AS col FROM (SELECT id, trunc((lat - 43.6::DOUBLE) / 0.45::DOUBLE)::BIGINT AS r, trunc((lon - 20.3::DOUBLE) / 0.45::DOUBLE)::BIGINT AS c FROM stores)")
 
 # --- text
 
 q("brands", lambda t: text.brands(t.prices()), "SELECT key, first(brand ORDER BY n DESC, brand DESC) AS canonical, sum(n)::BIGINT AS total, count(*) AS variant_count, string_agg(brand || ' (' || n || ')', '; ' ORDER BY brand || ' (' || n || ')') AS variants FROM (SELECT brand, regexp_replace(upper(brand), '[^A-Z0-9]', '', 'g') AS key, count(*) AS n FROM prices GROUP BY ALL) GROUP BY key ORDER BY total DESC, key LIMIT 150")
-TOK = r"part_names AS (SELECT p_partkey AS id, p_name AS name FROM part), wl AS (SELECT id, list_filter(string_split_regex(name, '[\s,;:()/\n]+'), lambda w: length(w) >= 3 AND lower(w) NOT IN ('fara', 'din', 'pentru', 'sau', 'the', 'and') AND NOT regexp_full_match(lower(w), '[\d.,x]+(kg|g|gr|l|ml|cl|buc|%)?')) AS words FROM part_names)"
+STOP = ", ".join(f"'{w}'" for w in sc.STOPWORDS)
+TOK = rf"part_names AS (SELECT p_partkey AS id, p_name AS name FROM part), wl AS (SELECT id, list_filter(string_split_regex(name, '[\s/,.\-–()\[\]]+'), lambda w: length(w) >= 3 AND lower(w) NOT IN ({STOP}) AND NOT regexp_full_match(lower(w), '\d+[.,]?\d*\s*[gklmc][gl]?') AND NOT regexp_full_match(w, '[.,]*\d[\d.,]*')) AS words FROM part_names)"
 q("word_freq", lambda t: text.ngrams(t.products, 1), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(words) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK)
 q("bigram_freq", lambda t: text.ngrams(t.products, 2), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK)
 q("document_bigrams", lambda t: text.ngrams(t.raw("documents").select(F.col("doc_id").alias("id"), "text"), 2, text="text"))

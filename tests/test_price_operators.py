@@ -75,7 +75,7 @@ def one(spark, value, fn, kind="string"):
 
 @pytest.mark.parametrize(
     ("value", "a", "b", "c"),
-    [("Kg", "kg", "kg", "kg"), ("K", "kg", "kg", "k"), ("1kg", "1KG", "kg", "1kg"), ("BUC.", "BUC.", "buc", "buc"), ("Litru", "L", "L", "l"), ("ml", "ml", "L", "ml"), ("500g", "500G", "kg", "500g"), ("4x2ml", "4X2ML", "L", "4x2ml"), ("XX", "XX", None, "xx"), ("", None, None, ""), (None, None, None, "")],
+    [("Kg", "kg", "kg", "kg"), ("K", "kg", "kg", "kg"), ("1kg", "1KG", "kg", "kg"), ("BUC.", "BUC.", "buc", "buc."), ("Litru", "L", "L", "l"), ("ml", "ml", "L", "ml"), ("500g", "500G", "kg", "500g"), ("4x2ml", "4X2ML", "L", "4x2ml"), ("Bucata", "pcs", "buc", "bucata"), ("16buc", "16BUC", "buc", "16buc"), ("XX", "XX", None, "xx"), ("", None, None, ""), (None, None, None, "")],
 )
 def test_units(spark, value, a, b, c):
     assert (one(spark, value, sc.store_unit), one(spark, value, sc.pack_unit), one(spark, value, sc.analysis_unit)) == (a, b, c)
@@ -180,6 +180,13 @@ def test_bigrams_skip_noise(spark):
     assert got == {"lapte uht": 2}
 
 
+def test_names_tell_networks(spark):
+    names = ["PROFI CLUJ", "MI CENTRU", "SG NORD", "EXPRESS X", "SEGLROS", "unknown", "Mega Image 3"]
+    df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "id long, name string, network string")
+    got = {r["id"]: r["network"] for r in ingest.network_by_name(df).collect()}
+    assert [got[i] for i in range(7)] == ["PROFI", "5940475870003", "5940475870003", "5940475006709", "SELGROS", None, "5940475870003"]
+
+
 XML = """<Root><RetailStore><Id>1</Id><Name>Shop</Name><Addr><Addrstring>Str</Addrstring><Zipcode>1</Zipcode><Location><Lat>45</Lat><Lon>25</Lon></Location><Uat>7</Uat></Addr>
 <Products><Product><Id>5</Id><Network>N2</Network><Price>3.50</Price><PriceDate>21.06.2026 14:05</PriceDate><Promo></Promo><Unit>Kg</Unit></Product>
 <Product><Id>6</Id><Price>0</Price><PriceDate>21.06.2026</PriceDate></Product><Product><Price>2</Price><PriceDate>21.06.2026</PriceDate></Product></Products></RetailStore>
