@@ -9,12 +9,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricegrain.llm.common import map_batches, texts
+from pricegrain.llm.common import map_batches, materialize, texts
 
 #: Bounds of the fit: labelled rows learnt from (least hash first) and terms of the vocabulary (highest G2 first).
 MOST_EXAMPLES, MOST_TERMS = 20_000, 2048
-#: Lowest G2 of a term with the label, and fewest examples that have it.
-LEAST_G2, LEAST_DOCS = 12.0, 3
+#: Fewest examples that have a term of the vocabulary.
+LEAST_DOCS = 3
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
 BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 25, 0.05, 0.25
 #: Prefixes of these lengths are terms beside the whole word; one of two or more different words is a further term.
@@ -54,7 +54,11 @@ def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataF
 
 
 def vocabulary_of(examples: DataFrame) -> tuple[list[str], float, int]:
-    """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples."""
+    """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples.
+
+    G2 must be at least twice the logarithm of the number of candidates: then less than about one of them
+    gets there by chance, however many there are.
+    """
     n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic or toxic == n:
         return [], toxic / n if n else 0.0, n
@@ -74,7 +78,9 @@ def vocabulary_of(examples: DataFrame) -> tuple[list[str], float, int]:
     cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     share = F.lit(toxic / n)
     g2 = 2 * (cell(F.col("bad"), F.col("n") * share) + cell(F.col("n") - F.col("bad"), F.col("n") * (1 - share)) + cell(F.lit(toxic) - F.col("bad"), (F.lit(n) - F.col("n")) * share) + cell(F.lit(n) - F.lit(toxic) - F.col("n") + F.col("bad"), (F.lit(n) - F.col("n")) * (1 - share)))
-    chosen = seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("bad") > F.col("n") * share) & (F.col("n") < n)).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
+    candidates = materialize(seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("n") < n)).withColumn("g2", g2), "terms")
+    least = 2 * math.log(max(2, candidates.count()))
+    chosen = candidates.filter((F.col("bad") > F.col("n") * share) & (F.col("g2") >= least)).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
     return [r["term"] for r in chosen.collect()], toxic / n, n
 
 
