@@ -64,13 +64,13 @@ def sampling_points(boxes: DataFrame, min_population: int = 10_000, spacing_km:
 
 
 def dedup_points(points: DataFrame, radius_km: float = 4, most_rounds: int = 50) -> DataFrame:
-    """Greedy dedup in order of population: a point stays unless one that stays is within the radius.
+    """Greedy dedup in order of population: a point stays unless one that stays is nearer than the radius.
 
     Each round keeps every open point without an open neighbour before it, and drops the neighbours of those;
     the fixpoint equals the greedy result. ``points`` has id, lat, lon, population.
     """
     first = F.struct(-F.col("population"), F.col("id"))
-    near = near_pairs(points, points, radius_km).filter("a_id <> b_id").select("a_id", "b_id")
+    near = near_pairs(points, points, radius_km).filter((F.col("a_id") != F.col("b_id")) & (F.col("km") < radius_km)).select("a_id", "b_id")
     rank = points.select("id", first.alias("rank"))
     before = checkpoint(near.join(rank.withColumnsRenamed({"id": "a_id", "rank": "ra"}), "a_id").join(rank.withColumnsRenamed({"id": "b_id", "rank": "rb"}), "b_id").filter("rb < ra").select("a_id", "b_id"))
     open_, kept = points.select("id"), None

@@ -11,7 +11,8 @@ FLAG = ["product_id", "store_id", "price_date"]
 
 
 def flag_outliers(current: DataFrame, z: float = 3.0) -> DataFrame:
-    """Modified z-score by median absolute deviation, both upper medians, over products with three rows."""
+    """Modified z-score by median absolute deviation, both upper medians, over products with three positive prices."""
+    current = current.filter("cents > 0")
     mid = current.groupBy("product_id").agg(upper_median("cents").alias("med"), F.count("*").alias("n")).filter("n >= 3")
     d = current.join(mid, "product_id").withColumn("dev", F.abs(F.col("cents") - F.col("med")))
     mad = d.groupBy("product_id").agg(upper_median("dev").alias("mad")).filter("mad > 0")
@@ -55,6 +56,7 @@ def store_freshness(current: DataFrame, stores: DataFrame, as_of, stale_days: in
 
 def outlier_summary(current: DataFrame, z: float = 3.0) -> DataFrame:
     """Rows beyond three deviations or of products whose maximum is over ten times the minimum, by product."""
+    current = current.filter("cents > 0")
     s = F.sum("cents").cast("double")
     g = current.groupBy("product_id").agg(F.count("*").alias("n"), s.alias("s"), F.sum(F.col("cents") * F.col("cents")).cast("double").alias("q"), F.min("cents").alias("lo"), F.max("cents").alias("hi"))
     mean = F.col("s") / F.col("n")
@@ -70,7 +72,7 @@ def price_velocity(prices: DataFrame, current: DataFrame) -> DataFrame:
     days = prices.groupBy("price_date").agg(F.count("*").alias("n"))
     g = days.agg(F.max("price_date").alias("curr"), F.max_by("n", "price_date").alias("changed_count"), F.count("*").alias("k")).join(current.agg(F.count("*").alias("total_current")), F.lit(True))
     pct = half_up(F.try_divide(F.lit(100.0) * F.col("changed_count"), F.col("total_current")), 1)
-    return g.select(F.col("curr").cast("string").alias("curr_date"), "changed_count", "total_current", pct.alias("changed_pct"), F.when(F.col("k") < 2, "insufficient").when(F.col("changed_count") == 0, "stuck").when(pct > 30, "bulk_change").otherwise("ok").alias("status"))
+    return g.select(F.col("curr").cast("string").alias("curr_date"), "changed_count", "total_current", pct.alias("changed_pct"), F.when(F.col("k") < 2, "insufficient_data").when(F.col("changed_count") == 0, "stuck").when(pct > 30, "bulk_change").otherwise("ok").alias("status"))
 
 
 def audit_store_freshness(freshness: DataFrame, most_pct: float = 10) -> DataFrame:

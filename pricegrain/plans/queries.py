@@ -227,7 +227,7 @@ q("cpi_item_changes", lambda t: bk.cpi_item_changes(t.baskets, ps(t)), f"SELECT
 
 # --- quality
 
-OUT = "om AS (SELECT product_id, list_sort(list(cents))[count(*) // 2 + 1] AS med FROM current_p GROUP BY 1 HAVING count(*) >= 3), od AS (SELECT c.*, med, abs(cents - med) AS dev FROM current_p c JOIN om USING (product_id)), oa AS (SELECT product_id, list_sort(list(dev))[count(*) // 2 + 1] AS mad FROM od GROUP BY 1), fo AS (SELECT od.*, 0.6745::DOUBLE * dev / mad AS z FROM od JOIN oa USING (product_id) WHERE mad > 0 AND 0.6745::DOUBLE * dev / mad > 3)"
+OUT = "om AS (SELECT product_id, list_sort(list(cents))[count(*) // 2 + 1] AS med FROM current_p WHERE cents > 0 GROUP BY 1 HAVING count(*) >= 3), od AS (SELECT c.*, med, abs(cents - med) AS dev FROM current_p c JOIN om USING (product_id) WHERE cents > 0), oa AS (SELECT product_id, list_sort(list(dev))[count(*) // 2 + 1] AS mad FROM od GROUP BY 1), fo AS (SELECT od.*, 0.6745::DOUBLE * dev / mad AS z FROM od JOIN oa USING (product_id) WHERE mad > 0 AND 0.6745::DOUBLE * dev / mad > 3)"
 SPK = f", dd AS (SELECT (SELECT max(price_date) FROM prices) AS d1, (SELECT max(price_date) FROM prices WHERE price_date < (SELECT max(price_date) FROM prices)) AS d0), sp AS (SELECT a.product_id, a.store_id, a.price_date, a.cents AS now, b.cents AS before FROM prices a JOIN prices b USING (product_id, store_id) WHERE a.price_date = (SELECT d1 FROM dd) AND b.price_date = (SELECT d0 FROM dd) AND b.cents > 0 AND abs(a.cents - b.cents)::DOUBLE / b.cents > 5e-1)"
 keyed = lambda df: text_dates(df.select("product_id", "store_id", "price_date", "flag_type"))
 _flag = "product_id, store_id, price_date::VARCHAR AS price_date"
@@ -242,7 +242,7 @@ FR = f"fr AS (SELECT s.id AS store_id, s.name, s.network, max(fetched_at)::VARCH
 fresh = lambda t: quality.store_freshness(t.current(), t.stores, as_of(t))
 q("store_freshness", fresh, "SELECT * FROM fr", more=FR)
 q("outlier_summary", lambda t: quality.outlier_summary(t.current()), "SELECT c.product_id, count(*) AS outlier_count FROM current_p c JOIN (SELECT product_id, n, lo, hi, s / n AS mean, greatest(0e0, qq / n - (s / n) * (s / n)) AS var FROM (SELECT product_id, count(*) AS n, sum(cents)::DOUBLE AS s, sum(cents * cents)::DOUBLE AS qq, min(cents) AS lo, max(cents) AS hi FROM current_p GROUP BY 1)) g USING (product_id) WHERE (n >= 3 AND var > 1e1 AND abs(cents - mean) > 3e0 * sqrt(var)) OR (n >= 2 AND hi > lo * 10 AND (cents = hi OR cents = lo)) GROUP BY 1")
-q("price_velocity", lambda t: quality.price_velocity(t.prices(), t.current()), f"SELECT {DAY}::VARCHAR AS curr_date, n AS changed_count, c AS total_current, p AS changed_pct, CASE WHEN k < 2 THEN 'insufficient' WHEN n = 0 THEN 'stuck' WHEN p > 30 THEN 'bulk_change' ELSE 'ok' END AS status FROM (SELECT *, {r('1e2 * n / c', 1)} AS p FROM (SELECT (SELECT count(*) FROM prices WHERE price_date = {DAY}) AS n, (SELECT count(*) FROM current_p) AS c, (SELECT count(DISTINCT price_date) FROM prices) AS k))")
+q("price_velocity", lambda t: quality.price_velocity(t.prices(), t.current()), f"SELECT {DAY}::VARCHAR AS curr_date, n AS changed_count, c AS total_current, p AS changed_pct, CASE WHEN k < 2 THEN 'insufficient_data' WHEN n = 0 THEN 'stuck' WHEN p > 30 THEN 'bulk_change' ELSE 'ok' END AS status FROM (SELECT *, {r('1e2 * n / c', 1)} AS p FROM (SELECT (SELECT count(*) FROM prices WHERE price_date = {DAY}) AS n, (SELECT count(*) FROM current_p) AS c, (SELECT count(DISTINCT price_date) FROM prices) AS k))")
 q("audit_store_freshness", lambda t: quality.audit_store_freshness(fresh(t)), f"SELECT 'store_freshness' AS name, {r('1e2 * count(*) FILTER (stale) / count(*)', 1)} > 10 AS red, count(*) AS stores, count(*) FILTER (stale) AS stale, {r('1e2 * count(*) FILTER (stale) / count(*)', 1)} AS stale_pct FROM fr", more=FR)
 RUN_END = "(SELECT max(started) FROM runs)"
 run_end = lambda t: t.runs.agg(F.max("started")).first()[0]
