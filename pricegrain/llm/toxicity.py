@@ -53,7 +53,7 @@ def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataF
     return texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
-def vocabulary_of(examples: DataFrame) -> tuple[list[str], float, int]:
+def vocabulary_of(examples: DataFrame) -> tuple[dict[str, int], float, int]:
     """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples.
 
     G2 must be at least twice the logarithm of the number of candidates: then less than about one of them
@@ -61,7 +61,7 @@ def vocabulary_of(examples: DataFrame) -> tuple[list[str], float, int]:
     """
     n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic or toxic == n:
-        return [], toxic / n if n else 0.0, n
+        return {}, toxic / n if n else 0.0, n
 
     def count(batches):
         all_, bad = Counter(), Counter()
@@ -81,7 +81,31 @@ def vocabulary_of(examples: DataFrame) -> tuple[list[str], float, int]:
     candidates = materialize(seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("n") < n)).withColumn("g2", g2), "terms")
     least = 2 * math.log(max(2, candidates.count()))
     chosen = candidates.filter((F.col("bad") > F.col("n") * share) & (F.col("g2") >= least)).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
-    return [r["term"] for r in chosen.collect()], toxic / n, n
+    return without_doubles([(r["term"], r["n"]) for r in chosen.collect()]), toxic / n, n
+
+
+def without_doubles(chosen: list[tuple[str, int]]) -> dict[str, int]:
+    """Terms without those that stand in the same documents as a longer one, and how many each stands for.
+
+    A document with a longer prefix or word also has the shorter prefix, so equal numbers mean equal documents.
+    """
+    by_n: dict[int, list[str]] = {}
+    for term, n in chosen:
+        by_n.setdefault(n, []).append(term)
+
+    def implied(term: str, other: str) -> bool:
+        base, stars = term.rstrip("*"), len(term) - len(term.rstrip("*"))
+        longer, more = other.rstrip("*"), len(other) - len(other.rstrip("*"))
+        if other == term or not stars or not longer.startswith(base):
+            return False
+        return (stars == 1 and (more == 2 or len(longer) > len(base) or not more)) or (stars == 2 and more == 2 and len(longer) > len(base))
+
+    kept: dict[str, int] = {}
+    for term, n in chosen:
+        while more := [u for u in by_n[n] if implied(term, u)]:
+            term = max(more, key=lambda u: (len(u.rstrip("*")), u))
+        kept[term] = kept.get(term, 0) + 1
+    return kept
 
 
 class Vectors:
@@ -227,8 +251,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, thres
     rows of a document give repeated rows and count once as an example.
     """
     examples = examples_of(docs, labels, learn_from)
-    vocabulary, prior, _ = vocabulary_of(examples)
-    idf = idf_of(docs, vocabulary) if vocabulary else np.empty(0)
+    stands_for, prior, _ = vocabulary_of(examples)
+    vocabulary = list(stands_for)
+    # a term that stands for m equal ones adds m times its product to a cosine
+    idf = idf_of(docs, vocabulary) * np.sqrt(list(stands_for.values())) if vocabulary else np.empty(0)
 
     def vectorize(batches):
         vectors = Vectors(vocabulary, idf)

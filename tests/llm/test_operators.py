@@ -543,3 +543,10 @@ def test_multinomial_draws_add_up(spark):
     assert abs(sum(got.values()) - total) <= 1
     for i in range(5):
         assert math.isclose(got[i], 900 * (i + 1), rel_tol=0.05)
+
+
+def test_terms_of_equal_documents_are_one():
+    from pricegrain.llm.toxicity import without_doubles
+
+    chosen = [("trash", 9), ("tras*", 9), ("tras**", 2), ("path*", 9), ("achl*", 7), ("achli*", 7), ("achlic*", 6), ("achl**", 7), ("word", 9)]
+    assert without_doubles(chosen) == {"trash": 2, "tras**": 1, "path*": 1, "achli*": 2, "achlic*": 1, "achl**": 1, "word": 1}
