@@ -45,7 +45,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             yield {"doc_id": batch["doc_id"], "text": texts, "n_chars": [len(t) for t in texts]}
 
     cut = remove_repeats(docs).filter((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_removed") == 0))
-    new = map_batches(cut.select("doc_id", "kept"), "doc_id long, text string, n_chars long", decode)
+    new = map_batches(cut.select("doc_id", "kept"), "doc_id long, text string, n_chars long", decode, rows=512)
     rest = docs.drop("text", "n_chars").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "_id")
     return new.join(rest, new["doc_id"].eqNullSafe(rest["_id"])).select(docs.columns)
 

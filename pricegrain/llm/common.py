@@ -35,18 +35,21 @@ def map_batches(
     schema: str | T.StructType,
     fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
     arrow: tuple[str, ...] = (),
+    rows: int | None = None,
 ) -> DataFrame:
     """``mapInArrow`` over column lists: ``fn`` gets and yields dicts of name to values.
 
-    Columns named in ``arrow`` arrive as numpy arrays instead of lists.
+    Columns named in ``arrow`` arrive as numpy arrays instead of lists. ``rows`` bounds the rows that ``fn``
+    gets at a time, and so a worker's memory.
     """
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lists() -> Iterator[dict[str, list]]:
-            for batch in batches:
-                if batch.num_rows:
+            for whole in batches:
+                for at in range(0, whole.num_rows, rows or max(1, whole.num_rows)):
+                    batch = whole.slice(at, rows)
                     yield {
                         name: batch.column(i).to_numpy(zero_copy_only=False) if name in arrow else batch.column(i).to_pylist()
                         for i, name in enumerate(batch.schema.names)

@@ -63,7 +63,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches:
             yield batch | {"kept_sha256": [digest(k) for k in batch["kept"]]}
 
-    return map_batches(remove_repeats(table(spark, sf_dir, "documents")), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", run)
+    return map_batches(remove_repeats(table(spark, sf_dir, "documents")), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", run, rows=512)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,14 @@ from pricegrain.llm.common import IdRanges, map_batches, materialize, texts
 from pricegrain.llm.decontaminate import BASE, ONE, mixed
 
 #: Bytes of a passage, of the anchor that stands for the windows around it, and of text handled at a time.
-LENGTH, ANCHOR, CHUNK = 100, 24, 1 << 21
+LENGTH, ANCHOR, CHUNK = 100, 24, 1 << 19
 #: Period of the difference cover, and bytes whose order the cover's samples are ranked by.
 PERIOD = 32
 SAMPLE = LENGTH - PERIOD
+#: Documents that a Python worker holds at a time.
+ROWS = 512
 #: Windows sorted at a time, and contexts of one anchor from which Spark deals them out by window instead.
-MOST_WINDOWS, HOT_GROUP = 1 << 19, 4096
+MOST_WINDOWS, HOT_GROUP = 1 << 18, 4096
 OTHER_BASE = 0xD6E8FEB86659FD93
 
 
@@ -147,7 +149,7 @@ def anchor_rows(keyed: DataFrame) -> DataFrame:
                 "doc": np.concatenate((doc[one], d)), "p0": np.concatenate((p0[one], p)), "no": np.concatenate((n[one] * 128 + off[one], w)).astype(np.int32),
             }
 
-    return map_batches(keyed, ANCHOR_ROWS, run)
+    return map_batches(keyed, ANCHOR_ROWS, run, rows=4 * ROWS)
 
 
 def first_contexts(rows: DataFrame) -> DataFrame:
@@ -276,7 +278,7 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         out[name].append(value)
             yield out
 
-    return map_batches(docs.join(lists, "doc"), "akey long, doc long, p0 long, no int, hot boolean, bytes binary", cut)
+    return map_batches(docs.join(lists, "doc"), "akey long, doc long, p0 long, no int, hot boolean, bytes binary", cut, rows=ROWS)
 
 
 def repeated_in_groups(contexts: DataFrame) -> DataFrame:
@@ -355,7 +357,7 @@ def packed(keyed: DataFrame) -> DataFrame:
         for batch in batches:
             yield {"doc": batch["doc"], "doc_id": batch["doc_id"], "packed": [pack((t or "").encode()) for t in batch["text"]]}
 
-    return map_batches(keyed.select("doc", "doc_id", "text"), "doc long, doc_id long, packed binary", run)
+    return map_batches(keyed.select("doc", "doc_id", "text"), "doc long, doc_id long, packed binary", run, rows=ROWS)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -392,7 +394,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 rows.append((doc_id, len(data), removed, spans, b"".join(kept)))
             yield dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), map(list, zip(*rows, strict=True)), strict=True))
 
-    return map_batches(packed(keyed).join(ranges, "doc", "left").select("doc_id", "packed", "ranges"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", cut)
+    return map_batches(packed(keyed).join(ranges, "doc", "left").select("doc_id", "packed", "ranges"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", cut, rows=ROWS)
 
 
 def digest(kept: bytes) -> str:
