@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,12 +17,12 @@ MASKS = ("111111110000", "110110111011", "101101110111")
 LEAST_WORDS = 5
 #: An overlap counts from so many equal words, or this share of the item's; and this share of it must be equal.
 MIN_WORDS, MIN_ITEM_SHARE, MIN_EQUAL = 13, 0.8, 0.75
-#: What a differing word costs against an equal one when an overlap is drawn out.
-MISMATCH = 2.0
 #: Bytes of benchmark text that one pass over the documents looks up.
 BLOCK_BYTES = 4 << 20
 #: Bytes of a document handled at a time, and bits of the filter before the search.
 CHUNK, FILTER_BITS = 1 << 20, 22
+#: Hits that are spelt out at a time, and what makes the difference of two places positive.
+HITS, SHIFTED = 1 << 20, 1 << 31
 
 ONE = np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
@@ -84,6 +85,20 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(total)
 
 
+def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
+    """Equal words and ends of the stretch with most equal words among all that are MIN_EQUAL equal, the first of the shortest.
+
+    With mismatches priced so that a stretch is equal enough from a gain of 0, the longest of each end begins
+    at the first place whose gain so far is no higher.
+    """
+    gain = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0 - MIN_EQUAL, -MIN_EQUAL))))
+    m = np.concatenate(([0], np.cumsum(equal)))
+    first = np.searchsorted(-np.minimum.accumulate(gain), -gain, "left")
+    end = int(np.argmax(m - m[first]))
+    start = int(np.searchsorted(m, m[first[end]], "right")) - 1  # differing words at its ends are not part of it
+    return int(m[end] - m[start]), start, end
+
+
 class SeedIndex:
     """Spaced-seed hashes of one block of benchmark items, with their places."""
 
@@ -105,34 +120,37 @@ class SeedIndex:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[h >> np.uint64(64 - FILTER_BITS)] = True
 
-    def diagonals(self, words: np.ndarray) -> dict[tuple[int, int], int]:
-        """(item, place in the document less place in the item) of all hits, with the first place of one."""
-        found: dict[tuple[int, int], int] = {}
+    def diagonals(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place in the document less place in the item) of all hits, each once."""
+        found = [np.empty(0, np.int64)]
         for mask in self.masks:
             h = seed_hashes(words, mask)
             at = np.flatnonzero(self.filter[h >> np.uint64(64 - FILTER_BITS)])
             left, right = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
-            for p, a, b in zip(at[left < right].tolist(), left[left < right].tolist(), right[left < right].tolist(), strict=True):
-                for k in range(a, b):
-                    found.setdefault((int(self.item[k]), p - int(self.place[k])), p)
-        return found
+            at, left, n = at[left < right], left[left < right], (right - left)[left < right]
+            before = np.concatenate(([0], np.cumsum(n)))
+            lo = 0
+            while lo < len(at):  # as many places at a time as have HITS hits, one at least
+                hi = max(lo + 1, int(np.searchsorted(before, before[lo] + HITS, "right")) - 1)
+                k = np.repeat(left[lo:hi] - before[lo:hi], n[lo:hi]) + np.arange(before[lo], before[hi])
+                found.append(np.unique(self.item[k].astype(np.int64) << 32 | (np.repeat(at[lo:hi], n[lo:hi]) - self.place[k] + SHIFTED)))
+                lo = hi
+        for d in np.unique(np.concatenate(found)).tolist():
+            yield d >> 32, (d & 0xFFFFFFFF) - SHIFTED
 
     def overlaps(self, words: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
         """Best verified overlap of each item: equal words, length, and its ends in the document."""
         best: dict[int, tuple[int, int, int, int]] = {}
-        for (k, shift), hit in self.diagonals(words).items():
+        for k, shift in self.diagonals(words):
             item = self.words[k]
             lo, hi = max(0, shift), min(len(words), shift + len(item))
-            if not lo <= hit < hi:
-                continue
             equal = words[lo:hi] == item[lo - shift : hi - shift]
-            gain = np.where(equal, 1.0, -MISMATCH)
-            at = hit - lo
-            end = at + 1 + int(np.argmax(np.cumsum(gain[at:])))
-            start = at - int(np.argmax(np.concatenate(([0.0], np.cumsum(gain[:at][::-1])))))
-            n, m = end - start, int(equal[start:end].sum())
-            if m >= MIN_EQUAL * n and m >= min(MIN_WORDS, MIN_ITEM_SHARE * len(item)):
-                best[k] = max(best.get(k, (0, 0, 0, 0)), (m, n, lo + start, lo + end))
+            need = min(MIN_WORDS, MIN_ITEM_SHARE * len(item))
+            if np.count_nonzero(equal) < need:
+                continue
+            m, start, end = best_stretch(equal)
+            if m >= need:
+                best[k] = max(best.get(k, (0, 0, 0, 0)), (m, end - start, lo + start, lo + end))
         return best
 
 
@@ -142,9 +160,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     Returns doc_id, item_id, n_equal, n_overlap, first_word, end_word (word places of the best overlap in
     the document) and item_share (equal words to the item's words), one row per document and item; clean
     documents give none. Words are runs of letters and digits, lower-cased. The masks hash windows of words
-    without their free positions; a document's hashes are joined to the benchmark's, and around each hit the
-    two are compared word by word. An overlap counts from 13 equal words, or 80 % of a shorter item, with
-    three quarters of it equal. Items of fewer than 12 words must occur whole, and are not looked for below 5.
+    without their free positions; a document's hashes are joined to the benchmark's, and where one hits, the
+    two are compared word by word at its relative position, over the whole item. An overlap counts from 13 equal
+    words, or 80 % of a shorter item, with three quarters of it equal. Items of fewer than 12 words must occur whole, and are not looked for below 5.
     Null and empty texts hold nothing, nor do null items; repeated rows of a document give repeated rows.
 
     The benchmark is looked up in blocks of a bounded number of bytes, each sent to all tasks for one pass

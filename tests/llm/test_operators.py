@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricegrain.llm import licenses, mixing, simhash, url_filter
 from pricegrain.llm.common import crc_bucket
-from pricegrain.llm.decontaminate import contaminated
+from pricegrain.llm.decontaminate import SeedIndex, WordHasher, best_stretch, contaminated
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.graph import components
 from pricegrain.llm.language_id import PROFILE, predict_language
@@ -210,6 +210,24 @@ def test_decontamination(spark):
     assert contaminated(rows(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_passages_behind_a_replaced_part():
+    item = [f"w{i}" for i in range(73)]
+    index = SeedIndex([(1, " ".join(item[:29])), (2, " ".join(item))])
+    copied = lambda n, lo, hi: " ".join(w if not lo <= i < hi else f"x{i}" for i, w in enumerate(item[:n]))
+    words = WordHasher().words
+    assert index.overlaps(words(copied(29, 8, 15)))[0] == (22, 29, 0, 29)
+    assert index.overlaps(words(copied(73, 12, 32)))[1] == (41, 41, 32, 73)
+
+
+def test_best_stretch_matches_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 40)) < rng.choice([0.3, 0.6, 0.75, 0.9])
+        m, start, end = best_stretch(equal)
+        assert m == equal[start:end].sum() and m >= 0.75 * (end - start)
+        assert m == max(equal[a:b].sum() for a in range(len(equal) + 1) for b in range(a, len(equal) + 1) if equal[a:b].sum() >= 0.75 * (b - a))
+
+
 # --- 5: fingerprints
 
 
