@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from pricegrain.llm.common import map_batches
 
-#: The masks; a 0 is a word that may differ.
-MASKS = ("111111110000", "110110111011", "101101110111")
-#: Items of fewer words than a mask are looked up whole, those of fewer than this not at all.
+#: The masks; a 0 is a word that may differ. Every overlap that counts (see below) has a hit of one of
+#: them (the tests prove it), with further ones for items of 10 words (1111001111) and others for items of 5.
+MASKS = ("11111", "101111", "110111", "111011", "111101")
+MASKS_BY_WORDS = {5: ("1111", "10111", "11011", "11101"), 10: (*MASKS, "1110011")}
+#: Items of fewer words than this are not looked up.
 LEAST_WORDS = 5
 #: An overlap counts from so many equal words, or this share of the item's; and this share of it must be equal.
 MIN_WORDS, MIN_ITEM_SHARE, MIN_EQUAL = 13, 0.8, 0.75
@@ -99,6 +101,11 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return int(m[end] - m[start]), start, end
 
 
+def masks_of(n_words: int) -> tuple[str, ...]:
+    """Masks by which an item of so many words is looked up."""
+    return MASKS_BY_WORDS.get(n_words, MASKS) if n_words >= LEAST_WORDS else ()
+
+
 class SeedIndex:
     """Spaced-seed hashes of one block of benchmark items, with their places."""
 
@@ -106,12 +113,10 @@ class SeedIndex:
         hasher = WordHasher()
         self.ids = [i for i, _ in items]
         self.words = [hasher.words(t) for _, t in items]
-        span = max(map(len, MASKS))
-        short = {len(w) for w in self.words if LEAST_WORDS <= len(w) < span}
-        self.masks = (*MASKS, *("1" * n for n in sorted(short)))
+        self.masks = sorted({mask for w in self.words for mask in masks_of(len(w))})
         hashes, item, place = [np.empty(0, np.uint64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
         for k, w in enumerate(self.words):
-            for mask in MASKS if len(w) >= span else ["1" * len(w)] if len(w) >= LEAST_WORDS else []:
+            for mask in masks_of(len(w)):
                 h = seed_hashes(w, mask)
                 hashes.append(h), item.append(np.full(len(h), k, np.int32)), place.append(np.arange(len(h), dtype=np.int32))
         h = np.concatenate(hashes)
@@ -162,7 +167,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     documents give none. Words are runs of letters and digits, lower-cased. The masks hash windows of words
     without their free positions; a document's hashes are joined to the benchmark's, and where one hits, the
     two are compared word by word at its relative position, over the whole item. An overlap counts from 13 equal
-    words, or 80 % of a shorter item, with three quarters of it equal. Items of fewer than 12 words must occur whole, and are not looked for below 5.
+    words, or 80 % of a shorter item, with three quarters of it equal, and every one has a hit. Items of fewer than 5 words are not looked for.
     Null and empty texts hold nothing, nor do null items; repeated rows of a document give repeated rows.
 
     The benchmark is looked up in blocks of a bounded number of bytes, each sent to all tasks for one pass

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricegrain.llm import licenses, mixing, simhash, url_filter
 from pricegrain.llm.common import crc_bucket
-from pricegrain.llm.decontaminate import SeedIndex, WordHasher, best_stretch, contaminated
+from pricegrain.llm.decontaminate import LEAST_WORDS, SeedIndex, WordHasher, best_stretch, contaminated, masks_of
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.graph import components
 from pricegrain.llm.language_id import PROFILE, predict_language
@@ -219,6 +219,37 @@ def test_passages_behind_a_replaced_part():
     assert index.overlaps(words(copied(73, 12, 32)))[1] == (41, 41, 32, 73)
 
 
+def test_masks_lose_no_overlap():
+    """No pattern of equal (1) and other words that counts goes without a hit; one over 33 words has a half that counts."""
+    for length in range(LEAST_WORDS, 34):
+        masks = [(len(m), int(m, 2)) for m in masks_of(length)]
+        need, keep = min(13, 0.8 * length), (1 << (max(n for n, _ in masks) - 1)) - 1
+        most = {0: 0}  # last words of a pattern without a hit -> most equal words
+        for n in range(1, length + 1):
+            longer: dict[int, int] = {}
+            for state, m in most.items():
+                for bit in (0, 1):
+                    x = state << 1 | bit
+                    if not any(n >= size and x & mask == mask for size, mask in masks):
+                        longer[x & keep] = max(longer.get(x & keep, 0), m + bit)
+            most = longer
+            assert not any(m >= need and m >= 0.75 * n for m in most.values()), (length, n)
+
+
+def test_recall_of_replaced_words():
+    rng = np.random.default_rng(4)
+    words = WordHasher().words
+    for length in (5, 6, 8, 10, 11, 12, 15, 24, 59):
+        item = [f"w{i}" for i in range(length)]
+        index = SeedIndex([(1, " ".join(item))])
+        some = [rng.random(length) < share for share in (0.75, 0.8, 0.85, 0.9, 0.95) for _ in range(40)]
+        for equal in (*some, *(np.arange(length) % k != k - 1 for k in (4, 5, 6))):
+            m = max(equal[a:b].sum() for a in range(length + 1) for b in range(a, length + 1) if equal[a:b].sum() >= 0.75 * (b - a))
+            text = " ".join(w if e else f"x{i}" for i, (w, e) in enumerate(zip(item, equal, strict=True)))
+            found = index.overlaps(words(f"a b c {text} d e"))
+            assert found.get(0, (0,))[0] == (m if m >= min(13, 0.8 * length) else 0)
+
+
 def test_best_stretch_matches_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(300):
