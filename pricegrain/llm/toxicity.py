@@ -9,14 +9,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricegrain.llm.common import map_batches, materialize, texts
+from pricegrain.llm.common import map_batches, texts
 
 #: Bounds of the fit: labelled rows learnt from (least hash first) and terms of the vocabulary (highest G2 first).
-MOST_EXAMPLES, MOST_TERMS = 20_000, 2048
-#: Fewest examples that have a term of the vocabulary.
-LEAST_DOCS = 3
+MOST_EXAMPLES, MOST_TERMS = 20_000, 16_384
+#: Lowest G2 of a term with the label, and fewest examples that have it.
+LEAST_G2, LEAST_DOCS = 12.0, 3
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
 BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 25, 0.05, 0.25
+#: Blocks are skipped if less than one in so many is left.
+FEW_LIVE = 3
 #: Prefixes of these lengths are terms beside the whole word; one of two or more different words is a further term.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Bytes by which words without any term are told at once, and words whose terms a Python worker remembers.
@@ -54,11 +56,7 @@ def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataF
 
 
 def vocabulary_of(examples: DataFrame) -> tuple[dict[str, int], float, int]:
-    """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples.
-
-    G2 must be at least twice the logarithm of the number of candidates: then less than about one of them
-    gets there by chance, however many there are.
-    """
+    """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples."""
     n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic or toxic == n:
         return {}, toxic / n if n else 0.0, n
@@ -78,9 +76,7 @@ def vocabulary_of(examples: DataFrame) -> tuple[dict[str, int], float, int]:
     cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     share = F.lit(toxic / n)
     g2 = 2 * (cell(F.col("bad"), F.col("n") * share) + cell(F.col("n") - F.col("bad"), F.col("n") * (1 - share)) + cell(F.lit(toxic) - F.col("bad"), (F.lit(n) - F.col("n")) * share) + cell(F.lit(n) - F.lit(toxic) - F.col("n") + F.col("bad"), (F.lit(n) - F.col("n")) * (1 - share)))
-    candidates = materialize(seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("n") < n)).withColumn("g2", g2), "terms")
-    least = 2 * math.log(max(2, candidates.count()))
-    chosen = candidates.filter((F.col("bad") > F.col("n") * share) & (F.col("g2") >= least)).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
+    chosen = seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("bad") > F.col("n") * share) & (F.col("n") < n)).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
     return without_doubles([(r["term"], r["n"]) for r in chosen.collect()]), toxic / n, n
 
 
@@ -206,26 +202,34 @@ class BlockMaxIndex:
         """Entries and cosines of the k nearest examples (all that tie with the last), above zero.
 
         The block of highest bound is scored first; of the others only those are whose bound reaches the
-        k-th similarity found there.
+        k-th similarity found there. Postings of other blocks are not read, unless those that are left are so many
+        that reading on is cheaper.
         """
         if not terms or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
         upper = weights @ self.bound[list(terms)]
         rows = np.array(terms) * (self.blocks + 1)
 
-        def scored(begin: np.ndarray, end: np.ndarray, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        def scored(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             at = np.concatenate([self.example[lo:hi] for lo, hi in zip(begin, end, strict=True)])
             gain = np.concatenate([w * self.weight[lo:hi] for w, lo, hi in zip(weights, begin, end, strict=True)])
-            if live is not None:
-                kept = live[at // BLOCK]
-                at, gain = at[kept], gain[kept]
+            return summed(at, gain)
+
+        def summed(at: np.ndarray, gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             score = np.bincount(at, gain, minlength=len(self.n))
             found = np.flatnonzero(score > 0)
             return found, score[found]
 
         best = rows + int(np.argmax(upper))
         floor = self.floor(*scored(self.begin[best], self.begin[best + 1]), k)
-        e, s = scored(self.begin[rows], self.begin[rows + self.blocks], upper >= floor - 1e-9)
+        live = np.flatnonzero(upper >= floor - 1e-9)
+        if len(live) * FEW_LIVE < self.blocks:
+            block = (rows[:, None] + live).ravel()
+            begin, n = self.begin[block], self.begin[block + 1] - self.begin[block]
+            posting = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+            e, s = summed(self.example[posting], np.repeat(np.repeat(weights, len(live)), n) * self.weight[posting])
+        else:
+            e, s = scored(self.begin[rows], self.begin[rows + self.blocks])
         keep = s >= self.floor(e, s, k) - 1e-9
         order = np.lexsort((self.doc_id[e[keep]], -np.round(s[keep], 9)))
         return e[keep][order], np.minimum(1.0, s[keep][order])

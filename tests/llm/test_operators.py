@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pricegrain.llm import licenses, mixing, simhash, url_filter
+from pricegrain.llm import licenses, mixing, simhash, toxicity, url_filter
 from pricegrain.llm.common import crc_bucket
 from pricegrain.llm.decontaminate import LEAST_WORDS, SeedIndex, WordHasher, best_stretch, contaminated, masks_of
 from pricegrain.llm.fingerprint import fingerprints
@@ -21,7 +21,7 @@ from pricegrain.llm.graph import components
 from pricegrain.llm.language_id import PROFILE, predict_language
 from pricegrain.llm.repeats import LENGTH, remove_repeats, repeated_by_window
 from pricegrain.llm.tokens import token_counts
-from pricegrain.llm.toxicity import BlockMaxIndex, score_toxicity
+from pricegrain.llm.toxicity import BlockMaxIndex, score_toxicity, vocabulary_of
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, labels string, at long, range long"
@@ -34,6 +34,9 @@ def rows(spark, texts, langs=None, sources=None, ids=None):
     return spark.createDataFrame(data, SCHEMA).repartition(3) if n else spark.createDataFrame([], SCHEMA)
 
 
+WORDS = [a + b + c for a in ("ka", "lo", "mi", "nu", "pe", "ra", "so", "ti", "vu", "xe") for b in ("ba", "de", "fi", "go", "hu", "ja", "ke", "li", "mo", "nu") for c in "bdfghklmnprst"]
+
+
 ODD = [None, "", " \n", "A", "?!.", "é" * 300, "wörd " * 2000, "same text here", "same text here", "the end of it all"]
 
 
@@ -125,6 +128,32 @@ def test_block_max_index_is_exact():
         assert np.allclose(np.repeat(got, index.n[at].astype(int))[: len(want)], want)
 
 
+def test_skipped_blocks_are_exact(monkeypatch):
+    rng = np.random.default_rng(2)
+    data = []
+    for i in range(4000):  # groups of examples with terms of their own, and a common one
+        terms = np.unique(np.append(rng.integers(0, 40) * 5 + rng.choice(5, 2, replace=False), 200))
+        w = rng.random(len(terms)) * np.where(terms == 200, 0.2, 1)
+        data.append((i, tuple(terms.tolist()), w / np.linalg.norm(w), int(rng.random() < 0.3)))
+    index = BlockMaxIndex(data, 201, 0.3)
+    for g in range(40):
+        terms = (5 * g, 5 * g + 3, 200)
+        w = np.array([0.6, 0.79, 0.05])
+        got = [r.tolist() for r in index.nearest(terms, w, 10)]
+        sims = np.array([sum(w[terms.index(t)] * x for t, x in zip(e, v, strict=True) if t in terms) for _, e, v, _ in data])
+        assert np.allclose(got[1][:10], np.sort(sims)[::-1][:10])
+        with monkeypatch.context() as m:
+            m.setattr(toxicity, "FEW_LIVE", 10**6)  # all is read
+            assert [r.tolist() for r in index.nearest(terms, w, 10)][0] == got[0]
+
+
+def test_rare_toxic_words_are_learnt_in_a_large_vocabulary(spark):
+    rng = random.Random(9)
+    data = [(" ".join(rng.choice(WORDS) for _ in range(40)) + (" vqx" if i < 3 else ""), int(i < 30)) for i in range(260)]
+    terms, _, n = vocabulary_of(spark.createDataFrame(data, "text string, toxic int"))
+    assert n == 260 and "vqx" in terms  # in three toxic rows only: a G2 of 13.3, under twice the logarithm of all candidates
+
+
 def test_toxicity_finds_held_out_words(spark):
     rng = random.Random(3)
     common = ["the", "of", "and", "house", "tree", "river", "stone", "bread"]
