@@ -38,8 +38,8 @@ TEMPLATES = [
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
 ]
-#: Rare words of each template that are indexed, and the share of a template's IDF that must be found.
-RARE_WORDS, MIN_COVER = 4, 0.5
+#: The share of a template's IDF that must be found.
+MIN_COVER = 0.5
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -68,7 +68,10 @@ def document_frequencies(docs: DataFrame, vocabulary: set[bytes]) -> tuple[int,
 
 
 class RareTokenIndex:
-    """Postings (template, position) of each template's rarest words, by their IDF in the corpus."""
+    """Postings (template, position) of the rarest word of each template's key phrase, by its IDF in the corpus.
+
+    The phrase must stand, so a file has that word at every relative position where the template can be.
+    """
 
     def __init__(self, templates, n_docs: int, df: dict[bytes, int]):
         self.idf = {w: math.log((n_docs + 1) / (c + 1)) + 0.01 for w, c in df.items()}
@@ -76,22 +79,16 @@ class RareTokenIndex:
         for k, (label, notice, phrase) in enumerate(templates):
             words, key = notice.encode().split(), phrase.encode().split()
             at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-            rare = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))[:RARE_WORDS]
+            rare = min(range(at, at + len(key)), key=lambda i: (-self.idf[words[i]], i))
             self.templates.append((label, words, at, key, sum(self.idf[w] for w in words)))
-            for i in rare:
-                self.postings[words[i]].append((k, i))
+            self.postings[words[rare]].append((k, rare))
 
     def labels(self, words: list[bytes], places: dict[bytes, list[int]]) -> dict[str, float]:
         """Labels whose template lines up with the file, with the share of its IDF found there."""
-        votes: dict[tuple[int, int], int] = defaultdict(int)
-        for w, at in places.items():
-            for k, i in self.postings.get(w, ()):
-                for p in at:
-                    votes[k, p - i] += 1
         found: dict[str, float] = {}
-        for (k, start), n in votes.items():
+        for k, start in {(k, p - i) for w, at in places.items() for k, i in self.postings.get(w, ()) for p in at}:
             label, template, at, key, total = self.templates[k]
-            if n < 2 or start + at < 0 or words[start + at : start + at + len(key)] != key:
+            if start + at < 0 or words[start + at : start + at + len(key)] != key:
                 continue
             cover = sum(self.idf[w] for i, w in enumerate(template) if 0 <= start + i < len(words) and words[start + i] == w) / total
             if cover >= MIN_COVER:
@@ -103,8 +100,8 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE) -> DataFrame:
     """Licence phrases and notices in each whole text.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and spans (start
-    word of each base phrase). Base places are exact. Further labels come from templates: places of their
-    rarest words (IDF over the whole corpus) must agree on one relative position, the mandatory phrase
+    word of each base phrase). Base places are exact. Further labels come from templates: each place of the
+    rarest word of their mandatory phrase (IDF over the whole corpus) gives a relative position, the phrase
     must stand there, and half of the template's IDF must match. score is 1 with a base phrase, else the
     best share, else 0. A null text counts as empty: no words, empty labels, null places. Rows that are
     repeated give repeated rows.

@@ -215,6 +215,20 @@ def test_licenses(spark, small):
     assert licenses.license_scan(rows(spark, [])).count() == 0
 
 
+def test_license_notice_out_of_step(spark):
+    """The usual ISC notice lacks a word of the template before its key phrase; common words must not hide it."""
+    isc = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"
+    common = "permission to use copy modify and or distribute this software for any purpose"
+    got = by_id(licenses.license_scan(rows(spark, [isc, *["plain text"] * 5])))
+    assert "isc" in got[0]["labels"].split(",")
+    words = licenses.words_of(isc)
+    index = licenses.RareTokenIndex(licenses.TEMPLATES, 1000, {w: 0 if w in common.encode().split() else 3 for _, n, _ in licenses.TEMPLATES for w in n.encode().split()})
+    places = defaultdict(list)
+    for i, w in enumerate(words):
+        places[w].append(i)
+    assert set(index.labels(words, places)) == {"isc"}
+
+
 # --- 4: decontamination
 
 
