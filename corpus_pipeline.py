@@ -19,14 +19,21 @@ from pricegrain.llm.repeats import remove_repeats
 from pricegrain.llm.simhash import near_duplicates
 from pricegrain.session import attach
 
-#: Distance from which a text is of no language that was learnt.
-STRANGE = 0.97
+#: A text is of no language that was learnt from this much beyond the distance that this share of its documents keep.
+USUAL, STRANGE_BEYOND = 0.9, 0.25
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, in a language that was learnt from their lang column. Rows without a doc_id, which no later decision could name, go too."""
-    said = predict_language(docs, F.lit(True)).filter("doc_id is not null")
-    kept = said.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("distance") < STRANGE)).select("doc_id").distinct()
+    """Documents with letters, in a language that was learnt from their lang column. Rows without a doc_id, which no later decision could name, go too.
+
+    How far a text may be from a language follows from the documents of that language that are told as such.
+    Noise of few letters (about 40) can be as near as a clean text, and stays.
+    """
+    said = materialize(predict_language(docs, F.lit(True)).filter("doc_id is not null"), "said").filter(F.col("lang_pred") != UNDETERMINED)
+    learnt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang_pred"))
+    limits = said.join(learnt, ["doc_id", "lang_pred"], "left_semi").groupBy("lang_pred").agg((F.percentile_approx("distance", USUAL) + STRANGE_BEYOND).alias("limit"))
+    # a language of which no document is told as such has no limit
+    kept = said.join(F.broadcast(limits), "lang_pred", "left").filter(F.col("distance") < F.coalesce("limit", F.lit(1.0))).select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 

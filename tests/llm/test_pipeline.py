@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage."""
 
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def test_stages_keep_columns_and_decide(spark, tmp_path):
         docs = new
 
 
+def test_language_stage_rejects_what_was_not_learnt(spark):
+    rng = random.Random(6)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. "
+    noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(300))
+    short = [r["text"][:60] for r in docs.filter("length(text) > 600").orderBy("doc_id").limit(20).collect()]
+    more = [(7000, polish), (7001, noise), *((8000 + i, t) for i, t in enumerate(short))]
+    extra = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in more], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs.unionByName(extra), SMALL).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect()} | {8000 + i for i in range(len(short))}
+
+
 def test_run_and_registration(spark):
     import __spark_entry__
 
