@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set (tests)."""
+    """The folder that driver and executors share; one of our own only in local mode, where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="pricegrain-")
         spark.conf.set("spark.checkpoint.dir", folder)
-        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -30,37 +32,77 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a table's rows that a Python worker handles at a time; a single longer row is handled alone.
+STEP_BYTES = 4 << 20
+
+
+def steps(batch: pa.RecordBatch, most_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of at most ``most_bytes``, or of one row."""
+    if batch.num_rows > 1 and batch.nbytes > most_bytes:
+        half = batch.num_rows // 2
+        yield from steps(batch.slice(0, half), most_bytes)
+        yield from steps(batch.slice(half), most_bytes)
+    elif batch.num_rows:
+        yield batch
+
+
+def column_lists(batches: Iterator[pa.RecordBatch], arrow: tuple[str, ...] = ()) -> Iterator[dict[str, list]]:
+    """Slice after slice as dicts of name to values; those named in ``arrow`` as numpy arrays."""
+    for whole in batches:
+        for batch in steps(whole):
+            yield {name: batch.column(i).to_numpy(zero_copy_only=False) if name in arrow else batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)}
+        del whole
+
+
 def map_batches(
     df: DataFrame,
     schema: str | T.StructType,
     fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
     arrow: tuple[str, ...] = (),
-    rows: int | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` over column lists: ``fn`` gets and yields dicts of name to values.
+    """``mapInArrow`` over column lists: ``fn`` gets and yields dicts of name to values, STEP_BYTES at a time."""
+    struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    out = to_arrow_schema(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in fn(column_lists(batches, arrow)):
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
+
+    return df.mapInArrow(run, struct)
 
-    Columns named in ``arrow`` arrive as numpy arrays instead of lists. ``rows`` bounds the rows that ``fn``
-    gets at a time, and so a worker's memory.
+
+def append_columns(df: DataFrame, read: list[str], new: dict[str, str], fn: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]]) -> DataFrame:
+    """``df`` with the columns that ``fn`` makes of those in ``read``, slice by slice and row by row, in one pass.
+
+    ``new`` has names, unlike those of ``df``, and types. What is not read passes through as it is.
     """
-    struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    struct = T.StructType([*df.schema.fields, *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in new.items())).fields])
     out = to_arrow_schema(struct)
+    at = [df.columns.index(c) for c in read]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: list[pa.RecordBatch] = []
+
         def lists() -> Iterator[dict[str, list]]:
-            for whole in batches:
-                for at in range(0, whole.num_rows, rows or max(1, whole.num_rows)):
-                    batch = whole.slice(at, rows)
-                    yield {
-                        name: batch.column(i).to_numpy(zero_copy_only=False) if name in arrow else batch.column(i).to_pylist()
-                        for i, name in enumerate(batch.schema.names)
-                    }
+            for batch in batches:
+                for part in steps(batch):
+                    whole[:] = [part]
+                    yield {name: part.column(i).to_pylist() for name, i in zip(read, at, strict=True)}
 
         for columns in fn(lists()):
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
+            own = [c.cast(f.type) for c, f in zip(whole[0].columns, out, strict=False)]
+            yield pa.RecordBatch.from_arrays([*own, *(pa.array(columns[k], type=out.field(k).type) for k in new)], schema=out)
 
     return df.mapInArrow(run, struct)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, so that other columns of any name do no harm."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
@@ -71,26 +113,42 @@ def crc_bucket(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n, F.lit(0))
 
 
-#: Most ranges that ``id_ranges`` makes; what is broadcast about them is bounded by it.
-MAX_RANGES = 65_536
+#: Most ranges of ids, and ids looked at for each; what is sent about them is bounded by both.
+MAX_RANGES, IDS_PER_RANGE = 32_768, 20
 
 
 class IdRanges:
-    """Equal-width ranges of an integer key: range ``k`` lies wholly before range ``k + 1``.
+    """Ranges of an integer key with about as many rows each: range ``k`` lies wholly before range ``k + 1``.
 
-    About ``rows_per_range`` rows fall into each when ids are spread evenly, and there are at most
-    ``MAX_RANGES``. Null ids sort before all others.
+    Bounds are quantiles of a sample by hash, of at most about MAX_RANGES x IDS_PER_RANGE keys, so that
+    neither gaps nor outliers fill one range. Null keys are range 0, before all others.
     """
 
     def __init__(self, df: DataFrame, key: str, rows_per_range: int = 512):
-        lo, hi, n = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-        self.lo, self.hi = (lo, hi) if lo is not None else (0, 0)
+        n = df.count()
         count = max(1, min(MAX_RANGES, n // rows_per_range))
-        self.width = (self.hi - self.lo + 1) // count + 1
-
-    def position(self, key: Column) -> Column:
-        """The key itself, nulls just below the smallest."""
-        return F.coalesce(key, F.lit(self.lo - 1).cast("long"))
+        one_in = max(1, n // (count * IDS_PER_RANGE))
+        ids = np.array([], np.int64)
+        if count > 1:
+            sampled = df.filter(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(one_in)) == 0)).select(F.col(key).cast("long").alias("k"))
+            ids = np.sort(sampled.toArrow().column("k").to_numpy())
+        at = np.unique(np.arange(1, count) * len(ids) // count) if len(ids) else np.array([], np.int64)
+        self.bounds = np.unique(ids[at]).tolist()
 
     def of(self, key: Column) -> Column:
-        return F.floor((self.position(key) - F.lit(self.lo)) / F.lit(self.width)).cast("long")
+        """Number of the key's range, by binary search among the bounds."""
+        if not self.bounds:
+            return F.when(key.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long")
+        return F.when(key.isNull(), F.lit(0)).otherwise(not_above(self.bounds, key, "bigint") + 1).cast("long")
+
+
+def not_above(bounds: list, key: Column, kind: str) -> Column:
+    """How many of the sorted ``bounds``, a list of bounded length, are no larger than the key, by binary search."""
+    values = F.split(F.lit(",".join(map(repr, bounds))), ",").cast(f"array<{kind}>")
+    widths = [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), lambda at, w: F.when(F.get(values, at + w - 1) <= key, at + w).otherwise(at))
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
+    """Partitions of a shuffle whose size is known: as set, and more where a task would get too many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
