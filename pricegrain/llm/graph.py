@@ -20,20 +20,18 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.filter(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of an edge: root is the smallest node of its component.
 
     ``edges`` has columns a, b of one orderable type. Alternating large-star and small-star steps, each
-    round written to the shared folder; it ends when a round changes nothing. No neighbour list is built:
+    round written to the shared folder, until one changes nothing, however many that takes. No neighbour list is built:
     minima are aggregated before the shuffle, and hot nodes meet only joins that Spark can split.
     """
     e = materialize(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
-    for _ in range(most_rounds):
+    state = now = None
+    while now is None or now != state:
+        state = now
         e = materialize(star(star(e, large=True), large=False), "edges")
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

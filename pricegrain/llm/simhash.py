@@ -10,13 +10,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricegrain.llm.common import map_batches, materialize, texts
+from pricegrain.llm.common import map_batches, materialize, tasks_for, texts
 from pricegrain.llm.graph import components
 
 #: Words of a shingle, seed of its hash, bits that may differ.
 SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Shingles hashed at a time, variants held at a time, and fingerprints that a bucket has on average.
-CHUNK, MOST_VARIANTS, PER_BUCKET = 1 << 16, 1 << 22, 256
+CHUNK, MOST_VARIANTS, PER_BUCKET = 1 << 16, 1 << 20, 256
+#: Fingerprints from which a bucket is split by the next bits of the variants, and bits of such a step.
+HOT_BUCKET, MORE_BITS = 16_384, 8
+#: Fingerprints of buckets that one task has on average.
+PER_TASK = 1 << 21
 
 
 def fingerprint_of(text: str | None) -> int:
@@ -117,6 +121,16 @@ class Bucket:
             yield fps[[x for x, _ in tree]], fps[[r for _, r in tree]]
 
 
+def deepened(dealt: DataFrame, bits: int, half: int) -> DataFrame:
+    """The same variants, in buckets of the first ``bits`` + MORE_BITS bits of the variant."""
+    low = 64 - bits - MORE_BITS
+    own = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << MORE_BITS) - 1))
+    marks = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("more")) for m, k in flips(MORE_BITS, half)])
+    prefix = F.shiftleft("prefix", MORE_BITS).bitwiseOR(own.bitwiseXOR(F.col("m.mask")))
+    deeper = dealt.select("fp", "prefix", "used", F.explode(marks).alias("m")).filter(F.col("used") + F.col("m.more") <= half)
+    return deeper.select("fp", prefix.alias("prefix"), (F.col("used") + F.col("m.more")).alias("used"))
+
+
 def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """a, b: pairs of fingerprints that links at ``radius`` or fewer bits join, enough to keep all components.
 
@@ -125,7 +139,9 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     fingerprint once for every prefix that its variants have; the task of a prefix spells the variants out,
     sorts them and joins the owners of each, so no pair needs a second look. Its links leave the task as
     trees: each fingerprint with the root of its tree. A variant has at most
-    1 + 64 + 2016 owners, whatever the table holds. The number of prefix bits follows the table's size.
+    1 + 64 + 2016 owners, whatever the table holds. The number of prefix bits follows the table's size; a
+    prefix of more than HOT_BUCKET fingerprints is split by further bits until none is so large, or until
+    the prefix is nearly the whole variant.
     """
     if radius % 2:
         raise ValueError("the radius must be even")
@@ -133,10 +149,25 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = fps.count()
     bits = max(0, min(40, math.ceil(math.log2(max(1, n) / PER_BUCKET))))
     low = 64 - bits
-    marks = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(k).alias("used")) for m, k in flips(bits, half)])
-    dealt = fps.select("fp", F.explode(marks).alias("m")).select("fp", ((F.shiftrightunsigned("fp", low) if bits else F.lit(0)).cast("long").bitwiseXOR(F.col("m.mask").cast("long"))).alias("prefix"), F.col("m.used").cast("long").alias("used"))
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "prefix").sortWithinPartitions("prefix")
+    marks = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("used")) for m, k in flips(bits, half)])
+    dealt = fps.select("fp", F.explode(marks).alias("m")).select("fp", ((F.shiftrightunsigned("fp", low) if bits else F.lit(0)).cast("long").bitwiseXOR(F.col("m.mask"))).alias("prefix"), F.col("m.used").cast("long").alias("used"))
+    found = None
+    while True:
+        hot = None
+        if bits + MORE_BITS < 56:
+            hot = materialize(dealt.groupBy("prefix").count().filter(F.col("count") > HOT_BUCKET).select("prefix"), "hot-buckets")
+            hot = hot if hot.head(1) else None
+        part = links_in_buckets(dealt if hot is None else dealt.join(hot, "prefix", "left_anti").select(dealt.columns), bits, half, tasks_for(fps.sparkSession, n * len(flips(bits, half)), PER_TASK))
+        found = part if found is None else found.unionByName(part)
+        if hot is None:
+            return found.distinct()
+        dealt = materialize(deepened(dealt.join(hot, "prefix", "left_semi"), bits, half), "hot-fingerprints")
+        n = dealt.count() // len(flips(bits + MORE_BITS, half))
+        bits += MORE_BITS
+
+
+def links_in_buckets(dealt: DataFrame, bits: int, half: int, parts: int) -> DataFrame:
+    """a, b: links that the fingerprints of each prefix make, which come with the flips it took."""
 
     def run(batches):
         bucket = Bucket(half)
@@ -169,7 +200,7 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         if held:
             yield from done()
 
-    return map_batches(dealt, "a long, b long", run, arrow=("fp", "prefix", "used")).distinct()
+    return map_batches(dealt.repartition(parts, "prefix").sortWithinPartitions("prefix"), "a long, b long", run, arrow=("fp", "prefix", "used"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
