@@ -21,11 +21,12 @@ def named(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """Sorted distinct hashes, below the threshold, of the word shingles of a text, and always the smallest.
+    """Sorted distinct hashes, below the threshold, of the word shingles of a text; where none is, the smallest.
 
     Words are what white space parts, A-Z lower-cased. A text of fewer words than a shingle is one shingle;
-    one without words has an empty sketch. The smallest hash stays in any case, so that only texts without
-    words have an empty one.
+    one without words has an empty sketch. The fallback leaves only texts without words an empty sketch, and
+    ``merged`` takes it out again as soon as the other document has a hash below the threshold, so that the
+    sketch of two documents' shingles follows from their sketches.
     """
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(lower, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
@@ -50,10 +51,16 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both > 0, common / both).otherwise(F.lit(1.0))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Share of the smaller sketch's hashes that the other has: fit for documents of very unequal length."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(F.when(F.size(a) == F.size(b), 1.0).otherwise(0.0))
+def contained(a: Column, b: Column) -> Column:
+    """Share of a's hashes that b has, an estimate of how much of the first document the second holds: fit for very unequal lengths. An empty sketch is contained in any."""
+    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(1.0))
+
+
+def merged(a: Column, b: Column) -> Column:
+    """The sketch of both documents' shingles together."""
+    both = F.array_sort(F.array_union(a, b))
+    low = F.filter(both, lambda x: x < F.lit(THRESHOLD))
+    return F.when(F.size(low) > 0, low).otherwise(F.slice(both, 1, 1))
 
 
 def with_next(docs: DataFrame, ranges: IdRanges) -> DataFrame:
@@ -62,15 +69,15 @@ def with_next(docs: DataFrame, ranges: IdRanges) -> DataFrame:
     Rows are dealt by range of ids; the first of each range also goes, as a guest, to the range before.
     Equal ids follow one another in order of text.
     """
-    at = F.col("at")
-    d = docs.withColumn("at", ranges.position(F.col("doc_id"))).withColumn("range", ranges.of(F.col("doc_id")))
-    firsts = d.groupBy("range").agg(F.min("at").alias("at"))
+    d = docs.withColumn("range", ranges.of(F.col("doc_id")))
+    firsts = d.groupBy("range").agg(F.min("doc_id").alias("first_id"))
     # at most MAX_RANGES rows: a bound that holds at any size, also for the window without partitions and the broadcast
     order = Window.orderBy("range")
     before = F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy()))
-    firsts = firsts.select("at", before.alias("before"))
-    d = d.join(F.broadcast(firsts), "at", "left").select("*", F.explode(F.when(F.col("before").isNull(), F.array(F.struct(F.col("range").alias("home"), F.lit(False).alias("guest")))).otherwise(F.array(F.struct(F.col("range").alias("home"), F.lit(False).alias("guest")), F.struct(F.col("before").alias("home"), F.lit(True).alias("guest"))))).alias("p"))
-    follow = Window.partitionBy("p.home").orderBy("p.guest", at, "text")
+    firsts = firsts.select("first_id", before.alias("before"))
+    own = F.struct(F.col("range").alias("home"), F.lit(False).alias("guest"))
+    d = d.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first_id")), "left").select("*", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("before").alias("home"), F.lit(True).alias("guest"))))).alias("p"))
+    follow = Window.partitionBy("p.home").orderBy("p.guest", "doc_id", "text")
     return d.withColumns({"next_text": F.lead("text").over(follow), "next_sketch": F.lead("sketch").over(follow)}).filter(~F.col("p.guest"))
 
 
@@ -79,7 +86,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n / 2) code points replaced by the first as many (or all) of the next
     document in order of doc_id; after the last comes the first. Returns doc_id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next, contained_edited, contained_next. A null text
+    fingerprint, edited_fingerprint, near_edited, near_next, and containment both ways: in_edited and
+    edited_in, in_next and next_in. A null text
     counts as empty and has an empty fingerprint, equal to that of any text without words; a table of one
     row is its own next; repeated ids follow one another; null ids come first.
     """
@@ -94,5 +102,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
-        containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_edited"), containment(F.col("sketch"), F.col("next_sketch")).alias("contained_next"),
+        contained(F.col("sketch"), F.col("edited_sketch")).alias("in_edited"), contained(F.col("edited_sketch"), F.col("sketch")).alias("edited_in"),
+        contained(F.col("sketch"), F.col("next_sketch")).alias("in_next"), contained(F.col("next_sketch"), F.col("sketch")).alias("next_in"),
     )
