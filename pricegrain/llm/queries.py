@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricegrain.llm import mixing, url_filter
-from pricegrain.llm.common import crc_bucket, map_batches
+from pricegrain.llm.common import crc_bucket
 from pricegrain.llm.decontaminate import contaminated
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.language_id import predict_language
 from pricegrain.llm.licenses import license_scan
 from pricegrain.llm.mixing import mix
-from pricegrain.llm.repeats import LENGTH, digest, remove_repeats
+from pricegrain.llm.repeats import LENGTH, remove_repeats
 from pricegrain.llm.simhash import near_duplicates
 from pricegrain.llm.tokens import token_counts
 from pricegrain.llm.toxicity import score_toxicity
@@ -59,11 +59,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            yield batch | {"kept_sha256": [digest(k) for k in batch["kept"]]}
-
-    return map_batches(remove_repeats(table(spark, sf_dir, "documents")), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", run, rows=512)
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,19 +77,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 
-def mixing_sql(block: int = mixing.BLOCK, shard: int = mixing.SHARD) -> str:
-    """The mix in DuckDB: fill by weight, draw slots shard by shard, permute blocks, count each document's words."""
+def mixing_sql(block: int = mixing.BLOCK) -> str:
+    """The mix in DuckDB: fill by weight, number each source's slots, permute them to blocks, join blocks by index, count each document's words.
+
+    In which shard a slot stands makes no difference to these counts.
+    """
     p, rounds = mixing.PRIME, mixing.ROUNDS
 
     def hashed(x: str, salt: str) -> str:
-        y = f"((({x}) % {p} + 1) * {mixing.FACTOR} + ({salt}) * {mixing.STEP}) % {p}"
+        y = f"((({x}) % {p} + 1) * {mixing.FACTOR} + (({x}) // {p}) * {mixing.HIGH} + ({salt}) * {mixing.STEP}) % {p}"
         return f"((({y}) * ({y}) % {p}) * {mixing.FACTOR} + ({y})) % {p}"
 
-    steps, last = [], "blocks"
+    steps, last = [], "slot_rows"
     for k in range(rounds):
-        steps.append(f"h{k} AS (SELECT * EXCLUDE (x, q), CASE WHEN {hashed(f'greatest(x, q) + {k * 1_000_003}', 'source_no')} % 2 = 1 THEN q ELSE x END AS x FROM (SELECT *, ((({hashed(f'{k} + source_no * {rounds}', '7')}) - x) % nb + nb) % nb AS q FROM {last}))")
+        key = f"{k} + source_no * {rounds}"
+        steps.append(f"p{k} AS (SELECT *, ((({hashed(key, '7')}) * {p} + ({hashed(key, '13')}) - x) % blocks + blocks) % blocks AS q FROM {last})")
+        steps.append(f"g{k} AS (SELECT *, greatest(x, q) + {k * 1_000_003} AS g FROM p{k})")
+        steps.append(f"h{k} AS (SELECT source_no, blocks, CASE WHEN {hashed('g', 'source_no')} % 2 = 1 THEN q ELSE x END AS x FROM g{k})")
         last = f"h{k}"
-    below = lambda edge: f"CASE WHEN {edge} >= last_upper THEN n ELSE ceil(least(n::DOUBLE, n * {edge} / total) - u) END"
     return f"""
 WITH sizes AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS source_no FROM sizes GROUP BY source),
@@ -101,15 +102,14 @@ weighed AS (SELECT *, 2e0 * source_size / weight AS ratio FROM (SELECT *, CASE s
 level AS (SELECT *, 15e-1 * sum(source_size) OVER ()::DOUBLE - 2e0 * coalesce(sum(source_size) OVER w, 0)::DOUBLE AS rest, (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::DOUBLE AS heavy FROM weighed WINDOW w AS (ORDER BY ratio, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lowest AS (SELECT ratio AS r0, source_no AS s0, rest AS rest0, heavy AS heavy0 FROM level WHERE rest <= ratio * heavy ORDER BY ratio, source_no LIMIT 1),
 targets AS (SELECT source, source_no, source_size, CASE WHEN r0 IS NULL OR ratio < r0 OR (ratio = r0 AND source_no < s0) THEN 2e0 * source_size ELSE weight * rest0 / heavy0 END AS target FROM level LEFT JOIN lowest ON true),
-edges AS (SELECT *, ceil(source_size / {block}e0)::BIGINT AS nb, sum(target) OVER () AS total, sum(target) OVER (ORDER BY source_no) AS upper FROM targets),
-bounds AS (SELECT *, upper - target AS lower, greatest(0, floor(total / {block}e0 + 5e-1))::BIGINT AS all_slots, max(CASE WHEN target > 0 THEN upper END) OVER () AS last_upper FROM edges),
-dealt AS (SELECT *, least({shard}, all_slots - shard * {shard}) AS n, ({hashed('shard', '11')}) / {p}e0 AS u FROM (SELECT *, unnest(range(0, ceil(all_slots / {shard}e0)::BIGINT)) AS shard FROM bounds)),
-drawn AS (SELECT source_no, sum(greatest(0, ({below('upper')}) - CASE WHEN lower <= 0 THEN 0 ELSE {below('lower')} END))::BIGINT AS d FROM dealt GROUP BY source_no),
-plan AS (SELECT b.source, b.source_no, b.source_size, b.target, b.nb, least(coalesce(d, 0), b.nb * 2) AS slots FROM bounds b LEFT JOIN drawn USING (source_no)),
-placed AS (SELECT s.doc_id, s.size, sum(s.size) OVER (PARTITION BY s.source ORDER BY s.doc_id NULLS FIRST, s.size ROWS UNBOUNDED PRECEDING)::BIGINT - s.size AS first_word, p.source_no, p.source_size, p.target, p.nb, p.slots FROM sizes s JOIN plan p ON p.source IS NOT DISTINCT FROM s.source),
-blocks AS (SELECT *, b AS x FROM (SELECT *, unnest(range(first_word // {block}, (first_word + size - 1) // {block} + 1)) AS b FROM placed WHERE size > 0)),
+edges AS (SELECT *, ceil(source_size / {block}e0)::BIGINT AS blocks, floor(sum(target) OVER (ORDER BY source_no) / {block} + 5e-1)::BIGINT AS upper FROM targets),
+plan AS (SELECT *, upper - coalesce(lag(upper) OVER (ORDER BY source_no), 0) AS slots FROM edges),
+slot_rows AS (SELECT source_no, blocks, j % blocks AS x FROM (SELECT source_no, blocks, unnest(range(0, slots)) AS j FROM plan)),
 {', '.join(steps)},
-got AS (SELECT doc_id, first_word, source_no, sum((least(first_word + size, (b + 1) * {block}) - greatest(first_word, b * {block})) * (slots // nb + CASE WHEN x < slots % nb THEN 1 ELSE 0 END))::BIGINT AS taken FROM {last} GROUP BY ALL)
+used AS (SELECT source_no, x AS b, count(*) AS uses FROM {last} GROUP BY ALL),
+placed AS (SELECT s.doc_id, s.size, sum(s.size) OVER (PARTITION BY s.source ORDER BY s.doc_id NULLS FIRST, s.size ROWS UNBOUNDED PRECEDING)::BIGINT - s.size AS first_word, p.source_no, p.source_size, p.target FROM sizes s JOIN plan p ON p.source IS NOT DISTINCT FROM s.source),
+held AS (SELECT *, unnest(range(first_word // {block}, (first_word + size - 1) // {block} + 1)) AS b FROM placed WHERE size > 0),
+got AS (SELECT doc_id, first_word, source_no, sum((least(first_word + size, (b + 1) * {block}) - greatest(first_word, b * {block})) * uses)::BIGINT AS taken FROM held JOIN used USING (source_no, b) GROUP BY ALL)
 SELECT p.doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM placed p LEFT JOIN got g ON g.doc_id IS NOT DISTINCT FROM p.doc_id AND g.first_word = p.first_word AND g.source_no = p.source_no AND p.size > 0"""
 
 

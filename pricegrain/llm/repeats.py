@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricegrain.llm.common import IdRanges, map_batches, materialize, texts
+from pricegrain.llm.common import IdRanges, append_columns, map_batches, materialize, tasks_for, texts
 from pricegrain.llm.decontaminate import BASE, ONE, mixed
 
 #: Bytes of a passage, of the anchor that stands for the windows around it, and of text handled at a time.
-LENGTH, ANCHOR, CHUNK = 100, 24, 1 << 19
+LENGTH, ANCHOR, CHUNK = 100, 24, 1 << 17
 #: Period of the difference cover, and bytes whose order the cover's samples are ranked by.
 PERIOD = 32
 SAMPLE = LENGTH - PERIOD
-#: Documents that a Python worker holds at a time.
-ROWS = 512
+#: Bytes of text whose anchors one task gets on average.
+PER_TASK = 32 << 20
 #: Windows sorted at a time, and contexts of one anchor from which Spark deals them out by window instead.
 MOST_WINDOWS, HOT_GROUP = 1 << 18, 4096
 OTHER_BASE = 0xD6E8FEB86659FD93
@@ -149,10 +147,10 @@ def anchor_rows(keyed: DataFrame) -> DataFrame:
                 "doc": np.concatenate((doc[one], d)), "p0": np.concatenate((p0[one], p)), "no": np.concatenate((n[one] * 128 + off[one], w)).astype(np.int32),
             }
 
-    return map_batches(keyed, ANCHOR_ROWS, run, rows=4 * ROWS)
+    return map_batches(keyed, ANCHOR_ROWS, run)
 
 
-def first_contexts(rows: DataFrame) -> DataFrame:
+def first_contexts(rows: DataFrame, parts: int) -> DataFrame:
     """Mark the contexts that occurred before; keep the first ones only where their anchor has others.
 
     Rows come sorted by anchor, context, document and place, so that the first of equal contexts leads. Two
@@ -196,7 +194,6 @@ def first_contexts(rows: DataFrame) -> DataFrame:
                 last = (akey[-1], c[-1], lone)
             yield {k: np.concatenate(x) for k, x in zip(("dup", "akey", "doc", "p0", "no"), out, strict=True)}
 
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "akey").sortWithinPartitions("akey", "c", "doc", "p0")
     return map_batches(dealt, "dup boolean, akey long, doc long, p0 long, no int", run, arrow=("dup", *names))
 
@@ -278,10 +275,10 @@ def context_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         out[name].append(value)
             yield out
 
-    return map_batches(docs.join(lists, "doc"), "akey long, doc long, p0 long, no int, hot boolean, bytes binary", cut, rows=ROWS)
+    return map_batches(docs.join(lists, "doc"), "akey long, doc long, p0 long, no int, hot boolean, bytes binary", cut)
 
 
-def repeated_in_groups(contexts: DataFrame) -> DataFrame:
+def repeated_in_groups(contexts: DataFrame, parts: int) -> DataFrame:
     """doc, p0, no: ranges of windows that occurred before, among contexts of one anchor."""
 
     def run(batches):
@@ -315,7 +312,6 @@ def repeated_in_groups(contexts: DataFrame) -> DataFrame:
         if held["akey"]:
             yield done()
 
-    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return map_batches(contexts.select("akey", "doc", "p0", "no", "bytes").repartition(parts, "akey").sortWithinPartitions("akey"), "doc long, p0 long, no int", run)
 
 
@@ -327,59 +323,63 @@ def repeated_by_window(contexts: DataFrame) -> DataFrame:
     return windows.join(first, "window").filter(F.col("place") > F.col("first")).select("place.doc", F.col("place.p").alias("p0"), F.lit(1).alias("no"))
 
 
-def with_unique_keys(docs: DataFrame) -> DataFrame:
-    """doc, doc_id, text: ``doc`` is the id, or where ids repeat or are null the row's number in order of id and text."""
-    d = texts(docs)
+def with_unique_keys(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """doc, doc_id, text, carried: ``doc`` is the id, or where ids repeat or are null the row's number in order of id and text."""
+    d = texts(docs, F.struct(*carry or [F.lit(0).alias("none")]).alias("carried"))
     if not d.filter("doc_id is null").head(1) and not d.groupBy("doc_id").count().filter("count > 1").head(1):
         return d.withColumn("doc", F.col("doc_id"))
     ranges = IdRanges(d, "doc_id")
     d = d.withColumn("range", ranges.of(F.col("doc_id")))
     before = d.groupBy("range").count().select("range", (F.sum("count").over(Window.orderBy("range")) - F.col("count")).alias("before"))  # at most MAX_RANGES rows
     number = F.row_number().over(Window.partitionBy("range").orderBy("doc_id", "text"))
-    return materialize(d.withColumn("number", number).join(F.broadcast(before), "range").select("doc_id", "text", (F.col("before") + F.col("number")).alias("doc")), "keyed")
+    return materialize(d.withColumn("number", number).join(F.broadcast(before), "range").select("doc_id", "text", "carried", (F.col("before") + F.col("number")).alias("doc")), "keyed")
 
 
 def repeated_ranges(keyed: DataFrame) -> DataFrame:
     """doc, p0, no: ranges of window starts whose LENGTH bytes also start earlier."""
-    seen = materialize(first_contexts(anchor_rows(keyed.select("doc", "text"))), "contexts")
+    size = keyed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = tasks_for(keyed.sparkSession, size, PER_TASK)
+    seen = materialize(first_contexts(anchor_rows(keyed.select("doc", "text")), parts), "contexts")
     unsure = seen.filter(~F.col("dup")).drop("dup")
     hot = unsure.groupBy("akey").count().filter(F.col("count") > HOT_GROUP).select("akey", F.lit(True).alias("hot"))
-    contexts = materialize(context_rows(packed(keyed), unsure.join(hot, "akey", "left")), "context-bytes")
+    contexts = materialize(context_rows(packed(keyed.select("doc", "text")), unsure.join(hot, "akey", "left")), "context-bytes")
     known = seen.filter("dup").select("doc", "p0", "no")
-    return known.unionByName(repeated_in_groups(contexts.filter("hot is null"))).unionByName(repeated_by_window(contexts.filter("hot")))
+    return known.unionByName(repeated_in_groups(contexts.filter("hot is null"), parts)).unionByName(repeated_by_window(contexts.filter("hot")))
 
 
 def packed(keyed: DataFrame) -> DataFrame:
-    """doc, doc_id and the text compressed, as it is shuffled."""
+    """The rows with the text compressed, as it is shuffled."""
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield {"doc": batch["doc"], "doc_id": batch["doc_id"], "packed": [pack((t or "").encode()) for t in batch["text"]]}
+            yield {"packed": [pack((t or "").encode()) for t in batch["text"]]}
 
-    return map_batches(keyed.select("doc", "doc_id", "text"), "doc long, doc_id long, packed binary", run, rows=ROWS)
+    return append_columns(keyed, ["text"], {"packed": "binary"}, run).drop("text")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Each whole text without the bytes of LENGTH-byte strings that also start earlier.
 
     Earlier is a smaller doc_id, or an earlier start in the same document; strings may overlap and are
-    judged on the input. Returns doc_id, n_bytes, n_removed, n_spans, kept (binary). A null text counts as
+    judged on the input. Returns doc_id, n_bytes, n_removed, n_spans, kept (binary), and carried, a struct of
+    the columns named in ``carry``. A null text counts as
     empty; texts shorter than LENGTH stay whole. Rows of one doc_id, and rows without, count as documents of
-    their own, in order of text, null ids first.
+    their own, in order of text, null ids first. Very long texts are cut into overlapping pieces.
 
     Windows are grouped by an anchor in them, which equal windows share. A group of windows that equals one
     before it as a whole is settled by its hash; what is left, where repeats begin and end, is settled byte
     by byte by sorting the windows of one bucket of anchors after the other (``CoverSort``).
     """
-    keyed = with_unique_keys(docs)
+    keyed = with_unique_keys(docs, carry or [])
     ranges = repeated_ranges(keyed).groupBy("doc").agg(F.collect_list(F.struct("p0", "no")).alias("ranges"))  # no longer than the document
+    names = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept": "binary"}
 
     def cut(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for doc_id, data, found in zip(batch["doc_id"], map(unpack, batch["packed"]), batch["ranges"], strict=True):
+            for data, found in zip(map(unpack, batch["packed"]), batch["ranges"], strict=True):
                 kept, at, removed, spans = [], 0, 0, 0
                 for p0, no in sorted((r["p0"], r["no"]) for r in found or ()):
                     end = p0 + no - 1 + LENGTH
@@ -391,11 +391,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                         removed += max(0, end - at)
                     at = max(at, end)
                 kept.append(data[at:])
-                rows.append((doc_id, len(data), removed, spans, b"".join(kept)))
-            yield dict(zip(("doc_id", "n_bytes", "n_removed", "n_spans", "kept"), map(list, zip(*rows, strict=True)), strict=True))
-
-    return map_batches(packed(keyed).join(ranges, "doc", "left").select("doc_id", "packed", "ranges"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", cut, rows=ROWS)
+                rows.append((len(data), removed, spans, b"".join(kept)))
+            yield dict(zip(names, map(list, zip(*rows, strict=True)), strict=True))
 
+    return append_columns(packed(keyed).join(ranges, "doc", "left").select("doc_id", "carried", "packed", "ranges"), ["packed", "ranges"], names, cut).drop("packed", "ranges")
 
-def digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()

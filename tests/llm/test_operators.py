@@ -11,14 +11,16 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from pricegrain.llm import licenses, mixing, simhash, toxicity, url_filter
-from pricegrain.llm.common import crc_bucket
+from pricegrain.llm import fingerprint, licenses, mixing, simhash, toxicity, url_filter
+from pricegrain.llm.common import IdRanges, crc_bucket
 from pricegrain.llm.decontaminate import LEAST_WORDS, SeedIndex, WordHasher, best_stretch, contaminated, masks_of
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.graph import components
 from pricegrain.llm.language_id import PROFILE, predict_language
+from pricegrain.llm.mixing import mix
 from pricegrain.llm.repeats import LENGTH, remove_repeats, repeated_by_window
 from pricegrain.llm.tokens import token_counts
 from pricegrain.llm.toxicity import BlockMaxIndex, score_toxicity, vocabulary_of
@@ -330,7 +332,32 @@ def test_containment_of_unequal_documents(spark):
     rng = random.Random(2)
     words = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
     r = by_id(fingerprints(rows(spark, [" ".join(words[:400]), " ".join(words)])))[0]
-    assert r["contained_next"] > 0.95 and r["near_next"] < 0.2
+    assert r["in_next"] > 0.95 and r["next_in"] < 0.2 and r["near_next"] < 0.2
+
+
+def test_sketches_merge(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    pairs = [(text(n), text(m)) for n in (0, 5, 6, 40, 300) for m in (0, 5, 7, 300)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", fingerprint.sketch(F.col("a")).alias("x"), fingerprint.sketch(F.col("b")).alias("y"))
+    for r in df.select("*", fingerprint.merged(F.col("x"), F.col("y")).alias("both")).collect():
+        every = {h for h in (*r["x"], *r["y"])}
+        low = sorted(h for h in every if h < fingerprint.THRESHOLD)
+        assert r["both"] == (low or sorted(every)[:1])
+        assert all(h < fingerprint.THRESHOLD for h in r["both"]) or len(r["both"]) == 1
+
+
+def test_wide_and_skewed_ids(spark):
+    ids = [-(2**63), -5, 0, *range(1, 3000), 2**60, 2**63 - 1, None, None]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    ranges = IdRanges(df, "doc_id", rows_per_range=100)
+    got = df.select("doc_id", ranges.of(F.col("doc_id")).alias("r")).collect()
+    by = sorted((r["doc_id"], r["r"]) for r in got if r["doc_id"] is not None)
+    assert [r for _, r in by] == sorted(r for _, r in by)
+    assert {r["r"] for r in got if r["doc_id"] is None} == {0} and min(r for _, r in by) == 1
+    assert max(np.bincount([r for _, r in by])) < 400
+    docs = spark.createDataFrame([(i, f"text of {i}", "s") for i in ids], "doc_id long, text string, source string")
+    assert fingerprints(docs).count() == len(ids) == mix(docs).count()
 
 
 # --- 6: URL filter
@@ -433,8 +460,9 @@ def test_simhash_matches_brute_force(spark, small):
     assert simhash.near_duplicates(rows(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("variants", [1 << 22, 3000])
-def test_ball_links_lose_nothing(spark, monkeypatch, variants):
+@pytest.mark.parametrize(("variants", "hot"), [(1 << 22, 1 << 20), (3000, 40)])
+def test_ball_links_lose_nothing(spark, monkeypatch, variants, hot):
+    monkeypatch.setattr(simhash, "HOT_BUCKET", hot)
     rng = random.Random(8)
     prints = {rng.getrandbits(64) for _ in range(300)}
     for p in list(prints)[:80]:
@@ -622,19 +650,35 @@ def test_mixing(spark, small):
 
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 100, 1001):
-        got = [r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3).cast("long"))).collect()]
+        df = spark.range(n).select(F.col("id").alias("x"), F.lit(n).cast("long").alias("n"), F.lit(3).cast("long").alias("s"), F.lit(1).alias("more"))
+        got = [r["x"] for r in mixing.permuted(df, "x", "n", "s").collect()]
         assert sorted(got) == list(range(n))
         if n == 1001:
             assert abs(np.corrcoef(range(n), got)[0, 1]) < 0.15
-
-
-def test_multinomial_draws_add_up(spark):
-    targets = spark.createDataFrame([(f"s{i}", i, 10_000 * (i + 1), 9_000.0 * (i + 1)) for i in range(5)], "source string, source_no long, source_size long, target double")
-    got = {r["source_no"]: r["slots"] for r in mixing.slots_by_source(targets, block=10, shard=64).collect()}
-    total = sum(9_000 * (i + 1) for i in range(5)) / 10
-    assert abs(sum(got.values()) - total) <= 1
+    far = spark.range(2**40, 2**40 + 1000).select(F.col("id").alias("x"), F.lit(2**41 + 9).alias("n"), F.lit(3).cast("long").alias("s"))
+    got = [r["x"] for r in mixing.permuted(far, "x", "n", "s").collect()]
+    assert len(set(got)) == 1000 and abs(np.corrcoef(range(1000), got)[0, 1]) < 0.15 and np.std(got) > 2**38
+
+
+def test_multinomial_draws_and_slots(spark):
+    plan = [Row(slots=900 * (i + 1), blocks=500 * (i + 1) + 7) for i in range(5)]
+    counts = mixing.shard_counts(spark, plan, shard=640).collect()
+    per_shard, per_source = Counter(), Counter()
+    for r in counts:
+        per_shard[r["shard"]] += r["n"]
+        per_source[r["source_no"]] += r["n"]
+    assert [per_shard[k] for k in range(22)] == [640] * 21 + [60]
+    for i in range(5):
+        assert abs(per_source[i] - 900 * (i + 1)) < 5 * math.sqrt(900 * (i + 1))
+        spread = np.var([next((r["n"] for r in counts if r["shard"] == k and r["source_no"] == i), 0) for k in range(21)])
+        assert 0.3 < spread / (640 * (i + 1) / 15 * (14 - i) / 15) < 3  # the variance of a multinomial draw
+    slots = mixing.mixture(spark, plan, shard=640).collect()
     for i in range(5):
-        assert math.isclose(got[i], 900 * (i + 1), rel_tol=0.05)
+        own = [r for r in slots if r["source_no"] == i]
+        assert sorted(r["slot"] for r in own) == list(range(900 * (i + 1)))
+        uses = Counter(r["block"] for r in own)
+        assert set(uses) == set(range(plan[i]["blocks"])) and set(uses.values()) <= {1, 2}
+    assert Counter(r["shard"] for r in slots) == per_shard
 
 
 def test_terms_of_equal_documents_are_one():
