@@ -20,20 +20,19 @@ MOST_SOURCES, PER_TASK = 32_768, 1 << 20
 
 def hashed(x: Column, salt: Column | int) -> Column:
     """A pseudorandom number from 0 to PRIME - 1 for a number below PRIME squared."""
-    high = F.call_function("div", x, F.lit(PRIME))
-    y = F.pmod((F.pmod(x, F.lit(PRIME)) + F.lit(1)) * F.lit(FACTOR) + high * F.lit(HIGH) + F.lit(salt) * F.lit(STEP), F.lit(PRIME))
-    return F.pmod(F.pmod(y * y, F.lit(PRIME)) * F.lit(FACTOR) + y, F.lit(PRIME))
+    y = F.pmod((F.pmod(x, F.lit(PRIME)) + F.lit(1)) * F.lit(FACTOR) + F.call_function("div", x, F.lit(PRIME)) * F.lit(HIGH) + F.lit(salt) * F.lit(STEP), F.lit(PRIME))
+    return F.pmod(y * (y + F.lit(STEP)), F.lit(PRIME))
 
 
 def permuted(df: DataFrame, index: str, n: str, source_no: str) -> DataFrame:
     """``df`` with its column ``index`` replaced by its place in a pseudorandom permutation of 0..n-1, one for each source (swap-or-not shuffle).
 
-    Every round is a projection of its own, so that what it computes is not repeated in the next.
+    Every round is two projections of its own, so that what one computes is not repeated in the next.
     """
     rest = [c for c in df.columns if c != index]
     d = df.withColumnRenamed(index, "x")
     for r in range(ROUNDS):
-        key = F.lit(r) + F.col(source_no) * F.lit(ROUNDS)
+        key = F.lit(r).cast("long") + F.col(source_no) * F.lit(ROUNDS)
         d = d.select(*rest, "x", F.pmod(hashed(key, 7) * F.lit(PRIME) + hashed(key, 13) - F.col("x"), F.col(n)).alias("partner"))
         swaps = F.pmod(hashed(F.greatest("x", "partner") + F.lit(r * 1_000_003), F.col(source_no)), F.lit(2)) == 1
         d = d.select(*rest, F.when(swaps, F.col("partner")).otherwise(F.col("x")).alias("x"))

@@ -86,7 +86,7 @@ def mixing_sql(block: int = mixing.BLOCK) -> str:
 
     def hashed(x: str, salt: str) -> str:
         y = f"((({x}) % {p} + 1) * {mixing.FACTOR} + (({x}) // {p}) * {mixing.HIGH} + ({salt}) * {mixing.STEP}) % {p}"
-        return f"((({y}) * ({y}) % {p}) * {mixing.FACTOR} + ({y})) % {p}"
+        return f"(({y}) * (({y}) + {mixing.STEP})) % {p}"
 
     steps, last = [], "slot_rows"
     for k in range(rounds):
