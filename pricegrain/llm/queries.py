@@ -35,7 +35,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_bucket(F.col("doc_id"), 3) == 1
     scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "vote", "evidence")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,278 +2,375 @@
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricegrain.llm.common import map_batches, texts
+from pricegrain.llm.common import map_batches, materialize, texts
+from pricegrain.llm.decontaminate import BASE, ONE, WORD_BYTE, mixed
 
-#: Bounds of the fit: labelled rows learnt from (least hash first) and terms of the vocabulary (highest G2 first).
-MOST_EXAMPLES, MOST_TERMS = 20_000, 16_384
-#: Lowest G2 of a term with the label, and fewest examples that have it.
-LEAST_G2, LEAST_DOCS = 12.0, 3
+#: Bounds of the fit: labelled rows learnt from (least hash first), and distinct terms of all of them together.
+MOST_EXAMPLES, MOST_POSTINGS = 20_000, 16_000_000
+#: Words whose first bytes, so many of them, are terms too where those go with the label; and most of these prefixes.
+PREFIXES, MOST_PREFIXES = (4, 5, 6), 16_384
+#: Lowest G2 of a term that goes with the label, fewest examples that have it, and the weight of all other terms.
+LEAST_G2, LEAST_DOCS, OTHERS = 12.0, 3, 0.1
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
-BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 25, 0.05, 0.25
-#: Blocks are skipped if less than one in so many is left.
-FEW_LIVE = 3
-#: Prefixes of these lengths are terms beside the whole word; one of two or more different words is a further term.
-PREFIXES = (4, 5, 6, 7, 8)
-#: Bytes by which words without any term are told at once, and words whose terms a Python worker remembers.
-HEAD, MEMO_WORDS = 4, 100_000
-
-#: Blanks for all ASCII bytes but digits and small letters: what is left between them are words.
-SEPARATED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words, in UTF-8."""
-    return (text or "").lower().encode().translate(SEPARATED).split()
-
-
-def terms_of(word: str) -> list[str]:
-    """The word and its prefixes, which carry a ``*``."""
-    return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
-
-
-def shared(term: str) -> str:
-    """The term for a prefix that two or more different words of a document have."""
-    return term + "*"
-
-
-def document_terms(text: str | None) -> set[str]:
-    words = Counter(t for w in set(words_of(text)) for t in terms_of(w.decode()))
-    return {*words, *(shared(t) for t, n in words.items() if n > 1)}
+BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 9, 0.05, 0.25
+#: Postings from which a term's blocks are bounded and skipped, blocks scored first, and the step over which blocks are read as one run.
+LONG_LIST, FIRST_BLOCKS, GAP = 256, 4, 3
+#: Lists of one in so many examples are kept example by example, at most so many: they are added up without gathering.
+FULL_LIST, MOST_FULL = 16, 128
+#: Bytes of a text that are hashed at a time.
+CHUNK = 1 << 20
+
+
+class TermHasher:
+    """64-bit hashes of the words of a text, and of their prefixes, by one prefix sum over its bytes."""
+
+    def __init__(self):
+        powers = lambda base: np.multiply.accumulate(np.concatenate(([ONE], np.full(CHUNK, base, np.uint64))))
+        self.powers, self.inverses = powers(BASE), powers(pow(BASE, -1, 1 << 64))
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words, and of all prefixes shorter than their word, in any order."""
+        data = (text or "").lower().encode()
+        words, prefixes, at = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], 0
+        while at < len(data):
+            end = min(len(data), at + CHUNK)
+            if end < len(data):  # cut between words; one longer than a chunk is cut inside
+                cut = end
+                while cut > at and WORD_BYTE[data[cut - 1]]:
+                    cut -= 1
+                end = cut if cut > at else end
+            b = np.frombuffer(data, np.uint8, end - at, at)
+            at = end
+            is_word = np.zeros(len(b) + 2, np.int8)
+            is_word[1:-1] = WORD_BYTE[b]
+            edge = np.diff(is_word)
+            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            total = np.zeros(len(b) + 1, np.uint64)
+            np.cumsum((b.astype(np.uint64) + ONE) * self.powers[: len(b)], out=total[1:])
+            words.append(mixed((total[ends] - total[starts]) * self.inverses[starts]))
+            for n in PREFIXES:
+                s = starts[ends - starts > n]
+                prefixes.append(mixed((total[s + n] - total[s]) * self.inverses[s] + np.uint64(n)))
+        return np.concatenate(words), np.concatenate(prefixes)
+
+
+class HashTable:
+    """Places of hashes in a sorted array, found from their leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.shift = np.uint64(64 - max(8, min(22, len(hashes).bit_length() + 1)))
+        self.begin = np.searchsorted(hashes >> self.shift, np.arange((1 << int(64 - self.shift)) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.begin).max())
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Of those that the array has."""
+        top = (hashes >> self.shift).astype(np.int64)
+        at, end = self.begin[top], self.begin[top + 1]
+        found = []
+        for _ in range(self.most):
+            some = at < end
+            hashes, at, end = hashes[some], at[some], end[some]
+            if not len(at):
+                break
+            same = self.hashes[at] == hashes
+            found.append(at[same])
+            at = at + 1
+        return np.concatenate(found) if found else np.empty(0, np.int32)
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:
-    """doc_id, text, toxic of at most MOST_EXAMPLES labelled rows, those of least hash."""
+    """doc_id, text, toxic of at most MOST_EXAMPLES labelled rows, those of least hash; of an id with several texts the least."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(learn_from & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_EXAMPLES)
-    return texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+
+def g2(n: np.ndarray, bad: np.ndarray, total: int, toxic: int) -> np.ndarray:
+    """G2 of the 2 x 2 table of a term and the label: ``n`` examples have the term, ``bad`` of them are toxic."""
+    share = toxic / total
+    out = np.zeros(len(n))
+    for seen, expected in ((bad, n * share), (n - bad, n * (1 - share)), (toxic - bad, (total - n) * share), (total - toxic - n + bad, (total - n) * (1 - share))):
+        some = seen > 0
+        out[some] += 2 * seen[some] * np.log(seen[some] / expected[some])
+    return out
 
 
-def vocabulary_of(examples: DataFrame) -> tuple[dict[str, int], float, int]:
-    """Terms that go with the label, by G2 of their 2 x 2 table over the examples; the label's share; examples."""
-    n, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not toxic or toxic == n:
-        return {}, toxic / n if n else 0.0, n
+def label_prefixes(examples: DataFrame, total: int, toxic: int) -> np.ndarray:
+    """Hashes of the word prefixes that go with the label, at most MOST_PREFIXES of highest G2."""
 
     def count(batches):
-        all_, bad = Counter(), Counter()
+        hasher = TermHasher()
         for batch in batches:
-            for text, label in zip(batch["text"], batch["toxic"], strict=True):
-                terms = document_terms(text)
-                all_.update(terms)
-                if label:
-                    bad.update(terms)
-            yield {"term": list(all_), "n": list(all_.values()), "bad": [bad[t] for t in all_]}
-            all_.clear(), bad.clear()
-
-    seen = map_batches(examples.select("text", "toxic"), "term string, n long, bad long", count).groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    share = F.lit(toxic / n)
-    g2 = 2 * (cell(F.col("bad"), F.col("n") * share) + cell(F.col("n") - F.col("bad"), F.col("n") * (1 - share)) + cell(F.lit(toxic) - F.col("bad"), (F.lit(n) - F.col("n")) * share) + cell(F.lit(n) - F.lit(toxic) - F.col("n") + F.col("bad"), (F.lit(n) - F.col("n")) * (1 - share)))
-    chosen = seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("bad") > F.col("n") * share) & (F.col("n") < n)).withColumn("g2", g2).filter(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "term").limit(MOST_TERMS)
-    return without_doubles([(r["term"], r["n"]) for r in chosen.collect()]), toxic / n, n
-
-
-def without_doubles(chosen: list[tuple[str, int]]) -> dict[str, int]:
-    """Terms without those that stand in the same documents as a longer one, and how many each stands for.
-
-    A document with a longer prefix or word also has the shorter prefix, so equal numbers mean equal documents.
-    """
-    by_n: dict[int, list[str]] = {}
-    for term, n in chosen:
-        by_n.setdefault(n, []).append(term)
-
-    def implied(term: str, other: str) -> bool:
-        base, stars = term.rstrip("*"), len(term) - len(term.rstrip("*"))
-        longer, more = other.rstrip("*"), len(other) - len(other.rstrip("*"))
-        if other == term or not stars or not longer.startswith(base):
-            return False
-        return (stars == 1 and (more == 2 or len(longer) > len(base) or not more)) or (stars == 2 and more == 2 and len(longer) > len(base))
+            found = [np.unique(hasher.of(t)[1]) for t in batch["text"]]
+            term, inverse = np.unique(np.concatenate(found), return_inverse=True)
+            label = np.repeat(np.array(batch["toxic"], float), [len(f) for f in found])
+            yield {"term": term.view(np.int64), "n": np.bincount(inverse, minlength=len(term)), "bad": np.bincount(inverse, label, minlength=len(term)).astype(np.int64)}
 
-    kept: dict[str, int] = {}
-    for term, n in chosen:
-        while more := [u for u in by_n[n] if implied(term, u)]:
-            term = max(more, key=lambda u: (len(u.rstrip("*")), u))
-        kept[term] = kept.get(term, 0) + 1
-    return kept
+    seen = map_batches(examples.select("text", "toxic"), "term long, n long, bad long", count).groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    # a bad share above the label's: the rest is counted exactly below, on far fewer rows
+    table = seen.filter((F.col("n") >= LEAST_DOCS) & (F.col("bad") > F.col("n") * F.lit(toxic / total))).orderBy(F.desc("bad"), "n", "term").limit(4 * MOST_PREFIXES).toArrow()
+    term, n, bad = (table.column(c).to_numpy() for c in ("term", "n", "bad"))
+    score = g2(n.astype(float), bad.astype(float), total, toxic)
+    best = np.lexsort((term, -score))[:MOST_PREFIXES]
+    return np.sort(term[best[score[best] >= LEAST_G2]].view(np.uint64))
 
 
 class Vectors:
-    """Unit TF-IDF vectors over the vocabulary."""
-
-    def __init__(self, vocabulary: list[str], idf: np.ndarray | None = None):
-        self.ids = {t: i for i, t in enumerate(vocabulary)}
-        self.more = {t.removesuffix("*") for t in vocabulary if t.endswith("**")}
-        self.heads = {t.rstrip("*").encode()[:HEAD] for t in vocabulary}
-        self.idf = idf
-        self.memo: dict[bytes, tuple[str, ...]] = {}
-
-    def known_terms(self, word: bytes) -> tuple[str, ...]:
-        found = self.memo.get(word)
-        if found is None:
-            found = tuple(t for t in terms_of(word.decode()) if t in self.ids or t in self.more)
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            self.memo[word] = found
-        return found
-
-    def counts(self, text: str | None) -> Counter:
-        out: Counter = Counter()
-        words: Counter = Counter()
-        heads = self.heads
-        for word, n in Counter([w for w in words_of(text) if w[:HEAD] in heads]).items():
-            for t in self.known_terms(word):
-                words[t] += 1
-                if t in self.ids:
-                    out[self.ids[t]] += n
-        for t, n in words.items():
-            if n > 1 and t in self.more:
-                out[self.ids[shared(t)]] = n - 1
-        return out
-
-    def of(self, text: str | None) -> tuple[tuple[int, ...], np.ndarray]:
-        counts = sorted(self.counts(text).items())
-        terms = tuple(t for t, _ in counts)
-        w = np.array([(1 + math.log(n)) * self.idf[t] for t, n in counts])
+    """Unit TF-IDF vectors over all words of the examples, and prefixes that go with the label."""
+
+    def __init__(self, terms: np.ndarray, prefixes: np.ndarray, weight: np.ndarray | None = None):
+        self.terms, self.prefixes, self.weight = terms, prefixes, weight
+        self.hasher, self.words, self.more = TermHasher(), HashTable(terms), HashTable(prefixes)
+        self.of_prefix = np.searchsorted(terms, prefixes).astype(np.int32)  # an example has each of them
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the text's terms in the vocabulary, ascending, and how often each occurs."""
+        words, prefixes = self.hasher.of(text)
+        return np.unique(np.concatenate((self.words.places(words), self.of_prefix[self.more.places(prefixes)])), return_counts=True)
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        terms, n = self.counts(text)
+        w = (1 + np.log(n)) * self.weight[terms]
         return terms, w / (np.sqrt((w * w).sum()) or 1.0)
 
 
-def idf_of(docs: DataFrame, vocabulary: list[str]) -> np.ndarray:
-    """log((1 + documents) / (1 + documents with the term)) + 1 over all documents."""
+def document_counts(docs: DataFrame, terms: np.ndarray, prefixes: np.ndarray) -> tuple[int, np.ndarray]:
+    """Documents in all, and documents with each term, over the whole table."""
+    shared = docs.sparkSession.sparkContext.broadcast((terms, prefixes))
 
     def count(batches):
-        vectors, seen, n = Vectors(vocabulary), Counter(), 0
+        vectors, n = Vectors(*shared.value), 0
+        seen = np.zeros(len(vectors.terms), np.int64)
         for batch in batches:
             for text in batch["text"]:
-                seen.update(vectors.counts(text).keys())
+                seen[vectors.counts(text)[0]] += 1
             n += len(batch["text"])
-        yield {"term": [-1, *seen], "n": [n, *seen.values()]}
+        at = np.flatnonzero(seen)
+        yield {"term": np.concatenate(([-1], at)), "n": np.concatenate(([n], seen[at]))}
 
-    found = {r["term"]: r["n"] for r in map_batches(texts(docs), "term long, n long", count).groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return np.array([math.log((1 + found.get(-1, 0)) / (1 + found.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    # as many rows as terms, which MOST_POSTINGS bounds
+    table = map_batches(texts(docs), "term long, n long", count).groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    at, n = table.column("term").to_numpy(), table.column("n").to_numpy()
+    out = np.zeros(len(terms), np.int64)
+    out[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), out
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors, with the highest weight of each term in each block of examples.
+    """Inverted index over example vectors, with the highest weight that long lists have in each block of examples.
 
-    Examples of equal vectors are one entry with counts. ``nearest`` is exact: a block is left out only if its
-    upper bound cannot reach the last neighbour's similarity.
+    ``nearest`` is exact: the postings that a long list has in a block are left unread only if the block's bound
+    does not reach the last neighbour's similarity. Similar examples stand in the same blocks.
     """
 
-    def __init__(self, rows: list[tuple[int, tuple[int, ...], np.ndarray, int]], n_terms: int, prior: float):
-        self.prior = prior
-        merged: dict[tuple, list] = {}
-        for doc_id, terms, weights, toxic in rows:
-            entry = merged.setdefault((terms, tuple(np.round(weights, 12))), [terms, weights, 0, 0, doc_id])
-            entry[2] += 1
-            entry[3] += toxic
-            entry[4] = min(entry[4], doc_id)
-        plain = merged.pop(((), ()), [(), None, 0, 0, None])
-        self.plain = (plain[3] + PRIOR * prior) / (plain[2] + PRIOR) if plain[2] + PRIOR else prior
-        entries = sorted(merged.values(), key=lambda e: (e[0][int(np.argmax(e[1]))], e[0], e[4]))
-        self.n = np.array([e[2] for e in entries], float)
-        self.toxic = np.array([e[3] for e in entries], float)
-        self.doc_id = np.array([e[4] for e in entries], np.int64)
-        self.blocks = -(-len(entries) // BLOCK)
-        self.bound = np.zeros((n_terms, self.blocks))
-        places: list[tuple[int, int, float]] = sorted((t, i, w) for i, e in enumerate(entries) for t, w in zip(e[0], e[1], strict=True))
-        self.example = np.array([p[1] for p in places], np.int64)
-        self.weight = np.array([p[2] for p in places])
-        term = np.array([p[0] for p in places], np.int64)
-        self.begin = np.searchsorted(term * (self.blocks + 1) + self.example // BLOCK, np.arange(n_terms * (self.blocks + 1) + 1)).reshape(-1)
-        np.maximum.at(self.bound, (term, self.example // BLOCK), self.weight)
-
-    def floor(self, entries: np.ndarray, sims: np.ndarray, k: int) -> float:
-        """Similarity of the k-th nearest example among some entries, 0 if they hold fewer."""
-        if len(sims) > k:  # an entry is one example at least
-            top = np.argpartition(-sims, k - 1)[:k]
-            entries, sims = entries[top], sims[top]
-        order = np.argsort(-sims, kind="stable")
-        enough = np.searchsorted(np.cumsum(self.n[entries[order]]), k)
-        return float(sims[order[enough]]) if enough < len(order) else 0.0
-
-    def nearest(self, terms: tuple[int, ...], weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Entries and cosines of the k nearest examples (all that tie with the last), above zero.
-
-        The block of highest bound is scored first; of the others only those are whose bound reaches the
-        k-th similarity found there. Postings of other blocks are not read, unless those that are left are so many
-        that reading on is cheaper.
+    def __init__(self, doc_id: np.ndarray, toxic: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, prior: float):
+        """Posting i says that vector ``owner[i]`` has ``weight[i]`` at ``term[i]``."""
+        self.prior, n = prior, len(doc_id)
+        lists = np.bincount(term, minlength=n_terms)
+
+        def leading(order: np.ndarray) -> np.ndarray:
+            """The term that comes first for each vector."""
+            out = np.zeros(n, np.int64)
+            at = order[np.unique(owner[order], return_index=True)[1]]
+            out[owner[at]] = term[at]
+            return out
+
+        # by the commonest term, which tells languages apart, then the weightiest of those in long lists, then size
+        common, weighty = leading(np.lexsort((-lists[term], owner))), np.lexsort((-weight, owner))
+        order = np.lexsort((doc_id, np.bincount(owner, minlength=n), leading(weighty[lists[term[weighty]] >= LONG_LIST]), common))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        self.doc_id, self.toxic = doc_id[order], toxic[order].astype(float)
+        entry = place[owner]
+        by = np.argsort(term * max(1, n) + entry)
+        self.example, self.weight = entry[by].astype(np.int32), weight[by].astype(np.float32)
+        self.begin = np.concatenate(([0], np.cumsum(lists)))
+        self.blocks = -(-n // BLOCK)
+        long = np.flatnonzero(lists >= LONG_LIST)
+        self.long = np.full(n_terms, -1, np.int32)
+        self.long[long] = np.arange(len(long))
+        most = np.argsort(-lists[long], kind="stable")[:MOST_FULL]
+        most = most[lists[long[most]] * FULL_LIST >= n]
+        self.full = np.full(len(long), -1, np.int32)
+        self.full[most] = np.arange(len(most))
+        self.full_weight = np.zeros((len(most), n), np.float32)
+        for k, t in enumerate(long[most]):
+            lo, hi = self.begin[t], self.begin[t + 1]
+            self.full_weight[k, self.example[lo:hi]] = self.weight[lo:hi]
+        self.bound = np.zeros((len(long), self.blocks), np.float32)
+        self.block_begin = np.zeros((len(long), self.blocks + 1), np.int64)
+        for k, t in enumerate(long):
+            lo, hi = self.begin[t], self.begin[t + 1]
+            np.maximum.at(self.bound[k], self.example[lo:hi] // BLOCK, self.weight[lo:hi])
+            self.block_begin[k] = lo + np.searchsorted(self.example[lo:hi], np.arange(self.blocks + 1) * BLOCK)
+        self.read = self.scored = 0  # postings read one by one, and blocks scored
+
+    def add(self, score: np.ndarray, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> None:
+        """Add the products of the postings in these ranges to their examples' scores."""
+        n = end - begin
+        total = int(n.sum())
+        if total:
+            at = np.repeat((begin - np.cumsum(n) + n).astype(np.int32), n) + np.arange(total, dtype=np.int32)
+            score += np.bincount(self.example[at], np.repeat(weights.astype(np.float32), n) * self.weight[at], minlength=len(score))
+            self.read += total
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Entries and cosines of the k nearest examples (all that tie with the last), above zero, but for that of doc_id ``without``.
+
+        Short lists are read first. The blocks of highest bound, by what their examples have so far and the
+        long lists' maxima, are scored next, and of the others only those whose bound reaches the k-th similarity found.
         """
-        if not terms or not self.blocks:
+        k_th = k + (without is not None)
+        score = np.zeros(len(self.doc_id))
+        if not len(terms) or not len(score):
             return np.empty(0, np.int64), np.empty(0)
-        upper = weights @ self.bound[list(terms)]
-        rows = np.array(terms) * (self.blocks + 1)
-
-        def scored(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            at = np.concatenate([self.example[lo:hi] for lo, hi in zip(begin, end, strict=True)])
-            gain = np.concatenate([w * self.weight[lo:hi] for w, lo, hi in zip(weights, begin, end, strict=True)])
-            return summed(at, gain)
-
-        def summed(at: np.ndarray, gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            score = np.bincount(at, gain, minlength=len(self.n))
-            found = np.flatnonzero(score > 0)
-            return found, score[found]
-
-        best = rows + int(np.argmax(upper))
-        floor = self.floor(*scored(self.begin[best], self.begin[best + 1]), k)
-        live = np.flatnonzero(upper >= floor - 1e-9)
-        if len(live) * FEW_LIVE < self.blocks:
-            block = (rows[:, None] + live).ravel()
-            begin, n = self.begin[block], self.begin[block + 1] - self.begin[block]
-            posting = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
-            e, s = summed(self.example[posting], np.repeat(np.repeat(weights, len(live)), n) * self.weight[posting])
-        else:
-            e, s = scored(self.begin[rows], self.begin[rows + self.blocks])
-        keep = s >= self.floor(e, s, k) - 1e-9
-        order = np.lexsort((self.doc_id[e[keep]], -np.round(s[keep], 9)))
-        return e[keep][order], np.minimum(1.0, s[keep][order])
-
-    def score(self, terms: tuple[int, ...], weights: np.ndarray) -> tuple[float, list[int]]:
+        long = self.long[terms]
+        short = terms[long < 0]
+        self.add(score, self.begin[short], self.begin[short + 1], weights[long < 0])
+        long, weights = long[long >= 0], weights[long >= 0]
+        if len(long):
+            upper = np.maximum.reduceat(score, np.arange(self.blocks) * BLOCK) + (weights[:, None] * self.bound[long]).sum(0)
+            full = self.full[long]
+            at_full = np.zeros(len(self.full_weight), np.float32)
+            at_full[full[full >= 0]] = weights[full >= 0]
+            partly, part_weights = long[full < 0], weights[full < 0]
+            done = np.zeros(self.blocks, bool)
+            live = np.argpartition(-upper, FIRST_BLOCKS)[:FIRST_BLOCKS] if self.blocks > FIRST_BLOCKS else np.arange(self.blocks)
+            while len(live):
+                # runs of such blocks, with what lies between two near ones
+                live = np.sort(live)
+                cut = np.flatnonzero((np.diff(live) > GAP) | (np.add.reduceat(done, live)[:-1] > 0 if len(live) > 1 else False))
+                start, end = live[np.concatenate(([0], cut + 1))], live[np.concatenate((cut, [len(live) - 1]))] + 1
+                self.add(score, self.block_begin[partly[:, None], start].ravel(), self.block_begin[partly[:, None], end].ravel(), np.repeat(part_weights, len(start)))
+                for lo, hi in zip(start.tolist(), end.tolist(), strict=True):
+                    done[lo:hi] = True
+                    score[lo * BLOCK : hi * BLOCK] += np.einsum("k,kn->n", at_full, self.full_weight[:, lo * BLOCK : hi * BLOCK])
+                floor = self.floor(score[np.repeat(done, BLOCK)[: len(score)]], k_th)
+                live = np.flatnonzero(~done & (upper >= floor - 1e-6))
+            self.scored += int(done.sum())
+            score[~np.repeat(done, BLOCK)[: len(score)]] = 0.0
+        if without is not None:
+            score[self.doc_id == without] = 0.0
+        found = np.flatnonzero(score > 0)
+        found = found[score[found] >= self.floor(score[found], k) - 1e-6]
+        found = found[np.lexsort((self.doc_id[found], -np.round(score[found], 6)))]
+        return found, np.minimum(1.0, score[found])
+
+    @staticmethod
+    def floor(scores: np.ndarray, k: int) -> float:
+        """The k-th highest score, 0 if there are fewer."""
+        return float(-np.partition(-scores, k - 1)[k - 1]) if len(scores) >= k else 0.0
+
+    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int | None = None) -> tuple[float, list[int]]:
         """Share of toxic among the neighbours, weighted by 1 / distance, and the nearest examples' ids."""
-        at, sims = self.nearest(terms, weights)
-        if not len(at):
-            return self.plain, []
-        vote = 1 / (1 - sims + SOFT) * SOFT
-        return float((vote * self.toxic[at]).sum() + PRIOR * self.prior) / float((vote * self.n[at]).sum() + PRIOR), [int(i) for i in self.doc_id[at[:3]]]
+        at, sims = self.nearest(terms, weights, without=without)
+        weight = 1 / (1 - sims + SOFT) * SOFT
+        return float((weight * self.toxic[at]).sum() + PRIOR * self.prior) / float(weight.sum() + PRIOR), [int(i) for i in self.doc_id[at[:3]]]
+
+
+class Calibration:
+    """A rising step function from votes to the share of toxic examples that got such votes (isotonic regression)."""
+
+    def __init__(self, votes: np.ndarray, toxic: np.ndarray, prior: float):
+        order = np.lexsort((toxic, votes))
+        edges, first = np.unique(votes[order], return_index=True)
+        n = np.diff(np.append(first, len(order))).astype(float)
+        bad = np.add.reduceat(toxic[order].astype(float), first) if len(first) else np.empty(0)
+        pools: list[list[float]] = []  # sum of votes, examples, toxic ones
+        for edge, a, b in zip(edges.tolist(), n.tolist(), bad.tolist(), strict=True):
+            pools.append([edge * a, a, b])
+            while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
+                last = pools.pop()
+                pools[-1] = [x + y for x, y in zip(pools[-1], last, strict=True)]
+        self.votes = np.array([p[0] / p[1] for p in pools])
+        self.share = np.array([(p[2] + PRIOR * prior) / (p[1] + PRIOR) for p in pools])
+        self.prior = prior
+
+    def __call__(self, votes: np.ndarray) -> np.ndarray:
+        """Between two pools' mean votes the share rises evenly."""
+        return np.interp(votes, self.votes, np.maximum.accumulate(self.share)) if len(self.votes) else np.full(len(votes), self.prior)
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors, BlockMaxIndex, Calibration]:
+    """Vocabulary with weights, index of the examples, and calibration by the votes that each example gets from the others."""
+    examples = materialize(examples_of(docs, labels, learn_from), "examples")
+    total, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    prior = toxic / total if total else 0.0
+    prefixes = label_prefixes(examples, total, toxic) if 0 < toxic < total else np.empty(0, np.uint64)
+
+    def count(batches):
+        hasher, chosen = TermHasher(), HashTable(prefixes)
+        for batch in batches:
+            found = []
+            for text in batch["text"]:
+                words, more = hasher.of(text)
+                found.append(np.unique(np.concatenate((words, prefixes[chosen.places(more)])), return_counts=True))
+            yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "size": [len(t) for t, _ in found], "terms": [t.tobytes() for t, _ in found], "counts": [n.astype(np.int32).tobytes() for _, n in found]}
+
+    counted = materialize(map_batches(examples.select("doc_id", "toxic", "text"), "doc_id long, toxic int, size long, terms binary, counts binary", count), "example-terms")
+    sizes = counted.select("doc_id", "size").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # at most MOST_EXAMPLES rows
+    within = np.cumsum(sizes.column("size").to_numpy()) <= MOST_POSTINGS
+    if not within.all():
+        fits = docs.sparkSession.createDataFrame([(int(i),) for i in sizes.column("doc_id").to_numpy()[within]], "doc_id long")
+        counted = counted.join(F.broadcast(fits), "doc_id", "left_semi")
+    table = counted.orderBy("doc_id").toArrow()  # at most MOST_POSTINGS terms in all
+    ids, label = table.column("doc_id").to_numpy(), table.column("toxic").to_numpy()
+    hashes = np.frombuffer(b"".join(table.column("terms").to_pylist()), np.uint64)
+    n = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
+    owner = np.repeat(np.arange(len(ids)), table.column("size").to_numpy())
+    del table
+    terms, term = np.unique(hashes, return_inverse=True)
+    del hashes
+    n_docs, df = document_counts(docs, terms, prefixes)
+    have = np.bincount(term, minlength=len(terms)).astype(float)
+    bad = np.bincount(term, label[owner].astype(float), minlength=len(terms))
+    goes = (have >= LEAST_DOCS) & (bad > have * prior)
+    if 0 < toxic < total:
+        goes[goes] = g2(have[goes], bad[goes], total, toxic) >= LEAST_G2
+    weight = np.log((1 + n_docs) / (1 + df)) * np.where(goes, 1.0, OTHERS)
+    w = (1 + np.log(n)) * weight[term]
+    norm = np.sqrt(np.bincount(owner, w * w, minlength=len(ids)))
+    index = BlockMaxIndex(ids, label, owner, term, w / np.maximum(norm[owner], 1e-300), len(terms), prior)
+    vectors = Vectors(terms, prefixes, weight)
+
+    model = docs.sparkSession.sparkContext.broadcast((vectors, index))
+
+    def others(batches):
+        known, found = model.value
+        for batch in batches:
+            yield {"vote": [found.vote(*known.of(t), without=i)[0] for i, t in zip(batch["doc_id"], batch["text"], strict=True)], "toxic": batch["toxic"]}
+
+    votes = map_batches(examples.select("doc_id", "text", "toxic"), "vote double, toxic int", others).toArrow()  # at most MOST_EXAMPLES rows
+    return model, Calibration(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy(), prior)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, threshold: float = 0.7) -> DataFrame:
     """Toxicity of each whole text by its nearest labelled examples.
 
-    ``learn_from`` marks the rows of ``labels`` that may be learnt from. At most MOST_EXAMPLES of them (least
-    hash of the id) choose up to MOST_TERMS terms, words and word prefixes that go with the label, and are
-    the examples; IDF covers all documents. Returns doc_id, score, predicted (1 from the threshold on) and
-    evidence, the ids of the nearest examples. Texts without any chosen term (null and empty ones too) get
-    the share among such examples, as do all texts when no label could be learnt. Labels that are null, or of
-    ids without a document, are not used; an id labelled twice counts as toxic if one label says so; repeated
-    rows of a document give repeated rows and count once as an example.
+    ``learn_from`` marks the rows of ``labels`` that may be learnt from; at most MOST_EXAMPLES of them (least
+    hash of the id, as far as they have no more than MOST_POSTINGS terms together) are the examples. A text's
+    vector holds all its words that an example has, and word prefixes that go with the label (G2); words that do
+    not go with it weigh OTHERS as much. IDF covers all documents. The share of toxic among the
+    neighbours, each weighing 1 / distance, becomes a probability by isotonic regression over the votes that
+    the examples get from one another. Returns doc_id, score, predicted (1 from the threshold on), vote and
+    evidence, the ids of the nearest examples. Texts without any known word (null and empty ones too) have no
+    neighbours and get the score of the label's share, as do all texts when no label could be learnt. Labels
+    that are null, or of ids without a document, are not used; an id labelled twice counts as toxic if one label
+    says so, and one with several texts has the least; repeated rows of a document give repeated rows and count once
+    as an example. Examples of equal similarity all vote. Very long texts are hashed piece by piece.
     """
-    examples = examples_of(docs, labels, learn_from)
-    stands_for, prior, _ = vocabulary_of(examples)
-    vocabulary = list(stands_for)
-    # a term that stands for m equal ones adds m times its product to a cosine
-    idf = idf_of(docs, vocabulary) * np.sqrt(list(stands_for.values())) if vocabulary else np.empty(0)
-
-    def vectorize(batches):
-        vectors = Vectors(vocabulary, idf)
-        for batch in batches:
-            terms, weights = zip(*map(vectors.of, batch["text"]), strict=True)
-            yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [list(t) for t in terms], "weights": [w.tolist() for w in weights]}
-
-    # at most MOST_EXAMPLES rows of chosen terms
-    rows = map_batches(examples.select("doc_id", "text", "toxic"), "doc_id long, toxic int, terms array<int>, weights array<double>", vectorize).orderBy("doc_id").collect()
-    index = docs.sparkSession.sparkContext.broadcast(BlockMaxIndex([(r["doc_id"], tuple(r["terms"]), np.array(r["weights"]), r["toxic"]) for r in rows], len(vocabulary), prior))
+    model, calibration = fit(docs, labels, learn_from)
 
     def run(batches):
-        vectors, known = Vectors(vocabulary, idf), index.value
+        vectors, known = model.value
         for batch in batches:
-            found = [known.score(*vectors.of(t)) for t in batch["text"]]
-            yield {"doc_id": batch["doc_id"], "score": [s for s, _ in found], "predicted": [int(s >= threshold) for s, _ in found], "evidence": [e for _, e in found]}
+            found = [known.vote(*vectors.of(t)) for t in batch["text"]]
+            scores = calibration(np.array([v for v, _ in found]))
+            yield {"doc_id": batch["doc_id"], "score": scores, "predicted": (scores >= threshold).astype(np.int32), "vote": [v for v, _ in found], "evidence": [e for _, e in found]}
 
-    return map_batches(texts(docs), "doc_id long, score double, predicted int, evidence array<long>", run)
+    return map_batches(texts(docs), "doc_id long, score double, predicted int, vote double, evidence array<long>", run)

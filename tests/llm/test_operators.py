@@ -23,7 +23,7 @@ from pricegrain.llm.language_id import PROFILE, predict_language
 from pricegrain.llm.mixing import mix
 from pricegrain.llm.repeats import LENGTH, remove_repeats, repeated_by_window
 from pricegrain.llm.tokens import token_counts
-from pricegrain.llm.toxicity import BlockMaxIndex, score_toxicity, vocabulary_of
+from pricegrain.llm.toxicity import BlockMaxIndex, score_toxicity
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, labels string, at long, range long"
@@ -107,53 +107,107 @@ def test_language_on_odd_rows(spark):
 # --- 2: toxicity
 
 
-def test_block_max_index_is_exact():
+def index_of(vectors, labels, n_terms, prior=0.3):
+    owner = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+    term, weight = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
+    return BlockMaxIndex(np.arange(len(vectors)), np.array(labels), owner, term.astype(np.int64), weight, n_terms, prior)
+
+
+@pytest.mark.parametrize(("lists", "full"), [(1, 0), (1, 5), (40, 5), (10**6, 0)])
+def test_block_max_index_is_exact(monkeypatch, lists, full):
+    monkeypatch.setattr(toxicity, "LONG_LIST", lists)
+    monkeypatch.setattr(toxicity, "MOST_FULL", full)
     rng = np.random.default_rng(1)
-    data = []
-    for i in range(700):
-        terms = np.sort(rng.choice(60, rng.integers(0, 7), replace=False))
-        w = rng.random(len(terms))
-        data.append((i, tuple(terms.tolist()), w / (np.linalg.norm(w) or 1), int(rng.random() < 0.3)))
-    index = BlockMaxIndex(data, 60, 0.3)
-    dense = np.zeros((700, 60))
-    for i, t, w, _ in data:
-        dense[i, list(t)] = w
-    for _ in range(50):
-        terms = np.sort(rng.choice(60, 4, replace=False))
-        w = rng.random(4)
-        w /= np.linalg.norm(w)
-        q = np.zeros(60)
-        q[terms] = w
-        sims = dense @ q
-        at, got = index.nearest(tuple(terms.tolist()), w, 10)
-        want = np.sort(sims[sims > 0])[::-1][:10]
-        assert np.allclose(np.repeat(got, index.n[at].astype(int))[: len(want)], want)
-
-
-def test_skipped_blocks_are_exact(monkeypatch):
-    rng = np.random.default_rng(2)
-    data = []
-    for i in range(4000):  # groups of examples with terms of their own, and a common one
-        terms = np.unique(np.append(rng.integers(0, 40) * 5 + rng.choice(5, 2, replace=False), 200))
-        w = rng.random(len(terms)) * np.where(terms == 200, 0.2, 1)
-        data.append((i, tuple(terms.tolist()), w / np.linalg.norm(w), int(rng.random() < 0.3)))
-    index = BlockMaxIndex(data, 201, 0.3)
+    vectors = []
+    for _ in range(1500):  # groups with terms of their own, and common ones
+        terms = np.unique(np.concatenate((rng.integers(0, 40) * 5 + rng.choice(5, 2), rng.choice(np.arange(200, 206), 3))))
+        w = rng.random(len(terms)) * np.where(terms >= 200, 0.2, 1)
+        vectors.append((terms, w / np.linalg.norm(w)))
+    vectors.append((np.empty(0, np.int64), np.empty(0)))
+    labels = (rng.random(len(vectors)) < 0.3).astype(int)
+    index = index_of(vectors, labels, 206)
+    dense = np.zeros((len(vectors), 206))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
     for g in range(40):
-        terms = (5 * g, 5 * g + 3, 200)
-        w = np.array([0.6, 0.79, 0.05])
-        got = [r.tolist() for r in index.nearest(terms, w, 10)]
-        sims = np.array([sum(w[terms.index(t)] * x for t, x in zip(e, v, strict=True) if t in terms) for _, e, v, _ in data])
-        assert np.allclose(got[1][:10], np.sort(sims)[::-1][:10])
-        with monkeypatch.context() as m:
-            m.setattr(toxicity, "FEW_LIVE", 10**6)  # all is read
-            assert [r.tolist() for r in index.nearest(terms, w, 10)][0] == got[0]
+        terms = np.array([5 * g, 5 * g + 3, 200, 204])
+        w = np.array([0.6, 0.79, 0.1, 0.05])
+        sims = dense[:, terms] @ w
+        for without in (None, int(np.argmax(sims))):
+            at, got = index.nearest(terms, w, 10, without)
+            if without is not None:
+                sims[without] = 0
+            want = np.sort(sims[sims > 0])[::-1]
+            assert np.allclose(got, want[: len(got)], atol=1e-5) and len(got) >= min(10, len(want))
+            assert without not in index.doc_id[at]
+    if lists == 1:
+        assert index.scored < 0.6 * 80 * index.blocks  # blocks that cannot matter are not scored
+
+
+def test_isotonic_calibration():
+    rng = np.random.default_rng(3)
+    votes = np.round(rng.random(3000), 2)
+    toxic = (rng.random(3000) < votes**2).astype(int)
+    c = toxicity.Calibration(votes, toxic, 0.3)
+    assert np.all(np.diff(c(np.linspace(0, 1, 200))) >= 0)
+    for lo in (0.1, 0.4, 0.7):
+        inside = (votes >= lo) & (votes < lo + 0.2)
+        assert abs(c(votes[inside]).mean() - toxic[inside].mean()) < 0.03
+    assert toxicity.Calibration(np.empty(0), np.empty(0), 0.2)(np.array([0.5])).tolist() == [0.2]
+
+
+def plain_scores(texts, tags, learn):
+    """Votes by dense cosine over all words of the examples, without any index."""
+    words = lambda t: re.findall(r"[0-9a-z\x80-\uffff]+", (t or "").lower())
+    examples = [(i, t) for i, t in texts.items() if i in tags and learn(i)]
+    toxic = sum(tags[i] for i, _ in examples)
+    prior = toxic / len(examples)
+    features = lambda t: Counter(words(t)) + Counter(f"{w.encode()[:n]}*{n}" for w in words(t) for n in toxicity.PREFIXES if len(w.encode()) > n)
+    have, bad = Counter(), Counter()
+    for i, t in examples:
+        have.update(set(features(t)))
+        if tags[i]:
+            bad.update(set(features(t)))
+    goes = {f for f in have if have[f] >= toxicity.LEAST_DOCS and bad[f] > have[f] * prior and toxicity.g2(np.array([have[f] * 1.0]), np.array([bad[f] * 1.0]), len(examples), toxic)[0] >= toxicity.LEAST_G2}
+    known = {f for f in have if "*" not in f or f in goes}
+    df = Counter(f for t in texts.values() for f in set(features(t)) & known)
+    place = {f: k for k, f in enumerate(sorted(known))}
+
+    def vector(t):
+        v = np.zeros(len(place))
+        for f, n in features(t).items():
+            if f in place:
+                v[place[f]] = (1 + math.log(n)) * math.log((1 + len(texts)) / (1 + df[f])) * (1 if f in goes else toxicity.OTHERS)
+        return v / (np.linalg.norm(v) or 1)
+
+    matrix = np.array([vector(t) for _, t in examples])
+    labels = np.array([tags[i] for i, _ in examples], float)
+    out = {}
+    for i, t in texts.items():
+        s = matrix @ vector(t)
+        top = np.sort(s)[::-1][: toxicity.NEIGHBOURS]
+        at = np.flatnonzero((s >= top[-1] - 1e-6) & (s > 1e-12))
+        weight = toxicity.SOFT / (1 - np.minimum(1, s[at]) + toxicity.SOFT)
+        out[i] = ((weight * labels[at]).sum() + toxicity.PRIOR * prior) / (weight.sum() + toxicity.PRIOR)
+    return out
 
 
-def test_rare_toxic_words_are_learnt_in_a_large_vocabulary(spark):
+def test_toxicity_matches_brute_force(spark, monkeypatch):
     rng = random.Random(9)
-    data = [(" ".join(rng.choice(WORDS) for _ in range(40)) + (" vqx" if i < 3 else ""), int(i < 30)) for i in range(260)]
-    terms, _, n = vocabulary_of(spark.createDataFrame(data, "text string, toxic int"))
-    assert n == 260 and "vqx" in terms  # in three toxic rows only: a G2 of 13.3, under twice the logarithm of all candidates
+    texts, tags = {}, {}
+    for i in range(300):
+        words = [rng.choice(WORDS) for _ in range(rng.randint(1, 40))]
+        tags[i] = int(i % 6 == 0)
+        if tags[i]:
+            words.insert(0, rng.choice(["vilehead", "vileness", "grub", "dunce"]))
+        texts[i] = " ".join(words)
+    texts[300], texts[301] = "", "no known words"
+    docs = rows(spark, list(texts.values()), ids=list(texts))
+    labels = spark.createDataFrame([(i, 1, t) for i, t in tags.items()], "doc_id long, quality int, toxic int")
+    got = by_id(score_toxicity(docs, labels, F.col("doc_id") % 3 != 1))
+    want = plain_scores(texts, tags, lambda i: i % 3 != 1)
+    for i in texts:
+        assert got[i]["vote"] == pytest.approx(want[i], abs=1e-4), i
 
 
 def test_toxicity_finds_held_out_words(spark):
@@ -679,10 +733,3 @@ def test_multinomial_draws_and_slots(spark):
         uses = Counter(r["block"] for r in own)
         assert set(uses) == set(range(plan[i]["blocks"])) and set(uses.values()) <= {1, 2}
     assert Counter(r["shard"] for r in slots) == per_shard
-
-
-def test_terms_of_equal_documents_are_one():
-    from pricegrain.llm.toxicity import without_doubles
-
-    chosen = [("trash", 9), ("tras*", 9), ("tras**", 2), ("path*", 9), ("achl*", 7), ("achli*", 7), ("achlic*", 6), ("achl**", 7), ("word", 9)]
-    assert without_doubles(chosen) == {"trash": 2, "tras**": 1, "path*": 1, "achli*": 2, "achlic*": 1, "achl**": 1, "word": 1}
