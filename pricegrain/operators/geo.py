@@ -18,6 +18,8 @@ def checkpoint(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         return df.persist()
     path = f"{folder}/pricegrain/geo-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -63,80 +65,79 @@ def sampling_points(boxes: DataFrame, min_population: int = 10_000, spacing_km:
     return g.select("label", F.when(small, F.col("mid_lat")).otherwise(F.col("south") + F.col("i") * step_lat).alias("lat"), F.when(small, F.col("mid_lon")).otherwise(F.col("west") + F.col("j") * step_lon).alias("lon"))
 
 
-def dedup_points(points: DataFrame, radius_km: float = 4, most_rounds: int = 50) -> DataFrame:
+def dedup_points(points: DataFrame, radius_km: float = 4) -> DataFrame:
     """Greedy dedup in order of population: a point stays unless one that stays is nearer than the radius.
 
     Each round keeps every open point without an open neighbour before it, and drops the neighbours of those;
-    the fixpoint equals the greedy result. ``points`` has id, lat, lon, population.
+    the fixpoint equals the greedy result. Rounds go on until no point is open: each settles at least the first
+    of those that are. ``points`` has id, lat, lon, population.
     """
     first = F.struct(-F.col("population"), F.col("id"))
     near = near_pairs(points, points, radius_km).filter((F.col("a_id") != F.col("b_id")) & (F.col("km") < radius_km)).select("a_id", "b_id")
     rank = points.select("id", first.alias("rank"))
     before = checkpoint(near.join(rank.withColumnsRenamed({"id": "a_id", "rank": "ra"}), "a_id").join(rank.withColumnsRenamed({"id": "b_id", "rank": "rb"}), "b_id").filter("rb < ra").select("a_id", "b_id"))
     open_, kept = points.select("id"), None
-    for _ in range(most_rounds):
+    while kept is None or open_.head(1):
         waiting = before.join(open_.withColumnRenamed("id", "a_id"), "a_id").join(open_.withColumnRenamed("id", "b_id"), "b_id").select(F.col("a_id").alias("id")).distinct()
         now = checkpoint(open_.join(waiting, "id", "left_anti"))
         kept = now if kept is None else checkpoint(kept.unionByName(now))
         gone = before.join(now.withColumnRenamed("id", "b_id"), "b_id").select(F.col("a_id").alias("id")).distinct()
         open_ = checkpoint(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"))
-        if not open_.head(1):
-            break
     return points.join(kept, "id", "left_semi").select("id", "lat", "lon")
 
 
-def component_labels(pairs: DataFrame, nodes: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """id, component: the smallest id that pairs (a_id, b_id) reach; minima spread and jump each round."""
-    both = checkpoint(pairs.select("a_id", "b_id").unionByName(pairs.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"))).distinct())
-    label = nodes.select("id", F.col("id").alias("component"))
-    state = None
-    for _ in range(most_rounds):
-        near = both.join(label.select(F.col("id").alias("b_id"), "component"), "b_id").groupBy(F.col("a_id").alias("id")).agg(F.min("component").alias("m"))
-        label = label.join(near, "id", "left").select("id", F.least("component", F.coalesce("m", "component")).alias("component"))
-        jump = label.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        label = checkpoint(label.join(jump, "component").select("id", F.col("up").alias("component")))
-        now = label.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
-        if now == state:
-            break
-        state = now
-    return label
-
-
-def store_clusters(stores: DataFrame, radius_m: float = 5000, min_radius_m: float = 1250, max_per_cluster: int = 50) -> DataFrame:
-    """Anchors that cover all stores: greedily the store that covers most, the radius halved while it covers too many.
+def greedy_cover(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """grp, anchor_id, member_id: greedy set cover of each group by points that stand for ``w`` stores.
 
-    Stores of different connected components cannot cover each other, so each component is covered on its
-    own; components wider than one task are first cut by a coarse grid of 20 radii, which can only add anchors.
+    ``nodes`` has grp, id, w; ``pairs`` all (grp, a_id, b_id) of neighbours in a group. Greedily the point that
+    covers most uncovered stores, the least id on ties, becomes an anchor; its cover lists itself and all
+    neighbours, those covered before too. Each round picks at once every open point that comes before all
+    others at most two steps away, which no other pick can change: the greedy order's own picks.
+    """
+    open_, anchors = nodes.select("grp", "id", "w"), None
+    while anchors is None or open_.head(1):
+        near = pairs.join(open_.select("grp", F.col("id").alias("a_id"), F.col("w").alias("a_w")), ["grp", "a_id"]).join(open_.select("grp", F.col("id").alias("b_id"), F.col("w").alias("b_w")), ["grp", "b_id"])
+        reach = near.groupBy("grp", F.col("a_id").alias("id")).agg(F.sum("b_w").alias("more"))
+        # stores at the point itself count as well, so that points of different weight compare as stores do
+        score = checkpoint(open_.join(reach, ["grp", "id"], "left").select("grp", "id", F.struct((F.col("w") - 1 + F.coalesce("more", F.lit(0))).alias("n"), (-F.col("id")).alias("first")).alias("score")))
+        best = score
+        for _ in range(2):
+            around = near.select("grp", "a_id", "b_id").join(best.select("grp", F.col("id").alias("b_id"), "score"), ["grp", "b_id"]).groupBy("grp", F.col("a_id").alias("id")).agg(F.max("score").alias("other"))
+            best = best.join(around, ["grp", "id"], "left").select("grp", "id", F.greatest("score", F.coalesce("other", "score")).alias("score"))
+        now = checkpoint(score.join(best.withColumnRenamed("score", "top"), ["grp", "id"]).filter("score = top").select("grp", "id"))
+        gone = now.unionByName(pairs.join(now.withColumnRenamed("id", "a_id"), ["grp", "a_id"]).select("grp", F.col("b_id").alias("id"))).distinct()
+        anchors = now if anchors is None else checkpoint(anchors.unionByName(now))
+        open_ = checkpoint(open_.join(gone, ["grp", "id"], "left_anti"))
+    covers = pairs.join(anchors.withColumnRenamed("id", "a_id"), ["grp", "a_id"]).select("grp", F.col("a_id").alias("anchor_id"), F.col("b_id").alias("member_id"))
+    return covers.unionByName(anchors.select("grp", F.col("id").alias("anchor_id"), F.col("id").alias("member_id")))
+
+
+def store_clusters(stores: DataFrame, radius_m: int = 5000, min_radius_m: int = 1250, max_per_cluster: int = 50) -> DataFrame:
+    """anchor_id, store_id, radius_m: clusters around anchors that together cover all stores.
+
+    A greedy set cover at ``radius_m``; each cluster of more than ``max_per_cluster`` stores is covered anew,
+    among its own stores, at half the radius, as long as that is no less than ``min_radius_m``. A store can be in several
+    clusters. Stores of equal coordinates are handled as one point, the least id, so dense places make no pairs among themselves.
     """
-    import pandas as pd
-
-    pairs = near_pairs(stores, stores, radius_m / 1000)
-    grid = 20 * radius_m / 1000 / DEGREE_KM
-    label = component_labels(pairs.filter("a_id <> b_id"), stores)
-    g = stores.select("id", "lat", "lon").join(label, "id").withColumns({"gr": F.floor(F.col("lat") / grid), "gc": F.floor(F.col("lon") / grid)})
-
-    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        lat, lon = np.radians(pdf["lat"].to_numpy()), np.radians(pdf["lon"].to_numpy())
-        left, out = np.ones(len(pdf), bool), []
-
-        def reach(i: int, r: float) -> np.ndarray:
-            h = np.sin((lat - lat[i]) / 2) ** 2 + np.cos(lat[i]) * np.cos(lat) * np.sin((lon - lon[i]) / 2) ** 2
-            return (2 * 6371000.0 * np.arcsin(np.sqrt(np.minimum(1, h))) <= r) & left
-
-        while left.any():
-            size = [int(reach(i, radius_m).sum()) if left[i] else 0 for i in range(len(pdf))]
-            best, r = int(np.argmax(size)), radius_m
-            while reach(best, r).sum() > max_per_cluster and r > min_radius_m:
-                r /= 2
-            got = np.flatnonzero(reach(best, r))
-            out += [(int(pdf["id"][best]), int(pdf["id"][i]), r) for i in got]
-            left[got] = False
-        return pd.DataFrame(out, columns=["anchor_id", "store_id", "radius_m"])
-
-    return g.groupBy("component", "gr", "gc").applyInPandas(cover, "anchor_id long, store_id long, radius_m double")
+    points = checkpoint(stores.groupBy("lat", "lon").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w")))
+    near = checkpoint(near_pairs(points, points, radius_m / 1000).filter("a_id <> b_id"))
+    nodes = points.select(F.lit(-1).cast("long").alias("grp"), "id", "w")
+    done = None
+    while True:
+        inside = near.filter(F.col("km") * 1000 <= radius_m)
+        pairs = inside.join(nodes.select("grp", F.col("id").alias("a_id")), "a_id").join(nodes.select(F.col("grp").alias("g"), F.col("id").alias("b_id")), "b_id").filter("grp = g").select("grp", "a_id", "b_id")
+        covers = checkpoint(greedy_cover(nodes, checkpoint(pairs)).join(points.select(F.col("id").alias("member_id"), "w"), "member_id"))
+        size = covers.groupBy("grp", "anchor_id").agg((F.sum("w") > max_per_cluster).alias("large"))
+        split = radius_m // 2 >= min_radius_m
+        judged = covers.join(size, ["grp", "anchor_id"]).withColumn("large", F.col("large") & F.lit(split))
+        part = judged.filter(~F.col("large")).select("anchor_id", "member_id", F.lit(radius_m).cast("long").alias("radius_m"))
+        done = part if done is None else done.unionByName(part)
+        nodes = checkpoint(judged.filter("large").select(F.xxhash64("grp", "anchor_id").alias("grp"), F.col("member_id").alias("id"), "w"))
+        if not nodes.head(1):
+            break
+        radius_m //= 2
+    at = stores.select(F.col("id").alias("store_id"), "lat", "lon").join(points.select("lat", "lon", F.col("id").alias("member_id")), ["lat", "lon"])
+    return done.distinct().join(at, "member_id").select("anchor_id", "store_id", "radius_m")
 
 
 def nearby_stores(stores: DataFrame, lat: float, lon: float, radius_km: float = 5, network: str | None = None, limit: int = 200) -> DataFrame:

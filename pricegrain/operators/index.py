@@ -53,11 +53,14 @@ def promo_effectiveness(ps: DataFrame, min_products: int = 5, exclude: tuple = (
     return g.select("network", "promo_products", "genuinely_cheap", half_up(F.lit(100.0) * F.col("genuinely_cheap") / F.col("promo_products"), 1).alias("pct_genuinely_cheap"), half_up(F.col("r").cast("double") / F.col("promo_products") / 1e4, 1).alias("avg_promo_vs_market_min_pct"))
 
 
-def store_price_index(ps: DataFrame, min_stores: int = 50, top_products: int = 200, min_priced: int = 20, limit: int = 120) -> DataFrame:
-    """Stores by average price over the most stocked products, cheapest first."""
-    top = ps.groupBy("product_id").agg(F.countDistinct("store_id").alias("n")).filter(F.col("n") >= min_stores).orderBy(F.desc("n"), "product_id").limit(top_products)
-    g = ps.join(F.broadcast(top.select("product_id")), "product_id", "left_semi").groupBy("store_id", "network").agg(mean_cents().alias("avg_price"), F.countDistinct("product_id").alias("products_priced")).filter(F.col("products_priced") >= min_priced)
-    return g.orderBy("avg_price", "store_id").limit(limit)
+def store_price_index(cs: DataFrame, exclude: tuple = (), min_stores: int = 50, top_products: int = 200, min_priced: int = 20, limit: int = 120, cheapest: int = 100, priciest: int = 20) -> DataFrame:
+    """Stores by average price over the most stocked products of the snapshot, the cheapest and the priciest of the first ``limit`` marked."""
+    top = cs.groupBy("product_id").agg(F.countDistinct("store_id").alias("n")).filter(F.col("n") >= min_stores).orderBy(F.desc("n"), "product_id").limit(top_products)
+    priced = cs.filter((F.col("cents") > 0) & (F.col("network").isNull() | ~F.col("network").isin(*exclude)))
+    g = priced.join(F.broadcast(top.select("product_id")), "product_id", "left_semi").groupBy("store_id", "network").agg(mean_cents().alias("avg_price"), F.countDistinct("product_id").alias("products_priced")).filter(F.col("products_priced") >= min_priced)
+    first = g.orderBy("avg_price", "store_id").limit(limit)  # a window over no more than these
+    rank = F.row_number().over(Window.orderBy("avg_price", "store_id"))
+    return first.withColumns({"rank": rank, "n": F.count("*").over(Window.partitionBy())}).select("store_id", "network", "avg_price", "products_priced", (F.col("rank") <= cheapest).alias("cheapest"), (F.col("rank") > F.col("n") - priciest).alias("priciest"))
 
 
 def compare_products(ps: DataFrame, day, min_networks: int = 3) -> DataFrame:

@@ -34,14 +34,21 @@ def ingest_changes(obs: DataFrame, current: DataFrame | None = None) -> DataFram
     return rows.filter((F.col("_obs") == 1) & ~same).select(*cols, F.when(F.col("_first"), "new").otherwise("changed").alias("change_type"))
 
 
-def snapshot_latest(prices: DataFrame) -> DataFrame:
-    """Newest row per product and store."""
-    return latest_by(prices, KEY, F.desc("price_date"), F.desc("fetched_at"))
+def values_last(df: DataFrame, keys: list[str]) -> list[Column]:
+    """All other columns in order of name, to tell rows apart that tie in everything else."""
+    return [F.col(c) for c in sorted(df.columns) if c not in keys]
+
+
+def snapshot_latest(prices: DataFrame, row_id: str | None = None) -> DataFrame:
+    """Newest row per product and store; of equal times that of the greatest id, or of the greatest values where there is no id."""
+    order = [F.col("price_date"), F.col("fetched_at"), *([F.col(row_id)] if row_id else []), *values_last(prices, [*KEY, "price_date", "fetched_at"])]
+    newest = prices.groupBy(*KEY).agg(F.max_by(F.struct(*prices.columns), F.struct(*order)).alias("row"))
+    return newest.select("row.*")
 
 
 def snapshot_after(obs: DataFrame, current: DataFrame) -> DataFrame:
     """The snapshot after a batch: newest values, the check time, and the time of the last change."""
-    last = latest_by(obs, KEY, F.desc("fetched_at"))
+    last = latest_by(obs, KEY, F.desc("fetched_at"), *[c.desc() for c in values_last(obs, [*KEY, "fetched_at"])])
     changed = ingest_changes(obs, current).groupBy(*KEY).agg(F.max("fetched_at").alias("changed"))
     old = current.select(*KEY, F.col("cents").alias("o_cents"), F.col("promo").alias("o_promo"), F.col("last_checked_at").alias("o_checked"), F.col("last_changed_at").alias("o_changed"))
     new = last.select(*KEY, "cents", "promo", F.col("fetched_at").alias("checked"), F.lit(True).alias("seen"))
@@ -68,14 +75,20 @@ def store_upsert(stores: DataFrame, incoming: DataFrame) -> DataFrame:
     return stores.join(new, "id", "full").select("id", *[F.coalesce(f"n_{c}", c).alias(c) for c in cols], active.alias("is_active"))
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of several rows of a key that of the greatest values, so that reruns agree."""
+    rest = values_last(df, keys)
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("row")).select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns]) if rest else df.distinct()
+
+
 def latest_wins(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Insert or replace."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new.dropDuplicates([key]))
+    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(one_per_key(new, [key]))
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Insert what is not there yet."""
-    return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti"))
+    return old.unionByName(one_per_key(new, keys).join(old.select(*keys), keys, "left_anti"))
 
 
 def propagate_checked(current: DataFrame, store_ids: DataFrame, fetched_at) -> DataFrame:
@@ -84,19 +97,39 @@ def propagate_checked(current: DataFrame, store_ids: DataFrame, fetched_at) -> D
     return current.join(marked, "store_id", "left").withColumn("last_checked_at", F.when(F.col("_in"), F.lit(fetched_at)).otherwise(F.col("last_checked_at"))).drop("_in")
 
 
-def propagate_prices(current: DataFrame, source_id: int, targets: DataFrame) -> DataFrame:
-    """Prices of one representative store for other stores; change says whether (price, promo) move.
+def propagate_prices(current: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Prices of representative stores for other stores; change says whether (price, promo) move.
 
-    A null promo against a value counts as unchanged, as the price model has it.
+    ``pairs`` has source_id and store_id. A null promo against a value counts as unchanged, as the price model has it.
     """
-    source = current.filter(F.col("store_id") == source_id).select(F.col("store_id").alias("source_id"), "product_id", "cents", "promo", "price_date")
-    pairs = targets.select(F.lit(source_id).cast("long").alias("source_id"), "store_id").distinct()
-    imputed = source.join(pairs, "source_id").drop("source_id")
+    source = current.select(F.col("store_id").alias("source_id"), "product_id", "cents", "promo", "price_date")
+    imputed = source.join(pairs.select("source_id", "store_id").distinct(), "source_id").drop("source_id")
     old = current.select(*KEY, F.col("cents").alias("old_cents"), F.col("promo").alias("old_promo"))
     moved = (F.col("cents") != F.col("old_cents")) | F.coalesce(F.col("promo") != F.col("old_promo"), F.lit(False))
     return imputed.join(old, KEY, "left").select(*KEY, "cents", "promo", "price_date", F.when(F.col("old_cents").isNull(), "new").when(moved, "changed").otherwise("same").alias("change"))
 
 
+def imputed_history(history: DataFrame, imputed: DataFrame, fetched_at) -> DataFrame:
+    """History with the imputed rows whose product, store and date it lacks."""
+    new = imputed.select(*KEY, "cents", "promo", "price_date", F.lit(fetched_at).alias("fetched_at"))
+    return insert_absent(history.select(new.columns), new, [*KEY, "price_date"])
+
+
+def imputed_snapshot(current: DataFrame, imputed: DataFrame, fetched_at) -> DataFrame:
+    """The snapshot after imputation: new values and check times; the time of change moves only with price or promo."""
+    new = imputed.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in ("cents", "promo", "price_date")], "change")
+    both = current.select(*KEY, "cents", "promo", "price_date", "last_checked_at", "last_changed_at").join(new, KEY, "full")
+    hit, at = F.col("change").isNotNull(), F.lit(fetched_at)
+    values = [F.when(hit, F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in ("cents", "promo", "price_date")]
+    return both.select(*KEY, *values, F.when(hit, at).otherwise(F.col("last_checked_at")).alias("last_checked_at"), F.when(hit & (F.col("change") != "same"), at).otherwise(F.col("last_changed_at")).alias("last_changed_at"))
+
+
+def representatives(stores: DataFrame) -> DataFrame:
+    """source_id, store_id: the least store of each network, and each other store of it."""
+    first = stores.groupBy("network").agg(F.min("id").alias("source_id"))
+    return stores.join(first, "network").filter("id <> source_id").select("source_id", F.col("id").alias("store_id"))
+
+
 def network_by_name(stores: DataFrame, rules=NAME_RULES) -> DataFrame:
     """Fill missing networks by the first rule that the name fits."""
     name, rule = F.upper("name"), F.lit(None).cast("string")
@@ -121,23 +154,42 @@ def newest_check(current: DataFrame) -> DataFrame:
     return current.groupBy("store_id").agg(F.max("fetched_at").alias("newest"))
 
 
+def last_changes(prices: DataFrame) -> DataFrame:
+    """product_id, store_id, last_changed_at: when price or promo last moved."""
+    return ingest_changes(prices).groupBy(*KEY).agg(F.max("fetched_at").alias("last_changed_at"))
+
+
+def active(stores: DataFrame) -> DataFrame:
+    """Stores that are not marked inactive."""
+    return stores.filter(F.coalesce("is_active", F.lit(True)))
+
+
 def deactivate_stale(stores: DataFrame, current: DataFrame, as_of, days: int = 21) -> DataFrame:
     """is_active turns false where the newest check is older than ``days``."""
     s = stores.join(newest_check(current).withColumnRenamed("store_id", "id"), "id", "left")
     return s.select("id", F.coalesce(F.col("newest") >= F.date_sub(F.lit(as_of).cast("date"), days), F.lit(True)).alias("is_active"))
 
 
-def store_tiers(stores: DataFrame, current: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Stores by tier: daily where something changed within ``days``, else weekly."""
-    s = stores.join(newest_check(current).withColumnRenamed("store_id", "id"), "id", "left")
-    tier = F.when(F.col("newest") >= F.date_sub(F.lit(as_of).cast("date"), days), "daily").otherwise("weekly")
-    return s.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("stores"))
+def store_tiers(stores: DataFrame, changes: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """store_id, tier of active stores: daily where a price moved within ``days``, weekly where none did, null where none ever was.
+
+    ``changes`` has store_id and last_changed_at.
+    """
+    newest = changes.groupBy(F.col("store_id").alias("id")).agg(F.max("last_changed_at").alias("newest"))
+    tier = F.when(F.col("newest") >= F.date_sub(F.lit(as_of).cast("date"), days), "daily").when(F.col("newest").isNotNull(), "weekly")
+    return active(stores).join(newest, "id", "left").select(F.col("id").alias("store_id"), tier.alias("tier"))
 
 
-def prune_history(prices: DataFrame) -> DataFrame:
-    return snapshot_latest(prices)
+def prune_history(prices: DataFrame, row_id: str = "id") -> DataFrame:
+    """One row per product and store, that of the greatest id, and of the greatest values if ids repeat."""
+    return prices.groupBy(*KEY).agg(F.max_by(F.struct(*prices.columns), F.struct(row_id, *values_last(prices, [*KEY, row_id]))).alias("row")).select("row.*")
 
 
 def backfill_changed(current: DataFrame) -> DataFrame:
-    """Rows without a time of change take that of the check; stores without a mark count as active."""
+    """Rows without a time of change take that of the check."""
     return current.withColumn("last_changed_at", F.coalesce("last_changed_at", "last_checked_at"))
+
+
+def backfill_active(stores: DataFrame) -> DataFrame:
+    """Stores without a mark count as active."""
+    return stores.withColumn("is_active", F.coalesce("is_active", F.lit(True)))

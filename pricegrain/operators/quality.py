@@ -55,16 +55,27 @@ def store_freshness(current: DataFrame, stores: DataFrame, as_of, stale_days: in
 
 
 def outlier_summary(current: DataFrame, z: float = 3.0) -> DataFrame:
-    """Rows beyond three deviations or of products whose maximum is over ten times the minimum, by product."""
+    """product_id, outlier_count, avg_price of products with prices outside their bounds.
+
+    Where three or more prices vary, bounds are ``z`` deviations from the mean if a price is outside them;
+    else, with two or more prices, ten times the least price is the upper bound. All products count.
+    """
     current = current.filter("cents > 0")
-    s = F.sum("cents").cast("double")
-    g = current.groupBy("product_id").agg(F.count("*").alias("n"), s.alias("s"), F.sum(F.col("cents") * F.col("cents")).cast("double").alias("q"), F.min("cents").alias("lo"), F.max("cents").alias("hi"))
+    g = current.groupBy("product_id").agg(F.count("*").alias("n"), F.sum("cents").cast("double").alias("s"), F.sum(F.col("cents") * F.col("cents")).cast("double").alias("q"), F.min("cents").alias("least"), F.max("cents").alias("most"))
     mean = F.col("s") / F.col("n")
-    var = F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean)
-    g = g.select("product_id", "n", "lo", "hi", mean.alias("mean"), var.alias("var"))
-    by_z = (F.col("n") >= 3) & (F.col("var") > 10.0) & (F.abs(F.col("cents") - F.col("mean")) > F.lit(z) * F.sqrt("var"))
-    by_ratio = (F.col("n") >= 2) & (F.col("hi") > F.col("lo") * 10) & ((F.col("cents") == F.col("hi")) | (F.col("cents") == F.col("lo")))
-    return current.select("product_id", "cents").join(g, "product_id").filter(by_z | by_ratio).groupBy("product_id").agg(F.count("*").alias("outlier_count"))
+    g = g.withColumns({"mean": mean, "far": F.lit(z) * F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean))})
+    by_z = (F.col("n") >= 3) & (F.col("q") / F.col("n") - F.col("mean") * F.col("mean") > 10.0) & ((F.col("least") < F.col("mean") - F.col("far")) | (F.col("most") > F.col("mean") + F.col("far")))
+    by_ratio = (F.col("n") >= 2) & (F.col("most") > F.col("least") * 10)
+    bounds = g.select("product_id", "mean", F.when(by_z, F.col("mean") - F.col("far")).when(by_ratio, 0.0).alias("lo"), F.when(by_z, F.col("mean") + F.col("far")).when(by_ratio, F.col("least") * 10.0).alias("hi")).filter("lo is not null")
+    outside = current.select("product_id", "cents").join(bounds, "product_id").filter((F.col("cents") < F.col("lo")) | (F.col("cents") > F.col("hi")))
+    return outside.groupBy("product_id").agg(F.count("*").alias("outlier_count"), half_up(F.max("mean") / 100.0).alias("avg_price"))
+
+
+def outlier_totals(current: DataFrame, z: float = 3.0) -> DataFrame:
+    """total_records, flagged_count, flagged_pct over all positive prices."""
+    all_ = current.filter("cents > 0").agg(F.count("*").alias("total_records"))
+    flagged = outlier_summary(current, z).agg(F.coalesce(F.sum("outlier_count"), F.lit(0)).alias("flagged_count"))
+    return all_.join(flagged, F.lit(True)).withColumn("flagged_pct", F.coalesce(half_up(F.try_divide(F.lit(100.0) * F.col("flagged_count"), F.col("total_records"))), F.lit(0.0)))
 
 
 def price_velocity(prices: DataFrame, current: DataFrame) -> DataFrame:

@@ -52,9 +52,14 @@ def canary_networks(changes: DataFrame, stores: DataFrame, least: int = 3) -> Da
     return g.select("network", "stores", "changed", ((F.col("stores") >= least) & (F.col("changed") == 0)).alias("unchanged"))
 
 
-def weekly_products(current: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Products with a snapshot row that has not moved for ``days``."""
-    return current.filter(F.col("fetched_at") < F.date_sub(F.lit(as_of).cast("date"), days)).select("product_id").distinct()
+def weekly_products(changes: DataFrame, as_of, days: int = 30) -> DataFrame:
+    """Products with a price that has not moved for ``days``; ``changes`` has product_id and last_changed_at."""
+    return changes.filter(F.col("last_changed_at") < F.date_sub(F.lit(as_of).cast("date"), days)).select("product_id").distinct()
+
+
+def cluster_order(clusters: DataFrame, ages: DataFrame) -> DataFrame:
+    """anchor_id, age_days: the age of each cluster's stalest member; ``ages`` has store_id and age_days."""
+    return clusters.join(ages, "store_id").groupBy("anchor_id").agg(F.max("age_days").alias("age_days"))
 
 
 def non_sentinels(stores: DataFrame, sentinels: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import brand_key, half_up, is_noise, without_marks
@@ -10,33 +10,39 @@ from pricegrain.functions.scalars import brand_key, half_up, is_noise, without_m
 
 
 def canonical(counted: DataFrame, keys: list[str], raw: str) -> DataFrame:
-    """Rows in all, the most frequent spelling (the last in order on ties), and all spellings with counts."""
+    """Rows in all, the most frequent spelling (the last in order on ties), all spellings with counts, and categories."""
     listed = F.array_join(F.array_sort(F.collect_list(F.concat(raw, F.lit(" ("), F.col("n").cast("string"), F.lit(")")))), "; ")
-    return counted.groupBy(*keys).agg(F.max_by(raw, F.struct("n", raw)).alias("canonical"), F.sum("n").alias("total"), F.count("*").alias("variant_count"), listed.alias("variants"))
+    cats = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cats")))), ", ")
+    return counted.groupBy(*keys).agg(F.max_by(raw, F.struct("n", raw)).alias("canonical"), F.sum("n").alias("total"), F.count("*").alias("variant_count"), listed.alias("variants"), cats.alias("categories"))
 
 
-def brands(ps: DataFrame, top: int = 150) -> DataFrame:
-    """Brands by key, with their usual spelling and variants."""
-    p = ps.filter(F.col("brand").isNotNull()).groupBy("brand").agg(F.count("*").alias("n")).withColumn("key", brand_key(F.col("brand"))).filter("key <> ''")
+def brands(prices: DataFrame, tops: DataFrame, top: int = 150) -> DataFrame:
+    """Brands by key, with their usual spelling, variants and top-level categories; ``tops`` has id and top_category."""
+    p = prices.filter(F.col("brand").isNotNull()).groupBy("brand", "product_id").agg(F.count("*").alias("m")).join(tops, F.col("id") == F.col("product_id"), "left")
+    p = p.groupBy("brand").agg(F.sum("m").alias("n"), F.collect_set("top_category").alias("cats")).withColumn("key", brand_key(F.col("brand"))).filter("key <> ''")
     return canonical(p, ["key"], "brand").orderBy(F.desc("total"), "key").limit(top)
 
 
-def tokens(names: DataFrame, text: str = "name") -> DataFrame:
-    """id and its words that say something, in order."""
-    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: (w != "") & ~is_noise(w))
-    return names.select("id", words.alias("words"))
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: w != "")
 
 
-def ngrams(names: DataFrame, n: int, top: int = 150, text: str = "name") -> DataFrame:
-    """Most frequent words or pairs of neighbouring words that say something, with their usual spelling."""
-    w = tokens(names, text)
+def ngrams(names: DataFrame, n: int, top: int = 150, text: str = "name", category: str | None = None) -> DataFrame:
+    """Most frequent words, or pairs of neighbouring words that say something, with their usual spelling and categories.
+
+    Neighbours are told after the noise is gone. Spellings are counted before they are shuffled.
+    """
+    cat = F.col(category) if category else F.lit(None).cast("string")
+    w = names.select("id", words_of(F.col(text)).alias("words"), cat.alias("cat"))
+    w = w.withColumn("words", F.filter("words", lambda x: ~is_noise(x)))
     if n == 1:
-        raw = w.select(F.explode("words").alias("raw"))
+        raw = w.select(F.explode("words").alias("raw"), "cat")
     else:
-        grams = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.array_join(F.slice("words", i + 1, n), " "))
-        raw = w.filter(F.size("words") >= n).select(F.explode(grams).alias("raw"))
-    counted = raw.groupBy("raw").agg(F.count("*").alias("n")).withColumn("token", F.lower(without_marks(F.col("raw"))))
-    return canonical(counted, ["token"], "raw").select("token", "canonical", F.col("total").alias("count")).orderBy(F.desc("count"), "token").limit(top)
+        later = [F.slice("words", k + 1, F.greatest(F.size("words") - n + 1, F.lit(0))) for k in range(n)]
+        raw = w.filter(F.size("words") >= n).select(F.explode(F.arrays_zip(*later)).alias("g"), "cat").select(F.concat_ws(" ", *[F.col("g").getField(str(k)) for k in range(n)]).alias("raw"), "cat")
+    counted = raw.groupBy("raw").agg(F.count("*").alias("n"), F.collect_set("cat").alias("cats")).withColumn("token", F.lower(without_marks(F.col("raw"))))
+    found = canonical(counted, ["token"], "raw")
+    return found.select("token", "canonical", F.col("total").alias("count"), *(["categories"] if category else [])).orderBy(F.desc("count"), "token").limit(top)
 
 
 def category_anomalies(products: DataFrame, brand: str = "p_brand", threshold: float = 0.8, min_products: int = 5) -> DataFrame:

@@ -188,6 +188,12 @@ def spread_distribution(cs: DataFrame) -> DataFrame:
     return g.groupBy("rows", band.alias("band")).agg(F.count(F.lit(1)).alias("products"))
 
 
+def single_network_products(cs: DataFrame) -> DataFrame:
+    """How many products each network alone carries."""
+    g = cs.groupBy("product_id").agg(F.min("network").alias("network"), F.max("network").alias("other")).filter("network = other")
+    return g.groupBy("network").agg(F.count("*").alias("products"))
+
+
 def network_coverage_hist(cs: DataFrame) -> DataFrame:
     return cs.groupBy("product_id").agg(F.countDistinct("network").alias("networks")).groupBy("networks").agg(F.count(F.lit(1)).alias("products"))
 

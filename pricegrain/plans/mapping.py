@@ -39,9 +39,9 @@ class Tables:
     @cached_property
     def products(self) -> DataFrame:
         brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
-        part = self.raw("part").withColumn("n_types", F.lit(self.types.count())).withColumn("want", F.when(F.col("p_partkey") % 10 == 0, None).otherwise(brand_no % F.col("n_types") + 1))
-        by_pos = part.join(F.broadcast(self.types), F.when(F.col("want").isNull(), part["p_type"] == self.types["p_type"]).otherwise(F.col("want") == F.col("pos")))
-        return by_pos.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), (F.col("pos") + 1).cast("long").alias("categ_id"), F.col("p_brand").alias("p_brand"), F.col("p_size").cast("long").alias("size"))
+        part = self.raw("part").join(self.types, "p_type")
+        pos = F.when(F.col("p_partkey") % 10 == 0, F.col("pos")).otherwise(brand_no % F.lit(self.types.count()) + 1)
+        return part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), (pos + 1).cast("long").alias("categ_id"), F.col("p_brand").alias("p_brand"), F.col("p_size").cast("long").alias("size"))
 
     @cached_property
     def networks(self) -> DataFrame:
@@ -54,24 +54,27 @@ class Tables:
         return s.select(
             k.alias("id"), F.col("s_name").alias("name"), F.col("r_regionkey").cast("long").alias("network_id"), F.col("r_name").alias("network"),
             (k % 8).alias("uat_id"), (k % 3).alias("type_id"), F.floor(F.col("s_acctbal")).cast("long").alias("population"),
+            F.when(F.col("s_acctbal") < -500, F.lit(False)).when(F.col("s_acctbal") >= 0, F.lit(True)).alias("is_active"),
             (F.lit(43.6) + (k % 20) * F.lit(0.23) + (F.floor(k / 20) % 7) * F.lit(0.012)).alias("lat"), (F.lit(20.3) + (((k % 20) * 7) % 20) * F.lit(0.46) + (F.floor(k / 20) % 5) * F.lit(0.015)).alias("lon"),
         )
 
-    def prices(self, kind: str = "unit") -> DataFrame:
-        li = self.raw("lineitem")
-        if kind == "unit":
-            li = li.withColumn("cents", F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100.0 + 0.5))
-        else:
-            li = li.join(self.raw("part").select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey")).withColumn("cents", F.floor(F.col("p_retailprice") * (F.lit(1.0) - F.col("l_discount")) * 100.0 + 0.5))
-        li = li.withColumn("price_date", F.to_date(F.trunc(F.to_date("l_shipdate"), "year")))
-        newest = F.row_number().over(Window.partitionBy("l_partkey", "l_suppkey", "price_date").orderBy(F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber")))
-        number = F.regexp_extract("p_brand", r"(\d+)", 1)
-        li = li.withColumn("newest", newest).filter("newest = 1")
-        brand = self.raw("part").select(F.col("p_partkey").alias("bk"), number.alias("number"))
-        li = li.join(brand, F.col("l_partkey") == F.col("bk"))
+    def offers(self, kind: str = "unit") -> DataFrame:
+        """Every observation, also those of one product, store and date."""
+        part = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", F.regexp_extract("p_brand", r"(\d+)", 1).alias("number"))
+        li = self.raw("lineitem").join(part, "l_partkey")
+        price = F.col("l_extendedprice") / F.col("l_quantity") if kind == "unit" else F.col("p_retailprice") * (F.lit(1.0) - F.col("l_discount"))
         spelt = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("Brand#"), "number")).when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("BRAND #"), "number")).otherwise(F.concat(F.lit("Brand-"), "number"))
         unit = F.when(F.col("l_returnflag") == "A", "Kg").when(F.col("l_returnflag") == "N", "BUC").otherwise("Litru")
-        return li.select(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"), "cents", "price_date", F.to_date("l_shipdate").alias("fetched_at"), F.when(F.col("l_discount") >= 0.09, "PROMO").alias("promo"), unit.alias("unit"), spelt.alias("brand"))
+        return li.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("store_id"), F.floor(price * 100.0 + 0.5).alias("cents"),
+            F.to_date(F.trunc(F.to_date("l_shipdate"), "year")).alias("price_date"), F.to_date("l_shipdate").alias("fetched_at"), F.when(F.col("l_discount") >= 0.09, "PROMO").alias("promo"), unit.alias("unit"), spelt.alias("brand"),
+        )
+
+    def prices(self, kind: str = "unit") -> DataFrame:
+        """One row per product, store and year: the newest observation, by an aggregate that starts before the shuffle."""
+        names = ["product_id", "store_id", "cents", "price_date", "fetched_at", "promo", "unit", "brand"]
+        newest = self.offers(kind).groupBy("product_id", "store_id", "price_date").agg(F.max_by(F.struct(*names), F.struct("fetched_at", "id")).alias("row"))
+        return newest.select("row.*")
 
     def current(self, kind: str = "unit") -> DataFrame:
         from pricegrain.operators.ingest import snapshot_latest
@@ -98,9 +101,14 @@ class Tables:
         items = self.spark.createDataFrame([(b, k, f"item {k}", q) for b, k, q in BASKETS], "basket_id string, item_no long, label string, qty long")
         return self.raw("part").select(F.col("p_partkey").alias("product_id"), (F.col("p_partkey") % 40).alias("item_no")).join(F.broadcast(items), "item_no")
 
+    @cached_property
+    def as_of(self):
+        """The newest day on which anything was observed."""
+        return self.raw("lineitem").agg(F.max(F.to_date("l_shipdate"))).first()[0]
+
     @cached_property
     def latest_date(self):
-        return self.prices().agg(F.max("price_date")).first()[0]
+        return self.as_of and self.as_of.replace(month=1, day=1)
 
 
 _ITEMS = ", ".join(f"('{b}', {k}::BIGINT, 'item {k}', {q}::BIGINT)" for b, k, q in BASKETS)
@@ -112,7 +120,7 @@ categories AS (SELECT pos + 1 AS id, p_type AS name, 1::BIGINT AS parent_id FROM
 products AS (SELECT p_partkey AS id, p_name AS name, t.pos + 1 AS categ_id, p_brand, p_size::BIGINT AS size FROM part p JOIN types t
   ON CASE WHEN p_partkey % 10 = 0 THEN p.p_type = t.p_type ELSE t.pos = regexp_extract(p_brand, '(\\d+)', 1)::INT % (SELECT count(*) FROM types) + 1 END),
 networks AS (SELECT r_regionkey::BIGINT AS id, r_name AS name FROM region),
-stores AS (SELECT s_suppkey AS id, s_name AS name, r_regionkey::BIGINT AS network_id, r_name AS network, s_suppkey % 8 AS uat_id, s_suppkey % 3 AS type_id, floor(s_acctbal)::BIGINT AS population, {_PLACE.format(k='s_suppkey')}
+stores AS (SELECT s_suppkey AS id, s_name AS name, r_regionkey::BIGINT AS network_id, r_name AS network, s_suppkey % 8 AS uat_id, s_suppkey % 3 AS type_id, floor(s_acctbal)::BIGINT AS population, CASE WHEN s_acctbal < -500 THEN false WHEN s_acctbal >= 0 THEN true END AS is_active, {_PLACE.format(k='s_suppkey')}
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 prices AS (SELECT l_partkey AS product_id, l_suppkey AS store_id, CASE WHEN '{{kind}}' = 'unit' THEN floor(l_extendedprice / l_quantity * 1e2 + 5e-1)::BIGINT ELSE floor(p_retailprice * (1e0 - l_discount) * 1e2 + 5e-1)::BIGINT END AS cents,
   date_trunc('year', l_shipdate)::DATE AS price_date, l_shipdate::DATE AS fetched_at, CASE WHEN l_discount >= 0.09::DOUBLE THEN 'PROMO' END AS promo,
@@ -121,6 +129,7 @@ prices AS (SELECT l_partkey AS product_id, l_suppkey AS store_id, CASE WHEN '{{k
   FROM lineitem JOIN part ON l_partkey = p_partkey
   QUALIFY row_number() OVER (PARTITION BY l_partkey, l_suppkey, date_trunc('year', l_shipdate) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1),
 current_p AS (SELECT * FROM prices QUALIFY row_number() OVER (PARTITION BY product_id, store_id ORDER BY price_date DESC, fetched_at DESC) = 1),
+offers AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS product_id, l_suppkey AS store_id, floor(l_extendedprice / l_quantity * 1e2 + 5e-1)::BIGINT AS cents, date_trunc('year', l_shipdate)::DATE AS price_date, l_shipdate::DATE AS fetched_at FROM lineitem),
 gas_prices AS (SELECT event_id AS id, event_type AS fuel, user_id AS station_id, floor(value * 1e2 + 5e-1)::BIGINT AS cents, ts AS at, ts::DATE AS price_date, user_id % 7 AS network_id FROM events),
 runs AS (SELECT o_orderkey AS id, o_orderpriority AS script, o_orderdate::DATE AS started, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'abandoned' END AS status, floor(o_totalprice)::BIGINT AS records FROM orders),
 localities AS (SELECT c_custkey AS id, {_PLACE.format(k='c_custkey')}, floor(c_acctbal)::BIGINT AS population FROM customer),
@@ -128,7 +137,9 @@ items(basket_id, item_no, label, qty) AS (VALUES {_ITEMS}),
 baskets AS (SELECT p_partkey AS product_id, item_no, basket_id, label, qty FROM part JOIN items ON p_partkey % 40 = item_no),
 ps AS (SELECT p.*, s.network, s.network_id, s.uat_id, s.type_id FROM prices p JOIN stores s ON s.id = store_id),
 cs AS (SELECT p.*, s.network, s.network_id, s.uat_id, s.type_id FROM current_p p JOIN stores s ON s.id = store_id),
-latest AS (SELECT max(price_date) AS d FROM prices)
+latest AS (SELECT max(price_date) AS d FROM prices),
+history AS (SELECT * FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc, lag(promo) OVER w AS pp FROM prices WINDOW w AS (PARTITION BY product_id, store_id ORDER BY fetched_at, cents)) WHERE rn = 1 OR cents IS DISTINCT FROM pc OR promo IS DISTINCT FROM pp),
+moved AS (SELECT product_id, store_id, max(fetched_at) AS last_changed_at FROM history GROUP BY ALL)
 """
 
 

@@ -44,7 +44,7 @@ def cs(t: Tables, kind: str = "unit") -> DataFrame:
 
 
 def as_of(t: Tables):
-    return t.prices().agg(F.max("fetched_at")).first()[0]
+    return t.as_of
 
 
 def text_dates(df: DataFrame) -> DataFrame:
@@ -65,18 +65,22 @@ N = "count(*)"
 
 q("ingest_changes", lambda t: text_dates(ingest.ingest_changes(t.prices())), "SELECT product_id, store_id, cents, promo, fetched_at::VARCHAR AS fetched_at, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc, lag(promo) OVER w AS pp FROM prices WINDOW w AS (PARTITION BY product_id, store_id ORDER BY fetched_at, cents)) WHERE rn = 1 OR cents IS DISTINCT FROM pc OR promo IS DISTINCT FROM pp")
 q("snapshot_latest", lambda t: text_dates(t.current()), "SELECT product_id, store_id, cents, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at, promo, unit, brand FROM current_p")
-q("first_price_kept", lambda t: text_dates(ingest.first_price_kept(t.prices())), "SELECT product_id, store_id, price_date::VARCHAR AS price_date, first(cents ORDER BY fetched_at, cents) AS cents, max(fetched_at)::VARCHAR AS last_checked_at FROM prices GROUP BY ALL")
+q("first_price_kept", lambda t: text_dates(ingest.first_price_kept(t.offers())), "SELECT product_id, store_id, price_date::VARCHAR AS price_date, first(cents ORDER BY fetched_at, cents) AS cents, max(fetched_at)::VARCHAR AS last_checked_at FROM offers GROUP BY product_id, store_id, price_date")
 q("keys_with_changes", lambda t: ingest.keys_with_changes(t.prices()), "SELECT count(*) AS keys FROM (SELECT 1 FROM prices GROUP BY product_id, store_id HAVING count(DISTINCT cents) > 1)")
 q("store_upsert", lambda t: ingest.store_upsert(t.stores.select("id", "name", "network"), t.stores.filter("id % 3 = 0").select("id", F.concat("name", F.lit(" new")).alias("name"), F.when(F.col("id") % 2 == 0, F.col("network")).alias("network"))), "SELECT id, CASE WHEN id % 3 = 0 THEN name || ' new' ELSE name END AS name, network, true AS is_active FROM stores")
-q("propagate_checked", lambda t: text_dates(ingest.propagate_checked(t.current().withColumn("last_checked_at", F.col("fetched_at")), t.stores.filter("id % 4 = 1").select(F.col("id").alias("store_id")), as_of(t)).select("product_id", "store_id", "last_checked_at")), f"SELECT product_id, store_id, (CASE WHEN store_id % 4 = 1 THEN {ASOF} ELSE fetched_at END)::VARCHAR AS last_checked_at FROM current_p")
-q("propagate_prices", lambda t: text_dates(ingest.propagate_prices(t.current(), 1, t.stores.filter("id % 20 = 2").select(F.col("id").alias("store_id")))), "SELECT s.product_id, w.id AS store_id, s.cents, s.promo, s.price_date::VARCHAR AS price_date, CASE WHEN c.cents IS NULL THEN 'new' WHEN s.cents <> c.cents OR coalesce(s.promo <> c.promo, false) THEN 'changed' ELSE 'same' END AS change FROM (SELECT * FROM current_p WHERE store_id = 1) s CROSS JOIN (SELECT id FROM stores WHERE id % 20 = 2) w LEFT JOIN current_p c ON c.product_id = s.product_id AND c.store_id = w.id")
+q("propagate_checked", lambda t: text_dates(ingest.propagate_checked(t.current().withColumn("last_checked_at", F.col("fetched_at")), t.stores.filter(F.col("network") != B2B).select(F.col("id").alias("store_id")), as_of(t)).select("product_id", "store_id", "last_checked_at")), f"SELECT product_id, store_id, (CASE WHEN network <> '{B2B}' THEN {ASOF} ELSE fetched_at END)::VARCHAR AS last_checked_at FROM cs")
+IMP = "pairs AS (SELECT m AS source_id, id AS store_id FROM (SELECT id, min(id) OVER (PARTITION BY network) AS m FROM stores) WHERE id <> m), imp AS (SELECT s.product_id, w.store_id, s.cents, s.promo, s.price_date, CASE WHEN c.cents IS NULL THEN 'new' WHEN s.cents <> c.cents OR coalesce(s.promo <> c.promo, false) THEN 'changed' ELSE 'same' END AS change FROM current_p s JOIN pairs w ON w.source_id = s.store_id LEFT JOIN current_p c ON c.product_id = s.product_id AND c.store_id = w.store_id)"
+imputed = lambda t: ingest.propagate_prices(t.current(), ingest.representatives(t.stores))
+q("propagate_prices", lambda t: text_dates(imputed(t)), "SELECT product_id, store_id, cents, promo, price_date::VARCHAR AS price_date, change FROM imp", more=IMP)
+q("imputed_history", lambda t: text_dates(ingest.imputed_history(t.prices(), imputed(t), as_of(t))), f"SELECT product_id, store_id, cents, promo, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at FROM prices UNION ALL SELECT product_id, store_id, cents, promo, price_date::VARCHAR, {ASOF}::VARCHAR FROM imp ANTI JOIN prices USING (product_id, store_id, price_date)", more=IMP)
+q("imputed_snapshot", lambda t: text_dates(ingest.imputed_snapshot(t.current().withColumn("last_checked_at", F.col("fetched_at")).join(ingest.last_changes(t.prices()), ingest.KEY), imputed(t), as_of(t))), f"SELECT product_id, store_id, CASE WHEN i.change IS NULL THEN c.cents ELSE i.cents END AS cents, CASE WHEN i.change IS NULL THEN c.promo ELSE i.promo END AS promo, (CASE WHEN i.change IS NULL THEN c.price_date ELSE i.price_date END)::VARCHAR AS price_date, (CASE WHEN i.change IS NULL THEN c.fetched_at ELSE {ASOF} END)::VARCHAR AS last_checked_at, (CASE WHEN i.change IN ('new', 'changed') THEN {ASOF} ELSE c.last_changed_at END)::VARCHAR AS last_changed_at FROM (SELECT * FROM current_p JOIN moved USING (product_id, store_id)) c FULL JOIN imp i USING (product_id, store_id)", more=IMP)
 q("network_by_name", lambda t: ingest.network_by_name(t.stores.select("id", F.element_at(F.array(*[F.lit(x) for x in ("Profi Cluj", "MEGA IMAGE X", "SG NORD", "EXPRESS 1", "SEGLROS", "Unknown")]), (F.col("id") % 6 + 1).cast("int")).alias("name"), F.when(F.col("id") % 7 == 0, F.col("network")).alias("network"))).groupBy("network", "inferred").agg(F.count(F.lit(1)).alias("stores")), "SELECT coalesce(n, CASE k WHEN 0 THEN 'PROFI' WHEN 1 THEN '5940475870003' WHEN 2 THEN '5940475870003' WHEN 3 THEN '5940475006709' WHEN 4 THEN 'SELGROS' END) AS network, n IS NULL AND k <> 5 AS inferred, count(*) AS stores FROM (SELECT id % 6 AS k, CASE WHEN id % 7 = 0 THEN network END AS n FROM stores) GROUP BY 1, 2")
 LOGO_S = lambda t: t.stores.select("id", "name", F.when(F.col("id") % 2 == 0, F.col("network_id")).alias("network_id"), F.concat(F.lit("logo"), (F.col("id") % 6).cast("string")).alias("logo_url"))
 LOGO_N = lambda t: t.networks.select("id", "name", F.concat(F.lit("logo"), F.col("id").cast("string")).alias("logo_url"))
 q("network_by_logo", lambda t: ingest.network_by_logo(LOGO_S(t), LOGO_N(t)).select("id", "network_id", "inferred"), "SELECT id, CASE WHEN id % 2 = 0 THEN network_id WHEN id % 6 < 5 THEN id % 6 END AS network_id, id % 2 = 1 AND id % 6 < 5 AS inferred FROM stores")
 q("network_conflicts", lambda t: ingest.network_conflicts(LOGO_S(t), LOGO_N(t)), "SELECT s.id AS store_id, s.name AS store_name, s.network_id AS db_network_id, n.id AS logo_network_id, n.name AS logo_network_name FROM stores s JOIN networks n ON n.id = s.id % 6 WHERE s.id % 2 = 0 AND s.network_id <> n.id")
 q("stale_store_deactivation", lambda t: ingest.deactivate_stale(t.stores, t.current(), as_of(t)), f"SELECT s.id, coalesce(max(fetched_at) >= {ASOF} - 21, true) AS is_active FROM stores s LEFT JOIN current_p c ON c.store_id = s.id GROUP BY s.id")
-q("store_tiers", lambda t: ingest.store_tiers(t.stores, t.current(), as_of(t)), f"SELECT CASE WHEN m >= {ASOF} - 7 THEN 'daily' ELSE 'weekly' END AS tier, count(*) AS stores FROM (SELECT s.id, max(fetched_at) AS m FROM stores s LEFT JOIN current_p c ON c.store_id = s.id GROUP BY s.id) GROUP BY 1")
+q("store_tiers", lambda t: ingest.store_tiers(t.stores, ingest.last_changes(t.prices()), as_of(t)), f"SELECT s.id AS store_id, CASE WHEN max(last_changed_at) >= {ASOF} - 7 THEN 'daily' WHEN max(last_changed_at) IS NOT NULL THEN 'weekly' END AS tier FROM stores s LEFT JOIN moved m ON m.store_id = s.id WHERE coalesce(s.is_active, true) GROUP BY s.id")
 q("normalize_dates", lambda t: t.raw("orders").select("o_orderkey", sc.iso_date(F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "dd.MM.yyyy HH:mm")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd/MM/yyyy HH:mm")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"))).alias("at")), "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M') AS at FROM orders")
 q("unit_audit", lambda t: t.prices().withColumns({"store_unit": sc.store_unit(F.col("unit")), "pack_unit": sc.pack_unit(F.col("unit")), "analysis_unit": sc.analysis_unit(F.col("unit"))}).groupBy("unit", "store_unit", "pack_unit", "analysis_unit").agg(F.count(F.lit(1)).alias("n_rows")), "SELECT unit, CASE unit WHEN 'Kg' THEN 'kg' WHEN 'BUC' THEN 'pcs' ELSE 'L' END AS store_unit, CASE unit WHEN 'Kg' THEN 'kg' WHEN 'BUC' THEN 'buc' ELSE 'L' END AS pack_unit, CASE unit WHEN 'Kg' THEN 'kg' WHEN 'BUC' THEN 'buc' ELSE 'l' END AS analysis_unit, count(*) AS n_rows FROM prices GROUP BY unit")
 
@@ -132,6 +136,7 @@ q("sentinel_networks", lambda t: va.sentinel_networks(va.similarity_tiers(sims(t
 q("modal_price_agreement", lambda t: va.modal_price_agreement(cs(t, "list")), "SELECT product_id, count(*) AS networks, min(mode) / 1e2 AS mode_min, max(mode) / 1e2 AS mode_max, min(mode) = max(mode) AS identical, max(mode) <= min(mode) * 1.01::DOUBLE AS within_1, max(mode) <= min(mode) * 1.05::DOUBLE AS within_5, min(mode) = max(mode) AND count(*) >= 3 AND min(stores) >= 3 AS robust FROM (SELECT product_id, network, first(cents ORDER BY n DESC, cents) AS mode, sum(n) AS stores FROM (SELECT product_id, network, cents, count(*) AS n FROM cs GROUP BY ALL) GROUP BY ALL) GROUP BY product_id HAVING count(*) >= 2", "list")
 q("spread_distribution", lambda t: va.spread_distribution(cs(t, "list")), f"SELECT rows, CASE WHEN p < 1 THEN '0-1' WHEN p < 5 THEN '1-5' WHEN p < 10 THEN '5-10' WHEN p < 25 THEN '10-25' WHEN p < 50 THEN '25-50' ELSE '50+' END AS band, count(*) AS products FROM (SELECT rows, product_id, {r('1e2 * (max(m) - min(m)) / min(m)')} AS p FROM (SELECT rows, product_id, network, floor(sum(cents)::DOUBLE / count(*) + 5e-1)::BIGINT AS m FROM (SELECT 'all' AS rows, * FROM cs UNION ALL SELECT 'regular', * FROM cs WHERE promo IS NULL) GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 2) GROUP BY ALL", "list")
 q("network_coverage_hist", lambda t: va.network_coverage_hist(cs(t)), "SELECT networks, count(*) AS products FROM (SELECT count(DISTINCT network) AS networks FROM cs GROUP BY product_id) GROUP BY networks")
+q("single_network_products", lambda t: va.single_network_products(cs(t)), "SELECT network, count(*) AS products FROM (SELECT product_id, min(network) AS network FROM cs GROUP BY 1 HAVING count(DISTINCT network) = 1) GROUP BY 1")
 q("snapshot_age", lambda t: va.snapshot_age(t.current(), as_of(t)), "SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER ({ASOF} - fetched_at <= {d}) AS within_{d}" for d in (1, 7, 14, 30)) + f", count(*) FILTER ({ASOF} - fetched_at > 30) AS older FROM current_p")
 
 # --- index
@@ -159,8 +164,8 @@ q("network_trends", lambda t: text_dates(ix.price_index(ps(t), ("price_date",)))
 q("category_trends", lambda t: text_dates(ix.category_trends(ps(t), t.products)), f"SELECT categ_id, price_date::VARCHAR AS price_date, {MEAN} AS avg_price, count(DISTINCT product_id) AS products FROM pc GROUP BY 1, 2", more=PC)
 MOV = f"mv AS (SELECT product_id, fd, ld, floor(sum(cents) FILTER (price_date = fd)::DOUBLE / count(*) FILTER (price_date = fd) + 5e-1) AS a, floor(sum(cents) FILTER (price_date = ld)::DOUBLE / count(*) FILTER (price_date = ld) + 5e-1) AS b FROM (SELECT *, min(price_date) OVER (PARTITION BY product_id) AS fd, max(price_date) OVER (PARTITION BY product_id) AS ld FROM ps WHERE price_date >= {DAY} - 366) WHERE fd < ld GROUP BY ALL HAVING count(DISTINCT network) >= 2), mo AS (SELECT product_id, a / 1e2 AS price_start, b / 1e2 AS price_end, {r('1e2 * (b - a) / a')} AS change_pct, fd::VARCHAR AS first_date, ld::VARCHAR AS last_date FROM mv WHERE a > 0)"
 q("price_movers", lambda t: text_dates(ix.price_movers(ps(t), t.latest_date, days=366)), "SELECT * FROM (SELECT *, 'up' AS direction FROM mo WHERE change_pct > 0 ORDER BY change_pct DESC, product_id LIMIT 50) UNION ALL SELECT * FROM (SELECT *, 'down' AS direction FROM mo WHERE change_pct < 0 ORDER BY change_pct, product_id LIMIT 50)", more=MOV)
-q("promo_effectiveness", lambda t: ix.promo_effectiveness(ps(t, "list"), exclude=(B2B,)), f"SELECT network, count(*) AS promo_products, count(*) FILTER (best < flo) AS genuinely_cheap, {r('1e2 * count(*) FILTER (best < flo) / count(*)', 1)} AS pct_genuinely_cheap, {r('sum(floor(1e6 * best / flo + 5e-1)::BIGINT)::DOUBLE / count(*) / 1e4', 1)} AS avg_promo_vs_market_min_pct FROM (SELECT product_id, network, min(cents) AS best FROM ps WHERE promo IS NOT NULL AND network <> '{B2B}' GROUP BY ALL) JOIN (SELECT product_id, min(cents) AS flo FROM ps WHERE promo IS NULL AND network <> '{B2B}' GROUP BY ALL) USING (product_id) WHERE flo > 0 GROUP BY network HAVING count(*) >= 5", "list")
-q("store_price_index", lambda t: ix.store_price_index(ps(t), min_stores=20), f"SELECT store_id, network, {MEAN} AS avg_price, count(DISTINCT product_id) AS products_priced FROM ps WHERE product_id IN (SELECT product_id FROM (SELECT product_id, count(DISTINCT store_id) AS n FROM ps GROUP BY 1 HAVING count(DISTINCT store_id) >= 20 ORDER BY n DESC, product_id LIMIT 200)) GROUP BY ALL HAVING count(DISTINCT product_id) >= 20 ORDER BY avg_price, store_id LIMIT 120")
+q("promo_effectiveness", lambda t: ix.promo_effectiveness(cs(t, "list"), exclude=(B2B,)), f"SELECT network, count(*) AS promo_products, count(*) FILTER (best < flo) AS genuinely_cheap, {r('1e2 * count(*) FILTER (best < flo) / count(*)', 1)} AS pct_genuinely_cheap, {r('sum(floor(1e6 * best / flo + 5e-1)::BIGINT)::DOUBLE / count(*) / 1e4', 1)} AS avg_promo_vs_market_min_pct FROM (SELECT product_id, network, min(cents) AS best FROM cs WHERE promo IS NOT NULL AND network <> '{B2B}' GROUP BY ALL) JOIN (SELECT product_id, min(cents) AS flo FROM cs WHERE promo IS NULL AND network <> '{B2B}' GROUP BY ALL) USING (product_id) WHERE flo > 0 GROUP BY network HAVING count(*) >= 5", "list")
+q("store_price_index", lambda t: ix.store_price_index(cs(t), (B2B,), min_stores=20), f"SELECT store_id, network, avg_price, products_priced, rn <= 100 AS cheapest, rn > n - 20 AS priciest FROM (SELECT *, row_number() OVER (ORDER BY avg_price, store_id) AS rn, count(*) OVER () AS n FROM (SELECT store_id, network, {MEAN} AS avg_price, count(DISTINCT product_id) AS products_priced FROM cs WHERE cents > 0 AND network <> '{B2B}' AND product_id IN (SELECT product_id FROM (SELECT product_id, count(DISTINCT store_id) AS n FROM cs GROUP BY 1 HAVING count(DISTINCT store_id) >= 20 ORDER BY n DESC, product_id LIMIT 200)) GROUP BY ALL HAVING count(DISTINCT product_id) >= 20 ORDER BY avg_price, store_id LIMIT 120))")
 CMP = f"cp AS (SELECT product_id, count(DISTINCT network) AS networks FROM ps WHERE price_date = {DAY} GROUP BY product_id HAVING count(DISTINCT network) >= 3)"
 q("compare_products", lambda t: ix.compare_products(ps(t), t.latest_date), "SELECT * FROM cp", more=CMP)
 q("compare_latest", lambda t: ix.compare_latest(ps(t), t.latest_date), f"SELECT product_id, network, {MEAN} AS avg_price, min(cents) / 1e2 AS min_price, max(cents) / 1e2 AS max_price, count(DISTINCT store_id) AS stores FROM ps SEMI JOIN cp USING (product_id) WHERE price_date = {DAY} GROUP BY ALL", more=CMP)
@@ -238,10 +243,13 @@ FLAGS = OUT + SPK + ", " + DEEP + ", flags AS (SELECT product_id, store_id, pric
 q("all_flags", lambda t: keyed(quality.all_flags(t.current(), t.prices())), f"SELECT {_flag}, flag_type FROM flags", more=FLAGS)
 q("flag_summary", lambda t: quality.flag_summary(quality.all_flags(t.current(), t.prices())), "SELECT flag_type, count(*) AS flags, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores FROM flags GROUP BY 1", more=FLAGS)
 q("flag_upsert", lambda t: keyed(ingest.insert_absent(quality.flag_outliers(t.current()), quality.all_flags(t.current(), t.prices()), ["product_id", "store_id", "price_date", "flag_type"])), f"SELECT DISTINCT {_flag}, flag_type FROM flags", more=FLAGS)
-FR = f"fr AS (SELECT s.id AS store_id, s.name, s.network, max(fetched_at)::VARCHAR AS last_date, coalesce({ASOF} - max(fetched_at), 9999)::BIGINT AS days_stale, coalesce({ASOF} - max(fetched_at), 9999) > 2 AS stale FROM stores s LEFT JOIN current_p c ON c.store_id = s.id GROUP BY ALL)"
-fresh = lambda t: quality.store_freshness(t.current(), t.stores, as_of(t))
+FR = f"fr AS (SELECT s.id AS store_id, s.name, s.network, max(fetched_at)::VARCHAR AS last_date, coalesce({ASOF} - max(fetched_at), 9999)::BIGINT AS days_stale, coalesce({ASOF} - max(fetched_at), 9999) > 2 AS stale FROM stores s LEFT JOIN current_p c ON c.store_id = s.id WHERE coalesce(s.is_active, true) GROUP BY ALL)"
+fresh = lambda t: quality.store_freshness(t.current(), ingest.active(t.stores), as_of(t))
 q("store_freshness", fresh, "SELECT * FROM fr", more=FR)
-q("outlier_summary", lambda t: quality.outlier_summary(t.current()), "SELECT c.product_id, count(*) AS outlier_count FROM current_p c JOIN (SELECT product_id, n, lo, hi, s / n AS mean, greatest(0e0, qq / n - (s / n) * (s / n)) AS var FROM (SELECT product_id, count(*) AS n, sum(cents)::DOUBLE AS s, sum(cents * cents)::DOUBLE AS qq, min(cents) AS lo, max(cents) AS hi FROM current_p GROUP BY 1)) g USING (product_id) WHERE (n >= 3 AND var > 1e1 AND abs(cents - mean) > 3e0 * sqrt(var)) OR (n >= 2 AND hi > lo * 10 AND (cents = hi OR cents = lo)) GROUP BY 1")
+OUT = "g AS (SELECT product_id, count(*) AS n, sum(cents)::DOUBLE / count(*) AS mean, sum(cents * cents)::DOUBLE / count(*) AS sq, min(cents) AS least, max(cents) AS most FROM current_p WHERE cents > 0 GROUP BY 1), d AS (SELECT *, 3e0 * sqrt(greatest(0e0, sq - mean * mean)) AS far FROM g), z AS (SELECT *, n >= 3 AND sq - mean * mean > 1e1 AND (least < mean - far OR most > mean + far) AS by_z FROM d), bounds AS (SELECT product_id, mean, CASE WHEN by_z THEN mean - far ELSE 0e0 END AS lo, CASE WHEN by_z THEN mean + far ELSE least * 1e1 END AS hi FROM z WHERE by_z OR (n >= 2 AND most > least * 10)), flagged AS (SELECT product_id, count(*) AS outlier_count, max(mean) AS mean FROM current_p JOIN bounds USING (product_id) WHERE cents > 0 AND (cents < lo OR cents > hi) GROUP BY 1)"
+q("outlier_summary", lambda t: quality.outlier_summary(t.current()), f"SELECT product_id, outlier_count, {r('mean / 1e2')} AS avg_price FROM flagged", more=OUT)
+q("outlier_totals", lambda t: quality.outlier_totals(t.current()), f"SELECT total_records, flagged_count, {r('1e2 * flagged_count / total_records')} AS flagged_pct FROM (SELECT (SELECT count(*) FROM current_p WHERE cents > 0) AS total_records, (SELECT coalesce(sum(outlier_count), 0)::BIGINT FROM flagged) AS flagged_count)", more=OUT)
+q("outlier_top_products", lambda t: quality.outlier_summary(t.current()).orderBy(F.desc("outlier_count"), "product_id").limit(20), f"SELECT product_id, outlier_count, {r('mean / 1e2')} AS avg_price FROM flagged ORDER BY outlier_count DESC, product_id LIMIT 20", more=OUT)
 q("price_velocity", lambda t: quality.price_velocity(t.prices(), t.current()), f"SELECT {DAY}::VARCHAR AS curr_date, n AS changed_count, c AS total_current, p AS changed_pct, CASE WHEN k < 2 THEN 'insufficient_data' WHEN n = 0 THEN 'stuck' WHEN p > 30 THEN 'bulk_change' ELSE 'ok' END AS status FROM (SELECT *, {r('1e2 * n / c', 1)} AS p FROM (SELECT (SELECT count(*) FROM prices WHERE price_date = {DAY}) AS n, (SELECT count(*) FROM current_p) AS c, (SELECT count(DISTINCT price_date) FROM prices) AS k))")
 q("audit_store_freshness", lambda t: quality.audit_store_freshness(fresh(t)), f"SELECT 'store_freshness' AS name, {r('1e2 * count(*) FILTER (stale) / count(*)', 1)} > 10 AS red, count(*) AS stores, count(*) FILTER (stale) AS stale, {r('1e2 * count(*) FILTER (stale) / count(*)', 1)} AS stale_pct FROM fr", more=FR)
 RUN_END = "(SELECT max(started) FROM runs)"
@@ -262,9 +270,10 @@ KM = "2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians({b}.lat - {a}.lat) / 2),
 q("surrounding_population", lambda t: geo.surrounding_population(t.stores, t.localities), f"SELECT s.id AS store_id, coalesce(sum(l.population), 0)::BIGINT AS surrounding_population FROM stores s LEFT JOIN localities l ON {KM.format(a='s', b='l')} <= 10 GROUP BY s.id")
 q("near_pairs", lambda t: geo.near_pairs(t.stores, t.stores, 5).select("a_id", "b_id"), f"SELECT a.id AS a_id, b.id AS b_id FROM stores a JOIN stores b ON {KM.format(a='a', b='b')} <= 5")
 q("dedup_points", lambda t: geo.dedup_points(t.localities))
-q("store_clusters", lambda t: geo.store_clusters(t.stores, max_per_cluster=20))
+clusters = lambda t: geo.store_clusters(t.stores, max_per_cluster=20)
+q("store_clusters", clusters)
 boxes = lambda t: t.stores.groupBy("uat_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.sum("population").alias("population")).withColumnRenamed("uat_id", "label")
-q("sampling_points", lambda t: geo.sampling_points(boxes(t), 1000, 80).groupBy("label").agg(F.count(F.lit(1)).alias("points")), f"SELECT label, CASE WHEN km <= 10 THEN 1 ELSE (floor((north - south) / (80e0 / 111e0) + 5e-1) + 1) * (floor((east - west) / (80e0 / (111e0 * cos(radians((south + north) / 2)))) + 5e-1) + 1) END::BIGINT AS points FROM (SELECT *, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(north - south) / 2), 2) + cos(radians(south)) * cos(radians(north)) * pow(sin(radians(east - west) / 2), 2)))) AS km FROM (SELECT uat_id AS label, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east, sum(population) AS population FROM stores GROUP BY uat_id)) WHERE population >= 1000")
+q("sampling_points", lambda t: geo.sampling_points(boxes(t), 1000, 80).select("label", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")), "SELECT label, round(CASE WHEN km <= 10 THEN mid ELSE south + i * a END, 6) AS lat, round(CASE WHEN km <= 10 THEN (west + east) / 2 ELSE west + j * o END, 6) AS lon FROM (SELECT *, unnest(range(0, CASE WHEN km <= 10 THEN 1 ELSE floor((east - west) / o + 5e-1)::BIGINT + 1 END)) AS j FROM (SELECT *, unnest(range(0, CASE WHEN km <= 10 THEN 1 ELSE floor((north - south) / a + 5e-1)::BIGINT + 1 END)) AS i FROM (SELECT *, (south + north) / 2 AS mid, 80e0 / 111e0 AS a, 80e0 / (111e0 * cos(radians((south + north) / 2))) AS o, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(north - south) / 2), 2) + cos(radians(south)) * cos(radians(north)) * pow(sin(radians(east - west) / 2), 2)))) AS km FROM (SELECT uat_id AS label, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east, sum(population) AS population FROM stores GROUP BY uat_id)) WHERE population >= 1000))")
 q("nearby_stores", lambda t: geo.nearby_stores(t.stores, 44.5, 22.6, 80), "SELECT id, network, d AS dist_m FROM (SELECT id, network, floor(" + KM.format(a="c", b="s") + " * 1e3 + 5e-1)::BIGINT AS d FROM stores s, (SELECT 445e-1 AS lat, 226e-1 AS lon) c) WHERE d <= 80000 ORDER BY d, id LIMIT 200")
 q("stores_index", lambda t: geo.stores_index(t.stores, scored_uat(t), scored(t), "staples"), "SELECT s.id, s.name, s.network, s.uat_id, coalesce(own, (SELECT min(cost_month) FROM sco WHERE comparable AND basket_id = 'staples')) AS basket_min_month FROM stores s LEFT JOIN (SELECT uat_id, min(cost_month) AS own FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id)", more=BI + BU)
 UST = BI + BU + f", us AS (SELECT * FROM (SELECT uat_id, count(*) AS n_stores, count(DISTINCT network) FILTER (network <> '{B2B}') AS n_networks FROM stores GROUP BY 1) LEFT JOIN (SELECT uat_id, min(cost_month) AS basket_min_month, max(cost_month) AS basket_max_month, first(network ORDER BY cost_month, network) AS cheapest_net FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id))"
@@ -277,12 +286,14 @@ q("grid_order", lambda t: t.stores.select("id", sc.snake_key(F.col("lat"), F.col
 
 # --- text
 
-q("brands", lambda t: text.brands(t.prices()), "SELECT key, first(brand ORDER BY n DESC, brand DESC) AS canonical, sum(n)::BIGINT AS total, count(*) AS variant_count, string_agg(brand || ' (' || n || ')', '; ' ORDER BY brand || ' (' || n || ')') AS variants FROM (SELECT brand, regexp_replace(upper(brand), '[^A-Z0-9]', '', 'g') AS key, count(*) AS n FROM prices GROUP BY ALL) GROUP BY key ORDER BY total DESC, key LIMIT 150")
+TOPS = "tops AS (SELECT p.id, coalesce(u.name, c.name) AS top FROM products p LEFT JOIN categories c ON c.id = p.categ_id LEFT JOIN categories u ON u.id = c.parent_id AND u.parent_id IS NOT NULL)"
+tops = lambda t: ix.top_level_category(t.products, t.categories)
+q("brands", lambda t: text.brands(t.prices(), tops(t)), "SELECT key, first(brand ORDER BY n DESC, brand DESC) AS canonical, sum(n)::BIGINT AS total, count(*) AS variant_count, string_agg(brand || ' (' || n || ')', '; ' ORDER BY brand || ' (' || n || ')') AS variants, array_to_string(list_sort(list_distinct(flatten(list(cats)))), ', ') AS categories FROM (SELECT brand, regexp_replace(upper(brand), '[^A-Z0-9]', '', 'g') AS key, count(*) AS n, list(DISTINCT top) AS cats FROM prices JOIN tops ON id = product_id GROUP BY ALL) GROUP BY key ORDER BY total DESC, key LIMIT 150", more=TOPS)
 STOP = ", ".join(f"'{w}'" for w in sc.STOPWORDS)
 TOK = rf"part_names AS (SELECT p_partkey AS id, p_name AS name FROM part), wl AS (SELECT id, list_filter(string_split_regex(name, '[\s/,.\-–()\[\]]+'), lambda w: length(w) >= 3 AND lower(w) NOT IN ({STOP}) AND NOT regexp_full_match(lower(w), '\d+[.,]?\d*\s*[gklmc][gl]?') AND NOT regexp_full_match(w, '[.,]*\d[\d.,]*')) AS words FROM part_names)"
-q("word_freq", lambda t: text.ngrams(t.products, 1), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(words) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK)
-q("bigram_freq", lambda t: text.ngrams(t.products, 2), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK)
-q("document_bigrams", lambda t: text.ngrams(t.raw("documents").select(F.col("doc_id").alias("id"), "text"), 2, text="text"))
+q("word_freq", lambda t: text.ngrams(t.products.join(tops(t), "id"), 1, category="top_category"), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count, array_to_string(list_sort(list_distinct(flatten(list(cats)))), ', ') AS categories FROM (SELECT raw, count(*) AS n, list(DISTINCT top) AS cats FROM (SELECT id, unnest(words) AS raw FROM wl) JOIN tops USING (id) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOPS + ", " + TOK)
+q("bigram_freq", lambda t: text.ngrams(t.products.join(tops(t), "id"), 2, category="top_category"), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count, array_to_string(list_sort(list_distinct(flatten(list(cats)))), ', ') AS categories FROM (SELECT raw, count(*) AS n, list(DISTINCT top) AS cats FROM (SELECT id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) JOIN tops USING (id) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOPS + ", " + TOK)
+q("document_bigrams", lambda t: text.ngrams(t.raw("documents").select(F.col("doc_id").alias("id"), "text"), 2, text="text"), "SELECT strip_accents(lower(raw)) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK.replace("p_partkey AS id, p_name AS name FROM part", "doc_id AS id, coalesce(text, '') AS name FROM documents").replace("lower(w)", "strip_accents(lower(w))"))
 q("category_anomalies", lambda t: text.category_anomalies(t.products), f"SELECT p.id AS product_id, p.p_brand AS brand, p.categ_id, d.categ_id AS dominant_categ, {r('1e2 * n / a', 1)} AS dominant_share_pct FROM products p JOIN (SELECT p_brand, categ_id, n, a FROM (SELECT *, sum(n) OVER (PARTITION BY p_brand)::BIGINT AS a, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, categ_id) AS rn FROM (SELECT p_brand, categ_id, count(*) AS n FROM products GROUP BY ALL)) WHERE rn = 1 AND a >= 5 AND n >= a * 8e-1) d USING (p_brand) WHERE p.categ_id <> d.categ_id")
 
 # --- sampling
@@ -292,15 +303,17 @@ POP = "SELECT product_id FROM (SELECT product_id, (rank() OVER (ORDER BY a DESC)
 q("ci_stores", lambda t: sampling.ci_stores(t.stores), f"SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY network ORDER BY population DESC, id) AS rn FROM stores) WHERE rn <= 10 UNION {BAND}")
 q("ci_products", lambda t: sampling.ci_products(ps(t), t.products), f"SELECT product_id FROM ({POP}) UNION SELECT product_id FROM ({TPC}) WHERE rank <= 20", more=PC)
 q("default_basket", lambda t: sampling.default_basket(ps(t)), "SELECT product_id, count(DISTINCT store_id) AS stores FROM ps GROUP BY 1 ORDER BY stores DESC, product_id LIMIT 30")
-q("store_order", lambda t: sampling.store_order(t.stores, t.current(), as_of(t)), "SELECT store_id, days_stale AS age_days FROM fr", more=FR)
+q("store_order", lambda t: sampling.store_order(ingest.active(t.stores), t.current(), as_of(t)), "SELECT store_id, days_stale AS age_days FROM fr", more=FR)
 q("product_order", lambda t: sampling.product_order(t.products, t.current()), "SELECT p.id AS product_id, max(fetched_at)::VARCHAR AS newest, max(fetched_at) IS NULL AS never FROM products p LEFT JOIN current_p c ON c.product_id = p.id GROUP BY p.id")
 q("ghost_products", lambda t: sampling.ghost_products(t.products, t.prices().filter(F.col("price_date") == F.lit(t.latest_date))), f"SELECT id AS product_id FROM products WHERE id NOT IN (SELECT product_id FROM prices WHERE price_date = {DAY})")
-q("products_for_stores", lambda t: sampling.products_for_stores(t.prices(), t.stores.filter("id % 9 = 0"), t.products.filter("id % 2 = 0").select(F.col("id").alias("product_id"))), "SELECT DISTINCT product_id FROM prices WHERE store_id % 9 = 0 AND product_id % 2 = 0")
+q("products_for_stores", lambda t: sampling.products_for_stores(t.prices(), t.stores.filter(F.col("network") == B2B), t.prices().filter("promo is not null").select("product_id").distinct()), f"SELECT DISTINCT product_id FROM ps WHERE network = '{B2B}' AND product_id IN (SELECT product_id FROM prices WHERE promo IS NOT NULL)")
 CH = "ch AS (SELECT store_id, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc, lag(promo) OVER w AS pp FROM prices WINDOW w AS (PARTITION BY product_id, store_id ORDER BY fetched_at, cents)) WHERE rn = 1 OR cents IS DISTINCT FROM pc OR promo IS DISTINCT FROM pp)"
 q("canary_networks", lambda t: sampling.canary_networks(ingest.ingest_changes(t.prices()), t.stores), "SELECT network, count(DISTINCT store_id) AS stores, count(*) FILTER (change_type = 'changed') AS changed, count(DISTINCT store_id) >= 3 AND count(*) FILTER (change_type = 'changed') = 0 AS unchanged FROM ch JOIN stores ON stores.id = store_id GROUP BY network", more=CH)
-q("weekly_products", lambda t: sampling.weekly_products(t.current(), as_of(t)), f"SELECT DISTINCT product_id FROM current_p WHERE fetched_at < {ASOF} - 30")
+q("weekly_products", lambda t: sampling.weekly_products(ingest.last_changes(t.prices()), as_of(t)), f"SELECT DISTINCT product_id FROM moved WHERE last_changed_at < {ASOF} - 30")
+q("cluster_order", lambda t: sampling.cluster_order(clusters(t), sampling.store_order(t.stores, t.current(), as_of(t))))
+q("store_order_by_population", lambda t: t.stores.select(F.col("id").alias("store_id"), "population"), "SELECT id AS store_id, population FROM stores")
 q("non_sentinels", lambda t: sampling.non_sentinels(t.stores, va.sentinel_stores(ps(t), t.stores)))
-q("skippable_clusters", lambda t: sampling.skippable_clusters(geo.store_clusters(t.stores, max_per_cluster=20), t.stores.filter("id % 3 > 0").select(F.col("id").alias("store_id"))))
+q("skippable_clusters", lambda t: sampling.skippable_clusters(clusters(t), sampling.non_sentinels(t.stores, va.sentinel_stores(ps(t), t.stores)).select("store_id")))
 
 # --- fuel
 
@@ -315,8 +328,8 @@ q("fuel_ranking", lambda t: fu.fuel_ranking(t.gas_prices), f"SELECT fuel, networ
 # --- more of ingest, catalogue and sinks
 
 q("gas_first_price", lambda t: text_dates(ingest.first_price_kept(t.gas_prices.select(F.col("station_id").alias("store_id"), F.col("fuel").alias("product_id"), "cents", "price_date", F.col("at").alias("fetched_at"))).drop("last_checked_at")), "SELECT fuel AS product_id, station_id AS store_id, price_date::VARCHAR AS price_date, first(cents ORDER BY gas_prices.at, cents) AS cents FROM gas_prices GROUP BY fuel, station_id, gas_prices.price_date")
-q("prune_history", lambda t: ingest.prune_history(t.prices()).groupBy("store_id").agg(F.count("*").alias("n_rows")), "SELECT store_id, count(*) AS n_rows FROM current_p GROUP BY store_id")
-q("popular_products", lambda t: ix.popular_products(ps(t), t.stores), f"SELECT product_id, count(DISTINCT store_id) AS store_count, count(DISTINCT network) AS network_count, {MEAN} AS avg_price, {r('1e2 * count(DISTINCT store_id) / (SELECT count(*) FROM stores)', 1)} AS coverage_pct FROM ps GROUP BY product_id ORDER BY store_count DESC, product_id LIMIT 100")
+q("prune_history", lambda t: text_dates(ingest.prune_history(t.offers().select("id", "product_id", "store_id", "cents", "price_date", "fetched_at"))), "SELECT id, product_id, store_id, cents, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at FROM offers QUALIFY row_number() OVER (PARTITION BY product_id, store_id ORDER BY id DESC, cents DESC, fetched_at DESC) = 1")
+q("popular_products", lambda t: ix.popular_products(ps(t), ingest.active(t.stores)), f"SELECT product_id, count(DISTINCT store_id) AS store_count, count(DISTINCT network) AS network_count, {MEAN} AS avg_price, {r('1e2 * count(DISTINCT store_id) / (SELECT count(*) FROM stores WHERE coalesce(is_active, true))', 1)} AS coverage_pct FROM ps GROUP BY product_id ORDER BY store_count DESC, product_id LIMIT 100")
 q("top_level_category", lambda t: ix.top_level_category(t.products, t.categories), "SELECT p.id, coalesce(u.name, c.name) AS top_category FROM products p LEFT JOIN categories c ON c.id = p.categ_id LEFT JOIN categories u ON u.id = c.parent_id AND u.parent_id IS NOT NULL")
 q("network_short_names", lambda t: ix.short_names(t.stores, readers.network_lookup(t.networks.select(F.lower("name").alias("id"), F.substring("name", 1, 3).alias("short"), F.array(F.upper("name")).alias("aliases"), (F.col("name") == B2B).alias("b2b")))), f"SELECT id, substr(network, 1, 3) AS short, network = '{B2B}' AS b2b FROM stores")
 q("category_items_filter", lambda t: bk.filter_category_items(bk.category_spread(kept(t), t.products), t.products, "red", 3), "SELECT categ_id, product_id, name, networks, ratio FROM (SELECT ac.*, row_number() OVER (PARTITION BY categ_id ORDER BY ratio DESC, product_id) AS rn FROM ac) c JOIN (SELECT id, name FROM products) p ON p.id = product_id WHERE rn <= 200 AND networks >= 3 AND contains(lower(name), 'red') ORDER BY ratio DESC, product_id LIMIT 50", more=ANP)

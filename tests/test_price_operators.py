@@ -65,7 +65,7 @@ def test_same_date_twice(spark):
 
 def test_propagate_prices_counts_null_promo_as_same(spark):
     cur = prices(spark, [(1, 1, 10, None, D), (2, 1, 20, "P", D), (3, 1, 5, None, D), (1, 2, 10, "P", D), (2, 2, 21, "P", D)])
-    got = {r["product_id"]: r["change"] for r in ingest.propagate_prices(cur, 1, spark.createDataFrame([(2,)], "store_id long")).collect()}
+    got = {r["product_id"]: r["change"] for r in ingest.propagate_prices(cur, spark.createDataFrame([(1, 2)], "source_id long, store_id long")).collect()}
     assert got == {1: "same", 2: "changed", 3: "new"}
 
 
@@ -156,16 +156,63 @@ def test_near_pairs_and_dedup(spark, seed):
     assert {r["id"] for r in geo.dedup_points(df).collect()} == {p[0] for p in kept}
 
 
-def test_clusters_cover_all(spark):
-    pts = points(5)
-    got = geo.store_clusters(spark.createDataFrame(pts, "id long, lat double, lon double, population long"), max_per_cluster=6).collect()
-    by = {p[0]: p for p in pts}
-    assert sorted(r["store_id"] for r in got) == sorted(by)
-    assert all(km(by[r["anchor_id"]], by[r["store_id"]]) * 1000 <= r["radius_m"] + 1e-6 for r in got)
-    size = {}
-    for r in got:
-        size.setdefault((r["anchor_id"], r["radius_m"]), []).append(r)
-    assert all(len(v) <= 6 or k[1] <= 1250 for k, v in size.items())
+def plain_cover(stores, radius):
+    near = {a[0]: [b[0] for b in stores if b[0] != a[0] and km(a, b) * 1000 <= radius] for a in stores}
+    left, covers = set(near), {}
+    while left:
+        best = min(left, key=lambda i: (-sum(j in left for j in near[i]), i))
+        covers[best] = {best, *near[best]}
+        left -= covers[best]
+    return covers
+
+
+def plain_clusters(stores, radius, least, most):
+    out = set()
+    for anchor, members in plain_cover(stores, radius).items():
+        if len(members) > most and radius // 2 >= least:
+            out |= plain_clusters([s for s in stores if s[0] in members], radius // 2, least, most)
+        else:
+            out |= {(anchor, m, radius) for m in members}
+    return out
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_clusters_match_greedy_cover(spark, seed):
+    pts = points(seed)
+    pts += [(10_000 + i, p[1], p[2], p[3]) for i, p in enumerate(pts[:40])]  # several stores at one place
+    df = spark.createDataFrame(pts, "id long, lat double, lon double, population long")
+    got = {(r["anchor_id"], r["store_id"], r["radius_m"]) for r in geo.store_clusters(df, max_per_cluster=6).collect()}
+    assert got == plain_clusters(sorted(pts), 5000, 1250, 6)
+
+
+def test_long_chains_are_deduplicated_to_the_end(spark):
+    chain = [(i, 45.0, 25.0 + 0.03 * i, 1000 - i) for i in range(300)]
+    got = {r["id"] for r in geo.dedup_points(spark.createDataFrame(chain[:40], "id long, lat double, lon double, population long")).collect()}
+    assert got == set(range(0, 40, 2))
+
+
+def test_ties_in_the_newest_row(spark):
+    rows = [(1, 1, c, "2024-01-01", "2024-01-02", k) for k, c in ((1, 10), (3, 30), (2, 20))]
+    df = spark.createDataFrame(rows, "product_id long, store_id long, cents long, price_date string, fetched_at string, id long")
+    assert ingest.snapshot_latest(df, "id").first()["cents"] == 30 and ingest.prune_history(df).first()["id"] == 3
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    new = spark.createDataFrame([(2, "x"), (2, "y"), (3, "z"), (3, "q")], "id long, name string")
+    assert {tuple(r) for r in ingest.latest_wins(old, new).collect()} == {(1, "a"), (2, "y"), (3, "z")}
+    assert {tuple(r) for r in ingest.insert_absent(old, new, ["id"]).collect()} == {(1, "a"), (2, "b"), (3, "z")}
+
+
+def test_backfills(spark):
+    df = spark.createDataFrame([(1, None, "2024-01-02", None), (2, "2023-01-01", "2024-01-02", False)], "id long, last_changed_at string, last_checked_at string, is_active boolean")
+    assert [r["last_changed_at"] for r in ingest.backfill_changed(df).orderBy("id").collect()] == ["2024-01-02", "2023-01-01"]
+    assert [r["is_active"] for r in ingest.backfill_active(df).orderBy("id").collect()] == [True, False]
+
+
+def test_outliers_are_all_prices_outside_the_bounds(spark):
+    rows = [(1, k, c) for k, c in enumerate([100, 1500, 1600])] + [(2, k, 100) for k in range(20)] + [(2, 20, 900), (3, 0, 5), (4, 0, 0)]
+    df = spark.createDataFrame(rows, "product_id long, store_id long, cents long")
+    assert {r["product_id"]: r["outlier_count"] for r in quality.outlier_summary(df).collect()} == {1: 2, 2: 1}
+    totals = quality.outlier_totals(df).first()
+    assert (totals["total_records"], totals["flagged_count"], totals["flagged_pct"]) == (25, 3, 12.0)
 
 
 def test_population_is_zero_without_neighbours(spark):
