@@ -34,6 +34,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 #: Bytes of a table's rows that a Python worker handles at a time; a single longer row is handled alone.
 STEP_BYTES = 4 << 20
+#: Rows of an Arrow batch, and Spark's own sizes, which say that a session leaves them open.
+BATCH_ROWS, LEFT_OPEN = 2000, ("10000", "64MB", "67108864", "67108864b")
 
 
 def steps(batch: pa.RecordBatch, most_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -54,6 +56,13 @@ def column_lists(batches: Iterator[pa.RecordBatch], arrow: tuple[str, ...] = ())
         del whole
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand over Arrow batches of about STEP_BYTES and few rows, where the session leaves their size open."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", STEP_BYTES)):
+        if spark.conf.get(key, None) in (None, *LEFT_OPEN):
+            spark.conf.set(key, str(value))
+
+
 def map_batches(
     df: DataFrame,
     schema: str | T.StructType,
@@ -64,6 +73,8 @@ def map_batches(
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(struct)
 
+    small_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in fn(column_lists(batches, arrow)):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in out], schema=out)
@@ -79,6 +90,7 @@ def append_columns(df: DataFrame, read: list[str], new: dict[str, str], fn: Call
     struct = T.StructType([*df.schema.fields, *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in new.items())).fields])
     out = to_arrow_schema(struct)
     at = [df.columns.index(c) for c in read]
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole: list[pa.RecordBatch] = []
