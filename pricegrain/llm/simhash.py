@@ -18,7 +18,7 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Shingles hashed at a time, variants held at a time, and fingerprints that a bucket has on average.
 CHUNK, MOST_VARIANTS, PER_BUCKET = 1 << 16, 1 << 20, 256
 #: Fingerprints from which a bucket is split by the next bits of the variants, and bits of such a step.
-HOT_BUCKET, MORE_BITS = 16_384, 8
+HOT_BUCKET, MORE_BITS = 262_144, 8
 #: Fingerprints of buckets that one task has on average.
 PER_TASK = 1 << 21
 
@@ -151,17 +151,21 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     low = 64 - bits
     marks = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("used")) for m, k in flips(bits, half)])
     dealt = fps.select("fp", F.explode(marks).alias("m")).select("fp", ((F.shiftrightunsigned("fp", low) if bits else F.lit(0)).cast("long").bitwiseXOR(F.col("m.mask"))).alias("prefix"), F.col("m.used").cast("long").alias("used"))
+    # sizes of the buckets from those of the fingerprints' own prefixes, without spelling the variants out
+    own = fps.groupBy((F.shiftrightunsigned("fp", low) if bits else F.lit(0)).cast("long").alias("own")).count()
+    sizes = own.select(F.col("count"), F.explode(marks).alias("m"), "own").groupBy(F.col("own").bitwiseXOR(F.col("m.mask")).alias("prefix")).agg(F.sum("count").alias("count"))
     found = None
     while True:
         hot = None
         if bits + MORE_BITS < 56:
-            hot = materialize(dealt.groupBy("prefix").count().filter(F.col("count") > HOT_BUCKET).select("prefix"), "hot-buckets")
+            hot = materialize(sizes.filter(F.col("count") > HOT_BUCKET).select("prefix"), "hot-buckets")
             hot = hot if hot.head(1) else None
         part = links_in_buckets(dealt if hot is None else dealt.join(hot, "prefix", "left_anti").select(dealt.columns), bits, half, tasks_for(fps.sparkSession, n * len(flips(bits, half)), PER_TASK))
         found = part if found is None else found.unionByName(part)
         if hot is None:
             return found.distinct()
         dealt = materialize(deepened(dealt.join(hot, "prefix", "left_semi"), bits, half), "hot-fingerprints")
+        sizes = dealt.groupBy("prefix").count()
         n = dealt.count() // len(flips(bits + MORE_BITS, half))
         bits += MORE_BITS
 
