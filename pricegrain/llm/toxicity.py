@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pricegrain.llm.common import map_batches, materialize, texts
 from pricegrain.llm.decontaminate import BASE, ONE, WORD_BYTE, mixed
 
-#: Bounds of the fit: labelled rows learnt from (least hash first), and distinct terms of all of them together.
-MOST_EXAMPLES, MOST_POSTINGS = 20_000, 16_000_000
+#: Bounds of the fit: labelled rows learnt from (least hash first), and bytes of their texts together.
+MOST_EXAMPLES, MOST_TEXT = 20_000, 128 << 20
 #: Words whose first bytes, so many of them, are terms too where those go with the label; and most of these prefixes.
 PREFIXES, MOST_PREFIXES = (4, 5, 6), 16_384
 #: Lowest G2 of a term that goes with the label, fewest examples that have it, and the weight of all other terms.
@@ -153,7 +153,7 @@ def document_counts(docs: DataFrame, terms: np.ndarray, prefixes: np.ndarray) ->
         at = np.flatnonzero(seen)
         yield {"term": np.concatenate(([-1], at)), "n": np.concatenate(([n], seen[at]))}
 
-    # as many rows as terms, which MOST_POSTINGS bounds
+    # as many rows as terms, which MOST_TEXT bounds
     table = map_batches(texts(docs), "term long, n long", count).groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     at, n = table.column("term").to_numpy(), table.column("n").to_numpy()
     out = np.zeros(len(terms), np.int64)
@@ -169,26 +169,30 @@ class BlockMaxIndex:
     """
 
     def __init__(self, doc_id: np.ndarray, toxic: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, prior: float):
-        """Posting i says that vector ``owner[i]`` has ``weight[i]`` at ``term[i]``."""
+        """Posting i says that vector ``owner[i]`` has ``weight[i]`` at ``term[i]``; they come in order of the vector."""
         self.prior, n = prior, len(doc_id)
         lists = np.bincount(term, minlength=n_terms)
 
-        def leading(order: np.ndarray) -> np.ndarray:
-            """The term that comes first for each vector."""
-            out = np.zeros(n, np.int64)
-            at = order[np.unique(owner[order], return_index=True)[1]]
-            out[owner[at]] = term[at]
+        size = np.bincount(owner, minlength=n)
+
+        def leading(value: np.ndarray) -> np.ndarray:
+            """The term of highest value of each vector, the first on ties."""
+            out = np.zeros(n, np.int32)
+            some = np.flatnonzero(size)
+            if len(some):
+                top = np.maximum.reduceat(value, (np.cumsum(size) - size)[some])
+                at = np.flatnonzero(value == np.repeat(top, size[some]))
+                out[owner[at[::-1]]] = term[at[::-1]]
             return out
 
         # by the commonest term, which tells languages apart, then the weightiest of those in long lists, then size
-        common, weighty = leading(np.lexsort((-lists[term], owner))), np.lexsort((-weight, owner))
-        order = np.lexsort((doc_id, np.bincount(owner, minlength=n), leading(weighty[lists[term[weighty]] >= LONG_LIST]), common))
+        common = leading(lists[term])
+        order = np.lexsort((doc_id, size, leading(np.where(lists[term] >= LONG_LIST, weight, 0)), common))
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.doc_id, self.toxic = doc_id[order], toxic[order].astype(float)
-        entry = place[owner]
-        by = np.argsort(term * max(1, n) + entry)
-        self.example, self.weight = entry[by].astype(np.int32), weight[by].astype(np.float32)
+        by = np.argsort(term.astype(np.int64) * max(1, n) + place[owner])
+        self.example, self.weight = place[owner[by]].astype(np.int32), weight[by].astype(np.float32)
         self.begin = np.concatenate(([0], np.cumsum(lists)))
         self.blocks = -(-n // BLOCK)
         long = np.flatnonzero(lists >= LONG_LIST)
@@ -299,6 +303,11 @@ class Calibration:
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors, BlockMaxIndex, Calibration]:
     """Vocabulary with weights, index of the examples, and calibration by the votes that each example gets from the others."""
     examples = materialize(examples_of(docs, labels, learn_from), "examples")
+    sizes = examples.select("doc_id", F.octet_length("text").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # at most MOST_EXAMPLES rows
+    within = np.cumsum(np.nan_to_num(sizes.column("size").to_numpy())) <= MOST_TEXT
+    if not within.all():
+        fits = docs.sparkSession.createDataFrame([(int(i),) for i in sizes.column("doc_id").to_numpy()[within]], "doc_id long")
+        examples = examples.join(F.broadcast(fits), "doc_id", "left_semi")
     total, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     prior = toxic / total if total else 0.0
     prefixes = label_prefixes(examples, total, toxic) if 0 < toxic < total else np.empty(0, np.uint64)
@@ -312,19 +321,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors
                 found.append(np.unique(np.concatenate((words, prefixes[chosen.places(more)])), return_counts=True))
             yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "size": [len(t) for t, _ in found], "terms": [t.tobytes() for t, _ in found], "counts": [n.astype(np.int32).tobytes() for _, n in found]}
 
-    counted = materialize(map_batches(examples.select("doc_id", "toxic", "text"), "doc_id long, toxic int, size long, terms binary, counts binary", count), "example-terms")
-    sizes = counted.select("doc_id", "size").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()  # at most MOST_EXAMPLES rows
-    within = np.cumsum(sizes.column("size").to_numpy()) <= MOST_POSTINGS
-    if not within.all():
-        fits = docs.sparkSession.createDataFrame([(int(i),) for i in sizes.column("doc_id").to_numpy()[within]], "doc_id long")
-        counted = counted.join(F.broadcast(fits), "doc_id", "left_semi")
-    table = counted.orderBy("doc_id").toArrow()  # at most MOST_POSTINGS terms in all
+    counted = map_batches(examples.select("doc_id", "toxic", "text"), "doc_id long, toxic int, size long, terms binary, counts binary", count)
+    table = counted.orderBy("doc_id").toArrow()  # the terms of at most MOST_TEXT bytes
     ids, label = table.column("doc_id").to_numpy(), table.column("toxic").to_numpy()
     hashes = np.frombuffer(b"".join(table.column("terms").to_pylist()), np.uint64)
     n = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
-    owner = np.repeat(np.arange(len(ids)), table.column("size").to_numpy())
+    owner = np.repeat(np.arange(len(ids), dtype=np.int32), table.column("size").to_numpy())
     del table
-    terms, term = np.unique(hashes, return_inverse=True)
+    terms = np.unique(hashes)
+    term = np.searchsorted(terms, hashes).astype(np.int32)
     del hashes
     n_docs, df = document_counts(docs, terms, prefixes)
     have = np.bincount(term, minlength=len(terms)).astype(float)
@@ -334,8 +339,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors
         goes[goes] = g2(have[goes], bad[goes], total, toxic) >= LEAST_G2
     weight = np.log((1 + n_docs) / (1 + df)) * np.where(goes, 1.0, OTHERS)
     w = (1 + np.log(n)) * weight[term]
-    norm = np.sqrt(np.bincount(owner, w * w, minlength=len(ids)))
-    index = BlockMaxIndex(ids, label, owner, term, w / np.maximum(norm[owner], 1e-300), len(terms), prior)
+    del n
+    w /= np.maximum(np.sqrt(np.bincount(owner, w * w, minlength=len(ids))), 1e-300)[owner]
+    index = BlockMaxIndex(ids, label, owner, term, w, len(terms), prior)
+    del w, owner, term
     vectors = Vectors(terms, prefixes, weight)
 
     model = docs.sparkSession.sparkContext.broadcast((vectors, index))
@@ -353,7 +360,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, thres
     """Toxicity of each whole text by its nearest labelled examples.
 
     ``learn_from`` marks the rows of ``labels`` that may be learnt from; at most MOST_EXAMPLES of them (least
-    hash of the id, as far as they have no more than MOST_POSTINGS terms together) are the examples. A text's
+    hash of the id, as far as their texts have no more than MOST_TEXT bytes together) are the examples. A text's
     vector holds all its words that an example has, and word prefixes that go with the label (G2); words that do
     not go with it weigh OTHERS as much. IDF covers all documents. The share of toxic among the
     neighbours, each weighing 1 / distance, becomes a probability by isotonic regression over the votes that
