@@ -293,7 +293,7 @@ STOP = ", ".join(f"'{w}'" for w in sc.STOPWORDS)
 TOK = rf"part_names AS (SELECT p_partkey AS id, p_name AS name FROM part), wl AS (SELECT id, list_filter(string_split_regex(name, '[\s/,.\-–()\[\]]+'), lambda w: length(w) >= 3 AND lower(w) NOT IN ({STOP}) AND NOT regexp_full_match(lower(w), '\d+[.,]?\d*\s*[gklmc][gl]?') AND NOT regexp_full_match(w, '[.,]*\d[\d.,]*')) AS words FROM part_names)"
 q("word_freq", lambda t: text.ngrams(t.products.join(tops(t), "id"), 1, category="top_category"), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count, array_to_string(list_sort(list_distinct(flatten(list(cats)))), ', ') AS categories FROM (SELECT raw, count(*) AS n, list(DISTINCT top) AS cats FROM (SELECT id, unnest(words) AS raw FROM wl) JOIN tops USING (id) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOPS + ", " + TOK)
 q("bigram_freq", lambda t: text.ngrams(t.products.join(tops(t), "id"), 2, category="top_category"), "SELECT lower(raw) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count, array_to_string(list_sort(list_distinct(flatten(list(cats)))), ', ') AS categories FROM (SELECT raw, count(*) AS n, list(DISTINCT top) AS cats FROM (SELECT id, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) JOIN tops USING (id) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOPS + ", " + TOK)
-q("document_bigrams", lambda t: text.ngrams(t.raw("documents").select(F.col("doc_id").alias("id"), "text"), 2, text="text"), "SELECT strip_accents(lower(raw)) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK.replace("p_partkey AS id, p_name AS name FROM part", "doc_id AS id, coalesce(text, '') AS name FROM documents").replace("lower(w)", "strip_accents(lower(w))"))
+q("document_bigrams", lambda t: text.ngrams(t.raw("documents").select(F.col("doc_id").alias("id"), "text"), 2, text="text"), f"SELECT lower(translate(raw, '{sc.MARKED}', '{sc.PLAIN}')) AS token, first(raw ORDER BY n DESC, raw DESC) AS canonical, sum(n)::BIGINT AS count FROM (SELECT raw, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS raw FROM wl) GROUP BY raw) GROUP BY 1 ORDER BY count DESC, token LIMIT 150", more=TOK.replace("p_partkey AS id, p_name AS name FROM part", "doc_id AS id, coalesce(text, '') AS name FROM documents").replace("lower(w)", f"lower(translate(w, '{sc.MARKED}', '{sc.PLAIN}'))").replace("length(w)", f"length(translate(w, '{sc.MARKED}', '{sc.PLAIN}'))"))
 q("category_anomalies", lambda t: text.category_anomalies(t.products), f"SELECT p.id AS product_id, p.p_brand AS brand, p.categ_id, d.categ_id AS dominant_categ, {r('1e2 * n / a', 1)} AS dominant_share_pct FROM products p JOIN (SELECT p_brand, categ_id, n, a FROM (SELECT *, sum(n) OVER (PARTITION BY p_brand)::BIGINT AS a, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, categ_id) AS rn FROM (SELECT p_brand, categ_id, count(*) AS n FROM products GROUP BY ALL)) WHERE rn = 1 AND a >= 5 AND n >= a * 8e-1) d USING (p_brand) WHERE p.categ_id <> d.categ_id")
 
 # --- sampling
