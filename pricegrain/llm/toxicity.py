@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,13 @@ PREFIXES, MOST_PREFIXES = (4, 5, 6), 16_384
 #: Lowest G2 of a term that goes with the label, fewest examples that have it, and the weight of all other terms.
 LEAST_G2, LEAST_DOCS, OTHERS = 12.0, 3, 0.1
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
-BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 9, 0.05, 0.25
-#: Postings from which a term's blocks are bounded and skipped, blocks scored first, and the step over which blocks are read as one run.
-LONG_LIST, FIRST_BLOCKS, GAP = 256, 4, 3
+BLOCK, NEIGHBOURS, SOFT, PRIOR = 32, 9, 0.05, 0.25
+#: Postings from which a term's blocks are bounded and skipped, and blocks scored first.
+LONG_LIST, FIRST_BLOCKS = 256, 8
 #: Lists of one in so many examples are kept example by example, at most so many: they are added up without gathering.
-FULL_LIST, MOST_FULL = 16, 128
-#: Bytes of a text that are hashed at a time.
-CHUNK = 1 << 20
+FULL_LIST, MOST_FULL = 16, 512
+#: Texts that are looked up together, and bytes that are hashed at a time.
+GROUP, CHUNK = 64, 1 << 20
 
 
 class TermHasher:
@@ -45,18 +47,50 @@ class TermHasher:
                 end = cut if cut > at else end
             b = np.frombuffer(data, np.uint8, end - at, at)
             at = end
-            is_word = np.zeros(len(b) + 2, np.int8)
-            is_word[1:-1] = WORD_BYTE[b]
-            edge = np.diff(is_word)
-            starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            total = np.zeros(len(b) + 1, np.uint64)
-            np.cumsum((b.astype(np.uint64) + ONE) * self.powers[: len(b)], out=total[1:])
-            words.append(mixed((total[ends] - total[starts]) * self.inverses[starts]))
-            for n in PREFIXES:
-                s = starts[ends - starts > n]
-                prefixes.append(mixed((total[s + n] - total[s]) * self.inverses[s] + np.uint64(n)))
+            _, w, _, more = self.of_bytes(b)
+            words.append(w)
+            prefixes.append(more)
         return np.concatenate(words), np.concatenate(prefixes)
 
+    def of_bytes(self, b: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Starts and hashes of the words of at most CHUNK bytes, and of the prefixes shorter than their word."""
+        is_word = np.zeros(len(b) + 2, np.int8)
+        is_word[1:-1] = WORD_BYTE[b]
+        edge = np.diff(is_word)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + ONE) * self.powers[: len(b)], out=total[1:])
+        at, more = [], []
+        for n in PREFIXES:
+            s = starts[ends - starts > n]
+            at.append(s)
+            more.append(mixed((total[s + n] - total[s]) * self.inverses[s] + np.uint64(n)))
+        return starts, mixed((total[ends] - total[starts]) * self.inverses[starts]), np.concatenate(at), np.concatenate(more)
+
+    def of_many(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """First text, texts' places from it on and hashes of the words, the same of the prefixes: a run of texts at a time."""
+        run, size, first = [], 0, 0
+        for i, text in enumerate(texts):
+            data = (text or "").lower().encode()
+            if run and size + len(data) + 1 > CHUNK:
+                yield first, *self.of_run(run)
+                run, size = [], 0
+            if not run:
+                first = i
+            if len(data) > CHUNK:
+                words, prefixes = self.of(text)
+                yield i, np.zeros(len(words), np.int64), words, np.zeros(len(prefixes), np.int64), prefixes
+            else:
+                run.append(data)
+                size += len(data) + 1
+        if run:
+            yield first, *self.of_run(run)
+
+    def of_run(self, run: list[bytes]) -> tuple[np.ndarray, ...]:
+        begin = np.cumsum([0] + [len(d) + 1 for d in run[:-1]])
+        at, words, more_at, prefixes = self.of_bytes(np.frombuffer(b" ".join(run), np.uint8))
+        return np.searchsorted(begin, at, "right") - 1, words, np.searchsorted(begin, more_at, "right") - 1, prefixes
+
 
 class HashTable:
     """Places of hashes in a sorted array, found from their leading bits."""
@@ -67,20 +101,25 @@ class HashTable:
         self.begin = np.searchsorted(hashes >> self.shift, np.arange((1 << int(64 - self.shift)) + 1)).astype(np.int32)
         self.most = int(np.diff(self.begin).max())
 
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        """Of those that the array has."""
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these the array has, and where it has them."""
         top = (hashes >> self.shift).astype(np.int64)
-        at, end = self.begin[top], self.begin[top + 1]
-        found = []
+        which, at, end = np.arange(len(hashes)), self.begin[top], self.begin[top + 1]
+        found, places = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
         for _ in range(self.most):
             some = at < end
-            hashes, at, end = hashes[some], at[some], end[some]
+            which, hashes, at, end = which[some], hashes[some], at[some], end[some]
             if not len(at):
                 break
             same = self.hashes[at] == hashes
-            found.append(at[same])
-            at = at + 1
-        return np.concatenate(found) if found else np.empty(0, np.int32)
+            found.append(which[same])
+            places.append(at[same])
+            which, hashes, at, end = which[~same], hashes[~same], at[~same] + 1, end[~same]
+        return np.concatenate(found), np.concatenate(places)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Of those that the array has."""
+        return self.find(hashes)[1]
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:
@@ -128,15 +167,25 @@ class Vectors:
         self.hasher, self.words, self.more = TermHasher(), HashTable(terms), HashTable(prefixes)
         self.of_prefix = np.searchsorted(terms, prefixes).astype(np.int32)  # an example has each of them
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the text's terms in the vocabulary, ascending, and how often each occurs."""
-        words, prefixes = self.hasher.of(text)
-        return np.unique(np.concatenate((self.words.places(words), self.of_prefix[self.more.places(prefixes)])), return_counts=True)
-
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        terms, n = self.counts(text)
-        w = (1 + np.log(n)) * self.weight[terms]
-        return terms, w / (np.sqrt((w * w).sum()) or 1.0)
+    def counts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places of the texts, of their terms in the vocabulary, ascending, and how often each occurs: some texts at a time."""
+        for first, at, words, more_at, prefixes in self.hasher.of_many(texts):
+            which, places = self.words.find(words)
+            more, more_places = self.more.find(prefixes)
+            owner, term = np.concatenate((at[which], more_at[more])), np.concatenate((places, self.of_prefix[more_places]))
+            key, n = np.unique(owner * max(1, len(self.terms)) + term, return_counts=True)
+            yield first + key // max(1, len(self.terms)), key % max(1, len(self.terms)), n
+
+    def of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The terms and weights of each text."""
+        out = [(np.empty(0, np.int64), np.empty(0))] * len(texts)
+        for owner, term, n in self.counts(texts):
+            w = (1 + np.log(n)) * self.weight[term]
+            w /= np.maximum(np.sqrt(np.bincount(owner, w * w)), 1e-300)[owner] if len(owner) else 1.0
+            edges = np.flatnonzero(np.diff(owner, prepend=-1, append=len(texts)))
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                out[owner[lo]] = term[lo:hi], w[lo:hi]
+        return out
 
 
 def document_counts(docs: DataFrame, terms: np.ndarray, prefixes: np.ndarray) -> tuple[int, np.ndarray]:
@@ -147,8 +196,8 @@ def document_counts(docs: DataFrame, terms: np.ndarray, prefixes: np.ndarray) ->
         vectors, n = Vectors(*shared.value), 0
         seen = np.zeros(len(vectors.terms), np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                seen[vectors.counts(text)[0]] += 1
+            for _, term, _ in vectors.counts(batch["text"]):
+                seen += np.bincount(term, minlength=len(seen))
             n += len(batch["text"])
         at = np.flatnonzero(seen)
         yield {"term": np.concatenate(([-1], at)), "n": np.concatenate(([n], seen[at]))}
@@ -202,12 +251,10 @@ class BlockMaxIndex:
         most = most[lists[long[most]] * FULL_LIST >= n]
         self.full = np.full(len(long), -1, np.int32)
         self.full[most] = np.arange(len(most))
-        self.full_weight = np.zeros((len(most), n), np.float32)
-        for k, t in enumerate(long[most]):
-            lo, hi = self.begin[t], self.begin[t + 1]
-            self.full_weight[k, self.example[lo:hi]] = self.weight[lo:hi]
+        self.full_terms, self.full_weight = long[most], None
+        self.lists = lists.astype(np.int32)
         self.bound = np.zeros((len(long), self.blocks), np.float32)
-        self.block_begin = np.zeros((len(long), self.blocks + 1), np.int64)
+        self.block_begin = np.zeros((len(long), self.blocks + 1), np.int32)
         for k, t in enumerate(long):
             lo, hi = self.begin[t], self.begin[t + 1]
             np.maximum.at(self.bound[k], self.example[lo:hi] // BLOCK, self.weight[lo:hi])
@@ -223,58 +270,103 @@ class BlockMaxIndex:
             score += np.bincount(self.example[at], np.repeat(weights.astype(np.float32), n) * self.weight[at], minlength=len(score))
             self.read += total
 
+    def full_lists(self) -> np.ndarray:
+        """The longest lists, example by example; each worker makes them for itself, so they are not sent."""
+        if self.full_weight is None:
+            self.full_weight = np.zeros((len(self.full_terms), self.blocks * BLOCK), np.float32)
+            for k, t in enumerate(self.full_terms):
+                lo, hi = self.begin[t], self.begin[t + 1]
+                self.full_weight[k, self.example[lo:hi]] = self.weight[lo:hi]
+        return self.full_weight
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Entries and cosines of the k nearest examples (all that tie with the last), above zero, but for that of doc_id ``without``.
+        """Entries and cosines of the k nearest examples (all that tie with the last), above zero, but for that of doc_id ``without``."""
+        return self.nearest_of([(terms, weights)], k, [without])[0]
 
-        Short lists are read first. The blocks of highest bound, by what their examples have so far and the
-        long lists' maxima, are scored next, and of the others only those whose bound reaches the k-th similarity found.
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of a group of vectors, each against the blocks that matter to it.
+
+        Short lists are read first. The blocks of highest bound, by what their examples have so far and the long
+        lists' maxima, are scored next, and of the others only those whose bound reaches the k-th similarity found. The
+        longest lists are added up for the group in a block that matters to one of it; all others vector by vector.
         """
-        k_th = k + (without is not None)
-        score = np.zeros(len(self.doc_id))
-        if not len(terms) or not len(score):
-            return np.empty(0, np.int64), np.empty(0)
-        long = self.long[terms]
-        short = terms[long < 0]
-        self.add(score, self.begin[short], self.begin[short + 1], weights[long < 0])
-        long, weights = long[long >= 0], weights[long >= 0]
-        if len(long):
-            upper = np.maximum.reduceat(score, np.arange(self.blocks) * BLOCK) + (weights[:, None] * self.bound[long]).sum(0)
+        if not len(self.doc_id):
+            return [(np.empty(0, np.int64), np.empty(0))] * len(vectors)
+        n, most = len(vectors), [k + (w is not None) for w in without]
+        score = np.zeros((n, self.blocks * BLOCK))
+        at_full = np.zeros((n, len(self.full_terms)), np.float32)
+        longs, partly = [], []
+        for i, (terms, weights) in enumerate(vectors):
+            long = self.long[terms]
+            short = terms[long < 0]
+            self.add(score[i], self.begin[short], self.begin[short + 1], weights[long < 0])
+            weights, long = weights[long >= 0], long[long >= 0]
             full = self.full[long]
-            at_full = np.zeros(len(self.full_weight), np.float32)
-            at_full[full[full >= 0]] = weights[full >= 0]
-            partly, part_weights = long[full < 0], weights[full < 0]
-            done = np.zeros(self.blocks, bool)
-            live = np.argpartition(-upper, FIRST_BLOCKS)[:FIRST_BLOCKS] if self.blocks > FIRST_BLOCKS else np.arange(self.blocks)
-            while len(live):
-                # runs of such blocks, with what lies between two near ones
-                live = np.sort(live)
-                cut = np.flatnonzero((np.diff(live) > GAP) | (np.add.reduceat(done, live)[:-1] > 0 if len(live) > 1 else False))
-                start, end = live[np.concatenate(([0], cut + 1))], live[np.concatenate((cut, [len(live) - 1]))] + 1
-                self.add(score, self.block_begin[partly[:, None], start].ravel(), self.block_begin[partly[:, None], end].ravel(), np.repeat(part_weights, len(start)))
-                for lo, hi in zip(start.tolist(), end.tolist(), strict=True):
-                    done[lo:hi] = True
-                    score[lo * BLOCK : hi * BLOCK] += np.einsum("k,kn->n", at_full, self.full_weight[:, lo * BLOCK : hi * BLOCK])
-                floor = self.floor(score[np.repeat(done, BLOCK)[: len(score)]], k_th)
-                live = np.flatnonzero(~done & (upper >= floor - 1e-6))
-            self.scored += int(done.sum())
-            score[~np.repeat(done, BLOCK)[: len(score)]] = 0.0
-        if without is not None:
-            score[self.doc_id == without] = 0.0
-        found = np.flatnonzero(score > 0)
-        found = found[score[found] >= self.floor(score[found], k) - 1e-6]
-        found = found[np.lexsort((self.doc_id[found], -np.round(score[found], 6)))]
-        return found, np.minimum(1.0, score[found])
+            at_full[i, full[full >= 0]] = weights[full >= 0]
+            longs.append((long, weights))
+            partly.append((long[full < 0], weights[full < 0]))
+        some, place = np.unique(np.concatenate([long for long, _ in longs]), return_inverse=True)
+        of_long = np.zeros((n, len(some)), np.float32)
+        of_long[np.repeat(np.arange(n), [len(long) for long, _ in longs]), place] = np.concatenate([w for _, w in longs])
+        by_block = score.reshape(n, self.blocks, BLOCK)
+        upper = by_block.max(2) + of_long @ self.bound[some]
+        done, added = np.zeros((n, self.blocks), bool), np.zeros(self.blocks, bool)
+        live = np.ones((n, self.blocks), bool)
+        if self.blocks > FIRST_BLOCKS:
+            live[:] = False
+            np.put_along_axis(live, np.argpartition(-upper, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+        while live.any():
+            for lo, hi in self.runs(live.any(0) & ~added):
+                score[:, lo * BLOCK : hi * BLOCK] += at_full @ self.full_lists()[:, lo * BLOCK : hi * BLOCK]
+                added[lo:hi] = True
+            for i in np.flatnonzero(live.any(1)).tolist():
+                long, weights = partly[i]
+                start, end = self.runs(live[i]).T
+                self.add(score[i], self.block_begin[long[:, None], start].ravel(), self.block_begin[long[:, None], end].ravel(), np.repeat(weights, len(start)))
+                done[i] |= live[i]
+                # float32 sums may be off by less than what is taken from the bar
+                live[i] = ~done[i] & (upper[i] >= self.floor(by_block[i][done[i]].ravel(), most[i]) - 1e-5)
+        self.scored += int(done.sum())
+        out = []
+        for i in range(n):
+            blocks = np.flatnonzero(done[i])
+            sims = by_block[i][blocks].ravel()
+            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            if without[i] is not None:
+                sims[self.doc_id[np.minimum(at, len(self.doc_id) - 1)] == without[i]] = 0.0
+            found = np.flatnonzero((sims > 0) & (sims >= self.floor(sims, k) - 1e-6))
+            at, sims = at[found], sims[found]
+            by = np.lexsort((self.doc_id[at], -np.round(sims, 6)))
+            out.append((at[by], np.minimum(1.0, sims[by])))
+        return out
+
+    @staticmethod
+    def runs(chosen: np.ndarray) -> np.ndarray:
+        """Begin and end of each run of chosen blocks."""
+        return np.flatnonzero(np.diff(chosen.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
 
     @staticmethod
     def floor(scores: np.ndarray, k: int) -> float:
         """The k-th highest score, 0 if there are fewer."""
         return float(-np.partition(-scores, k - 1)[k - 1]) if len(scores) >= k else 0.0
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int | None = None) -> tuple[float, list[int]]:
-        """Share of toxic among the neighbours, weighted by 1 / distance, and the nearest examples' ids."""
-        at, sims = self.nearest(terms, weights, without=without)
-        weight = 1 / (1 - sims + SOFT) * SOFT
-        return float((weight * self.toxic[at]).sum() + PRIOR * self.prior) / float(weight.sum() + PRIOR), [int(i) for i in self.doc_id[at[:3]]]
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None) -> list[tuple[float, list[int]]]:
+        """Of each vector the share of toxic among the neighbours, weighted by 1 / distance, and the nearest examples' ids."""
+        out: list[tuple[float, list[int]]] = [(0.0, [])] * len(vectors)
+        # in the order of the examples: those near each other have much the same blocks that matter
+        keys = []
+        for terms, weights in vectors:
+            have = self.lists[terms]
+            keys.append((int(terms[np.argmax(have)]), int(terms[np.argmax(np.where(have >= LONG_LIST, weights, 0))]), len(terms)) if len(terms) else (-1, -1, 0))
+        order = sorted(range(len(vectors)), key=keys.__getitem__)
+        for lo in range(0, len(order), GROUP):
+            group = order[lo : lo + GROUP]
+            nearest = self.nearest_of([vectors[i] for i in group], NEIGHBOURS, [without[i] if without else None for i in group])
+            for i, (at, sims) in zip(group, nearest, strict=True):
+                weight = 1 / (1 - sims + SOFT) * SOFT
+                share = float((weight * self.toxic[at]).sum() + PRIOR * self.prior) / float(weight.sum() + PRIOR)
+                out[i] = share, [int(d) for d in self.doc_id[at[:3]]]
+        return out
 
 
 class Calibration:
@@ -350,7 +442,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors
     def others(batches):
         known, found = model.value
         for batch in batches:
-            yield {"vote": [found.vote(*known.of(t), without=i)[0] for i, t in zip(batch["doc_id"], batch["text"], strict=True)], "toxic": batch["toxic"]}
+            yield {"vote": [v for v, _ in found.votes(known.of(batch["text"]), batch["doc_id"])], "toxic": batch["toxic"]}
 
     votes = map_batches(examples.select("doc_id", "text", "toxic"), "vote double, toxic int", others).toArrow()  # at most MOST_EXAMPLES rows
     return model, Calibration(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy(), prior)
@@ -376,7 +468,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, thres
     def run(batches):
         vectors, known = model.value
         for batch in batches:
-            found = [known.vote(*vectors.of(t)) for t in batch["text"]]
+            found = known.votes(vectors.of(batch["text"]))
             scores = calibration(np.array([v for v, _ in found]))
             yield {"doc_id": batch["doc_id"], "score": scores, "predicted": (scores >= threshold).astype(np.int32), "vote": [v for v, _ in found], "evidence": [e for _, e in found]}
 

@@ -144,6 +144,19 @@ def test_block_max_index_is_exact(monkeypatch, lists, full):
         assert index.scored < 0.6 * 80 * index.blocks  # blocks that cannot matter are not scored
 
 
+def test_texts_hashed_together_have_the_same_terms():
+    hasher = toxicity.TermHasher()
+    texts = ["", None, "a bc defghijkl", "x" * (toxicity.CHUNK + 50) + " tail", "Ünï wörds", "  ", "more words here"] * 2
+    got = [([], []) for _ in texts]
+    for first, at, words, more_at, prefixes in hasher.of_many(texts):
+        for k, hashes, where in ((0, words, at), (1, prefixes, more_at)):
+            for i, h in zip(where.tolist(), hashes.tolist(), strict=True):
+                got[first + i][k].append(h)
+    for text, found in zip(texts, got, strict=True):
+        for mine, alone in zip(found, hasher.of(text), strict=True):
+            assert sorted(mine) == sorted(alone.tolist())
+
+
 def test_isotonic_calibration():
     rng = np.random.default_rng(3)
     votes = np.round(rng.random(3000), 2)
