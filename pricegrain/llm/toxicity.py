@@ -18,13 +18,13 @@ PREFIXES, MOST_PREFIXES = (4, 5, 6), 16_384
 #: Lowest G2 of a term that goes with the label, fewest examples that have it, and the weight of all other terms.
 LEAST_G2, LEAST_DOCS, OTHERS = 12.0, 3, 0.1
 #: Examples of a block of the index, neighbours that vote, what is added to a distance, and weight of the prior.
-BLOCK, NEIGHBOURS, SOFT, PRIOR = 32, 9, 0.05, 0.25
+BLOCK, NEIGHBOURS, SOFT, PRIOR = 64, 9, 0.05, 0.25
 #: Postings from which a term's blocks are bounded and skipped, and blocks scored first.
 LONG_LIST, FIRST_BLOCKS = 256, 8
 #: Lists of one in so many examples are kept example by example, at most so many: they are added up without gathering.
 FULL_LIST, MOST_FULL = 16, 512
-#: Texts that are looked up together, and bytes that are hashed at a time.
-GROUP, CHUNK = 64, 1 << 20
+#: Texts that are looked up together, bytes that are hashed at a time, and what float32 sums of bounds may be off at most.
+GROUP, CHUNK, SLACK = 64, 1 << 20, 1e-5
 
 
 class TermHasher:
@@ -288,7 +288,8 @@ class BlockMaxIndex:
 
         Short lists are read first. The blocks of highest bound, by what their examples have so far and the long
         lists' maxima, are scored next, and of the others only those whose bound reaches the k-th similarity found. The
-        longest lists are added up for the group in a block that matters to one of it; all others vector by vector.
+        longest lists are added up for the group in a block that matters to one of it, which brings the bound nearer;
+        all others are read vector by vector, where the block still matters.
         """
         if not len(self.doc_id):
             return [(np.empty(0, np.int64), np.empty(0))] * len(vectors)
@@ -309,7 +310,9 @@ class BlockMaxIndex:
         of_long = np.zeros((n, len(some)), np.float32)
         of_long[np.repeat(np.arange(n), [len(long) for long, _ in longs]), place] = np.concatenate([w for _, w in longs])
         by_block = score.reshape(n, self.blocks, BLOCK)
-        upper = by_block.max(2) + of_long @ self.bound[some]
+        rest = of_long[:, self.full[some] < 0] @ self.bound[some[self.full[some] < 0]]  # what lists read posting by posting can add
+        upper = by_block.max(2) + rest + of_long[:, self.full[some] >= 0] @ self.bound[some[self.full[some] >= 0]]
+        floor = np.zeros(n)
         done, added = np.zeros((n, self.blocks), bool), np.zeros(self.blocks, bool)
         live = np.ones((n, self.blocks), bool)
         if self.blocks > FIRST_BLOCKS:
@@ -319,13 +322,15 @@ class BlockMaxIndex:
             for lo, hi in self.runs(live.any(0) & ~added):
                 score[:, lo * BLOCK : hi * BLOCK] += at_full @ self.full_lists()[:, lo * BLOCK : hi * BLOCK]
                 added[lo:hi] = True
+                upper[:, lo:hi] = by_block[:, lo:hi].max(2) + rest[:, lo:hi]  # nearer, now that the longest lists are in
+            live &= upper >= floor[:, None] - SLACK
             for i in np.flatnonzero(live.any(1)).tolist():
                 long, weights = partly[i]
                 start, end = self.runs(live[i]).T
                 self.add(score[i], self.block_begin[long[:, None], start].ravel(), self.block_begin[long[:, None], end].ravel(), np.repeat(weights, len(start)))
                 done[i] |= live[i]
-                # float32 sums may be off by less than what is taken from the bar
-                live[i] = ~done[i] & (upper[i] >= self.floor(by_block[i][done[i]].ravel(), most[i]) - 1e-5)
+                floor[i] = self.floor(by_block[i][done[i]].ravel(), most[i])
+            live = ~done & (upper >= floor[:, None] - SLACK)
         self.scored += int(done.sum())
         out = []
         for i in range(n):
