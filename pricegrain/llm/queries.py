@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pricegrain.llm import mixing, url_filter
 from pricegrain.llm.common import crc_bucket
 from pricegrain.llm.decontaminate import contaminated
+from pricegrain.llm.exact import exact_duplicates
 from pricegrain.llm.fingerprint import fingerprints
 from pricegrain.llm.language_id import predict_language
 from pricegrain.llm.licenses import license_scan
@@ -70,13 +71,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_toxicity, op3_license_scan, op4_decontamination, op5_fingerprints, op6_url_filter, op7_simhash, op8_suffix_dedup, op9_token_counts, op10_mixing)
+    for f in (op1_language_id, op2_toxicity, op3_license_scan, op4_decontamination, op5_fingerprints, op6_url_filter, op7_simhash, op8_suffix_dedup, op9_token_counts, op10_mixing, op11_exact_dedup)
 }
 
 
-
 def mixing_sql(block: int = mixing.BLOCK) -> str:
     """The mix in DuckDB: fill by weight, number each source's slots, permute them to blocks, join blocks by index, count each document's words.
 
@@ -154,4 +158,10 @@ k AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, strin
 SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op6_url_filter": url_sql(), "op8_suffix_dedup": repeats_sql(), "op10_mixing": mixing_sql()}
+EXACT_SQL = """
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size, row_number() OVER w = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
+ORACLE_SQL: dict[str, str] = {"op6_url_filter": url_sql(), "op8_suffix_dedup": repeats_sql(), "op10_mixing": mixing_sql(), "op11_exact_dedup": EXACT_SQL}

@@ -19,6 +19,7 @@ FIRST = {
     "op8_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op9_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_mixing": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
 }
 LONG = "".join(chr(97 + (i * i * 7 + i // 3) % 26) + (" " if i % 6 == 5 else "") for i in range(900))
 DOCS = [
