@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrain.llm import mixing, url_filter
+from pricegrain.llm import mixing, search, url_filter
 from pricegrain.llm.common import crc_bucket
 from pricegrain.llm.decontaminate import contaminated
 from pricegrain.llm.exact import exact_duplicates
@@ -17,9 +17,11 @@ from pricegrain.llm.language_id import predict_language
 from pricegrain.llm.licenses import license_scan
 from pricegrain.llm.mixing import mix
 from pricegrain.llm.repeats import LENGTH, remove_repeats
+from pricegrain.llm.search import search_documents
 from pricegrain.llm.simhash import near_duplicates
 from pricegrain.llm.tokens import token_counts
 from pricegrain.llm.toxicity import score_toxicity
+from pricegrain.llm.trie import conversation_trie
 from pricegrain.llm.url_filter import judge_urls
 from pricegrain.session import attach
 
@@ -75,9 +77,17 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_toxicity, op3_license_scan, op4_decontamination, op5_fingerprints, op6_url_filter, op7_simhash, op8_suffix_dedup, op9_token_counts, op10_mixing, op11_exact_dedup)
+    for f in (op1_language_id, op2_toxicity, op3_license_scan, op4_decontamination, op5_fingerprints, op6_url_filter, op7_simhash, op8_suffix_dedup, op9_token_counts, op10_mixing, op11_exact_dedup, op12_conversation_trie, op13_ranked_search)
 }
 
 
@@ -164,4 +174,34 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
 
 
-ORACLE_SQL: dict[str, str] = {"op6_url_filter": url_sql(), "op8_suffix_dedup": repeats_sql(), "op10_mixing": mixing_sql(), "op11_exact_dedup": EXACT_SQL}
+#: Unsigned crc32 of a decimal, bit by bit: each character is followed by seven zeros.
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), x -> [unicode(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), (a, x) -> xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
+
+TRIE_SQL = f"""
+WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, own, conv_id - conv_id % 20 AS base, {CRC} % 4 AS head FROM (SELECT conv_id, max(pos) AS own FROM t GROUP BY conv_id)),
+cs AS (SELECT c.*, least(head, coalesce(b.own, 0)) AS taken, taken + greatest(c.own - head, 0) AS len FROM c LEFT JOIN (SELECT conv_id AS b, own FROM c) b ON b.b = base),
+s AS (SELECT t.conv_id, pos - head + taken AS d, role, text FROM t JOIN cs USING (conv_id) WHERE pos > head UNION ALL SELECT cs.conv_id, pos, role, text FROM cs JOIN t ON t.conv_id = base AND pos <= taken),
+p AS (SELECT conv_id, d, list([role, text]) OVER (PARTITION BY conv_id ORDER BY d) AS key, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM s UNION ALL SELECT conv_id, 0, []::VARCHAR[][], 0 FROM cs),
+n AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM p GROUP BY key, d),
+children AS (SELECT key[1:d - 1] AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN children USING (key)),
+sub AS (SELECT key[1:a] AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY 1),
+ends AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256 FROM p JOIN cs USING (conv_id) WHERE d = len GROUP BY key)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_nodes v JOIN sub USING (key) LEFT JOIN ends USING (key) LEFT JOIN n u ON v.d > 0 AND u.key = v.key[1:v.d - 1]"""
+
+
+def search_sql() -> str:
+    terms = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{search.TERM}')"
+    return f"""
+WITH q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+held AS (SELECT doc_id, r, terms, len(terms) AS n FROM (SELECT doc_id, row_number() OVER () AS r, {terms} AS terms FROM documents) WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM held),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM held) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, totals GROUP BY term, nn),
+scored AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // l))))::BIGINT AS score FROM q JOIN p USING (term) JOIN weights USING (term) JOIN held USING (r), totals GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+
+ORACLE_SQL: dict[str, str] = {"op6_url_filter": url_sql(), "op8_suffix_dedup": repeats_sql(), "op10_mixing": mixing_sql(), "op11_exact_dedup": EXACT_SQL, "op12_conversation_trie": TRIE_SQL, "op13_ranked_search": search_sql()}

@@ -20,6 +20,8 @@ FIRST = {
     "op9_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op11_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op12_conversation_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op13_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
 LONG = "".join(chr(97 + (i * i * 7 + i // 3) % 26) + (" " if i % 6 == 5 else "") for i in range(900))
 DOCS = [
@@ -35,13 +37,14 @@ def odd(spark, tmp_path_factory):
     spark.createDataFrame([(1, 1, 0), (1, 1, 1), (3, None, None), (None, 1, 1), (6, 0, 0), (9, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(None, LONG[:200]), (1, None), (2, ""), (2, LONG[300:500])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([(None, None, None), (1, "http://a.com/", None), (1, "http://a.com/", "<a href=x>"), (2, "", ""), (3, "://", "<a href='http://b.net/fr/'>")], "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([(None, 1, "user", "no id"), (0, None, None, None), (0, 2, "user", "b"), (0, 1, "user", "a b"), (0, 1, "user", "a b"), (1, 0, "user", LONG), (2, None, "x", ""), (25, 5, "user", "c"), (41, 1, "user", "d")], "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS pos", "2 AS depth", "3 AS node").write.parquet(f"{folder}/conversations.parquet")
     return str(folder)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, odd, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
-    for t in ("documents", "labels", "benchmark", "pages"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
         spark.read.parquet(f"{odd}/{t}.parquet").limit(0).write.parquet(f"{folder}/{t}.parquet")
     return str(folder)
 
@@ -49,7 +52,7 @@ def empty(spark, odd, tmp_path_factory):
 @pytest.mark.parametrize("name", sorted(ALL))
 def test_odd_and_empty_tables(spark, odd, empty, name):
     rows = ALL[name](spark, odd).collect()
-    n = {"op6_url_filter": 5, "op4_decontamination": None, "pipeline": None}.get(name, len(DOCS))
+    n = {"op6_url_filter": 5, "op4_decontamination": None, "pipeline": None, "op12_conversation_trie": None, "op13_ranked_search": None}.get(name, len(DOCS))
     assert n is None or len(rows) == n
     if name == "op4_decontamination":
         assert {r["doc_id"] for r in rows} == {3, 4, 5}
@@ -71,7 +74,7 @@ def test_sql(spark, odd, name, folder):
     if folder == "odd" and name == "op8_suffix_dedup":
         pytest.skip("rows of one id count as documents of their own, which the SQL leaves out")
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet{'/*.parquet' if folder == 'odd' else ''}'")
     df = QUERIES[name](spark, path)
     columns = sorted(df.columns)
