@@ -175,7 +175,7 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id NULLS
 
 
 #: Unsigned crc32 of a decimal, bit by bit: each character is followed by seven zeros.
-CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), x -> [unicode(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), (a, x) -> xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [unicode(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
 
 TRIE_SQL = f"""
 WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
