@@ -18,20 +18,54 @@ def latest_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
+#: What tells the age of observations of one key, and what decides between equal times.
+AGE = ["fetched_at", "cents", "promo"]
+
+
+def compare(obs: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """Each observation with the price before it on its key (was) and whether (price, promo) moved; the first of a key is compared with the snapshot.
+
+    The batch alone is sorted and shuffled by key; a snapshot that is bucketed by key is joined where it lies.
+    Nulls compare as equal to nulls. Other columns of ``obs`` are left out, price_date is kept if there is one.
+    """
+    cols = [*KEY, "cents", "promo", *(["price_date"] if "price_date" in obs.columns else []), "fetched_at"]
+    w = Window.partitionBy(*KEY).orderBy(*AGE)
+    rows = obs.select(*cols).withColumns({"place": F.row_number().over(w), "last_cents": F.lag("cents").over(w), "last_promo": F.lag("promo").over(w)})
+    first = F.col("place") == 1
+    if current is None:
+        known, was, was_promo = ~first, F.col("last_cents"), F.col("last_promo")
+    else:
+        rows = rows.join(current.select(*KEY, F.col("cents").alias("old_cents"), F.col("promo").alias("old_promo"), F.lit(True).alias("held")), KEY, "left")
+        known, was, was_promo = ~first | F.col("held").isNotNull(), F.when(first, F.col("old_cents")).otherwise(F.col("last_cents")), F.when(first, F.col("old_promo")).otherwise(F.col("last_promo"))
+    same = known & F.col("cents").eqNullSafe(was) & F.col("promo").eqNullSafe(was_promo)
+    return rows.select(*cols, was.alias("was"), known.alias("known"), (~same).alias("moved"))
+
+
+def history_of(steps: DataFrame) -> DataFrame:
+    """Of compared observations those that moved; change_type is ``new`` or ``changed``."""
+    return steps.filter("moved").select(*[c for c in steps.columns if c not in ("known", "moved")], F.when(F.col("known"), "changed").otherwise("new").alias("change_type"))
+
+
+def merged(steps: DataFrame, current: DataFrame) -> DataFrame:
+    """The snapshot after compared observations of one batch: values and time of the last move, and the last check.
+
+    An unchanged price keeps its date and moves the time of the check alone. Keys without an observation stay as they are.
+    """
+    age = F.struct(*AGE)
+    new = steps.groupBy(*KEY).agg(F.max("fetched_at").alias("checked"), F.max_by(F.struct("cents", "promo", "price_date", "fetched_at"), F.when(F.col("moved"), age)).alias("n"))
+    old = current.select(*KEY, *[F.col(c).alias(f"old_{c}") for c in ("cents", "promo", "price_date", "last_checked_at", "last_changed_at")])
+    both = old.join(new, KEY, "full")
+    value = lambda c: F.when(F.col("n").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"old_{c}")).alias(c)
+    return both.select(*KEY, value("cents"), value("promo"), value("price_date"), F.greatest("checked", "old_last_checked_at").alias("last_checked_at"), F.coalesce("n.fetched_at", "old_last_changed_at").alias("last_changed_at"))
+
+
 def ingest_changes(obs: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """History rows: observations whose (price, promo) differ from the one before on the same key.
 
-    ``current`` holds the snapshot that the first observation of a key is compared with. change_type is
+    ``current`` holds the snapshot that the first observation of a key is compared with, one row a key. change_type is
     ``new`` or ``changed``. Nulls compare as equal to nulls.
     """
-    cols = [*KEY, "cents", "promo", "fetched_at"]
-    rows = obs.select(*cols, F.lit(1).alias("_obs"))
-    if current is not None:
-        rows = rows.unionByName(current.select(*cols, F.lit(0).alias("_obs")))
-    w = Window.partitionBy(*KEY).orderBy("_obs", "fetched_at", "cents")
-    rows = rows.withColumns({"_first": F.row_number().over(w) == 1, "_c": F.lag("cents").over(w), "_p": F.lag("promo").over(w)})
-    same = F.col("cents").eqNullSafe(F.col("_c")) & F.col("promo").eqNullSafe(F.col("_p")) & ~F.col("_first")
-    return rows.filter((F.col("_obs") == 1) & ~same).select(*cols, F.when(F.col("_first"), "new").otherwise("changed").alias("change_type"))
+    return history_of(compare(obs, current)).select(*KEY, "cents", "promo", "fetched_at", "change_type")
 
 
 def values_last(df: DataFrame, keys: list[str]) -> list[Column]:

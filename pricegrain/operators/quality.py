@@ -39,6 +39,14 @@ def flag_promo_depth(current: DataFrame, depth: float = 0.2) -> DataFrame:
     return j.filter(F.col("cents") < mean * depth).select(*FLAG, F.lit("promo_too_deep").alias("flag_type"), F.to_json(F.struct((F.col("cents") / 100.0).alias("price"), half_up(F.lit(100.0) * F.col("cents") / mean, 1).alias("pct_of_regular"))).alias("details"))
 
 
+def flag_moves(history: DataFrame, pct: float = 0.5) -> DataFrame:
+    """Moves of more than half from the price before it, of history rows with that price (was); one flag for each product, store and date, the largest move."""
+    change = F.abs(F.col("cents") - F.col("was")).cast("double") / F.col("was")
+    moved = history.filter(F.col("was") > 0).withColumn("change", change).filter(F.col("change") > pct)
+    largest = moved.groupBy(*FLAG).agg(F.max(F.struct("change", "cents", "was")).alias("m"))
+    return largest.select(*FLAG, F.lit("price_spike").alias("flag_type"), F.to_json(F.struct((F.col("m.cents") / 100.0).alias("price"), (F.col("m.was") / 100.0).alias("previous"), half_up(F.col("m.change") * 100.0, 1).alias("change_pct"))).alias("details"))
+
+
 def all_flags(current: DataFrame, prices: DataFrame) -> DataFrame:
     return flag_outliers(current).unionByName(flag_spikes(prices)).unionByName(flag_promo_depth(current))
 

@@ -339,7 +339,8 @@ q("spread_buckets", lambda t: va.intra_spread_all(ps(t, "list")).groupBy(sc.spre
 
 # --- streams
 
-q("stream_changes", sq.stream_changes, "SELECT product_id, store_id, cents, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc FROM obs WINDOW w AS (PARTITION BY product_id, store_id ORDER BY ts, cents)) WHERE rn = 1 OR cents <> pc", more=sq.OBS)
-q("stream_dedup", sq.stream_dedup, "SELECT DISTINCT product_id, store_id, ts::DATE::VARCHAR AS price_date FROM obs", more=sq.OBS)
-q("stream_window_avg", sq.stream_window_avg, "SELECT ts::DATE::VARCHAR AS day, product_id, sum(cents)::BIGINT AS cents, count(*) AS n FROM obs GROUP BY ALL", more=sq.OBS)
-q("stream_snapshot", sq.stream_snapshot, "SELECT product_id, store_id, cents FROM obs QUALIFY row_number() OVER (PARTITION BY product_id, store_id ORDER BY ts DESC) = 1", more=sq.OBS)
+q("stream_changes", sq.stream_changes, sq.CHANGES_SQL, more=sq.SNAP)
+q("stream_snapshot", sq.stream_snapshot, sq.SNAPSHOT_SQL, more=sq.SNAP)
+q("stream_flags", sq.stream_flags, sq.FLAGS_SQL, more=sq.SNAP)
+q("stream_dedup", sq.stream_dedup, sq.DEDUP_SQL, more=sq.SNAP)
+q("stream_window_avg", sq.stream_window_avg, sq.WINDOWS_SQL, more=sq.WINDOWS)

@@ -2,7 +2,7 @@
 
 import math
 import random
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,6 @@ from pricegrain.functions import scalars as sc
 from pricegrain.operators import baskets, geo, ingest, quality, text, variability
 from pricegrain.operators import index as ix
 from pricegrain.sources import readers
-from pricegrain.streaming import streams
 
 PRICE = "product_id long, store_id long, cents long, promo string, price_date date, fetched_at date, unit string"
 D = date(2026, 4, 30)
@@ -267,44 +266,3 @@ def test_config_and_sinks(spark, tmp_path):
     readers.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
     assert readers.properties_json(df, "id").collect()[0]["properties"] == '{"name":"x"}'
-
-
-def observations():
-    rng = random.Random(7)
-    t0 = datetime(2026, 1, 1)
-    return [(rng.randrange(6), rng.randrange(2), rng.choice([100, 110]), rng.choice([None, "P"]), (t0 + timedelta(hours=i)).date(), t0 + timedelta(hours=i)) for i in range(200)]
-
-
-OBS = "product_id long, store_id long, cents long, promo string, price_date date, fetched_at timestamp"
-
-
-@pytest.fixture
-def stream_dir(spark, tmp_path):
-    rows = observations()
-    for k in range(5):
-        spark.createDataFrame(rows[k * 40 : k * 40 + 40], OBS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    return rows, str(tmp_path / "in"), tmp_path
-
-
-def source(spark, path):
-    return spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def test_stream_changes_equal_batch(spark, stream_dir):
-    rows, path, tmp = stream_dir
-    job = streams.stream_changes(source(spark, path)).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp / "c1")).trigger(availableNow=True).start()
-    job.awaitTermination(120)
-    got = {tuple(r) for r in spark.table("changes").collect()}
-    assert got == {tuple(r) for r in ingest.ingest_changes(spark.createDataFrame(rows, OBS)).collect()}
-
-
-def test_stream_dedup_snapshot_and_windows(spark, stream_dir):
-    rows, path, tmp = stream_dir
-    run = lambda df, sink, name, mode="append": df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", str(tmp / name)).trigger(availableNow=True).start().awaitTermination(120)
-    run(streams.stream_dedup(source(spark, path)), streams.append_absent(str(tmp / "hist")), "c2")
-    assert spark.read.parquet(str(tmp / "hist")).count() == len({(r[0], r[1], r[4]) for r in rows})
-    run(source(spark, path), streams.stream_snapshot(str(tmp / "snap")), "c3")
-    assert {tuple(r) for r in spark.read.parquet(str(tmp / "snap/batch=4")).collect()} == {tuple(r) for r in ingest.snapshot_latest(spark.createDataFrame(rows, OBS)).collect()}
-    avg = streams.stream_window_avg(source(spark, path), ["store_id"], "1 day")
-    avg.writeStream.outputMode("complete").format("memory").queryName("avgs").option("checkpointLocation", str(tmp / "c4")).trigger(availableNow=True).start().awaitTermination(120)
-    assert spark.table("avgs").agg(F.sum("n"), F.sum("cents")).first()[:] == (200, sum(r[2] for r in rows))
