@@ -50,12 +50,6 @@ def spread_pct(low: Column, high: Column, base: Column) -> Column:
     return half_up(F.try_divide(F.lit(100.0) * (high - low), base))
 
 
-def upper_median(x: Column | str) -> Column:
-    """Sorted values at n div 2: the upper of two middle ones."""
-    values = F.sort_array(F.collect_list(x))
-    return F.get(values, F.floor(F.size(values) / 2).cast("int"))
-
-
 def map_of(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(v) for pair in values.items() for v in pair])
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, mean_cents, money
-
+from pricegrain.operators.ordered import numbered
 
 
 def clean_prices(ps: DataFrame, flags: DataFrame) -> DataFrame:
@@ -170,8 +170,9 @@ def stores_fetched_on(ps: DataFrame, day) -> DataFrame:
 
 def population_band(stores: DataFrame, low: float = 0.35, high: float = 0.65) -> DataFrame:
     """Stores of middling population, by rank, ties by id."""
-    ranked = stores.withColumns({"rn": F.row_number().over(Window.orderBy("population", "id")), "n": F.count("*").over(Window.partitionBy())})
-    return ranked.filter((F.col("rn") > F.col("n") * low) & (F.col("rn") <= F.col("n") * high)).select("id", "network", "population")
+    ranked = numbered(stores.select("id", "network", "population"), [], ["population", "id"], "rn")
+    total = stores.agg(F.count(F.lit(1)).alias("n"))  # one row
+    return ranked.join(F.broadcast(total), (F.col("rn") > F.col("n") * low) & (F.col("rn") <= F.col("n") * high)).select("id", "network", "population")
 
 
 def count_by(df: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:

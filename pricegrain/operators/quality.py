@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricegrain.functions.scalars import half_up, upper_median
+from pricegrain.functions.scalars import half_up
+from pricegrain.operators.ordered import islands, upper_medians
 
 FLAG = ["product_id", "store_id", "price_date"]
 
@@ -13,22 +14,23 @@ FLAG = ["product_id", "store_id", "price_date"]
 def flag_outliers(current: DataFrame, z: float = 3.0) -> DataFrame:
     """Modified z-score by median absolute deviation, both upper medians, over products with three positive prices."""
     current = current.filter("cents > 0")
-    mid = current.groupBy("product_id").agg(upper_median("cents").alias("med"), F.count("*").alias("n")).filter("n >= 3")
+    mid = upper_medians(current, ["product_id"], "cents", "med").filter("n >= 3").drop("n")
     d = current.join(mid, "product_id").withColumn("dev", F.abs(F.col("cents") - F.col("med")))
-    mad = d.groupBy("product_id").agg(upper_median("dev").alias("mad")).filter("mad > 0")
+    mad = upper_medians(d, ["product_id"], "dev", "mad").filter("mad > 0").drop("n")
     score = F.lit(0.6745) * F.col("dev") / F.col("mad")
     return d.join(mad, "product_id").filter(score > z).select(*FLAG, F.lit("outlier_price").alias("flag_type"), F.to_json(F.struct((F.col("cents") / 100.0).alias("price"), (F.col("med") / 100.0).alias("median"), half_up(score).alias("z"))).alias("details"))
 
 
 def flag_spikes(prices: DataFrame, pct: float = 0.5) -> DataFrame:
     """Moves of more than half between the two newest dates on one product and store."""
-    days = [r[0] for r in prices.select("price_date").distinct().orderBy(F.desc("price_date")).limit(2).collect()]
-    if len(days) < 2:
-        days = [None, None]
-    on = lambda d, name: prices.filter(F.col("price_date") == F.lit(d)).select("product_id", "store_id", F.col("cents").alias(name))
-    j = on(days[0], "now").join(on(days[1], "before"), ["product_id", "store_id"]).filter("before > 0")
+    newest = prices.filter("price_date is not null").select("price_date").distinct().orderBy(F.desc("price_date")).limit(2)
+    days = newest.agg(F.max("price_date").alias("now_date"), F.min("price_date").alias("before_date")).filter("now_date > before_date")  # one row, or none
+    both = prices.join(F.broadcast(days), F.col("price_date").isin(F.col("now_date"), F.col("before_date")))
+    is_now = F.col("price_date") == F.col("now_date")
+    pairs = both.groupBy("product_id", "store_id").agg(F.max(F.when(is_now, F.col("cents"))).alias("now"), F.max(F.when(~is_now, F.col("cents"))).alias("before"), F.max("now_date").alias("now_date"))
+    j = pairs.filter("before > 0 and now is not null")
     change = F.abs(F.col("now") - F.col("before")).cast("double") / F.col("before")
-    return j.filter(change > pct).select("product_id", "store_id", F.lit(days[0]).cast("date").alias("price_date"), F.lit("price_spike").alias("flag_type"), F.to_json(F.struct((F.col("now") / 100.0).alias("price"), (F.col("before") / 100.0).alias("previous"), half_up(change * 100.0, 1).alias("change_pct"))).alias("details"))
+    return j.filter(change > pct).select("product_id", "store_id", F.col("now_date").alias("price_date"), F.lit("price_spike").alias("flag_type"), F.to_json(F.struct((F.col("now") / 100.0).alias("price"), (F.col("before") / 100.0).alias("previous"), half_up(change * 100.0, 1).alias("change_pct"))).alias("details"))
 
 
 def flag_promo_depth(current: DataFrame, depth: float = 0.2) -> DataFrame:
@@ -138,8 +140,7 @@ def run_health(runs: DataFrame, as_of, max_age_days: int = 2) -> DataFrame:
 
 def run_islands(runs: DataFrame) -> DataFrame:
     """Consecutive runs of one script and status, merged with their number."""
-    w = Window.partitionBy("script").orderBy("started", "id")
-    r = runs.withColumn("new", F.coalesce((F.lag("status").over(w) != F.col("status")).cast("int"), F.lit(1))).withColumn("island", F.sum("new").over(w))
+    r = islands(runs.select("script", "status", "started", "id"), ["script"], ["started", "id"], "status", "island")
     return r.groupBy("script", "island", "status").agg(F.max_by("id", F.struct("started", "id")).alias("latest_id"), F.count("*").alias("count"))
 
 

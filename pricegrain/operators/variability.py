@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricegrain.functions.scalars import half_up, mean_cents, money, sampling_tier, spread_bucket, spread_pct, upper_median
-
+from pricegrain.functions.scalars import half_up, mean_cents, money, sampling_tier, spread_bucket, spread_pct
+from pricegrain.operators.ordered import running_sum, upper_medians, value_counts
+from pricegrain.storage import checkpoint
 
 
 def stats(df: DataFrame, *keys: str, **more: Column) -> DataFrame:
@@ -49,17 +52,37 @@ def intra_network_stats(latest: DataFrame, min_stores: int = 2) -> DataFrame:
 
 def cross_network_medians(latest: DataFrame, exclude: tuple = ()) -> DataFrame:
     """Upper median per network, then the cheapest and priciest network of each product and unit."""
-    m = latest.filter(~F.col("network").isin(*exclude)).groupBy("product_id", "unit", "network").agg(upper_median("cents").alias("m"))
+    m = latest.filter(~F.col("network").isin(*exclude))
+    m = upper_medians(m, ["product_id", "unit", "network"], "cents", "m")
     low, high = F.min(F.struct("m", "network")), F.max(F.struct("m", "network"))
     g = m.groupBy("product_id", "unit").agg(F.count(F.lit(1)).alias("networks"), F.array_join(F.array_sort(F.collect_set("network")), ",").alias("all_networks"), low.alias("a"), high.alias("b")).filter("networks >= 2")
     return g.select("product_id", "unit", "networks", "all_networks", F.col("a.network").alias("cheapest_network"), money(F.col("a.m")).alias("cheapest_price"), F.col("b.network").alias("priciest_network"), money(F.col("b.m")).alias("priciest_price"), half_up(F.try_divide(F.col("b.m").cast("double"), F.col("a.m"))).alias("ratio"))
 
 
-def medians_by_network(latest: DataFrame, networks: list[str]) -> DataFrame:
-    """One column of medians for each network."""
-    m = latest.groupBy("product_id", "network").agg(upper_median("cents").alias("m"))
-    p = m.groupBy("product_id").pivot("network", networks).agg(F.first("m"))
-    return p.select("product_id", *[money(F.col(f"`{n}`")).alias("price_" + n.lower().replace(" ", "_")) for n in networks])
+#: Networks that a table can have a column for.
+MOST_NETWORKS = 500
+
+
+def medians_by_network(latest: DataFrame, most: int = MOST_NETWORKS) -> DataFrame:
+    """One column of medians for each network that the data have, in order of name; more than ``most`` are an error.
+
+    Networks are looked up first, among medians that are kept for both passes. A column's name is price_ and the network's, with
+    _ for what is neither letter nor digit, and a number where two would be the same. A null network has no column.
+    """
+    m = checkpoint(upper_medians(latest, ["product_id", "network"], "cents", "m"), "medians")
+    networks = sorted(r[0] for r in m.select("network").distinct().filter("network is not null").limit(most + 1).collect())
+    if len(networks) > most:
+        raise ValueError(f"more than {most} networks")
+    names: dict[str, str] = {}
+    for n in networks:
+        plain = name = "price_" + re.sub(r"[\W_]+", "_", n.lower())
+        k = 1
+        while name in names.values():
+            k += 1
+            name = f"{plain}_{k}"
+        names[n] = name
+    p = m.groupBy("product_id").pivot("network", networks).agg(F.first("m")) if networks else m.select("product_id").distinct()
+    return p.select("product_id", *[money(F.col(f"`{n}`")).alias(name) for n, name in names.items()])
 
 
 def variance(ps: DataFrame, keys: list[str], count: str, least: int) -> DataFrame:
@@ -93,9 +116,13 @@ def price_uniformity(ps: DataFrame, min_stores: int = 3) -> DataFrame:
 
 def uniformity_by_network(u: DataFrame) -> DataFrame:
     """Share of uniform groups, and the 50th and 95th percentile and maximum of spread, counted from above."""
-    ranked = u.withColumn("rn", F.row_number().over(Window.partitionBy("network").orderBy(F.desc("spread_pct"), "product_id", "price_date")) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("network")))
-    at = lambda f: F.max(F.when(F.col("rn") == F.floor(F.col("n") * f), F.col("spread_pct")))
-    return ranked.groupBy("network").agg(F.count(F.lit(1)).alias("groups"), half_up(F.lit(100.0) * F.count_if(F.col("distinct_prices") == 1) / F.count(F.lit(1)), 1).alias("uniform_pct"), at(0.5).alias("p50"), at(0.05).alias("p95"), F.max("spread_pct").alias("max_pct"))
+    u = checkpoint(u.select("network", "spread_pct", "distinct_prices"), "uniformity")
+    totals = u.groupBy("network").agg(F.count(F.lit(1)).alias("groups"), half_up(F.lit(100.0) * F.count_if(F.col("distinct_prices") == 1) / F.count(F.lit(1)), 1).alias("uniform_pct"), F.max("spread_pct").alias("max_pct"))
+    counts = value_counts(u, ["network"], "spread_pct", "times").withColumn("least_first", -F.col("spread_pct"))
+    ranked = running_sum(counts, ["network"], ["least_first"], "times", "upto").join(totals.select("network", "groups"), "network")
+    at = lambda f: F.max(F.when((F.col("upto") > F.floor(F.col("groups") * f)) & (F.col("upto") - F.col("times") <= F.floor(F.col("groups") * f)), F.col("spread_pct")))
+    picked = ranked.groupBy("network").agg(at(0.5).alias("p50"), at(0.05).alias("p95"))
+    return totals.join(picked, "network", "left").select("network", "groups", "uniform_pct", "p50", "p95", "max_pct")
 
 
 def top_variable(u: DataFrame, first: int = 20) -> DataFrame:

@@ -107,7 +107,7 @@ q("latest_per_store", lambda t: va.latest_per_store(ps(t)), "SELECT * FROM ls",
 q("intra_network_stats", lambda t: va.intra_network_stats(va.latest_per_store(ps(t))), f"SELECT product_id, network, unit, stores, lo / 1e2 AS min_price, hi / 1e2 AS max_price, floor(s / stores + 5e-1) / 1e2 AS avg_price, floor(sd + 5e-1) / 1e2 AS std_price, {r('sd * 1e2 / (s / stores)', 1)} AS cv_pct, {r('hi::DOUBLE / lo')} AS ratio FROM (SELECT *, sqrt(greatest(0e0, qq / stores - (s / stores) * (s / stores))) AS sd FROM (SELECT product_id, network, unit, count(*) AS stores, sum(cents)::DOUBLE AS s, sum(cents * cents)::DOUBLE AS qq, min(cents) AS lo, max(cents) AS hi FROM ls GROUP BY ALL HAVING count(*) >= 2))", more=LATEST)
 MED = LATEST + f", md AS (SELECT product_id, unit, network, list_sort(list(cents))[count(*) // 2 + 1] AS m FROM ls WHERE network <> '{B2B}' GROUP BY ALL)"
 q("cross_network_medians", lambda t: va.cross_network_medians(va.latest_per_store(ps(t)), (B2B,)), f"SELECT product_id, unit, count(*) AS networks, string_agg(network, ',' ORDER BY network) AS all_networks, first(network ORDER BY m, network) AS cheapest_network, min(m) / 1e2 AS cheapest_price, first(network ORDER BY m DESC, network DESC) AS priciest_network, max(m) / 1e2 AS priciest_price, {r('max(m)::DOUBLE / min(m)')} AS ratio FROM md GROUP BY product_id, unit HAVING count(*) >= 2", more=MED)
-q("medians_by_network", lambda t: va.medians_by_network(va.latest_per_store(ps(t)), ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]), "SELECT product_id, " + ", ".join(f"max(m) FILTER (network = '{n}') / 1e2 AS price_{n.lower().replace(' ', '_')}" for n in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")) + " FROM (SELECT product_id, network, list_sort(list(cents))[count(*) // 2 + 1] AS m FROM ls GROUP BY ALL) GROUP BY product_id", more=LATEST)
+q("medians_by_network", lambda t: va.medians_by_network(va.latest_per_store(ps(t))), "SELECT product_id, " + ", ".join(f"max(m) FILTER (network = '{n}') / 1e2 AS price_{n.lower().replace(' ', '_')}" for n in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")) + " FROM (SELECT product_id, network, list_sort(list(cents))[count(*) // 2 + 1] AS m FROM ls GROUP BY ALL) GROUP BY product_id", more=LATEST)
 VARIANCES = {
     "intra_uat_variance": (["product_id", "uat_id", "network"], "store_id", 2, (0.1, 1.0, 5.0)),
     "inter_network_variance": (["product_id", "uat_id"], "network", 2, (1.0, 5.0, 10.0)),

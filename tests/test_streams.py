@@ -32,7 +32,7 @@ def rows_of(df):
 def test_batches_equal_the_batch_operator(spark, tmp_path):
     rows = observations()
     table = snapshot.SnapshotTable(spark, str(tmp_path / "t"), parts=3)
-    for k, batch in enumerate(batches(spark, rows, 5)):
+    for k, batch in enumerate(batches(spark, rows, 3)):
         table.merge(batch, k)
     whole = spark.createDataFrame(rows, OBS)
     assert rows_of(table.history().drop("was", "price_date")) == rows_of(ingest.ingest_changes(whole))
@@ -48,7 +48,7 @@ def test_flags_grow_with_batches_and_are_told_once(spark, tmp_path):
     table = snapshot.SnapshotTable(spark, str(tmp_path / "t"), parts=3)
     rows = observations(160, 4)
     want, steps = set(), None
-    for k, batch in enumerate(batches(spark, rows, 4)):
+    for k, batch in enumerate(batches(spark, rows, 3)):
         table.merge(batch, k)
         current = table.snapshot().join(batch.select("product_id").distinct(), "product_id", "left_semi")
         want |= {tuple(r)[:4] for r in quality.flag_outliers(current).unionByName(quality.flag_promo_depth(current)).collect()}
@@ -60,7 +60,7 @@ def test_flags_grow_with_batches_and_are_told_once(spark, tmp_path):
 
 def test_batch_that_failed_or_comes_again(spark, tmp_path, monkeypatch):
     rows = observations(120)
-    parts = batches(spark, rows, 3)
+    parts = batches(spark, rows, 2)
     table, other = (snapshot.SnapshotTable(spark, str(tmp_path / name), parts=3) for name in "ab")
     for k, batch in enumerate(parts):
         other.merge(batch, k)
@@ -78,7 +78,7 @@ def test_batch_that_failed_or_comes_again(spark, tmp_path, monkeypatch):
         table.merge(parts[1], 1)
     monkeypatch.setattr(snapshot.SnapshotTable, "put", put)
     assert before == (rows_of(table.snapshot()), rows_of(table.history()), rows_of(table.flags()))  # nothing of it is seen
-    for k in (1, 1, 2, 0):
+    for k in (1, 1, 0):
         table.merge(parts[k], k)
     for of in ("snapshot", "history", "flags"):
         assert rows_of(getattr(table, of)()) == rows_of(getattr(other, of)())
