@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, haversine_km
+from pricegrain.storage import checkpoint
 
-#: Kilometres of a degree of latitude, a little less than the shortest, so that cells are never too small.
-DEGREE_KM = 110.0
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that all executors share (``spark.checkpoint.dir``)."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        return df.persist()
-    path = f"{folder}/pricegrain/geo-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Kilometres of a degree of latitude, a little less than the shortest, so that cells are never too small; and of any degree at most.
+DEGREE_KM, MOST_DEGREE_KM = 110.0, 111.3
+EARTH_KM = 6371.0
+#: Points of a cell that are compared one by one, and how often a fuller cell is cut into four.
+LEAF_POINTS, MOST_CUTS = 64, 12
 
 
 def near_pairs(a: DataFrame, b: DataFrame, radius_km: float) -> DataFrame:
@@ -44,11 +35,63 @@ def near_pairs(a: DataFrame, b: DataFrame, radius_km: float) -> DataFrame:
     return left.join(right, ["row", "col"]).withColumn("km", km).filter(F.col("km") <= radius_km).select("a_id", "b_id", "km")
 
 
+def half_width(lat: Column, radius_km: float) -> Column:
+    """Degrees of longitude that a circle spans to either side; all of them where it holds a pole."""
+    s = F.sin(F.lit(radius_km / EARTH_KM)) / F.cos(F.radians(lat))
+    return F.when(s < 1, F.degrees(F.asin(s))).otherwise(F.lit(360.0))
+
+
+def circle_cells(points: DataFrame, radius_km: float, step: float) -> DataFrame:
+    """Points with row and col of every cell of ``step`` degrees that the circle around them can touch, the antimeridian aside."""
+    margin = 1e-9
+    high = F.lit(radius_km / EARTH_KM * 180 / 3.141592653589793 + margin)
+    wide = half_width(F.col("lat"), radius_km) + margin
+    cell = lambda x: F.floor(x / step)
+    rows = points.withColumn("wide", wide).withColumn("row", F.explode(F.sequence(cell(F.col("lat") - high), cell(F.col("lat") + high))))
+    return rows.withColumn("col", F.explode(F.sequence(cell(F.greatest(F.lit(-180.0), F.col("lon") - F.col("wide"))), cell(F.least(F.lit(180.0), F.col("lon") + F.col("wide")))))).drop("wide")
+
+
+def circle_sums(centres: DataFrame, points: DataFrame, radius_km: float) -> DataFrame:
+    """lat, lon, total: the sum of ``value`` of the points within the radius of each centre that has any.
+
+    ``centres`` has distinct (lat, lon), ``points`` distinct (lat, lon) and value. Cells as wide as the radius are cut into
+    four as long as one holds more than LEAF_POINTS points. A cell that lies wholly inside a circle gives its sum, one
+    outside nothing; only cells at the edge are cut further, and only the last have their points compared. So
+    what is joined grows with the circles' edges, not with the points inside.
+    """
+    points = checkpoint(points.select("lat", "lon", "value"), "points")
+    steps = [radius_km / DEGREE_KM]
+    grid = lambda step: points.groupBy(F.floor(F.col("lat") / step).alias("row"), F.floor(F.col("lon") / step).alias("col")).agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    levels = [grid(steps[0])]
+    while len(steps) <= MOST_CUTS and (levels[-1].agg(F.max("n")).first()[0] or 0) > LEAF_POINTS:
+        steps.append(steps[-1] / 2)
+        levels.append(checkpoint(grid(steps[-1]), "cells"))
+    open_, parts = circle_cells(centres.select("lat", "lon"), radius_km, steps[0]), []
+    for k, (step, cells) in enumerate(zip(steps, levels, strict=True)):
+        corner = lambda i, j, step=step: haversine_km(F.col("lat"), F.col("lon"), (F.col("row") + i) * step, (F.col("col") + j) * step)
+        inside = F.greatest(corner(0, 0), corner(0, 1), corner(1, 0), corner(1, 1)) < radius_km - 1e-6
+        met = open_.join(cells, ["row", "col"]).withColumn("inside", inside)
+        met = checkpoint(met, "met") if k + 1 < len(steps) else met
+        parts.append(met.filter("inside").select("lat", "lon", "value"))
+        last = F.lit(k + 1 == len(steps))
+        leaf = met.filter(~F.col("inside") & (last | (F.col("n") <= LEAF_POINTS))).select("lat", "lon", "row", "col")
+        held = points.select(F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "value", F.floor(F.col("lat") / step).alias("row"), F.floor(F.col("lon") / step).alias("col"))
+        near = leaf.join(held, ["row", "col"]).filter(haversine_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")) <= radius_km)
+        parts.append(near.select("lat", "lon", "value"))
+        quarters = F.array(*[F.struct((2 * F.col("row") + i).alias("row"), (2 * F.col("col") + j).alias("col")) for i in (0, 1) for j in (0, 1)])
+        open_ = met.filter(~F.col("inside") & ~last & (F.col("n") > LEAF_POINTS)).select("lat", "lon", F.explode(quarters).alias("q")).select("lat", "lon", "q.row", "q.col")
+    return reduce(DataFrame.unionByName, parts).groupBy("lat", "lon").agg(F.sum("value").alias("total"))
+
+
 def surrounding_population(stores: DataFrame, localities: DataFrame, radius_km: float = 10) -> DataFrame:
-    """Population of the localities within the radius of each store, 0 where there is none."""
-    near = near_pairs(stores, localities, radius_km).join(localities.select(F.col("id").alias("b_id"), "population"), "b_id")
-    g = near.groupBy(F.col("a_id").alias("id")).agg(F.sum("population").alias("surrounding_population"))
-    return stores.select("id").join(g, "id", "left").select(F.col("id").alias("store_id"), F.coalesce("surrounding_population", F.lit(0)).alias("surrounding_population"))
+    """Population of the localities within the radius of each store, 0 where there is none or the store has no coordinates.
+
+    Stores and localities of equal coordinates count as one point, with the population of all.
+    """
+    places = stores.filter("lat is not null and lon is not null").select("lat", "lon").distinct()
+    people = localities.filter("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.sum("population").alias("value"))
+    g = circle_sums(places, people, radius_km)
+    return stores.select("id", "lat", "lon").join(g, ["lat", "lon"], "left").select(F.col("id").alias("store_id"), F.coalesce("total", F.lit(0)).cast("long").alias("surrounding_population"))
 
 
 def sampling_points(boxes: DataFrame, min_population: int = 10_000, spacing_km: float = 8, max_diagonal_km: float = 10) -> DataFrame:
@@ -68,22 +111,32 @@ def sampling_points(boxes: DataFrame, min_population: int = 10_000, spacing_km:
 def dedup_points(points: DataFrame, radius_km: float = 4) -> DataFrame:
     """Greedy dedup in order of population: a point stays unless one that stays is nearer than the radius.
 
-    Each round keeps every open point without an open neighbour before it, and drops the neighbours of those;
-    the fixpoint equals the greedy result. Rounds go on until no point is open: each settles at least the first
-    of those that are. ``points`` has id, lat, lon, population.
+    ``points`` has id, lat, lon, population; those without coordinates are left out. Of equal coordinates only the first can
+    stay. The grid's cells are so small that all points of one are nearer than the radius, so only the first open point of a
+    cell can stay next; in each round those stay that no open point before them is near to, and what is near to them
+    goes. The fixpoint equals the greedy result; each round settles at least the first open point. Pairs of a round are
+    points by the cells around them, of which there are a bounded number, however dense a place is.
     """
-    first = F.struct(-F.col("population"), F.col("id"))
-    near = near_pairs(points, points, radius_km).filter((F.col("a_id") != F.col("b_id")) & (F.col("km") < radius_km)).select("a_id", "b_id")
-    rank = points.select("id", first.alias("rank"))
-    before = checkpoint(near.join(rank.withColumnsRenamed({"id": "a_id", "rank": "ra"}), "a_id").join(rank.withColumnsRenamed({"id": "b_id", "rank": "rb"}), "b_id").filter("rb < ra").select("a_id", "b_id"))
-    open_, kept = points.select("id"), None
-    while kept is None or open_.head(1):
-        waiting = before.join(open_.withColumnRenamed("id", "a_id"), "a_id").join(open_.withColumnRenamed("id", "b_id"), "b_id").select(F.col("a_id").alias("id")).distinct()
-        now = checkpoint(open_.join(waiting, "id", "left_anti"))
-        kept = now if kept is None else checkpoint(kept.unionByName(now))
-        gone = before.join(now.withColumnRenamed("id", "b_id"), "b_id").select(F.col("a_id").alias("id")).distinct()
-        open_ = checkpoint(open_.join(now, "id", "left_anti").join(gone, "id", "left_anti"))
-    return points.join(kept, "id", "left_semi").select("id", "lat", "lon")
+    step = radius_km / 1.5 / MOST_DEGREE_KM
+    rank = F.struct((-F.coalesce("population", F.lit(0))).alias("p"), F.col("id").alias("id"))
+    known = points.filter("lat is not null and lon is not null")
+    first = known.groupBy("lat", "lon").agg(F.min(rank).alias("rank"))
+    open_ = checkpoint(first.select("lat", "lon", "rank", F.floor(F.col("lat") / step).alias("row"), F.floor(F.col("lon") / step).alias("col")), "open")
+
+    def around(some: DataFrame) -> DataFrame:
+        spread = circle_cells(some.select("lat", "lon", "rank"), radius_km, step).withColumnsRenamed({"lat": "s_lat", "lon": "s_lon", "rank": "s_rank"})
+        return spread.join(open_, ["row", "col"]).filter(haversine_km(F.col("s_lat"), F.col("s_lon"), F.col("lat"), F.col("lon")) < radius_km)
+
+    stay = []
+    while open_.head(1):
+        top = checkpoint(open_.groupBy("row", "col").agg(F.min_by(F.struct("lat", "lon", "rank"), "rank").alias("t")).select("t.*"), "tops")
+        held_back = around(top).filter("rank < s_rank").select(F.col("s_rank").alias("rank")).distinct()
+        now = checkpoint(top.join(held_back, "rank", "left_anti").select("lat", "lon", "rank"), "stay")
+        stay.append(now)
+        open_ = checkpoint(open_.join(around(now).select("rank").distinct(), "rank", "left_anti").select(open_.columns), "open")
+    if not stay:
+        return points.limit(0).select("id", "lat", "lon")
+    return reduce(DataFrame.unionByName, stay).select(F.col("rank.id").alias("id"), "lat", "lon")
 
 
 def greedy_cover(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -94,8 +147,8 @@ def greedy_cover(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     neighbours, those covered before too. Each round picks at once every open point that comes before all
     others at most two steps away, which no other pick can change: the greedy order's own picks.
     """
-    open_, anchors = nodes.select("grp", "id", "w"), None
-    while anchors is None or open_.head(1):
+    open_, picked = nodes.select("grp", "id", "w"), []
+    while not picked or open_.head(1):
         near = pairs.join(open_.select("grp", F.col("id").alias("a_id"), F.col("w").alias("a_w")), ["grp", "a_id"]).join(open_.select("grp", F.col("id").alias("b_id"), F.col("w").alias("b_w")), ["grp", "b_id"])
         reach = near.groupBy("grp", F.col("a_id").alias("id")).agg(F.sum("b_w").alias("more"))
         # stores at the point itself count as well, so that points of different weight compare as stores do
@@ -106,8 +159,9 @@ def greedy_cover(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
             best = best.join(around, ["grp", "id"], "left").select("grp", "id", F.greatest("score", F.coalesce("other", "score")).alias("score"))
         now = checkpoint(score.join(best.withColumnRenamed("score", "top"), ["grp", "id"]).filter("score = top").select("grp", "id"))
         gone = now.unionByName(pairs.join(now.withColumnRenamed("id", "a_id"), ["grp", "a_id"]).select("grp", F.col("b_id").alias("id"))).distinct()
-        anchors = now if anchors is None else checkpoint(anchors.unionByName(now))
+        picked.append(now)
         open_ = checkpoint(open_.join(gone, ["grp", "id"], "left_anti"))
+    anchors = reduce(DataFrame.unionByName, picked)
     covers = pairs.join(anchors.withColumnRenamed("id", "a_id"), ["grp", "a_id"]).select("grp", F.col("a_id").alias("anchor_id"), F.col("b_id").alias("member_id"))
     return covers.unionByName(anchors.select("grp", F.col("id").alias("anchor_id"), F.col("id").alias("member_id")))
 
@@ -155,11 +209,22 @@ def stores_index(stores: DataFrame, scored: DataFrame, national: DataFrame, bask
     return stores.join(own, "uat_id", "left").join(all_, F.lit(True)).select("id", "name", "network", "uat_id", F.coalesce("own", "all").alias("basket_min_month"))
 
 
-def uat_stats(stores: DataFrame, scored: DataFrame, basket: str, exclude: tuple = ()) -> DataFrame:
-    """Stores, networks and basket costs of each place."""
-    a = stores.groupBy("uat_id").agg(F.count("*").alias("n_stores"), F.countDistinct(F.when(~F.col("network").isin(*exclude), F.col("network"))).alias("n_networks"))
-    b = scored.filter(F.col("comparable") & (F.col("basket_id") == basket)).groupBy("uat_id").agg(F.min(F.struct("cost_month", "network")).alias("m"), F.max("cost_month").alias("basket_max_month"))
-    return a.join(b, "uat_id", "left").select("uat_id", "n_stores", "n_networks", F.col("m.cost_month").alias("basket_min_month"), "basket_max_month", F.col("m.network").alias("cheapest_net"))
+def uat_stats(stores: DataFrame, scored: DataFrame, basket: str, exclude: tuple = (), national: DataFrame | None = None) -> DataFrame:
+    """Stores, networks and basket costs of each place; with ``national`` scores, these where a place has no comparable basket, and a mark of it."""
+
+    def costs(of: DataFrame, *keys: str) -> DataFrame:
+        comparable = of.filter(F.col("comparable") & (F.col("basket_id") == basket))
+        return comparable.groupBy(*keys).agg(F.min(F.struct("cost_month", "network")).alias("m"), F.max("cost_month").alias("most"), F.count(F.lit(1)).alias("k"))
+
+    a = stores.filter("uat_id is not null").groupBy("uat_id").agg(F.count("*").alias("n_stores"), F.countDistinct(F.when(~F.col("network").isin(*exclude), F.col("network"))).alias("n_networks"))
+    b = a.join(costs(scored, "uat_id"), "uat_id", "left")
+    if national is None:
+        return b.select("uat_id", "n_stores", "n_networks", F.col("m.cost_month").alias("basket_min_month"), F.col("most").alias("basket_max_month"), F.col("m.network").alias("cheapest_net"))
+    n = costs(national).select(F.col("m").alias("n_m"), F.col("most").alias("n_most"), F.col("k").alias("n_k"))  # one row
+    both = b.join(F.broadcast(n), F.lit(True))
+    own = F.col("k").isNotNull()
+    pick = lambda x: F.when(own, F.col(x)).otherwise(F.col(f"n_{x}"))
+    return both.select("uat_id", "n_stores", "n_networks", pick("m")["cost_month"].alias("basket_min_month"), pick("most").alias("basket_max_month"), F.coalesce(pick("k"), F.lit(0)).alias("basket_n_networks"), pick("m")["network"].alias("cheapest_net"), (~own).alias("national"))
 
 
 def uat_kpis(stats: DataFrame) -> DataFrame:

@@ -5,14 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricegrain.functions.scalars import snake_key
 from pricegrain.operators.index import population_band, product_popularity, top_per_category
+from pricegrain.operators.ordered import numbered
 
 
+def placed(stores: DataFrame) -> DataFrame:
+    """Stores with coordinates and a known population around them."""
+    return stores.filter("lat is not null and lon is not null and population is not null")
+
 
 def ci_stores(stores: DataFrame, per_net: int = 10, band: tuple[float, float] = (0.35, 0.65), mid: int = 50) -> DataFrame:
-    """The most populous stores of each network and some of middling population."""
-    top = stores.withColumn("rn", F.row_number().over(Window.partitionBy("network").orderBy(F.desc("population"), "id"))).filter(F.col("rn") <= per_net).select("id")
-    return top.union(population_band(stores, *band).orderBy("id").limit(mid).select("id")).distinct()
+    """The most populous stores of each network, and of those of middling population the first along the grid's rows, which turn at each end.
+
+    ``stores`` has id, network, lat, lon and population, the people around the store; stores without one of the last three are left out, for
+    the networks' lists also those without a network. Ties go by id.
+    """
+    known = placed(stores)
+    top = known.filter("network is not null").withColumn("rn", F.row_number().over(Window.partitionBy("network").orderBy(F.desc("population"), "id"))).filter(F.col("rn") <= per_net).select("id")
+    middle = population_band(known, *band).select("id").join(known.select("id", "population", snake_key(F.col("lat"), F.col("lon")).alias("k")), "id")
+    return top.union(middle.orderBy("k.row", "k.col", "population", "id").limit(mid).select("id")).distinct()
+
+
+def store_order_by_population(stores: DataFrame) -> DataFrame:
+    """store_id, place: most people around first, unknown counts as none, ties by id."""
+    ranked = stores.select(F.col("id").alias("store_id"), (-F.coalesce("population", F.lit(0))).alias("fewer"))
+    return numbered(ranked, [], ["fewer", "store_id"], "place").select("store_id", "place")
+
+
+def store_order_by_grid(stores: DataFrame) -> DataFrame:
+    """store_id, place: along the rows of the grid, which turn at each end, most people first within a cell, ties by id; stores without coordinates come first."""
+    k = snake_key(F.col("lat"), F.col("lon"))
+    ranked = stores.select(F.col("id").alias("store_id"), k["row"].alias("row"), k["col"].alias("col"), (-F.coalesce("population", F.lit(0))).alias("fewer"))
+    return numbered(ranked, [], ["row", "col", "fewer", "store_id"], "place").select("store_id", "place")
 
 
 def ci_products(ps: DataFrame, products: DataFrame, overall: int = 50, per_cat: int = 20) -> DataFrame:

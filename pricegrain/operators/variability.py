@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricegrain.functions.scalars import half_up, mean_cents, money, sampling_tier, spread_bucket, spread_pct
+from pricegrain.functions.scalars import half_up, haversine_km, mean_cents, money, sampling_tier, spread_bucket, spread_pct
 from pricegrain.operators.ordered import running_sum, upper_medians, value_counts
 from pricegrain.storage import checkpoint
 
@@ -158,36 +158,30 @@ def similarity_trend(groups: DataFrame, days: int = 7) -> DataFrame:
     return shares("network", "type_id", "window_start")(g)
 
 
-def sentinel_candidates(ps: DataFrame, stores: DataFrame, n: int = 20) -> DataFrame:
-    """The stores of widest assortment of each network."""
-    cover = ps.groupBy("network", "store_id").agg(F.countDistinct("product_id").alias("products_covered"))
-    top = cover.withColumn("rn", F.row_number().over(Window.partitionBy("network").orderBy(F.desc("products_covered"), "store_id"))).filter(F.col("rn") <= n)
-    return top.join(stores.select(F.col("id").alias("store_id"), "lat", "lon"), "store_id")
+def sentinel_candidates(ps: DataFrame, stores: DataFrame, n: int = 20, since=None) -> DataFrame:
+    """The stores with coordinates of widest assortment of each network, by positive prices, those checked from ``since`` on if it is given."""
+    ps = ps.filter("cents > 0") if since is None else ps.filter((F.col("cents") > 0) & (F.col("fetched_at") >= F.lit(since)))
+    placed = stores.filter("lat is not null and lon is not null").select(F.col("id").alias("store_id"), "lat", "lon")
+    cover = ps.groupBy("network", "store_id").agg(F.countDistinct("product_id").alias("products_covered")).join(placed, "store_id")
+    return cover.withColumn("rn", F.row_number().over(Window.partitionBy("network").orderBy(F.desc("products_covered"), "store_id"))).filter(F.col("rn") <= n)
 
 
-def sentinel_stores(ps: DataFrame, stores: DataFrame, candidates: int = 20, n: int = 3) -> DataFrame:
-    """``n`` stores of each network far from each other, the one of widest assortment first."""
-    import math
+def sentinel_stores(ps: DataFrame, stores: DataFrame, candidates: int = 20, n: int = 3, since=None) -> DataFrame:
+    """``n`` stores of each network far from each other: the one of widest assortment first, then each time that which is farthest from those picked.
 
-    import pandas as pd
-
-    def km(a, b):
-        p = math.radians
-        h = math.sin(p(b.lat - a.lat) / 2) ** 2 + math.cos(p(a.lat)) * math.cos(p(b.lat)) * math.sin(p(b.lon - a.lon) / 2) ** 2
-        return 2 * 6371.0 * math.asin(math.sqrt(h))
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        rest = list(pdf.sort_values(["rn"]).itertuples(index=False))
-        chosen = [rest.pop(0)]
-        while rest and len(chosen) < n:
-            best = max(rest, key=lambda s: (min(km(s, c) for c in chosen), -s.store_id))
-            chosen.append(best)
-            rest.remove(best)
-        wide = max((km(a, b) for a in chosen for b in chosen), default=0.0)
-        return pd.DataFrame([(c.network, c.store_id, i, c.products_covered, c.lat, c.lon, wide) for i, c in enumerate(chosen, 1)], columns=["network", "store_id", "pick_no", "products_covered", "lat", "lon", "spread_km"])
-
-    # at most ``candidates`` rows in a group
-    return sentinel_candidates(ps, stores, candidates).groupBy("network").applyInPandas(pick, "network string, store_id long, pick_no long, products_covered long, lat double, lon double, spread_km double")
+    Distances count in millimetres, equal ones go by assortment, then id. An array holds the at most ``candidates`` stores of a network.
+    """
+    top = sentinel_candidates(ps, stores, candidates, since)
+    km = lambda a, b: F.round(haversine_km(a["lat"], a["lon"], b["lat"], b["lon"]), 6)
+    at = top.groupBy("network").agg(F.sort_array(F.collect_list(F.struct("rn", "store_id", "products_covered", "lat", "lon"))).alias("all"))
+    at = at.withColumn("chosen", F.slice("all", 1, 1))
+    for _ in range(n - 1):
+        rest = F.filter("all", lambda c: ~F.exists("chosen", lambda s: s["rn"] == c["rn"]))
+        far = F.array_max(F.transform(rest, lambda c: F.struct(F.array_min(F.transform("chosen", lambda s: km(c, s))).alias("km"), (-c["rn"]).alias("first"), c.alias("store"))))
+        at = at.withColumn("far", far).withColumn("chosen", F.when(F.col("far").isNull(), F.col("chosen")).otherwise(F.concat("chosen", F.array(F.col("far")["store"]))))
+    wide = F.array_max(F.flatten(F.transform("chosen", lambda a: F.transform("chosen", lambda b: km(a, b)))))
+    each = at.withColumn("spread_km", wide).select("network", "spread_km", F.posexplode("chosen").alias("k", "c"))
+    return each.select("network", F.col("c.store_id").alias("store_id"), (F.col("k") + 1).cast("long").alias("pick_no"), F.col("c.products_covered").alias("products_covered"), F.col("c.lat").alias("lat"), F.col("c.lon").alias("lon"), "spread_km")
 
 
 def sentinel_networks(tiers: DataFrame) -> DataFrame:

@@ -14,8 +14,10 @@ from pricegrain.operators import geo, ingest, quality, sampling, text
 from pricegrain.operators import index as ix
 from pricegrain.operators import variability as va
 from pricegrain.plans import stream_queries as sq
+from pricegrain.plans import xml_queries as xq
 from pricegrain.plans.mapping import B2B, Tables, sql
 from pricegrain.sources import readers
+from pricegrain.storage import bucketed
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,16 +67,29 @@ N = "count(*)"
 
 q("ingest_changes", lambda t: text_dates(ingest.ingest_changes(t.prices())), "SELECT product_id, store_id, cents, promo, fetched_at::VARCHAR AS fetched_at, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM (SELECT *, row_number() OVER w AS rn, lag(cents) OVER w AS pc, lag(promo) OVER w AS pp FROM prices WINDOW w AS (PARTITION BY product_id, store_id ORDER BY fetched_at, cents)) WHERE rn = 1 OR cents IS DISTINCT FROM pc OR promo IS DISTINCT FROM pp")
 q("snapshot_latest", lambda t: text_dates(t.current()), "SELECT product_id, store_id, cents, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at, promo, unit, brand FROM current_p")
+
+
+def second_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Observations of the newest year, compared with the bucketed snapshot of all before it; and that snapshot."""
+    newest = F.col("price_date") == F.lit(t.latest_date)
+    before = ingest.compare(t.prices().filter(~newest))
+    stored = bucketed(ingest.merged(before, t.spark.createDataFrame([], "product_id long, store_id long, cents long, promo string, price_date date, last_checked_at date, last_changed_at date")), ingest.KEY)
+    return ingest.compare(t.prices().filter(newest), stored), stored
+
+
+q("ingest_second_batch", lambda t: text_dates(ingest.history_of(second_batch(t)[0])), f"SELECT product_id, store_id, cents, promo, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at, pc AS was, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS change_type FROM history WHERE price_date = {DAY}")
+q("snapshot_second_batch", lambda t: text_dates(ingest.merged(*second_batch(t))), "SELECT product_id, store_id, h.cents, h.promo, h.price_date::VARCHAR AS price_date, checked::VARCHAR AS last_checked_at, h.fetched_at::VARCHAR AS last_changed_at FROM (SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY product_id, store_id ORDER BY fetched_at DESC, cents DESC) = 1) h JOIN (SELECT product_id, store_id, max(fetched_at) AS checked FROM prices GROUP BY ALL) USING (product_id, store_id)")
 q("first_price_kept", lambda t: text_dates(ingest.first_price_kept(t.offers())), "SELECT product_id, store_id, price_date::VARCHAR AS price_date, first(cents ORDER BY fetched_at, cents) AS cents, max(fetched_at)::VARCHAR AS last_checked_at FROM offers GROUP BY product_id, store_id, price_date")
 q("keys_with_changes", lambda t: ingest.keys_with_changes(t.prices()), "SELECT count(*) AS keys FROM (SELECT 1 FROM prices GROUP BY product_id, store_id HAVING count(DISTINCT cents) > 1)")
-q("store_upsert", lambda t: ingest.store_upsert(t.stores.select("id", "name", "network"), t.stores.filter("id % 3 = 0").select("id", F.concat("name", F.lit(" new")).alias("name"), F.when(F.col("id") % 2 == 0, F.col("network")).alias("network"))), "SELECT id, CASE WHEN id % 3 = 0 THEN name || ' new' ELSE name END AS name, network, true AS is_active FROM stores")
+upserted = lambda t: ingest.store_upsert(t.stores.select("id", "name", "network"), t.stores.filter("is_active").select("id", F.concat("name", F.lit(" new")).alias("name"), F.when(F.col("population") > 5000, F.col("network")).alias("network")))  # noqa: E731  the stores known to be active come in again
+q("store_upsert", upserted, "SELECT id, CASE WHEN is_active THEN name || ' new' ELSE name END AS name, network, true AS is_active FROM stores")
 q("propagate_checked", lambda t: text_dates(ingest.propagate_checked(t.current().withColumn("last_checked_at", F.col("fetched_at")), t.stores.filter(F.col("network") != B2B).select(F.col("id").alias("store_id")), as_of(t)).select("product_id", "store_id", "last_checked_at")), f"SELECT product_id, store_id, (CASE WHEN network <> '{B2B}' THEN {ASOF} ELSE fetched_at END)::VARCHAR AS last_checked_at FROM cs")
 IMP = "pairs AS (SELECT m AS source_id, id AS store_id FROM (SELECT id, min(id) OVER (PARTITION BY network) AS m FROM stores) WHERE id <> m), imp AS (SELECT s.product_id, w.store_id, s.cents, s.promo, s.price_date, CASE WHEN c.cents IS NULL THEN 'new' WHEN s.cents <> c.cents OR coalesce(s.promo <> c.promo, false) THEN 'changed' ELSE 'same' END AS change FROM current_p s JOIN pairs w ON w.source_id = s.store_id LEFT JOIN current_p c ON c.product_id = s.product_id AND c.store_id = w.store_id)"
 imputed = lambda t: ingest.propagate_prices(t.current(), ingest.representatives(t.stores))
 q("propagate_prices", lambda t: text_dates(imputed(t)), "SELECT product_id, store_id, cents, promo, price_date::VARCHAR AS price_date, change FROM imp", more=IMP)
 q("imputed_history", lambda t: text_dates(ingest.imputed_history(t.prices(), imputed(t), as_of(t))), f"SELECT product_id, store_id, cents, promo, price_date::VARCHAR AS price_date, fetched_at::VARCHAR AS fetched_at FROM prices UNION ALL SELECT product_id, store_id, cents, promo, price_date::VARCHAR, {ASOF}::VARCHAR FROM imp ANTI JOIN prices USING (product_id, store_id, price_date)", more=IMP)
 q("imputed_snapshot", lambda t: text_dates(ingest.imputed_snapshot(t.current().withColumn("last_checked_at", F.col("fetched_at")).join(ingest.last_changes(t.prices()), ingest.KEY), imputed(t), as_of(t))), f"SELECT product_id, store_id, CASE WHEN i.change IS NULL THEN c.cents ELSE i.cents END AS cents, CASE WHEN i.change IS NULL THEN c.promo ELSE i.promo END AS promo, (CASE WHEN i.change IS NULL THEN c.price_date ELSE i.price_date END)::VARCHAR AS price_date, (CASE WHEN i.change IS NULL THEN c.fetched_at ELSE {ASOF} END)::VARCHAR AS last_checked_at, (CASE WHEN i.change IN ('new', 'changed') THEN {ASOF} ELSE c.last_changed_at END)::VARCHAR AS last_changed_at FROM (SELECT * FROM current_p JOIN moved USING (product_id, store_id)) c FULL JOIN imp i USING (product_id, store_id)", more=IMP)
-q("network_by_name", lambda t: ingest.network_by_name(t.stores.select("id", F.element_at(F.array(*[F.lit(x) for x in ("Profi Cluj", "MEGA IMAGE X", "SG NORD", "EXPRESS 1", "SEGLROS", "Unknown")]), (F.col("id") % 6 + 1).cast("int")).alias("name"), F.when(F.col("id") % 7 == 0, F.col("network")).alias("network"))).groupBy("network", "inferred").agg(F.count(F.lit(1)).alias("stores")), "SELECT coalesce(n, CASE k WHEN 0 THEN 'PROFI' WHEN 1 THEN '5940475870003' WHEN 2 THEN '5940475870003' WHEN 3 THEN '5940475006709' WHEN 4 THEN 'SELGROS' END) AS network, n IS NULL AND k <> 5 AS inferred, count(*) AS stores FROM (SELECT id % 6 AS k, CASE WHEN id % 7 = 0 THEN network END AS n FROM stores) GROUP BY 1, 2")
+q("network_by_name", lambda t: ingest.network_by_name(t.stores.select("id", F.element_at(F.array(*[F.lit(x) for x in ("Profi Cluj", "MEGA IMAGE X", "SG NORD", "EXPRESS 1", "SEGLROS", "Unknown")]), (F.col("id") % 6 + 1).cast("int")).alias("name"), F.when(F.col("id") % 7 == 0, F.col("network")).alias("network"))).select("id", "name", "network", "inferred"), "SELECT id, ['Profi Cluj', 'MEGA IMAGE X', 'SG NORD', 'EXPRESS 1', 'SEGLROS', 'Unknown'][k + 1] AS name, coalesce(n, CASE k WHEN 0 THEN 'PROFI' WHEN 1 THEN '5940475870003' WHEN 2 THEN '5940475870003' WHEN 3 THEN '5940475006709' WHEN 4 THEN 'SELGROS' END) AS network, n IS NULL AND k <> 5 AS inferred FROM (SELECT id, id % 6 AS k, CASE WHEN id % 7 = 0 THEN network END AS n FROM stores)")
 LOGO_S = lambda t: t.stores.select("id", "name", F.when(F.col("id") % 2 == 0, F.col("network_id")).alias("network_id"), F.concat(F.lit("logo"), (F.col("id") % 6).cast("string")).alias("logo_url"))
 LOGO_N = lambda t: t.networks.select("id", "name", F.concat(F.lit("logo"), F.col("id").cast("string")).alias("logo_url"))
 q("network_by_logo", lambda t: ingest.network_by_logo(LOGO_S(t), LOGO_N(t)).select("id", "network_id", "inferred"), "SELECT id, CASE WHEN id % 2 = 0 THEN network_id WHEN id % 6 < 5 THEN id % 6 END AS network_id, id % 2 = 1 AND id % 6 < 5 AS inferred FROM stores")
@@ -131,12 +146,21 @@ sims = lambda t: va.similarity_groups(ps(t, "list"), "1995-01-01")
 q("similarity_groups", lambda t: text_dates(sims(t)), "SELECT * REPLACE (price_date::VARCHAR AS price_date) FROM g", "list", SIM)
 q("similarity_tiers", lambda t: va.similarity_tiers(sims(t)), f"SELECT *, CASE WHEN pct_b0 >= 80 THEN 'A' WHEN 100 - pct_b3 >= 50 AND pct_b0 >= 40 THEN 'B' ELSE 'C' END AS tier FROM (SELECT network, type_id, count(*) AS groups, count(DISTINCT product_id) AS products, {SHARES} FROM gb GROUP BY ALL)", "list", SIM)
 q("similarity_trend", lambda t: text_dates(va.similarity_trend(sims(t), 700)), f"SELECT network, type_id, window_start::VARCHAR AS window_start, count(*) AS groups, {SHARES} FROM (SELECT gb.*, (SELECT max(o.d) FROM opens o WHERE o.network = gb.network AND o.type_id = gb.type_id AND o.d <= gb.price_date) AS window_start FROM gb) GROUP BY ALL", "list", SIM + ", ds AS (SELECT DISTINCT network, type_id, price_date AS d FROM gb), nx AS (SELECT a.network, a.type_id, a.d, min(b.d) AS nxt FROM ds a LEFT JOIN ds b ON a.network = b.network AND a.type_id = b.type_id AND b.d >= a.d + 700 GROUP BY ALL), o1 AS (SELECT network, type_id, min(d) AS d FROM ds GROUP BY ALL), " + ", ".join(f"o{k} AS (SELECT nx.network, nx.type_id, nx.nxt AS d FROM o{k - 1} o JOIN nx ON o.network = nx.network AND o.type_id = nx.type_id AND o.d = nx.d WHERE nx.nxt IS NOT NULL)" for k in range(2, 8)) + ", opens AS (" + " UNION ALL ".join(f"SELECT * FROM o{k}" for k in range(1, 8)) + ")")
-q("sentinel_stores", lambda t: va.sentinel_stores(ps(t), t.stores))
+SINCE = "1995-01-01"
+sentinels = lambda t: va.sentinel_stores(ps(t), t.stores, since=SINCE)
+KM6 = "round(2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians({a}.lat - {b}.lat) / 2), 2) + cos(radians({b}.lat)) * cos(radians({a}.lat)) * pow(sin(radians({a}.lon - {b}.lon) / 2), 2)))), 6)"
+PICKS = f"""cand AS (SELECT * FROM (SELECT network, store_id, products_covered, lat, lon, row_number() OVER (PARTITION BY network ORDER BY products_covered DESC, store_id) AS rn FROM (SELECT network, store_id, count(DISTINCT product_id) AS products_covered FROM ps WHERE cents > 0 AND fetched_at >= DATE '{SINCE}' GROUP BY ALL) JOIN (SELECT id AS store_id, lat, lon FROM stores) USING (store_id)) WHERE rn <= 20),
+pick1 AS (SELECT * FROM cand WHERE rn = 1),
+pick2 AS (SELECT c.* FROM cand c JOIN pick1 a USING (network) WHERE c.rn <> a.rn QUALIFY row_number() OVER (PARTITION BY network ORDER BY {KM6.format(a='c', b='a')} DESC, c.rn) = 1),
+pick3 AS (SELECT c.* FROM cand c JOIN pick1 a USING (network) JOIN pick2 b USING (network) WHERE c.rn NOT IN (a.rn, b.rn) QUALIFY row_number() OVER (PARTITION BY network ORDER BY least({KM6.format(a='c', b='a')}, {KM6.format(a='c', b='b')}) DESC, c.rn) = 1),
+picks AS (SELECT *, 1::BIGINT AS pick_no FROM pick1 UNION ALL SELECT *, 2 FROM pick2 UNION ALL SELECT *, 3 FROM pick3),
+sentinels AS (SELECT network, store_id, pick_no, products_covered, lat, lon, (SELECT max({KM6.format(a='x', b='y')}) FROM picks x JOIN picks y USING (network) WHERE x.network = picks.network) AS spread_km FROM picks)"""
+q("sentinel_stores", sentinels, "SELECT * FROM sentinels", more=PICKS)
 q("sentinel_networks", lambda t: va.sentinel_networks(va.similarity_tiers(sims(t))), "SELECT network, bool_and(100 * b0 >= 80 * n) AS all_a, count(*) AS types FROM (SELECT network, type_id, count(*) AS n, count(*) FILTER (b = 0) AS b0 FROM gb GROUP BY ALL) GROUP BY network", "list", SIM)
 q("modal_price_agreement", lambda t: va.modal_price_agreement(cs(t, "list")), "SELECT product_id, count(*) AS networks, min(mode) / 1e2 AS mode_min, max(mode) / 1e2 AS mode_max, min(mode) = max(mode) AS identical, max(mode) <= min(mode) * 1.01::DOUBLE AS within_1, max(mode) <= min(mode) * 1.05::DOUBLE AS within_5, min(mode) = max(mode) AND count(*) >= 3 AND min(stores) >= 3 AS robust FROM (SELECT product_id, network, first(cents ORDER BY n DESC, cents) AS mode, sum(n) AS stores FROM (SELECT product_id, network, cents, count(*) AS n FROM cs GROUP BY ALL) GROUP BY ALL) GROUP BY product_id HAVING count(*) >= 2", "list")
 q("spread_distribution", lambda t: va.spread_distribution(cs(t, "list")), f"SELECT rows, CASE WHEN p < 1 THEN '0-1' WHEN p < 5 THEN '1-5' WHEN p < 10 THEN '5-10' WHEN p < 25 THEN '10-25' WHEN p < 50 THEN '25-50' ELSE '50+' END AS band, count(*) AS products FROM (SELECT rows, product_id, {r('1e2 * (max(m) - min(m)) / min(m)')} AS p FROM (SELECT rows, product_id, network, floor(sum(cents)::DOUBLE / count(*) + 5e-1)::BIGINT AS m FROM (SELECT 'all' AS rows, * FROM cs UNION ALL SELECT 'regular', * FROM cs WHERE promo IS NULL) GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 2) GROUP BY ALL", "list")
 q("network_coverage_hist", lambda t: va.network_coverage_hist(cs(t)), "SELECT networks, count(*) AS products FROM (SELECT count(DISTINCT network) AS networks FROM cs GROUP BY product_id) GROUP BY networks")
-q("single_network_products", lambda t: va.single_network_products(cs(t)), "SELECT network, count(*) AS products FROM (SELECT product_id, min(network) AS network FROM cs GROUP BY 1 HAVING count(DISTINCT network) = 1) GROUP BY 1")
+q("single_network_products", lambda t: va.single_network_products(ps(t).filter(F.col("price_date") == F.lit(t.latest_date))), f"SELECT network, count(*) AS products FROM (SELECT product_id, min(network) AS network FROM ps WHERE price_date = {DAY} GROUP BY 1 HAVING count(DISTINCT network) = 1) GROUP BY 1")
 q("snapshot_age", lambda t: va.snapshot_age(t.current(), as_of(t)), "SELECT count(*) AS n_rows, " + ", ".join(f"count(*) FILTER ({ASOF} - fetched_at <= {d}) AS within_{d}" for d in (1, 7, 14, 30)) + f", count(*) FILTER ({ASOF} - fetched_at > 30) AS older FROM current_p")
 
 # --- index
@@ -269,15 +293,20 @@ q("run_status_by_script", lambda t: quality.run_status_by_script(t.runs, run_end
 KM = "2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
 q("surrounding_population", lambda t: geo.surrounding_population(t.stores, t.localities), f"SELECT s.id AS store_id, coalesce(sum(l.population), 0)::BIGINT AS surrounding_population FROM stores s LEFT JOIN localities l ON {KM.format(a='s', b='l')} <= 10 GROUP BY s.id")
 q("near_pairs", lambda t: geo.near_pairs(t.stores, t.stores, 5).select("a_id", "b_id"), f"SELECT a.id AS a_id, b.id AS b_id FROM stores a JOIN stores b ON {KM.format(a='a', b='b')} <= 5")
-q("dedup_points", lambda t: geo.dedup_points(t.localities))
-clusters = lambda t: geo.store_clusters(t.stores, max_per_cluster=20)
+ORDERED = "ordered AS (SELECT row_number() OVER (ORDER BY population DESC, id) AS i, id, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY population DESC, id) AS rn FROM localities) WHERE rn = 1), "
+GREEDY = "greedy AS (SELECT 0::BIGINT AS i, []::STRUCT(id BIGINT, lat DOUBLE, lon DOUBLE)[] AS kept UNION ALL SELECT g.i + 1, CASE WHEN len(list_filter(kept, lambda k: " + KM.format(a="k", b="o") + " < 4)) > 0 THEN kept ELSE list_append(kept, {'id': o.id, 'lat': o.lat, 'lon': o.lon}) END FROM greedy g JOIN ordered o ON o.i = g.i + 1)"
+q("dedup_points", lambda t: geo.dedup_points(t.localities), "SELECT p.id, p.lat, p.lon FROM (SELECT unnest(kept) AS p FROM (SELECT kept FROM greedy ORDER BY i DESC LIMIT 1))", more=ORDERED + GREEDY)
+SQL["dedup_points"] = SQL["dedup_points"].replace("WITH ", "WITH RECURSIVE ", 1)
+clusters = lambda t: geo.store_clusters(t.stores)
 q("store_clusters", clusters)
 boxes = lambda t: t.stores.groupBy("uat_id").agg(F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"), F.sum("population").alias("population")).withColumnRenamed("uat_id", "label")
 q("sampling_points", lambda t: geo.sampling_points(boxes(t), 1000, 80).select("label", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon")), "SELECT label, round(CASE WHEN km <= 10 THEN mid ELSE south + i * a END, 6) AS lat, round(CASE WHEN km <= 10 THEN (west + east) / 2 ELSE west + j * o END, 6) AS lon FROM (SELECT *, unnest(range(0, CASE WHEN km <= 10 THEN 1 ELSE floor((east - west) / o + 5e-1)::BIGINT + 1 END)) AS j FROM (SELECT *, unnest(range(0, CASE WHEN km <= 10 THEN 1 ELSE floor((north - south) / a + 5e-1)::BIGINT + 1 END)) AS i FROM (SELECT *, (south + north) / 2 AS mid, 80e0 / 111e0 AS a, 80e0 / (111e0 * cos(radians((south + north) / 2))) AS o, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians(north - south) / 2), 2) + cos(radians(south)) * cos(radians(north)) * pow(sin(radians(east - west) / 2), 2)))) AS km FROM (SELECT uat_id AS label, min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east, sum(population) AS population FROM stores GROUP BY uat_id)) WHERE population >= 1000))")
-q("nearby_stores", lambda t: geo.nearby_stores(t.stores, 44.5, 22.6, 80), "SELECT id, network, d AS dist_m FROM (SELECT id, network, floor(" + KM.format(a="c", b="s") + " * 1e3 + 5e-1)::BIGINT AS d FROM stores s, (SELECT 445e-1 AS lat, 226e-1 AS lon) c) WHERE d <= 80000 ORDER BY d, id LIMIT 200")
+first_place = lambda t: t.stores.orderBy("id").select("lat", "lon").first() or (0.0, 0.0)  # noqa: E731  around the store of least id
+q("nearby_stores", lambda t: geo.nearby_stores(t.stores, *first_place(t), 80), "SELECT id, network, d AS dist_m FROM (SELECT id, network, floor(" + KM.format(a="c", b="s") + " * 1e3 + 5e-1)::BIGINT AS d FROM stores s, (SELECT lat, lon FROM stores ORDER BY id LIMIT 1) c) WHERE d <= 80000 ORDER BY d, id LIMIT 200")
 q("stores_index", lambda t: geo.stores_index(t.stores, scored_uat(t), scored(t), "staples"), "SELECT s.id, s.name, s.network, s.uat_id, coalesce(own, (SELECT min(cost_month) FROM sco WHERE comparable AND basket_id = 'staples')) AS basket_min_month FROM stores s LEFT JOIN (SELECT uat_id, min(cost_month) AS own FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id)", more=BI + BU)
-UST = BI + BU + f", us AS (SELECT * FROM (SELECT uat_id, count(*) AS n_stores, count(DISTINCT network) FILTER (network <> '{B2B}') AS n_networks FROM stores GROUP BY 1) LEFT JOIN (SELECT uat_id, min(cost_month) AS basket_min_month, max(cost_month) AS basket_max_month, first(network ORDER BY cost_month, network) AS cheapest_net FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id))"
-ustats = lambda t: geo.uat_stats(t.stores, scored_uat(t), "staples", (B2B,))
+COSTS = "min(cost_month) AS {p}min, max(cost_month) AS {p}max, count(*) AS {p}k, first(network ORDER BY cost_month, network) AS {p}net"
+UST = BI + BU + f", us AS (SELECT uat_id, n_stores, n_networks, CASE WHEN k IS NULL THEN n_min ELSE min END AS basket_min_month, CASE WHEN k IS NULL THEN n_max ELSE max END AS basket_max_month, coalesce(k, n_k) AS basket_n_networks, CASE WHEN k IS NULL THEN n_net ELSE net END AS cheapest_net, k IS NULL AS national FROM (SELECT uat_id, count(*) AS n_stores, count(DISTINCT network) FILTER (network <> '{B2B}') AS n_networks FROM stores GROUP BY 1) LEFT JOIN (SELECT uat_id, {COSTS.format(p='')} FROM scu WHERE comparable AND basket_id = 'staples' GROUP BY 1) USING (uat_id), (SELECT {COSTS.format(p='n_')} FROM sco WHERE comparable AND basket_id = 'staples'))"
+ustats = lambda t: geo.uat_stats(t.stores, scored_uat(t), "staples", (B2B,), scored(t))
 q("uat_stats", ustats, "SELECT * FROM us", more=UST)
 q("uat_kpis", lambda t: geo.uat_kpis(ustats(t)), "SELECT count(*) FILTER (n_networks >= 1) AS covered, count(*) FILTER (n_networks = 1) AS deserts, (SELECT uat_id FROM us WHERE basket_min_month IS NOT NULL ORDER BY basket_min_month, uat_id LIMIT 1) AS cheapest_uat FROM us", more=UST)
 q("uat_bins", lambda t: geo.uat_bins(ustats(t), "n_stores", [3, 10, 30, 100]), "SELECT uat_id, n_stores, (n_stores >= 3)::BIGINT + (n_stores >= 10)::BIGINT + (n_stores >= 30)::BIGINT + (n_stores >= 100)::BIGINT AS bin FROM us", more=UST)
@@ -298,9 +327,11 @@ q("category_anomalies", lambda t: text.category_anomalies(t.products), f"SELECT
 
 # --- sampling
 
-BAND = "SELECT id FROM (SELECT id FROM (SELECT *, row_number() OVER (ORDER BY population, id) AS rn, count(*) OVER () AS n FROM stores) WHERE rn > n * 35e-2 AND rn <= n * 65e-2 ORDER BY id LIMIT 50)"
+SURR = f"sur AS (SELECT s.id, s.network, s.lat, s.lon, coalesce(sum(l.population), 0)::BIGINT AS population FROM stores s LEFT JOIN localities l ON {KM.format(a='s', b='l')} <= 10 GROUP BY ALL), snake AS (SELECT *, CASE WHEN r % 2 = 0 THEN c ELSE 1000 - c END AS sc FROM (SELECT *, trunc((lat - 43.6::DOUBLE) / 0.45::DOUBLE)::BIGINT AS r, trunc((lon - 20.3::DOUBLE) / 0.45::DOUBLE)::BIGINT AS c FROM sur))"
+BAND = "SELECT id FROM (SELECT id FROM (SELECT *, row_number() OVER (ORDER BY population, id) AS rn, count(*) OVER () AS n FROM snake) WHERE rn > n * 35e-2 AND rn <= n * 65e-2 ORDER BY r, sc, population, id LIMIT 50)"
+surrounded = lambda t: t.stores.drop("population").join(geo.surrounding_population(t.stores, t.localities).withColumnsRenamed({"store_id": "id", "surrounding_population": "population"}), "id")
 POP = "SELECT product_id FROM (SELECT product_id, (rank() OVER (ORDER BY a DESC)) + (rank() OVER (ORDER BY b DESC)) AS br FROM (SELECT product_id, count(DISTINCT store_id) AS a, count(*) AS b FROM ps GROUP BY 1)) ORDER BY br, product_id LIMIT 50"
-q("ci_stores", lambda t: sampling.ci_stores(t.stores), f"SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY network ORDER BY population DESC, id) AS rn FROM stores) WHERE rn <= 10 UNION {BAND}")
+q("ci_stores", lambda t: sampling.ci_stores(surrounded(t)), f"SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY network ORDER BY population DESC, id) AS rn FROM sur) WHERE rn <= 10 UNION {BAND}", more=SURR)
 q("ci_products", lambda t: sampling.ci_products(ps(t), t.products), f"SELECT product_id FROM ({POP}) UNION SELECT product_id FROM ({TPC}) WHERE rank <= 20", more=PC)
 q("default_basket", lambda t: sampling.default_basket(ps(t)), "SELECT product_id, count(DISTINCT store_id) AS stores FROM ps GROUP BY 1 ORDER BY stores DESC, product_id LIMIT 30")
 q("store_order", lambda t: sampling.store_order(ingest.active(t.stores), t.current(), as_of(t)), "SELECT store_id, days_stale AS age_days FROM fr", more=FR)
@@ -311,9 +342,10 @@ CH = "ch AS (SELECT store_id, CASE WHEN rn = 1 THEN 'new' ELSE 'changed' END AS
 q("canary_networks", lambda t: sampling.canary_networks(ingest.ingest_changes(t.prices()), t.stores), "SELECT network, count(DISTINCT store_id) AS stores, count(*) FILTER (change_type = 'changed') AS changed, count(DISTINCT store_id) >= 3 AND count(*) FILTER (change_type = 'changed') = 0 AS unchanged FROM ch JOIN stores ON stores.id = store_id GROUP BY network", more=CH)
 q("weekly_products", lambda t: sampling.weekly_products(ingest.last_changes(t.prices()), as_of(t)), f"SELECT DISTINCT product_id FROM moved WHERE last_changed_at < {ASOF} - 30")
 q("cluster_order", lambda t: sampling.cluster_order(clusters(t), sampling.store_order(t.stores, t.current(), as_of(t))))
-q("store_order_by_population", lambda t: t.stores.select(F.col("id").alias("store_id"), "population"), "SELECT id AS store_id, population FROM stores")
-q("non_sentinels", lambda t: sampling.non_sentinels(t.stores, va.sentinel_stores(ps(t), t.stores)))
-q("skippable_clusters", lambda t: sampling.skippable_clusters(clusters(t), sampling.non_sentinels(t.stores, va.sentinel_stores(ps(t), t.stores)).select("store_id")))
+q("store_order_by_population", lambda t: sampling.store_order_by_population(surrounded(t)), "SELECT id AS store_id, row_number() OVER (ORDER BY population DESC, id) AS place FROM sur", more=SURR)
+q("store_order_by_grid", lambda t: sampling.store_order_by_grid(surrounded(t)), "SELECT id AS store_id, row_number() OVER (ORDER BY r, sc, population DESC, id) AS place FROM snake", more=SURR)
+q("non_sentinels", lambda t: sampling.non_sentinels(t.stores, sentinels(t)), "SELECT id AS store_id, network FROM stores WHERE network IN (SELECT network FROM sentinels) AND id NOT IN (SELECT store_id FROM sentinels)", more=PICKS)
+q("skippable_clusters", lambda t: sampling.skippable_clusters(clusters(t), sampling.non_sentinels(t.stores, sentinels(t)).select("store_id")))
 
 # --- fuel
 
@@ -333,10 +365,19 @@ q("popular_products", lambda t: ix.popular_products(ps(t), ingest.active(t.store
 q("top_level_category", lambda t: ix.top_level_category(t.products, t.categories), "SELECT p.id, coalesce(u.name, c.name) AS top_category FROM products p LEFT JOIN categories c ON c.id = p.categ_id LEFT JOIN categories u ON u.id = c.parent_id AND u.parent_id IS NOT NULL")
 q("network_short_names", lambda t: ix.short_names(t.stores, readers.network_lookup(t.networks.select(F.lower("name").alias("id"), F.substring("name", 1, 3).alias("short"), F.array(F.upper("name")).alias("aliases"), (F.col("name") == B2B).alias("b2b")))), f"SELECT id, substr(network, 1, 3) AS short, network = '{B2B}' AS b2b FROM stores")
 q("category_items_filter", lambda t: bk.filter_category_items(bk.category_spread(kept(t), t.products), t.products, "red", 3), "SELECT categ_id, product_id, name, networks, ratio FROM (SELECT ac.*, row_number() OVER (PARTITION BY categ_id ORDER BY ratio DESC, product_id) AS rn FROM ac) c JOIN (SELECT id, name FROM products) p ON p.id = product_id WHERE rn <= 200 AND networks >= 3 AND contains(lower(name), 'red') ORDER BY ratio DESC, product_id LIMIT 50", more=ANP)
-q("uat_properties", lambda t: readers.properties_json(ustats(t), "uat_id"))
+PROPS = "'{' || concat_ws(',', " + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || {v} END" for c, v in (("n_stores", "n_stores"), ("n_networks", "n_networks"), ("basket_min_month", "basket_min_month"), ("basket_max_month", "basket_max_month"), ("basket_n_networks", "basket_n_networks"), ("cheapest_net", "to_json(cheapest_net)"), ("national", "national"))) + ") || '}'"
+q("uat_properties", lambda t: readers.properties_json(ustats(t), "uat_id"), f"SELECT uat_id, {PROPS} AS properties FROM us", more=UST)
 q("audit_report", lambda t: quality.audit_store_freshness(fresh(t)).select("name", "red").unionByName(drift(t).select("name", "red")), f"SELECT 'store_freshness' AS name, 1e2 * count(*) FILTER (stale) / count(*) > 10 AS red FROM fr UNION ALL SELECT 'flag_drift', coalesce(max(n) FILTER (rn = 1) > median(n) FILTER (rn BETWEEN 2 AND 31) * 3, false) FROM (SELECT started, count(*) AS n, row_number() OVER (ORDER BY started DESC) AS rn FROM runs WHERE status = 'abandoned' GROUP BY started)", more=FR)
 q("spread_buckets", lambda t: va.intra_spread_all(ps(t, "list")).groupBy(sc.spread_bucket(F.col("spread_pct")).cast("long").alias("bucket")).agg(F.count("*").alias("groups")), f"SELECT CASE WHEN p < 1 THEN 0 WHEN p < 5 THEN 1 WHEN p < 10 THEN 2 ELSE 3 END::BIGINT AS bucket, count(*) AS groups FROM (SELECT {PCT} AS p FROM ps GROUP BY network, product_id HAVING count(DISTINCT store_id) >= 2) GROUP BY 1", "list")
 
+# --- catalogue documents
+
+q("xml_prices", xq.xml_prices, xq.PRICES_SQL)
+q("xml_stores", xq.xml_stores, xq.STORES_SQL)
+q("xml_rejects", xq.xml_rejects, xq.REJECTS_SQL)
+q("categories_by_source", xq.categories_by_source, xq.CATEGORIES_SQL)
+q("products_by_category", xq.products_by_category, xq.PRODUCTS_SQL)
+
 # --- streams
 
 q("stream_changes", sq.stream_changes, sq.CHANGES_SQL, more=sq.SNAP)

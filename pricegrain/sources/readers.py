@@ -2,18 +2,60 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pricegrain.functions.scalars import iso_date, wkt_centre
+from pricegrain.functions.scalars import clean_xml, iso_date, wkt_centre
+from pricegrain.storage import checkpoint
 
 STORE_XML = "Id long, Name string, Network string, Addr struct<Addrstring:string, Zipcode:string, Location:struct<Lat:double, Lon:double>, Uat:long>, LogoUrl string, Type struct<Id:long, Name:string>, Products struct<Product:array<struct<Id:long, Network:string, Price:string, PriceDate:string, Promo:string, Brand:string, Unit:string, CategId:string, CategName:string>>>"
 STATION_XML = "Id string, Name string, Network string, Addr string, Lat double, Lon double, UpdateDate string, Prices struct<Price:array<struct<Id:long, Value:string>>>"
 
 
+def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """record, whole: the text of each element ``tag``, cleaned of references to control characters; whole is false for one whose end is missing.
+
+    Files are cut where an element ends, so that a large file is read by many tasks and no text is held but a record's. Elements of
+    this name do not nest and are not written as one empty tag.
+    """
+    cut = spark.read.option("lineSep", f"</{tag}>").text(path)
+    parts = F.split("value", rf"(?=<{tag}[\s>])")
+    # what stands before the first opening is no record; all but the last that follow have lost their end
+    pieces = cut.select(F.posexplode(parts).alias("k", "piece"), F.size(parts).alias("n"))
+    opened = pieces.filter(F.col("piece").rlike(rf"^<{tag}[\s>]"))
+    whole = F.col("k") + 1 == F.col("n")
+    return opened.select(clean_xml(F.when(whole, F.concat("piece", F.lit(f"</{tag}>"))).otherwise(F.col("piece"))).alias("record"), whole.alias("whole"))
+
+
 def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """Rows of one tag, with an explicit schema: inference would read a single child as a struct."""
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    """Rows of one tag, with an explicit schema: inference would read a single child as a struct. Broken records are left out; see ``read_xml_with_rejects``."""
+    return read_xml_with_rejects(spark, path, tag, schema)[0]
+
+
+def read_xml_with_rejects(spark: SparkSession, path: str, tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of one tag, and the records that cannot be read: record, reason.
+
+    A record is ``cut`` when its end is missing and ``malformed`` when no parser takes it; neither gives a row. One with a value
+    that does not fit its type gives a row with a null there, and is told as ``value``.
+    """
+    struct = T._parse_datatype_string(schema)
+    corrupt = "corrupt"
+    while corrupt.lower() in {n.lower() for n in struct.names}:
+        corrupt = "_" + corrupt
+    with_mark = T.StructType([*struct.fields, T.StructField(corrupt, T.StringType())])
+    records = xml_records(spark, path, tag)
+    parsed = records.select("record", "whole", F.from_xml(F.when(F.col("whole"), F.col("record")), with_mark, {"rowTag": tag, "columnNameOfCorruptRecord": corrupt, "mode": "PERMISSIVE"}).alias("row"))
+    bad = F.col(f"row.{corrupt}").isNotNull()
+    empty = F.lit(True)
+    for n in struct.names:
+        empty = empty & F.col("row").getField(n).isNull()
+    reason = F.when(~F.col("whole"), "cut").when(bad & empty, "malformed").when(bad, "value")
+    told = checkpoint(parsed.withColumn("reason", reason), "records")  # parsed once for both
+    rows = told.filter("whole and (reason is null or reason = 'value')").select(*[F.col("row").getField(n).alias(n) for n in struct.names])
+    return rows, told.filter("reason is not null").select("record", "reason")
 
 
 def parse_stores(xml: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -43,6 +85,23 @@ def parse_dims(xml: DataFrame, columns: dict[str, str]) -> DataFrame:
     return xml.select(*[F.col(a).alias(b) for a, b in columns.items()])
 
 
+def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
+    """Rows of several catalogues of one kind, each with the name of its source; of one id that of the source that comes last stays, and of its rows that of greatest values."""
+    parts = [df.select("*", F.lit(name).alias("source"), F.lit(k).alias("source_no")) for k, (name, df) in enumerate(sources.items())]
+    rows = reduce(DataFrame.unionByName, parts)
+    order = [c for c in sorted(rows.columns) if c not in ("id", "source", "source_no")]
+    last = rows.groupBy("id").agg(F.max(F.struct("source_no", *order, "source")).alias("row"))
+    return last.select(*[F.col(c) if c == "id" else F.col("row").getField(c).alias(c) for c in rows.columns if c != "source_no"])
+
+
+def with_asked_category(products: DataFrame, asked: str = "asked_categ_id") -> DataFrame:
+    """Products in the category they name, or in the one they were asked for by where they name none; of one id the least category asked for that holds it."""
+    known = products.withColumn("categ_id", F.coalesce("categ_id", asked))
+    rest = [c for c in sorted(products.columns) if c not in ("id", asked)]
+    first = known.groupBy("id").agg(F.min(F.struct(asked, *rest)).alias("row"))
+    return first.select(*[F.col(c) if c == "id" else F.col("row").getField(c).alias(c) for c in products.columns if c != asked])
+
+
 def parse_uats(xml: DataFrame) -> DataFrame:
     """Administrative units with the centre of their polygon's box."""
     c = wkt_centre(F.col("Wkt"))

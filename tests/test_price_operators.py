@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricegrain.functions import scalars as sc
-from pricegrain.operators import baskets, geo, ingest, quality, text, variability
+from pricegrain.operators import baskets, geo, ingest, ordered, quality, sampling, text, variability
 from pricegrain.operators import index as ix
 from pricegrain.sources import readers
 
@@ -99,7 +99,7 @@ def test_text_functions(spark):
 def test_medians(spark):
     for values, want in (([1, 2, 10, 20], 10), ([1, 2, 3], 2), ([5], 5)):
         df = spark.createDataFrame([(v,) for v in values], "cents long")
-        assert df.agg(sc.upper_median("cents")).collect()[0][0] == want
+        assert ordered.upper_medians(df, [], "cents", "m").collect()[0][0] == want
 
 
 def test_outlier_filter_drops_low_minimum(spark):
@@ -248,6 +248,34 @@ def test_xml_documents(spark, tmp_path):
     assert [r["store_id"] for r in conflicts.collect()] == [2]
 
 
+BROKEN = """<?xml version="1.0"?><Root><RetailStore><Id>1</Id><Name>A&#x1C;B &amp; c</Name></RetailStore>
+<RetailStore><Id>2</Id><Name>lost end
+<RetailStore><Id>3</Id><Name>bad <b></Name></RetailStore><RetailStore x="1"><Id>4</Id><Name>ok&#28;&#x0;</Name><Addr><Location><Lat>abc</Lat></Location></Addr></RetailStore>
+<RetailStores>no record</RetailStores></Root>"""
+
+
+def test_xml_is_cleaned_and_broken_records_are_told(spark, tmp_path):
+    (tmp_path / "s.xml").write_text(BROKEN)
+    (tmp_path / "t.xml").write_text("<Root></Root>")
+    rows, rejects = readers.read_xml_with_rejects(spark, str(tmp_path), "RetailStore", readers.STORE_XML)
+    assert sorted((r["Id"], r["Name"]) for r in rows.collect()) == [(1, "AB & c"), (4, "ok")]
+    told = {r["reason"]: r["record"] for r in rejects.collect()}
+    assert set(told) == {"cut", "malformed", "value"}
+    assert "lost end" in told["cut"] and "bad <b>" in told["malformed"] and "abc" in told["value"]
+
+
+def test_catalogues_of_two_sources(spark):
+    a = spark.createDataFrame([(1, "one", None), (2, "two", 1)], "id long, name string, parent_id long")
+    b = spark.createDataFrame([(2, "zwei", None), (3, "drei", 1), (3, "drei", 2)], "id long, name string, parent_id long")
+    got = readers.union_sources({"network": a, "oug": b})
+    assert sorted(tuple(r) for r in got.select("id", "name", "source").collect()) == [(1, "one", "network"), (2, "zwei", "oug"), (3, "drei", "oug")]
+
+
+def test_products_fall_back_to_the_category_asked_for(spark):
+    listed = spark.createDataFrame([(1, "a", None, 7), (1, "a", None, 5), (2, "b", 3, 9), (3, None, None, None)], "id long, name string, categ_id long, asked_categ_id long")
+    assert sorted(tuple(r) for r in readers.with_asked_category(listed).collect()) == [(1, "a", 5), (2, "b", 3), (3, None, None)]
+
+
 def test_config_and_sinks(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"baskets":[{"id":"x","items":[{"label":"milk","qty":2,"product_ids":[1,2]},{"label":"bread","qty":1,"product_ids":[3]}]}]}')
     b = readers.baskets(spark.read.option("multiLine", True).json(str(tmp_path / "b.json")))
@@ -266,3 +294,106 @@ def test_config_and_sinks(spark, tmp_path):
     readers.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
     assert readers.properties_json(df, "id").collect()[0]["properties"] == '{"name":"x"}'
+
+
+def test_second_batch_reads_the_snapshot_where_it_lies(spark):
+    from pricegrain.storage import bucketed
+
+    empty = spark.createDataFrame([], "product_id long, store_id long, cents long, promo string, price_date date, last_checked_at date, last_changed_at date")
+    first = prices(spark, [(p, s, 100 + p, None, D) for p in range(30) for s in range(5)])
+    stored = bucketed(ingest.merged(ingest.compare(first), empty), ingest.KEY)
+    second = prices(spark, [(1, 1, 101, None, D + timedelta(1)), (2, 1, 300, "P", D + timedelta(1)), (99, 1, 5, None, D + timedelta(1))])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = ingest.compare(second, stored)
+        got = {(r["product_id"], r["change_type"], r["was"]) for r in ingest.history_of(steps).collect()}
+        after = ingest.merged(steps, stored)
+        plan = after._jdf.queryExecution().executedPlan().toString()
+        rows = {(r["product_id"], r["store_id"]): (r["cents"], r["last_checked_at"], r["last_changed_at"]) for r in after.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(2, "changed", 102), (99, "new", None)}
+    assert len(rows) == 151 and rows[1, 1] == (101, D + timedelta(1), D) and rows[2, 1] == (300, D + timedelta(1), D + timedelta(1)) and rows[2, 2] == (102, D, D)
+    assert plan.count("Exchange") == 1  # of the batch; the snapshot is read twice, by its buckets
+
+
+def test_ci_stores_follow_the_grid(spark):
+    rows = [(i, "n" if i else None, 44.0 + (i % 3) * 0.5, 21.0 + (i % 5) * 0.5, 100 * i) for i in range(40)] + [(50, "n", None, 21.0, 9), (51, "n", 44.0, 21.0, None)]
+    stores = spark.createDataFrame(rows, "id long, network string, lat double, lon double, population long")
+    got = {r["id"] for r in sampling.ci_stores(stores, per_net=2, mid=3).collect()}
+
+    def key(r):
+        row, col = int((r[2] - 43.6) / 0.45), int((r[3] - 20.3) / 0.45)
+        return row, col if row % 2 == 0 else 1000 - col, r[4], r[0]
+
+    middle = rows[:40][int(40 * 0.35) : int(40 * 0.65)]
+    assert got == {39, 38} | {r[0] for r in sorted(middle, key=key)[:3]}
+
+
+def test_store_orders(spark):
+    rows = [(1, 45.0, 25.0, 5), (2, 45.0, 25.0, 9), (3, 43.7, 20.4, 1), (4, 45.0, 20.4, None), (5, 45.0, 25.0, 9)]
+    stores = spark.createDataFrame(rows, "id long, lat double, lon double, population long")
+    assert [r[0] for r in sampling.store_order_by_population(stores).orderBy("place").collect()] == [2, 5, 1, 3, 4]
+    assert [r[0] for r in sampling.store_order_by_grid(stores).orderBy("place").collect()] == [3, 2, 5, 1, 4]  # the second row read here is odd and runs west
+
+
+def apart(a, b):
+    p = math.radians
+    h = math.sin(p(b[0] - a[0]) / 2) ** 2 + math.cos(p(a[0])) * math.cos(p(b[0])) * math.sin(p(b[1] - a[1]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+
+def test_sentinels_are_far_apart(spark):
+    rng = random.Random(4)
+    stores = [(i, round(44 + rng.random() * 3, 3), round(21 + rng.random() * 5, 3)) for i in range(30)] + [(90, None, 22.0)]
+    ps = [("n" if s < 25 or s == 90 else "few", s, p, 0 if s == 7 else 10, D if s != 8 else D - timedelta(30)) for s, _, _ in stores for p in range(30 - s if s < 30 else 99)]
+    df = spark.createDataFrame(ps, "network string, store_id long, product_id long, cents long, fetched_at date")
+    got = variability.sentinel_stores(df, spark.createDataFrame(stores, "id long, lat double, lon double"), since=D - timedelta(1)).collect()
+    at = {s: (a, b) for s, a, b in stores}
+    for network, members in (("n", [s for s in range(25) if s not in (7, 8)]), ("few", list(range(25, 30)))):
+        rest = members[:20]
+        chosen = [rest.pop(0)]
+        while len(chosen) < 3:
+            best = max(rest, key=lambda s: (round(min(apart(at[s], at[c]) for c in chosen), 6), -s))
+            chosen.append(best)
+            rest.remove(best)
+        mine = sorted((r for r in got if r["network"] == network), key=lambda r: r["pick_no"])
+        assert [r["store_id"] for r in mine] == chosen
+        assert mine[0]["spread_km"] == pytest.approx(max(apart(at[a], at[b]) for a in chosen for b in chosen), abs=1e-5)
+
+
+def test_sentinels_of_a_small_network(spark):
+    one = spark.createDataFrame([("n", 1, 1, 10, D)], "network string, store_id long, product_id long, cents long, fetched_at date")
+    assert [(r["store_id"], r["spread_km"]) for r in variability.sentinel_stores(one, spark.createDataFrame([(1, 44.0, 21.0)], "id long, lat double, lon double")).collect()] == [(1, 0.0)]
+
+
+@pytest.mark.parametrize("leaf", [64, 2])
+def test_people_around_dense_places(spark, monkeypatch, leaf):
+    monkeypatch.setattr(geo, "LEAF_POINTS", leaf)
+    rng = random.Random(leaf)
+    spot = lambda: (round(45 + rng.gauss(0, 0.12), 3), round(25 + rng.gauss(0, 0.12), 3))
+    people = [(i, *spot(), rng.randrange(100)) for i in range(400)] + [(1000 + i, 45.0, 25.0, 1) for i in range(50)] + [(2000, None, 25.0, 7)]
+    stores = [(i, *spot()) for i in range(40)] + [(100, 45.0, 25.0), (101, 45.0, 25.0), (102, None, 25.0), (103, -80.0, 170.0)]
+    got = {r["store_id"]: r["surrounding_population"] for r in geo.surrounding_population(spark.createDataFrame(stores, "id long, lat double, lon double"), spark.createDataFrame(people, "id long, lat double, lon double, population long")).collect()}
+    assert got == {s: sum(p for _, a, b, p in people if a is not None and lat is not None and apart((lat, lon), (a, b)) <= 10) for s, lat, lon in stores}
+
+
+def test_dedup_of_dense_places(spark):
+    rng = random.Random(8)
+    points = [(i, round(45 + rng.gauss(0, 0.06), 4), round(25 + rng.gauss(0, 0.06), 4), rng.randrange(50)) for i in range(300)] + [(1000 + i, 45.0, 25.0, 50) for i in range(300)] + [(5000, None, 1.0, 99)]
+    kept = []
+    for i, lat, lon, population in sorted((p for p in points if p[1] is not None), key=lambda p: (-p[3], p[0])):
+        if all(apart((lat, lon), k[1:]) >= 4 for k in kept):
+            kept.append((i, lat, lon))
+    got = geo.dedup_points(spark.createDataFrame(points, "id long, lat double, lon double, population long"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(kept)
+    assert geo.dedup_points(spark.createDataFrame([], "id long, lat double, lon double, population long")).collect() == []
+
+
+def test_places_without_a_basket_take_the_national_one(spark):
+    stores = spark.createDataFrame([(1, 1, "A"), (2, 1, "B"), (3, 2, "A"), (4, None, "A")], "id long, uat_id long, network string")
+    scored = spark.createDataFrame([(1, "A", "x", 5.0, True), (1, "B", "x", 4.0, True), (2, "A", "x", 9.0, False)], "uat_id long, network string, basket_id string, cost_month double, comparable boolean")
+    national = spark.createDataFrame([("A", "x", 6.0, True), ("B", "x", 7.0, True)], "network string, basket_id string, cost_month double, comparable boolean")
+    got = {r["uat_id"]: tuple(r)[1:] for r in geo.uat_stats(stores, scored, "x", ("B",), national).collect()}
+    assert got == {1: (2, 1, 4.0, 5.0, 2, "B", False), 2: (1, 1, 6.0, 7.0, 2, "A", True)}
+    assert {r["uat_id"]: (r["basket_n_networks"], r["cheapest_net"]) for r in geo.uat_stats(stores, scored, "x", (), national.limit(0)).collect()}[2] == (0, None)

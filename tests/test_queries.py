@@ -35,7 +35,7 @@ def test_query_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_other_queries_run(spark, name):
-    assert QUERIES[name](spark, SF).columns
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
