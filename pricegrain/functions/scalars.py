@@ -87,6 +87,23 @@ def is_noise(token: Column) -> Column:
     return (F.char_length(t) < 3) | t.isin(*STOPWORDS) | t.rlike(r"^\d+[.,]?\d*\s*[gklmc][gl]?$") | t.rlike(r"^[.,]*\d[\d.,]*$")
 
 
+#: What parts words, as the inside of a character class.
+BETWEEN_WORDS = r"\s/,.\-–()\[\]"
+
+
+def letter_class(letter: str) -> str:
+    """The letter in both cases, with the marks that ``without_marks`` takes off."""
+    marked = "".join(m for m, p in zip(MARKED, PLAIN, strict=True) if p.lower() == letter)
+    return f"[{letter}{letter.upper()}{marked}]"
+
+
+def noise_in_text() -> str:
+    """A pattern for the words of a text that ``is_noise`` tells, one at a time; a text is read once instead of judging each word."""
+    stop = "|".join("".join(map(letter_class, w)) for w in STOPWORDS)
+    of = lambda letters: "(?:" + "|".join(map(letter_class, letters)) + ")"
+    return f"(?<![^{BETWEEN_WORDS}])(?:[^{BETWEEN_WORDS}]{{1,2}}|{stop}|\\d+(?:{of('gklmc')}{of('gl')}?)?)(?![^{BETWEEN_WORDS}])"
+
+
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))

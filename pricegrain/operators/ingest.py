@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricegrain.storage import free_name
+
 KEY = ["product_id", "store_id"]
 #: Ordered rules, a LIKE pattern of a store's name in capitals and the network id it tells.
 NAME_RULES = [
@@ -15,7 +17,8 @@ NAME_RULES = [
 
 def latest_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row per key, the first in the given order."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    n = free_name(df, "n")
+    return df.withColumn(n, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(n) == 1).drop(n)
 
 
 #: What tells the age of observations of one key, and what decides between equal times.
@@ -75,9 +78,8 @@ def values_last(df: DataFrame, keys: list[str]) -> list[Column]:
 
 def snapshot_latest(prices: DataFrame, row_id: str | None = None) -> DataFrame:
     """Newest row per product and store; of equal times that of the greatest id, or of the greatest values where there is no id."""
-    order = [F.col("price_date"), F.col("fetched_at"), *([F.col(row_id)] if row_id else []), *values_last(prices, [*KEY, "price_date", "fetched_at"])]
-    newest = prices.groupBy(*KEY).agg(F.max_by(F.struct(*prices.columns), F.struct(*order)).alias("row"))
-    return newest.select("row.*")
+    rest = [c.desc() for c in values_last(prices, [*KEY, "price_date", "fetched_at"])]
+    return latest_by(prices, KEY, F.desc("price_date"), F.desc("fetched_at"), *([F.desc(row_id)] if row_id else []), *rest)
 
 
 def snapshot_after(obs: DataFrame, current: DataFrame) -> DataFrame:
@@ -104,9 +106,10 @@ def keys_with_changes(prices: DataFrame) -> DataFrame:
 def store_upsert(stores: DataFrame, incoming: DataFrame) -> DataFrame:
     """Stores after a batch: new values win, but a null never replaces a known one; seen stores are active."""
     cols = [c for c in stores.columns if c not in ("id", "is_active")]
-    new = incoming.select("id", *[F.col(c).alias(f"n_{c}") for c in cols], F.lit(True).alias("_seen"))
-    active = F.coalesce(F.col("_seen"), F.col("is_active"), F.lit(True)) if "is_active" in stores.columns else F.lit(True)
-    return stores.join(new, "id", "full").select("id", *[F.coalesce(f"n_{c}", c).alias(c) for c in cols], active.alias("is_active"))
+    seen, names = free_name(stores, "seen"), {c: free_name(stores, f"new_{c}") for c in cols}
+    new = incoming.select("id", *[F.col(c).alias(n) for c, n in names.items()], F.lit(True).alias(seen))
+    active = F.coalesce(F.col(seen), F.col("is_active"), F.lit(True)) if "is_active" in stores.columns else F.lit(True)
+    return stores.join(new, "id", "full").select("id", *[F.coalesce(n, c).alias(c) for c, n in names.items()], active.alias("is_active"))
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -127,8 +130,9 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def propagate_checked(current: DataFrame, store_ids: DataFrame, fetched_at) -> DataFrame:
     """Carry a check time to all rows of the given stores."""
-    marked = store_ids.select(F.col("store_id"), F.lit(True).alias("_in")).distinct()
-    return current.join(marked, "store_id", "left").withColumn("last_checked_at", F.when(F.col("_in"), F.lit(fetched_at)).otherwise(F.col("last_checked_at"))).drop("_in")
+    hit = free_name(current, "hit")
+    marked = store_ids.select(F.col("store_id"), F.lit(True).alias(hit)).distinct()
+    return current.join(marked, "store_id", "left").withColumn("last_checked_at", F.when(F.col(hit), F.lit(fetched_at)).otherwise(F.col("last_checked_at"))).drop(hit)
 
 
 def propagate_prices(current: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricegrain.functions.scalars import brand_key, half_up, is_noise, without_marks
-
+from pricegrain.functions.scalars import BETWEEN_WORDS, brand_key, half_up, noise_in_text, without_marks
 
 
 def canonical(counted: DataFrame, keys: list[str], raw: str) -> DataFrame:
@@ -24,7 +23,10 @@ def brands(prices: DataFrame, tops: DataFrame, top: int = 150) -> DataFrame:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: w != "")
+    """Words of a text that say something, in order; null where there is none."""
+    said = F.regexp_replace(text, noise_in_text(), "")
+    trimmed = F.regexp_replace(said, f"^[{BETWEEN_WORDS}]+|[{BETWEEN_WORDS}]+$", "")
+    return F.when(trimmed != "", F.split(trimmed, f"[{BETWEEN_WORDS}]+"))
 
 
 def ngrams(names: DataFrame, n: int, top: int = 150, text: str = "name", category: str | None = None) -> DataFrame:
@@ -33,8 +35,7 @@ def ngrams(names: DataFrame, n: int, top: int = 150, text: str = "name", categor
     Neighbours are told after the noise is gone. Spellings are counted before they are shuffled.
     """
     cat = F.col(category) if category else F.lit(None).cast("string")
-    w = names.select("id", words_of(F.col(text)).alias("words"), cat.alias("cat"))
-    w = w.withColumn("words", F.filter("words", lambda x: ~is_noise(x)))
+    w = names.select(words_of(F.col(text)).alias("words"), cat.alias("cat")).filter("words is not null")
     if n == 1:
         raw = w.select(F.explode("words").alias("raw"), "cat")
     else:

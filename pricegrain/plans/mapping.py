@@ -28,8 +28,8 @@ class Tables:
 
     @cached_property
     def types(self) -> DataFrame:
-        """The distinct product types with their position."""
-        return self.raw("part").select("p_type").distinct().withColumn("pos", F.row_number().over(Window.orderBy("p_type")))
+        """The distinct product types with their position, and how many there are; a handful of rows."""
+        return self.raw("part").select("p_type").distinct().withColumns({"pos": F.row_number().over(Window.orderBy("p_type")), "types": F.count(F.lit(1)).over(Window.partitionBy())})
 
     @cached_property
     def categories(self) -> DataFrame:
@@ -40,7 +40,7 @@ class Tables:
     def products(self) -> DataFrame:
         brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
         part = self.raw("part").join(self.types, "p_type")
-        pos = F.when(F.col("p_partkey") % 10 == 0, F.col("pos")).otherwise(brand_no % F.lit(self.types.count()) + 1)
+        pos = F.when(F.col("p_partkey") % 10 == 0, F.col("pos")).otherwise(brand_no % F.col("types") + 1)
         return part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), (pos + 1).cast("long").alias("categ_id"), F.col("p_brand").alias("p_brand"), F.col("p_size").cast("long").alias("size"))
 
     @cached_property
@@ -71,10 +71,10 @@ class Tables:
         )
 
     def prices(self, kind: str = "unit") -> DataFrame:
-        """One row per product, store and year: the newest observation, by an aggregate that starts before the shuffle."""
+        """One row per product, store and year: the newest observation."""
         names = ["product_id", "store_id", "cents", "price_date", "fetched_at", "promo", "unit", "brand"]
-        newest = self.offers(kind).groupBy("product_id", "store_id", "price_date").agg(F.max_by(F.struct(*names), F.struct("fetched_at", "id")).alias("row"))
-        return newest.select("row.*")
+        newest = Window.partitionBy("product_id", "store_id", "price_date").orderBy(F.desc("fetched_at"), F.desc("id"))
+        return self.offers(kind).withColumn("place", F.row_number().over(newest)).filter("place = 1").select(*names)
 
     def current(self, kind: str = "unit") -> DataFrame:
         from pricegrain.operators.ingest import snapshot_latest

@@ -17,7 +17,7 @@ from pricegrain.plans import stream_queries as sq
 from pricegrain.plans import xml_queries as xq
 from pricegrain.plans.mapping import B2B, Tables, sql
 from pricegrain.sources import readers
-from pricegrain.storage import bucketed
+from pricegrain.storage import bucketed, checkpoint
 
 PLANS: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -264,9 +264,17 @@ q("flag_outliers", lambda t: text_dates(quality.flag_outliers(t.current()).selec
 q("flag_spikes", lambda t: text_dates(quality.flag_spikes(t.prices()).select("product_id", "store_id", "price_date", "flag_type", F.get_json_object("details", "$.change_pct").cast("double").alias("change_pct"))), f"SELECT {_flag}, 'price_spike' AS flag_type, {r('abs(now - before)::DOUBLE / before * 1e2', 1)} AS change_pct FROM sp", more=OUT + SPK)
 q("flag_promo_depth", lambda t: text_dates(deep(t).select("product_id", "store_id", "price_date", "flag_type", F.get_json_object("details", "$.pct_of_regular").cast("double").alias("pct_of_regular"))), f"SELECT {_flag}, 'promo_too_deep' AS flag_type, {r('1e2 * cents / m', 1)} AS pct_of_regular FROM dp", more=DEEP)
 FLAGS = OUT + SPK + ", " + DEEP + ", flags AS (SELECT product_id, store_id, price_date, 'outlier_price' AS flag_type FROM fo UNION ALL SELECT product_id, store_id, price_date, 'price_spike' FROM sp UNION ALL SELECT product_id, store_id, price_date, 'promo_too_deep' FROM dp)"
-q("all_flags", lambda t: keyed(quality.all_flags(t.current(), t.prices())), f"SELECT {_flag}, flag_type FROM flags", more=FLAGS)
-q("flag_summary", lambda t: quality.flag_summary(quality.all_flags(t.current(), t.prices())), "SELECT flag_type, count(*) AS flags, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores FROM flags GROUP BY 1", more=FLAGS)
-q("flag_upsert", lambda t: keyed(ingest.insert_absent(quality.flag_outliers(t.current()), quality.all_flags(t.current(), t.prices()), ["product_id", "store_id", "price_date", "flag_type"])), f"SELECT DISTINCT {_flag}, flag_type FROM flags", more=FLAGS)
+
+
+def flags_of(t: Tables) -> DataFrame:
+    """All flags, from prices and a snapshot that are each made once."""
+    prices = checkpoint(t.prices(), "prices")
+    return quality.all_flags(checkpoint(ingest.snapshot_latest(prices), "snapshot"), prices)
+
+
+q("all_flags", lambda t: keyed(flags_of(t)), f"SELECT {_flag}, flag_type FROM flags", more=FLAGS)
+q("flag_summary", lambda t: quality.flag_summary(flags_of(t)), "SELECT flag_type, count(*) AS flags, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores FROM flags GROUP BY 1", more=FLAGS)
+q("flag_upsert", lambda t: keyed(ingest.insert_absent(quality.flag_outliers(t.current()), flags_of(t), ["product_id", "store_id", "price_date", "flag_type"])), f"SELECT DISTINCT {_flag}, flag_type FROM flags", more=FLAGS)
 FR = f"fr AS (SELECT s.id AS store_id, s.name, s.network, max(fetched_at)::VARCHAR AS last_date, coalesce({ASOF} - max(fetched_at), 9999)::BIGINT AS days_stale, coalesce({ASOF} - max(fetched_at), 9999) > 2 AS stale FROM stores s LEFT JOIN current_p c ON c.store_id = s.id WHERE coalesce(s.is_active, true) GROUP BY ALL)"
 fresh = lambda t: quality.store_freshness(t.current(), ingest.active(t.stores), as_of(t))
 q("store_freshness", fresh, "SELECT * FROM fr", more=FR)

@@ -397,3 +397,12 @@ def test_places_without_a_basket_take_the_national_one(spark):
     got = {r["uat_id"]: tuple(r)[1:] for r in geo.uat_stats(stores, scored, "x", ("B",), national).collect()}
     assert got == {1: (2, 1, 4.0, 5.0, 2, "B", False), 2: (1, 1, 6.0, 7.0, 2, "A", True)}
     assert {r["uat_id"]: (r["basket_n_networks"], r["cheapest_net"]) for r in geo.uat_stats(stores, scored, "x", (), national.limit(0)).collect()}[2] == (0, None)
+
+
+def test_noise_in_text_is_what_is_noise_tells(spark):
+    words = [*sc.STOPWORDS, *[w.upper() for w in sc.STOPWORDS], "și", "DIN", "fără", "500g", "500G", "5kg", "12ml", "12mlx", "33cl", "7", "007", "12a", "ab", "abc", "a", "ß", "ñandú", "é1", "de-la", "mixt", "setul", "x500g", "😀😀", "😀😀😀", "5 g", "1.5", "1,5kg"]
+    rng = random.Random(2)
+    texts = [(i, rng.choice(["", " ", "(", "-"]) + rng.choice([" ", ", ", "/", " - ", "–"]).join(rng.choices(words, k=12)) + rng.choice(["", ".", ")"])) for i in range(60)] + [(100, ""), (101, None), (102, "de la"), (103, "...")]
+    df = spark.createDataFrame(texts, "id long, t string").select("id", text.words_of(F.col("t")).alias("got"), F.filter(F.split(F.coalesce("t", F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: (w != "") & ~sc.is_noise(w)).alias("want"))
+    for r in df.collect():
+        assert (r["got"] or []) == r["want"]
