@@ -15,7 +15,7 @@ from pricegrain.llm.common import map_batches
 #: them (the tests prove it), with further ones for items of 10 words (1111001111) and others for items of 5.
 MASKS = ("11111", "101111", "110111", "111011", "111101")
 MASKS_BY_WORDS = {5: ("1111", "10111", "11011", "11101"), 10: (*MASKS, "1110011")}
-#: Items of fewer words than this are not looked up.
+#: Items of fewer words than this have to stand whole, since 80 % of them are all: their mask has no free place.
 LEAST_WORDS = 5
 #: An overlap counts from so many equal words, or this share of the item's; and this share of it must be equal.
 MIN_WORDS, MIN_ITEM_SHARE, MIN_EQUAL = 13, 0.8, 0.75
@@ -103,7 +103,7 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
 
 def masks_of(n_words: int) -> tuple[str, ...]:
     """Masks by which an item of so many words is looked up."""
-    return MASKS_BY_WORDS.get(n_words, MASKS) if n_words >= LEAST_WORDS else ()
+    return MASKS_BY_WORDS.get(n_words, MASKS) if n_words >= LEAST_WORDS else ("1" * n_words,) * (n_words > 0)
 
 
 class SeedIndex:
@@ -167,7 +167,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     documents give none. Words are runs of letters and digits, lower-cased. The masks hash windows of words
     without their free positions; a document's hashes are joined to the benchmark's, and where one hits, the
     two are compared word by word at its relative position, over the whole item. An overlap counts from 13 equal
-    words, or 80 % of a shorter item, with three quarters of it equal, and every one has a hit. Items of fewer than 5 words are not looked for.
+    words, or 80 % of a shorter item, with three quarters of it equal, and every one has a hit. Items of
+    fewer than 5 words count where they stand whole; items without a word hold nothing.
     Null and empty texts hold nothing, nor do null items; repeated rows of a document give repeated rows.
 
     The benchmark is looked up in blocks of a bounded number of bytes, each sent to all tasks for one pass

@@ -315,7 +315,7 @@ def test_decontamination(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)] + [(77, None), (78, "")], "item_id long, text string")
     for block in (1 << 20, 60):
         got = {(r["doc_id"], r["item_id"]): r for r in contaminated(rows(spark, texts), bench, block).collect()}
-        assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 3), (9, 2), (10, 0)}
+        assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 3), (8, 4), (9, 2), (10, 0)}
         assert (got[0, 0]["first_word"], got[0, 0]["end_word"], got[0, 0]["n_equal"]) == (50, 90, 40)
         assert got[1, 0]["n_equal"] >= 30
     assert contaminated(rows(spark, []), bench).count() == 0
@@ -331,6 +331,13 @@ def test_passages_behind_a_replaced_part():
     assert index.overlaps(words(copied(73, 12, 32)))[1] == (41, 41, 32, 73)
 
 
+def test_short_items_are_found_where_they_stand_whole(spark):
+    items = {1: "quark", 2: "two words", 3: "just three words", 4: "an item of four", 5: "one more of five words"}
+    texts = ["a quark, here", "Two  words", "just three", "say just THREE words", "an item for four", "an item of four.", "an item of two words", "quarks"]
+    got = contaminated(rows(spark, texts), spark.createDataFrame([(*x, 1) for x in items.items()], "item_id long, text string, n int"))
+    assert {(r["doc_id"], r["item_id"], r["n_equal"]) for r in got.collect()} == {(0, 1, 1), (1, 2, 2), (3, 3, 3), (5, 4, 4), (6, 2, 2)}
+
+
 def test_masks_lose_no_overlap():
     """No pattern of equal (1) and other words that counts goes without a hit; one over 33 words has a half that counts."""
     for length in range(LEAST_WORDS, 34):

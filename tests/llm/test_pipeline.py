@@ -51,6 +51,12 @@ def test_language_stage_rejects_what_was_not_learnt(spark):
     assert kept == {r["doc_id"] for r in docs.collect()} | {8000 + i for i in range(len(short))}
 
 
+def test_short_benchmark_items_take_no_document_along(spark, tmp_path):
+    spark.createDataFrame([(1, "of the"), (2, "a passage of seven words it is")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, "one of the clean ones"), (2, "here a passage of seven words it is"), (None, "of the")], "doc_id long, text string")
+    assert sorted((r["doc_id"] for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()), key=str) == [1, None]
+
+
 def test_run_and_registration(spark):
     import __spark_entry__
 
