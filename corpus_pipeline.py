@@ -20,6 +20,8 @@ from pricegrain.llm.repeats import remove_repeats
 from pricegrain.llm.simhash import near_duplicates
 from pricegrain.session import attach
 
+#: Words from which a benchmark item is a passage.
+PASSAGE = 5
 #: A text is of no language that was learnt from this much beyond the distance that this share of its documents keep.
 USUAL, STRANGE_BEYOND = 0.9, 0.25
 
@@ -78,8 +80,12 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark. Rows without an id, or with an empty text, hold none; of an id with a passage in one row all rows go."""
-    leaks = materialize(contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "leaks")
+    """Documents without a passage of the benchmark. Rows without an id, or with an empty text, hold none; of an id with a passage in one row all rows go.
+
+    An item of fewer than PASSAGE words is a phrase that clean documents use as well, and takes none along.
+    """
+    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter(F.round(F.col("n_equal") / F.col("item_share")) >= PASSAGE)
+    leaks = materialize(found.select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -406,3 +406,11 @@ def test_noise_in_text_is_what_is_noise_tells(spark):
     df = spark.createDataFrame(texts, "id long, t string").select("id", text.words_of(F.col("t")).alias("got"), F.filter(F.split(F.coalesce("t", F.lit("")), r"[\s/,.\-–()\[\]]+"), lambda w: (w != "") & ~sc.is_noise(w)).alias("want"))
     for r in df.collect():
         assert (r["got"] or []) == r["want"]
+
+
+def test_cluster_ages_and_clusters_to_skip(spark):
+    clusters = spark.createDataFrame([(1, 1), (1, 2), (3, 3), (3, 2), (4, 4)], "anchor_id long, store_id long")
+    ages = spark.createDataFrame([(1, 5), (2, 9999), (3, 7), (4, 0)], "store_id long, age_days long")
+    assert {tuple(r) for r in sampling.cluster_order(clusters, ages).collect()} == {(1, 9999), (3, 9999), (4, 0)}
+    skip = spark.createDataFrame([(2,), (3,), (3,)], "store_id long")
+    assert {tuple(r) for r in sampling.skippable_clusters(clusters, skip).collect()} == {(1, False, 2), (3, True, 2), (4, False, 1)}
