@@ -160,28 +160,43 @@ def label_prefixes(examples: DataFrame, total: int, toxic: int) -> np.ndarray:
 
 
 class Vectors:
-    """Unit TF-IDF vectors over all words of the examples, and prefixes that go with the label."""
+    """Unit TF-IDF vectors over all words, and prefixes that go with the label; words that no example has count in the norm alone."""
 
-    def __init__(self, terms: np.ndarray, prefixes: np.ndarray, weight: np.ndarray | None = None):
-        self.terms, self.prefixes, self.weight = terms, prefixes, weight
+    def __init__(self, terms: np.ndarray, prefixes: np.ndarray, weight: np.ndarray | None = None, unseen: float = 0.0):
+        self.terms, self.prefixes, self.weight, self.unseen = terms, prefixes, weight, unseen
         self.hasher, self.words, self.more = TermHasher(), HashTable(terms), HashTable(prefixes)
         self.of_prefix = np.searchsorted(terms, prefixes).astype(np.int32)  # an example has each of them
 
     def counts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Places of the texts, of their terms in the vocabulary, ascending, and how often each occurs: some texts at a time."""
+        for owner, term, n, _, _ in self.parts(texts):
+            yield owner, term, n
+
+    def parts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+        """As ``counts``, with the places of the texts and the hashes of the words that no example has, repeats included."""
         for first, at, words, more_at, prefixes in self.hasher.of_many(texts):
             which, places = self.words.find(words)
+            strange = np.ones(len(words), bool)
+            strange[which] = False
             more, more_places = self.more.find(prefixes)
             owner, term = np.concatenate((at[which], more_at[more])), np.concatenate((places, self.of_prefix[more_places]))
             key, n = np.unique(owner * max(1, len(self.terms)) + term, return_counts=True)
-            yield first + key // max(1, len(self.terms)), key % max(1, len(self.terms)), n
+            yield first + key // max(1, len(self.terms)), key % max(1, len(self.terms)), n, first + at[strange], words[strange]
+
+    def unseen_squares(self, owner: np.ndarray, words: np.ndarray, n_texts: int) -> np.ndarray:
+        """What the words that no example has add to each text's squared norm."""
+        order = np.lexsort((words, owner))
+        owner, words = owner[order], words[order]
+        edges = np.flatnonzero(np.concatenate(([True], (np.diff(owner) != 0) | (words[1:] != words[:-1]), [True]))) if len(owner) else np.zeros(1, np.int64)
+        return np.bincount(owner[edges[:-1]], ((1 + np.log(np.diff(edges))) * self.unseen) ** 2, minlength=n_texts)
 
     def of(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The terms and weights of each text."""
         out = [(np.empty(0, np.int64), np.empty(0))] * len(texts)
-        for owner, term, n in self.counts(texts):
+        for owner, term, n, strange_owner, strange in self.parts(texts):
             w = (1 + np.log(n)) * self.weight[term]
-            w /= np.maximum(np.sqrt(np.bincount(owner, w * w)), 1e-300)[owner] if len(owner) else 1.0
+            squares = np.bincount(owner, w * w, minlength=len(texts)) + self.unseen_squares(strange_owner, strange, len(texts))
+            w /= np.maximum(np.sqrt(squares), 1e-300)[owner]
             edges = np.flatnonzero(np.diff(owner, prepend=-1, append=len(texts)))
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 out[owner[lo]] = term[lo:hi], w[lo:hi]
@@ -440,7 +455,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors
     w /= np.maximum(np.sqrt(np.bincount(owner, w * w, minlength=len(ids))), 1e-300)[owner]
     index = BlockMaxIndex(ids, label, owner, term, w, len(terms), prior)
     del w, owner, term
-    vectors = Vectors(terms, prefixes, weight)
+    # a word that no example has weighs as one of this document alone: its documents are not counted
+    vectors = Vectors(terms, prefixes, weight, max(0.0, float(np.log((1 + n_docs) / 2))) * OTHERS)
 
     model = docs.sparkSession.sparkContext.broadcast((vectors, index))
 
@@ -458,8 +474,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, thres
 
     ``learn_from`` marks the rows of ``labels`` that may be learnt from; at most MOST_EXAMPLES of them (least
     hash of the id, as far as their texts have no more than MOST_TEXT bytes together) are the examples. A text's
-    vector holds all its words that an example has, and word prefixes that go with the label (G2); words that do
-    not go with it weigh OTHERS as much. IDF covers all documents. The share of toxic among the
+    vector holds all its words, and word prefixes that go with the label (G2); words that do not go with it weigh
+    OTHERS as much. IDF covers all documents; words that no example has weigh as if they were in one document, and
+    count in the norm. The share of toxic among the
     neighbours, each weighing 1 / distance, becomes a probability by isotonic regression over the votes that
     the examples get from one another. Returns doc_id, score, predicted (1 from the threshold on), vote and
     evidence, the ids of the nearest examples. Texts without any known word (null and empty ones too) have no

@@ -191,7 +191,8 @@ def plain_scores(texts, tags, learn):
         for f, n in features(t).items():
             if f in place:
                 v[place[f]] = (1 + math.log(n)) * math.log((1 + len(texts)) / (1 + df[f])) * (1 if f in goes else toxicity.OTHERS)
-        return v / (np.linalg.norm(v) or 1)
+        unseen = [(1 + math.log(n)) * math.log((1 + len(texts)) / 2) * toxicity.OTHERS for f, n in features(t).items() if "*" not in f and f not in place]
+        return v / (np.linalg.norm([*v, *unseen]) or 1)
 
     matrix = np.array([vector(t) for _, t in examples])
     labels = np.array([tags[i] for i, _ in examples], float)
@@ -215,12 +216,14 @@ def test_toxicity_matches_brute_force(spark, monkeypatch):
             words.insert(0, rng.choice(["vilehead", "vileness", "grub", "dunce"]))
         texts[i] = " ".join(words)
     texts[300], texts[301] = "", "no known words"
+    texts[302], texts[303] = "vilehead " + texts[1], "vilehead " + texts[1] + " qx" * 3 + "".join(f" strange{i}" for i in range(60))
     docs = rows(spark, list(texts.values()), ids=list(texts))
     labels = spark.createDataFrame([(i, 1, t) for i, t in tags.items()], "doc_id long, quality int, toxic int")
     got = by_id(score_toxicity(docs, labels, F.col("doc_id") % 3 != 1))
     want = plain_scores(texts, tags, lambda i: i % 3 != 1)
     for i in texts:
         assert got[i]["vote"] == pytest.approx(want[i], abs=1e-4), i
+    assert got[302]["vote"] != got[303]["vote"]  # unknown words count in the norm
 
 
 def test_toxicity_finds_held_out_words(spark):
