@@ -24,7 +24,7 @@ LONG_LIST, FIRST_BLOCKS = 256, 8
 #: Lists of one in so many examples are kept example by example, at most so many: they are added up without gathering.
 FULL_LIST, MOST_FULL = 16, 512
 #: Texts that are looked up together, bytes that are hashed at a time, and what float32 sums of bounds may be off at most.
-GROUP, CHUNK, SLACK = 64, 1 << 20, 1e-5
+GROUP, CHUNK, SLACK = 128, 1 << 20, 1e-5
 
 
 class TermHasher:
@@ -333,9 +333,11 @@ class BlockMaxIndex:
         if self.blocks > FIRST_BLOCKS:
             live[:] = False
             np.put_along_axis(live, np.argpartition(-upper, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS], True, axis=1)
+        used = np.flatnonzero(at_full.any(0))  # a group is of one language mostly, and has few of the longest lists
+        at_full, full_lists = at_full[:, used], self.full_lists()[used]
         while live.any():
             for lo, hi in self.runs(live.any(0) & ~added):
-                score[:, lo * BLOCK : hi * BLOCK] += at_full @ self.full_lists()[:, lo * BLOCK : hi * BLOCK]
+                score[:, lo * BLOCK : hi * BLOCK] += at_full @ full_lists[:, lo * BLOCK : hi * BLOCK]
                 added[lo:hi] = True
                 upper[:, lo:hi] = by_block[:, lo:hi].max(2) + rest[:, lo:hi]  # nearer, now that the longest lists are in
             live &= upper >= floor[:, None] - SLACK
