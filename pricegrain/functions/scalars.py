@@ -91,17 +91,11 @@ def is_noise(token: Column) -> Column:
 BETWEEN_WORDS = r"\s/,.\-–()\[\]"
 
 
-def letter_class(letter: str) -> str:
-    """The letter in both cases, with the marks that ``without_marks`` takes off."""
-    marked = "".join(m for m, p in zip(MARKED, PLAIN, strict=True) if p.lower() == letter)
-    return f"[{letter}{letter.upper()}{marked}]"
-
-
-def noise_in_text() -> str:
-    """A pattern for the words of a text that ``is_noise`` tells, one at a time; a text is read once instead of judging each word."""
-    stop = "|".join("".join(map(letter_class, w)) for w in STOPWORDS)
-    of = lambda letters: "(?:" + "|".join(map(letter_class, letters)) + ")"
-    return f"(?<![^{BETWEEN_WORDS}])(?:[^{BETWEEN_WORDS}]{{1,2}}|{stop}|\\d+(?:{of('gklmc')}{of('gl')}?)?)(?![^{BETWEEN_WORDS}])"
+def is_noise_word(word: Column) -> Column:
+    """``is_noise`` of a word that a text was parted into, so it holds no point or comma; only words that begin with a digit are matched with a pattern."""
+    t = F.lower(without_marks(word))
+    long = max(map(len, STOPWORDS))
+    return (F.char_length(word) < 3) | ((F.char_length(word) <= long) & t.isin(*STOPWORDS)) | (F.ascii(word).between(48, 57) & t.rlike(r"^\d+([gklmc][gl]?)?$"))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

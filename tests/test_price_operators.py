@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricegrain.functions import scalars as sc
+from pricegrain.storage import checkpoint
 from pricegrain.operators import baskets, geo, ingest, ordered, quality, sampling, text, variability
 from pricegrain.operators import index as ix
 from pricegrain.sources import readers
@@ -226,6 +227,16 @@ def test_bigrams_skip_noise(spark):
     assert got == {"lapte uht": 2}
 
 
+def test_words_are_judged_once_and_texts_read_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([("Lapte UHT 1.5% 1L, lapte uht",), ("Lapte de UHT bun 12kg",), (None,), ("",)], "text string").write.parquet(str(tmp_path / "d"))
+    got = text.ngrams(spark.read.parquet(str(tmp_path / "d")), 2, text="text")
+    assert [tuple(r) for r in got.collect()] == [("lapte uht", "Lapte UHT", 3), ("uht bun", "UHT bun", 1), ("uht lapte", "UHT lapte", 1)]
+    shown = []
+    monkeypatch.setattr(text, "checkpoint", lambda df, name: shown.append(df._jdf.queryExecution().executedPlan().toString()) or checkpoint(df, name))
+    after = text.ngrams(spark.read.parquet(str(tmp_path / "d")), 2, text="text")._jdf.queryExecution().executedPlan().toString()
+    assert shown[0].count("split(text") == 1 and "text#" not in after
+
+
 def test_names_tell_networks(spark):
     names = ["PROFI CLUJ", "MI CENTRU", "SG NORD", "EXPRESS X", "SEGLROS", "unknown", "Mega Image 3"]
     df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "id long, name string, network string")
