@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, mean_cents, money
-from pricegrain.operators.ordered import numbered
+from pricegrain.operators.ordered import first_seen, numbered
 
 
 def clean_prices(ps: DataFrame, flags: DataFrame) -> DataFrame:
@@ -102,7 +102,8 @@ def methodology_stats(ps: DataFrame, stores: DataFrame, products: DataFrame, day
 
 def top_products(ps: DataFrame, stores: DataFrame, top: int = 50) -> DataFrame:
     """Most stocked products with prices and their share of all stores."""
-    g = ps.groupBy("product_id").agg(F.countDistinct("store_id").alias("store_count"), F.countDistinct("network").alias("network_count"), mean_cents().alias("avg_price"), money(F.min("cents")).alias("min_price"), money(F.max("cents")).alias("max_price"))
+    rows = first_seen(ps.select("product_id", "store_id", "network", "cents"), ["product_id"], "network", "new_network")
+    g = rows.groupBy("product_id").agg(F.countDistinct("store_id").alias("store_count"), F.sum("new_network").alias("network_count"), mean_cents().alias("avg_price"), money(F.min("cents")).alias("min_price"), money(F.max("cents")).alias("max_price"))
     all_ = stores.agg(F.count("*").alias("all"))
     return g.join(all_, F.lit(True)).withColumn("coverage_pct", half_up(F.lit(100.0) * F.col("store_count") / F.col("all"), 1)).drop("all").orderBy(F.desc("store_count"), "product_id").limit(top)
 

@@ -75,6 +75,15 @@ def islands(df: DataFrame, group: list[str], order: list[str], value: str, name:
     return carried(local, edges, [*group, at], before).select(*df.columns, (F.col(here) + F.col(before)).alias(name))
 
 
+def first_seen(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
+    """``df`` with ``name``, 1 on one row of each value that is not null in its group, else 0; its sum counts the distinct values.
+
+    Beside another distinct count this keeps rows where they are; two of these in one aggregate make Spark copy and shuffle the rows.
+    """
+    place = F.row_number().over(Window.partitionBy(*group, value).orderBy(F.lit(1)))
+    return df.withColumn(name, (F.col(value).isNotNull() & (place == 1)).cast("long"))
+
+
 def value_counts(df: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
     """How often each value that is not null occurs in its group, counted before rows are shuffled."""
     return df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias(name))

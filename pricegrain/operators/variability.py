@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrain.functions.scalars import half_up, haversine_km, mean_cents, money, sampling_tier, spread_bucket, spread_pct
-from pricegrain.operators.ordered import running_sum, upper_medians, value_counts
+from pricegrain.operators.ordered import first_seen, running_sum, upper_medians, value_counts
 from pricegrain.storage import checkpoint
 
 
@@ -111,7 +111,9 @@ def coverage_impact(ps: DataFrame, stores: DataFrame) -> DataFrame:
 
 def price_uniformity(ps: DataFrame, min_stores: int = 3) -> DataFrame:
     """Distinct prices and spread per product, network and date."""
-    return stats(ps, "product_id", "network", "price_date", store_count=F.countDistinct("store_id"), distinct_prices=F.countDistinct("cents")).filter(F.col("store_count") >= min_stores)
+    keys = ["product_id", "network", "price_date"]
+    rows = first_seen(ps.select(*keys, "store_id", "cents"), keys, "cents", "new_price")
+    return stats(rows, *keys, store_count=F.countDistinct("store_id"), distinct_prices=F.sum("new_price")).filter(F.col("store_count") >= min_stores)
 
 
 def uniformity_by_network(u: DataFrame) -> DataFrame:
@@ -151,6 +153,7 @@ def similarity_tiers(groups: DataFrame) -> DataFrame:
 
 def similarity_trend(groups: DataFrame, days: int = 7) -> DataFrame:
     """Shares in windows that open on the first date and reopen at the first date ``days`` or more later."""
+    groups = checkpoint(groups.select("network", "type_id", "price_date", "spread_pct"), "groups")  # read for the dates and for the shares
     dates = groups.groupBy("network", "type_id").agg(F.array_sort(F.collect_set("price_date")).alias("dates"))
     opens = F.aggregate("dates", F.array().cast("array<date>"), lambda acc, d: F.when((F.size(acc) == 0) | (F.datediff(d, F.element_at(F.when(F.size(acc) > 0, acc).otherwise(F.array(d)), -1)) >= days), F.concat(acc, F.array(d))).otherwise(acc))
     g = groups.join(dates.select("network", "type_id", opens.alias("opens")), ["network", "type_id"])

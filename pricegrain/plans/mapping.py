@@ -16,6 +16,8 @@ from pricegrain.session import attach
 
 #: The network that plays the wholesale role.
 B2B = "MIDDLE EAST"
+#: Rows of lineitem that a task gets at most on average, and most stores that are sent to all tasks.
+ROWS_A_TASK, MOST_SENT = 250_000, 1_000_000
 BASKETS = [("staples", k, 1 + k % 3) for k in range(6)] + [("treats", k, 2) for k in range(6, 10)]
 
 
@@ -58,10 +60,21 @@ class Tables:
             (F.lit(43.6) + (k % 20) * F.lit(0.23) + (F.floor(k / 20) % 7) * F.lit(0.012)).alias("lat"), (F.lit(20.3) + (((k % 20) * 7) % 20) * F.lit(0.46) + (F.floor(k / 20) % 5) * F.lit(0.015)).alias("lon"),
         )
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks that observations are dealt out to: as many as shuffles have, or more where these would get too many rows. Counts are in the files' footers."""
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-self.raw("lineitem").count() // ROWS_A_TASK))
+
+    def of_stores(self, prices: DataFrame, columns: DataFrame) -> DataFrame:
+        """Prices with columns of their store; the stores go to the prices, so that these stay dealt out by product, up to MOST_SENT of them."""
+        if self.raw("supplier").count() <= MOST_SENT:
+            return prices.join(F.broadcast(columns), "store_id")
+        return prices.repartition(self.tasks, "store_id").join(columns, "store_id").repartition(self.tasks, "product_id")
+
     def offers(self, kind: str = "unit") -> DataFrame:
-        """Every observation, also those of one product, store and date."""
+        """Every observation, also those of one product, store and date, dealt out by product: what groups them by product, or product and more, needs no other shuffle."""
         part = self.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", F.regexp_extract("p_brand", r"(\d+)", 1).alias("number"))
-        li = self.raw("lineitem").join(part, "l_partkey")
+        li = self.raw("lineitem").repartition(self.tasks, "l_partkey").join(part, "l_partkey")
         price = F.col("l_extendedprice") / F.col("l_quantity") if kind == "unit" else F.col("p_retailprice") * (F.lit(1.0) - F.col("l_discount"))
         spelt = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("Brand#"), "number")).when(F.col("l_linenumber") % 3 == 1, F.concat(F.lit("BRAND #"), "number")).otherwise(F.concat(F.lit("Brand-"), "number"))
         unit = F.when(F.col("l_returnflag") == "A", "Kg").when(F.col("l_returnflag") == "N", "BUC").otherwise("Litru")

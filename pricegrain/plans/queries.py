@@ -34,7 +34,7 @@ def q(name: str, plan: Callable[[Tables], DataFrame], body: str | None = None, k
 
 def ps(t: Tables, kind: str = "unit") -> DataFrame:
     """Prices with the store's network, place and type."""
-    return t.prices(kind).join(store_columns(t), "store_id")
+    return t.of_stores(t.prices(kind), store_columns(t))
 
 
 def store_columns(t: Tables) -> DataFrame:
@@ -42,7 +42,7 @@ def store_columns(t: Tables) -> DataFrame:
 
 
 def cs(t: Tables, kind: str = "unit") -> DataFrame:
-    return t.current(kind).join(store_columns(t), "store_id")
+    return t.of_stores(t.current(kind), store_columns(t))
 
 
 def as_of(t: Tables):
@@ -266,15 +266,29 @@ q("flag_promo_depth", lambda t: text_dates(deep(t).select("product_id", "store_i
 FLAGS = OUT + SPK + ", " + DEEP + ", flags AS (SELECT product_id, store_id, price_date, 'outlier_price' AS flag_type FROM fo UNION ALL SELECT product_id, store_id, price_date, 'price_spike' FROM sp UNION ALL SELECT product_id, store_id, price_date, 'promo_too_deep' FROM dp)"
 
 
+def prices_and_current(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Prices and a snapshot of them, each made once."""
+    prices = checkpoint(t.prices(), "prices")
+    return prices, checkpoint(ingest.snapshot_latest(prices), "snapshot")
+
+
 def flags_of(t: Tables) -> DataFrame:
     """All flags, from prices and a snapshot that are each made once."""
-    prices = checkpoint(t.prices(), "prices")
-    return quality.all_flags(checkpoint(ingest.snapshot_latest(prices), "snapshot"), prices)
+    prices, current = prices_and_current(t)
+    return quality.all_flags(current, prices)
+
+
+def flags_upserted(t: Tables) -> DataFrame:
+    """The outlier flags, to which all flags come in that are not there yet; prices, snapshot and outliers are each made once."""
+    prices, current = prices_and_current(t)
+    known = checkpoint(quality.flag_outliers(current), "outliers")
+    found = known.unionByName(quality.flag_spikes(prices)).unionByName(quality.flag_promo_depth(current))
+    return ingest.insert_absent(known, found, ["product_id", "store_id", "price_date", "flag_type"])
 
 
 q("all_flags", lambda t: keyed(flags_of(t)), f"SELECT {_flag}, flag_type FROM flags", more=FLAGS)
 q("flag_summary", lambda t: quality.flag_summary(flags_of(t)), "SELECT flag_type, count(*) AS flags, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores FROM flags GROUP BY 1", more=FLAGS)
-q("flag_upsert", lambda t: keyed(ingest.insert_absent(quality.flag_outliers(t.current()), flags_of(t), ["product_id", "store_id", "price_date", "flag_type"])), f"SELECT DISTINCT {_flag}, flag_type FROM flags", more=FLAGS)
+q("flag_upsert", lambda t: keyed(flags_upserted(t)), f"SELECT DISTINCT {_flag}, flag_type FROM flags", more=FLAGS)
 FR = f"fr AS (SELECT s.id AS store_id, s.name, s.network, max(fetched_at)::VARCHAR AS last_date, coalesce({ASOF} - max(fetched_at), 9999)::BIGINT AS days_stale, coalesce({ASOF} - max(fetched_at), 9999) > 2 AS stale FROM stores s LEFT JOIN current_p c ON c.store_id = s.id WHERE coalesce(s.is_active, true) GROUP BY ALL)"
 fresh = lambda t: quality.store_freshness(t.current(), ingest.active(t.stores), as_of(t))
 q("store_freshness", fresh, "SELECT * FROM fr", more=FR)

@@ -237,6 +237,27 @@ def test_words_are_judged_once_and_texts_read_once(spark, tmp_path, monkeypatch)
     assert shown[0].count("split(text") == 1 and "text#" not in after
 
 
+def test_distinct_values_are_counted_without_copies(spark):
+    rows = [(1, "A", "x", 1, 100), (1, "A", "x", 1, 100), (1, "A", "x", 2, None), (1, "A", "x", 3, 120), (1, "B", "x", 4, None), (1, None, "x", 5, 100), (2, None, "x", 5, 100)]
+    df = spark.createDataFrame(rows, "product_id long, network string, price_date string, store_id long, cents long")
+    got = variability.price_uniformity(df, 1)
+    assert {(r.product_id, r.network): (r.store_count, r.distinct_prices) for r in got.collect()} == {(1, "A"): (3, 2), (1, "B"): (1, 0), (1, None): (1, 1), (2, None): (1, 1)}
+    top = ix.top_products(df, spark.range(10))
+    assert {r.product_id: (r.store_count, r.network_count) for r in top.collect()} == {1: (5, 2), 2: (1, 0)}
+    for q in (got, top):
+        assert "Expand" not in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_observations_are_dealt_out_by_product(spark, monkeypatch):
+    from pricegrain.plans import mapping, queries
+
+    monkeypatch.setattr(mapping, "ROWS_A_TASK", 500)
+    t = mapping.Tables(spark, "/root/testdata/sf0.001")
+    assert t.tasks == -(-t.raw("lineitem").count() // 500) > 4
+    plan = queries.sims(t)._jdf.queryExecution().executedPlan().toString()
+    assert f", {t.tasks})" in plan and "hashpartitioning(product_id" not in plan and "hashpartitioning(store_id" not in plan
+
+
 def test_names_tell_networks(spark):
     names = ["PROFI CLUJ", "MI CENTRU", "SG NORD", "EXPRESS X", "SEGLROS", "unknown", "Mega Image 3"]
     df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "id long, name string, network string")
