@@ -12,6 +12,8 @@ from pricegrain.storage import scratch
 from pricegrain.streaming import streams
 from pricegrain.streaming.snapshot import SnapshotTable
 
+#: Rows of all observations that a part of the snapshot gets at most on average.
+ROWS_A_PART = 1_000_000
 #: Slices of a replay; each is one micro-batch.
 SLICES = 4
 
@@ -50,7 +52,7 @@ def maintained(t: Tables) -> SnapshotTable:
     """The snapshot after all offers have come in as micro-batches."""
     key = t.spark.sparkContext.applicationId, t.sf_dir
     if key not in _replayed:
-        table = SnapshotTable(t.spark, scratch(t.spark, "snapshot"))
+        table = SnapshotTable(t.spark, scratch(t.spark, "snapshot"), parts=max(16, t.raw("lineitem").count() // ROWS_A_PART))
         replay(t, offers(t), "offers", lambda obs: obs, table.merge)
         _replayed[key] = table
     return _replayed[key]

@@ -66,6 +66,12 @@ class SnapshotTable:
     def put(self, kind: str, rows: DataFrame, bucket: Column, version: int) -> None:
         rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/version={version}")
 
+    def kept(self, rows: DataFrame) -> DataFrame:
+        """``rows`` kept by product for a batch: what compares, groups or joins them by product, or product and store, moves them no more."""
+        kept = rows.repartition(max(self.parts, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), "product_id").persist()
+        kept.write.format("noop").mode("overwrite").save()  # the plans that read it know how it is dealt out only when it is filled
+        return kept
+
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         """A ``foreachBatch`` sink of observations: history, snapshot and flags after the batch."""
         SnapshotTable(batch.sparkSession, self.path, self.parts, self.splits)._merge(batch, batch_id)
@@ -74,11 +80,12 @@ class SnapshotTable:
         last, versions = self.committed()
         if batch_id <= last:
             return
-        obs = batch.select(*KEY, F.col("cents").cast("long").alias("cents"), "promo", "price_date", F.col("fetched_at").cast("timestamp").alias("fetched_at")).persist()
+        obs = self.kept(batch.select(*KEY, F.col("cents").cast("long").alias("cents"), "promo", "price_date", F.col("fetched_at").cast("timestamp").alias("fetched_at")))
         touched = {r[0] for r in obs.select(self.bucket()).distinct().collect()}  # at most parts x splits
         if not touched:
+            obs.unpersist()
             return
-        old = self.of("snapshot", SNAPSHOT, versions, touched)
+        old = self.kept(self.of("snapshot", SNAPSHOT, versions, touched))
         steps = compare(obs, old).persist()
         history_of(steps).write.mode("overwrite").parquet(f"{self.path}/history/batch={batch_id}")
         self.put("snapshot", merged(steps, old), self.bucket(), batch_id)
@@ -86,8 +93,9 @@ class SnapshotTable:
 
         parts = {b // self.splits for b in touched}
         near = {b for p in parts for b in range(p * self.splits, (p + 1) * self.splits)}
-        current = self.of("snapshot", SNAPSHOT, versions, near).join(obs.select("product_id").distinct(), "product_id", "left_semi")
-        new = flag_outliers(current).unionByName(flag_promo_depth(current)).unionByName(flag_moves(history_of(steps))).dropDuplicates([*FLAG, "flag_type"])
+        current = self.kept(self.of("snapshot", SNAPSHOT, versions, near).select(*KEY, "cents", "promo", "price_date").join(obs.select("product_id").distinct(), "product_id", "left_semi"))
+        # the snapshot has one row a key and moves are grouped, so no flag comes twice
+        new = flag_outliers(current).unionByName(flag_promo_depth(current)).unionByName(flag_moves(history_of(steps)))
         known = self.of("flags", FLAGS, versions, parts)
         added = new.join(known, [*FLAG, "flag_type"], "left_anti")
         self.put("flags", known.unionByName(added.select(known.columns)), self.part(), batch_id)
@@ -96,5 +104,5 @@ class SnapshotTable:
 
         rows = [(kind, bucket, version) for (kind, bucket), version in versions.items()]
         self.spark.createDataFrame(rows, "kind string, bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch_id}")
-        steps.unpersist()
-        obs.unpersist()
+        for df in (steps, old, current, obs):
+            df.unpersist()

@@ -93,6 +93,16 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert table.snapshot().count() == 80
 
 
+def test_a_batch_is_dealt_out_by_product_once(spark, tmp_path):
+    table = snapshot.SnapshotTable(spark, str(tmp_path / "t"), parts=3)
+    table.merge(spark.createDataFrame(observations(80), OBS), 0)
+    kept = table.kept(table.snapshot())
+    plan = quality.flag_outliers(kept)._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "InMemoryTableScan" in plan and "Exchange" not in plan
+    assert rows_of(quality.flag_outliers(kept)) == rows_of(quality.flag_outliers(table.snapshot()))
+    kept.unpersist()
+
+
 def test_empty_batch_and_empty_table(spark, tmp_path):
     table = snapshot.SnapshotTable(spark, str(tmp_path / "t"))
     assert table.snapshot().count() == table.history().count() == table.flags().count() == 0
