@@ -53,7 +53,8 @@ def read_xml_with_rejects(spark: SparkSession, path: str, tag: str, schema: str)
     for n in struct.names:
         empty = empty & F.col("row").getField(n).isNull()
     reason = F.when(~F.col("whole"), "cut").when(bad & empty, "malformed").when(bad, "value")
-    told = checkpoint(parsed.withColumn("reason", reason), "records")  # parsed once for both
+    told = parsed.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
+    told = checkpoint(told, "records")  # parsed once for both; of the texts only those of rejects are written
     rows = told.filter("whole and (reason is null or reason = 'value')").select(*[F.col("row").getField(n).alias(n) for n in struct.names])
     return rows, told.filter("reason is not null").select("record", "reason")
 

@@ -446,3 +446,11 @@ def test_cluster_ages_and_clusters_to_skip(spark):
     assert {tuple(r) for r in sampling.cluster_order(clusters, ages).collect()} == {(1, 9999), (3, 9999), (4, 0)}
     skip = spark.createDataFrame([(2,), (3,), (3,)], "store_id long")
     assert {tuple(r) for r in sampling.skippable_clusters(clusters, skip).collect()} == {(1, False, 2), (3, True, 2), (4, False, 1)}
+
+
+def test_texts_of_good_records_are_not_written(spark, tmp_path, monkeypatch):
+    (tmp_path / "r.xml").write_text("<A><x>1</x></A><A><x>2</A>")
+    kept = []
+    monkeypatch.setattr(readers, "checkpoint", lambda df, name: kept.append(df) or df)
+    readers.read_xml_with_rejects(spark, str(tmp_path / "r.xml"), "A", "x long")
+    assert [(r.record is None, r.reason) for r in kept[0].orderBy("reason").collect()] == [(True, None), (False, "malformed")]
