@@ -258,6 +258,20 @@ def test_observations_are_dealt_out_by_product(spark, monkeypatch):
     assert f", {t.tasks})" in plan and "hashpartitioning(product_id" not in plan and "hashpartitioning(store_id" not in plan
 
 
+@pytest.mark.parametrize("name", ["similarity_tiers", "top_products", "price_uniformity", "top_variable", "store_tiers", "popular_products", "weekly_products"])
+def test_prices_are_shuffled_once_into_tasks_of_bounded_rows(spark, monkeypatch, name):
+    from pricegrain.plans import mapping, queries
+
+    monkeypatch.setattr(mapping, "ROWS_A_TASK", 500)
+    t = mapping.Tables(spark, "/root/testdata/sf0.001")
+    plan = queries.PLANS[name](t)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert any("l_partkey#" in line and f", {t.tasks})" in line for line in dealt)
+    assert not any("product_id#" in line for line in dealt)  # what groups or ranks prices finds them where they are
+    rows = t.offers("list").groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+    assert t.tasks / 2 < rows[0] <= t.tasks and rows[1] < 4 * 500
+
+
 def test_names_tell_networks(spark):
     names = ["PROFI CLUJ", "MI CENTRU", "SG NORD", "EXPRESS X", "SEGLROS", "unknown", "Mega Image 3"]
     df = spark.createDataFrame([(i, n, None) for i, n in enumerate(names)], "id long, name string, network string")
