@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -225,6 +225,61 @@ def document_counts(docs: DataFrame, terms: np.ndarray, prefixes: np.ndarray) ->
     return int(n[at < 0].sum()), out
 
 
+def leading(term: np.ndarray, weight: np.ndarray, lists: np.ndarray) -> tuple[int, int]:
+    """A vector's commonest term, which tells languages apart, and the weightiest of those in long lists, the first on ties; 0 without terms."""
+    if not len(term):
+        return 0, 0
+    have = lists[term]
+    return int(term[np.argmax(have)]), int(term[np.argmax(np.where(have >= LONG_LIST, weight, 0))])
+
+
+def vocabulary(counted: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The examples' terms, ascending, and how many examples and toxic ones have each; counted by Spark, so that no posting comes to the driver."""
+
+    def count(batches):
+        for batch in batches:
+            found = [np.frombuffer(t, np.uint64) for t in batch["terms"]]
+            term, inverse = np.unique(np.concatenate(found), return_inverse=True)
+            label = np.repeat(np.array(batch["toxic"], float), [len(f) for f in found])
+            yield {"term": term.view(np.int64), "n": np.bincount(inverse, minlength=len(term)), "bad": np.bincount(inverse, label, minlength=len(term)).astype(np.int64)}
+
+    seen = map_batches(counted.select("terms", "toxic"), "term long, n long, bad long", count)
+    table = seen.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toArrow()  # a row a term, which MOST_TEXT bounds
+    term, n, bad = (table.column(c).to_numpy() for c in ("term", "n", "bad"))
+    order = np.argsort(term.view(np.uint64))
+    return term.view(np.uint64)[order], n[order], bad[order]
+
+
+#: Examples of a part in which the vectors come to the driver.
+PART = 1000
+
+
+def ordered_vectors(counted: DataFrame, terms: np.ndarray, weight: np.ndarray, lists: np.ndarray, total: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """doc_id, toxic, terms and weights of the examples' unit vectors in the order of the index; weighed and sorted by Spark, fetched part by part."""
+    shared = counted.sparkSession.sparkContext.broadcast((terms, weight, lists))
+
+    def weigh(batches):
+        terms, weight, lists = shared.value
+        for batch in batches:
+            found = []
+            for t, n in zip(batch["terms"], batch["counts"], strict=True):
+                term = np.searchsorted(terms, np.frombuffer(t, np.uint64)).astype(np.int32)
+                w = (1 + np.log(np.frombuffer(n, np.int32))) * weight[term]
+                w /= max(float(np.sqrt((w * w).sum())), 1e-300)
+                found.append((term, w, *leading(term, w, lists)))
+            yield {
+                "doc_id": batch["doc_id"], "toxic": batch["toxic"], "common": [f[2] for f in found], "weighty": [f[3] for f in found], "size": [len(f[0]) for f in found],
+                "terms": [f[0].tobytes() for f in found], "weights": [f[1].astype(np.float32).tobytes() for f in found],
+            }
+
+    order = ["common", "weighty", "size", "doc_id"]
+    vectors = map_batches(counted, "doc_id long, toxic int, common int, weighty int, size int, terms binary, weights binary", weigh)
+    parts = vectors.repartitionByRange(max(1, -(-total // PART)), *order).sortWithinPartitions(*order)
+    for r in parts.select("doc_id", "toxic", "terms", "weights").toLocalIterator():
+        yield r[0], r[1], np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32)
+    shared.unpersist()
+
+
 class BlockMaxIndex:
     """Inverted index over example vectors, with the highest weight that long lists have in each block of examples.
 
@@ -234,30 +289,32 @@ class BlockMaxIndex:
 
     def __init__(self, doc_id: np.ndarray, toxic: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, prior: float):
         """Posting i says that vector ``owner[i]`` has ``weight[i]`` at ``term[i]``; they come in order of the vector."""
-        self.prior, n = prior, len(doc_id)
         lists = np.bincount(term, minlength=n_terms)
-
-        size = np.bincount(owner, minlength=n)
-
-        def leading(value: np.ndarray) -> np.ndarray:
-            """The term of highest value of each vector, the first on ties."""
-            out = np.zeros(n, np.int32)
-            some = np.flatnonzero(size)
-            if len(some):
-                top = np.maximum.reduceat(value, (np.cumsum(size) - size)[some])
-                at = np.flatnonzero(value == np.repeat(top, size[some]))
-                out[owner[at[::-1]]] = term[at[::-1]]
-            return out
-
-        # by the commonest term, which tells languages apart, then the weightiest of those in long lists, then size
-        common = leading(lists[term])
-        order = np.lexsort((doc_id, size, leading(np.where(lists[term] >= LONG_LIST, weight, 0)), common))
-        place = np.empty(n, np.int64)
-        place[order] = np.arange(n)
-        self.doc_id, self.toxic = doc_id[order], toxic[order].astype(float)
-        by = np.argsort(term.astype(np.int64) * max(1, n) + place[owner])
-        self.example, self.weight = place[owner[by]].astype(np.int32), weight[by].astype(np.float32)
-        self.begin = np.concatenate(([0], np.cumsum(lists)))
+        edges = np.searchsorted(owner, np.arange(len(doc_id) + 1))
+        vectors = [(int(i), int(bad), term[lo:hi], weight[lo:hi]) for i, bad, lo, hi in zip(doc_id, toxic, edges[:-1], edges[1:], strict=True)]
+        vectors.sort(key=lambda v: (*leading(v[2], v[3], lists), len(v[2]), v[0]))
+        self.fill(vectors, len(vectors), lists, prior)
+
+    @classmethod
+    def of_ordered(cls, vectors: Iterable[tuple[int, int, np.ndarray, np.ndarray]], n: int, lists: np.ndarray, prior: float) -> BlockMaxIndex:
+        """The index of ``n`` vectors (doc_id, toxic, terms, weights) in order of ``leading``, size and doc_id; ``lists`` has the examples of each term."""
+        index = cls.__new__(cls)
+        index.fill(vectors, n, lists, prior)
+        return index
+
+    def fill(self, vectors: Iterable[tuple[int, int, np.ndarray, np.ndarray]], n: int, lists: np.ndarray, prior: float) -> None:
+        """Write the postings of one vector after the other where they stay: beside the index, memory holds one vector."""
+        self.prior, n_terms = prior, len(lists)
+        self.doc_id, self.toxic = np.zeros(n, np.int64), np.zeros(n)
+        self.begin = np.concatenate(([0], np.cumsum(lists, dtype=np.int64)))
+        self.example, self.weight = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1], np.float32)
+        free = self.begin[:-1].copy()
+        for place, (doc_id, bad, term, weight) in enumerate(vectors):
+            self.doc_id[place], self.toxic[place] = doc_id, bad
+            at = free[term]
+            self.example[at], self.weight[at] = place, weight
+            free[term] = at + 1
+        del free
         self.blocks = -(-n // BLOCK)
         long = np.flatnonzero(lists >= LONG_LIST)
         self.long = np.full(n_terms, -1, np.int32)
@@ -281,8 +338,11 @@ class BlockMaxIndex:
         n = end - begin
         total = int(n.sum())
         if total:
-            at = np.repeat((begin - np.cumsum(n) + n).astype(np.int32), n) + np.arange(total, dtype=np.int32)
-            score += np.bincount(self.example[at], np.repeat(weights.astype(np.float32), n) * self.weight[at], minlength=len(score))
+            at = np.repeat(begin - np.cumsum(n) + n, n)
+            at += np.arange(total)
+            products = self.weight.take(at, mode="clip")  # all are in range; this looks them up faster
+            products *= np.repeat(weights.astype(np.float32), n)
+            score += np.bincount(self.example.take(at, mode="clip"), products, minlength=len(score))
             self.read += total
 
     def full_lists(self) -> np.ndarray:
@@ -433,30 +493,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column) -> tuple[Vectors
             for text in batch["text"]:
                 words, more = hasher.of(text)
                 found.append(np.unique(np.concatenate((words, prefixes[chosen.places(more)])), return_counts=True))
-            yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "size": [len(t) for t, _ in found], "terms": [t.tobytes() for t, _ in found], "counts": [n.astype(np.int32).tobytes() for _, n in found]}
-
-    counted = map_batches(examples.select("doc_id", "toxic", "text"), "doc_id long, toxic int, size long, terms binary, counts binary", count)
-    table = counted.orderBy("doc_id").toArrow()  # the terms of at most MOST_TEXT bytes
-    ids, label = table.column("doc_id").to_numpy(), table.column("toxic").to_numpy()
-    hashes = np.frombuffer(b"".join(table.column("terms").to_pylist()), np.uint64)
-    n = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
-    owner = np.repeat(np.arange(len(ids), dtype=np.int32), table.column("size").to_numpy())
-    del table
-    terms = np.unique(hashes)
-    term = np.searchsorted(terms, hashes).astype(np.int32)
-    del hashes
+            yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [t.tobytes() for t, _ in found], "counts": [n.astype(np.int32).tobytes() for _, n in found]}
+
+    counted = materialize(map_batches(examples.select("doc_id", "toxic", "text"), "doc_id long, toxic int, terms binary, counts binary", count), "counts")
+    terms, have, bad = vocabulary(counted)
     n_docs, df = document_counts(docs, terms, prefixes)
-    have = np.bincount(term, minlength=len(terms)).astype(float)
-    bad = np.bincount(term, label[owner].astype(float), minlength=len(terms))
     goes = (have >= LEAST_DOCS) & (bad > have * prior)
     if 0 < toxic < total:
-        goes[goes] = g2(have[goes], bad[goes], total, toxic) >= LEAST_G2
+        goes[goes] = g2(have[goes].astype(float), bad[goes].astype(float), total, toxic) >= LEAST_G2
     weight = np.log((1 + n_docs) / (1 + df)) * np.where(goes, 1.0, OTHERS)
-    w = (1 + np.log(n)) * weight[term]
-    del n
-    w /= np.maximum(np.sqrt(np.bincount(owner, w * w, minlength=len(ids))), 1e-300)[owner]
-    index = BlockMaxIndex(ids, label, owner, term, w, len(terms), prior)
-    del w, owner, term
+    index = BlockMaxIndex.of_ordered(ordered_vectors(counted, terms, weight, have, total), total, have, prior)
     # a word that no example has weighs as one of this document alone: its documents are not counted
     vectors = Vectors(terms, prefixes, weight, max(0.0, float(np.log((1 + n_docs) / 2))) * OTHERS)
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -144,6 +145,43 @@ def test_block_max_index_is_exact(monkeypatch, lists, full):
         assert index.scored < 0.6 * 80 * index.blocks  # blocks that cannot matter are not scored
 
 
+def test_index_is_filled_without_a_second_copy_of_its_postings():
+    rng = np.random.default_rng(4)
+    vectors = [(np.sort(rng.choice(5000, 300, replace=False)), rng.random(300)) for _ in range(1500)]
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    owner, term, weight = np.repeat(np.arange(1500), 300), np.concatenate([t for t, _ in vectors]), np.concatenate([w for _, w in vectors])
+    given = tracemalloc.get_traced_memory()[0] - before
+    index = BlockMaxIndex(np.arange(1500), np.zeros(1500), owner, term, weight, 5000, 0.3)
+    peak = tracemalloc.get_traced_memory()[1] - before - given
+    tracemalloc.stop()
+    own = sum(a.nbytes for a in vars(index).values() if isinstance(a, np.ndarray))
+    assert own < peak < 1.6 * own
+    for t in (0, 7, 4999):  # lists stand in order of the examples
+        lo, hi = index.begin[t], index.begin[t + 1]
+        assert hi - lo == (term == t).sum() and np.all(np.diff(index.example[lo:hi]) > 0)
+        assert sorted(index.weight[lo:hi].tolist()) == sorted(weight[term == t].astype(np.float32).tolist())
+
+
+def test_postings_come_to_the_index_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 7)
+    rng = np.random.default_rng(5)
+    terms = np.sort(rng.integers(0, 2**63, 40).astype(np.uint64) * np.uint64(2))
+    found = [np.flatnonzero(rng.random(40) < 0.3) for _ in range(50)]
+    made = [(i, i % 2, terms[f].tobytes(), np.ones(len(f), np.int32).tobytes()) for i, f in enumerate(found)]
+    counted = spark.createDataFrame(made, "doc_id long, toxic int, terms binary, counts binary")
+    known, have, bad = toxicity.vocabulary(counted)
+    assert known.tolist() == [int(t) for k, t in enumerate(terms) if any(k in f for f in found)] and bad.sum() == sum(len(f) for f in found[1::2])
+    assert have.tolist() == np.bincount(np.concatenate(found), minlength=40)[np.isin(terms, known)].tolist()
+    weight = rng.random(len(known)) + 0.5
+    got = list(toxicity.ordered_vectors(counted, known, weight, have, 50))
+    keys = [(*toxicity.leading(t, w, have), len(t), i) for i, _, t, w in got]
+    assert keys == sorted(keys) and sorted(i for i, *_ in got) == list(range(50))
+    for i, label, t, w in got:
+        assert label == i % 2 and known[t].tolist() == terms[found[i]].tolist()
+        assert np.allclose(w, weight[t] / np.linalg.norm(weight[t]), atol=1e-6)
+
+
 def test_texts_hashed_together_have_the_same_terms():
     hasher = toxicity.TermHasher()
     texts = ["", None, "a bc defghijkl", "x" * (toxicity.CHUNK + 50) + " tail", "Ünï wörds", "  ", "more words here"] * 2
