@@ -15,38 +15,46 @@ def element(tag: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"<{tag}>"), value.cast("string"), F.lit(f"</{tag}>")), F.lit(""))
 
 
-def documents(t: Tables) -> str:
-    """A folder of documents: a record for each store and product, with references that XML does not allow, and broken ones for stores of unknown state."""
-    s = t.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store"), "network", "uat_id", "type_id", "lat", "lon", "is_active")
-    rows = t.current().join(s, "store_id")
+def records(t: Tables) -> DataFrame:
+    """value: a record for each store and product, with references that XML does not allow, and broken ones for stores of unknown state."""
+    s = t.stores
     above = F.col("type_id") > 0  # others are told by their product alone
-    product = F.concat(element("Id", F.col("product_id")), element("Network", F.when(~above, F.col("network"))), element("Price", F.col("cents") / 100.0), element("PriceDate", F.date_format("price_date", "dd.MM.yyyy HH:mm")), element("Promo", F.col("promo")), element("Brand", F.col("brand")), element("Unit", F.col("unit")))
-    ends = F.when(F.col("is_active").isNull(), F.lit("")).otherwise(F.lit("</Product>"))
-    record = F.concat(
-        F.lit("<RetailStore>"), element("Id", F.col("store_id")), element("Name", F.concat("store", F.lit("&#x1C;"))), element("Network", F.when(above, F.col("network"))),
+    head = F.concat(
+        F.lit("<RetailStore>"), element("Id", F.col("id")), element("Name", F.concat("name", F.lit("&#x1C;"))), element("Network", F.when(above, F.col("network"))),
         element("Addr", F.concat(F.lit("<Location>"), element("Lat", F.col("lat")), element("Lon", F.col("lon")), F.lit("</Location>"), element("Uat", F.col("uat_id")))),
-        F.lit("<Products><Product>"), product, ends, F.lit("</Products></RetailStore>"),
+        F.lit("<Products><Product>"),
     )
+    # what a store says is written out once for each store; the stores go to the prices, so that these are not shuffled again
+    told = s.select(F.col("id").alias("store_id"), head.alias("head"), element("Network", F.when(~above, F.col("network"))).alias("below"), F.when(F.col("is_active").isNull(), F.lit("")).otherwise(F.lit("</Product>")).alias("ends"))
+    rows = t.of_stores(t.current(), told)
+    product = F.concat(element("Id", F.col("product_id")), F.col("below"), element("Price", F.col("cents") / 100.0), element("PriceDate", F.date_format("price_date", "dd.MM.yyyy HH:mm")), element("Promo", F.col("promo")), element("Brand", F.col("brand")), element("Unit", F.col("unit")))
+    return rows.select(F.concat("head", product, "ends", F.lit("</Products></RetailStore>")).alias("value"))
+
+
+def documents(t: Tables) -> str:
+    """A folder of documents of ``records``: a compressed file for each task, which one task reads."""
     path = scratch(t.spark, "xml")
-    rows.select(record.alias("value")).write.text(path)
+    records(t).write.option("compression", "gzip").text(path)
     return path
 
 
-def read(t: Tables) -> tuple[DataFrame, DataFrame]:
-    return readers.read_xml_with_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)
+def read(t: Tables) -> DataFrame:
+    return readers.read_xml(t.spark, documents(t), "RetailStore", readers.STORE_XML)
 
 
 def xml_prices(t: Tables) -> DataFrame:
-    return readers.parse_stores(read(t)[0])[1].select("product_id", "store_id", "cents", F.substring("price_date", 1, 10).alias("price_date"), "promo", "brand", "unit")
+    rows = readers.read_xml_with_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)[0]
+    return readers.parse_stores(rows)[1].select("product_id", "store_id", "cents", F.substring("price_date", 1, 10).alias("price_date"), "promo", "brand", "unit")
 
 
 def xml_stores(t: Tables) -> DataFrame:
-    return readers.parse_stores(read(t)[0])[0].select("id", "name", "uat_id", "network_id").distinct()
+    return readers.parse_stores(read(t))[0].select("id", "name", "uat_id", "network_id").distinct()
 
 
 def xml_rejects(t: Tables) -> DataFrame:
     at = F.regexp_extract("record", "<Id>([0-9]+)</Id>", 1).cast("long")
-    return read(t)[1].groupBy(at.alias("store_id"), "reason").agg(F.count(F.lit(1)).alias("records"))
+    rejects = readers.read_xml_with_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)[1]
+    return rejects.groupBy(at.alias("store_id"), "reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 def categories_by_source(t: Tables) -> DataFrame:

@@ -22,41 +22,62 @@ def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
     this name do not nest and are not written as one empty tag.
     """
     cut = spark.read.option("lineSep", f"</{tag}>").text(path)
-    parts = F.split("value", rf"(?=<{tag}[\s>])")
-    # what stands before the first opening is no record; all but the last that follow have lost their end
-    pieces = cut.select(F.posexplode(parts).alias("k", "piece"), F.size(parts).alias("n"))
-    opened = pieces.filter(F.col("piece").rlike(rf"^<{tag}[\s>]"))
-    whole = F.col("k") + 1 == F.col("n")
+    first = F.instr("value", f"<{tag}")
+    again = F.position(F.lit(tag), F.col("value"), first + 2)
+    # no expression is searched for where the name stands in one opening at most, which is the rule
+    parts = F.when((first == 0) | (again == 0), F.array(F.substr("value", first))).otherwise(F.reverse(F.split("value", rf"(?=<{tag}[\s>])")))
+    # what stands before the first opening is no record; all but the last that follow, here the first, have lost their end
+    opened = cut.select(F.posexplode(parts).alias("k", "piece")).filter(F.col("piece").rlike(rf"^<{tag}[\s>]"))
+    whole = F.col("k") == 0
     return opened.select(clean_xml(F.when(whole, F.concat("piece", F.lit(f"</{tag}>"))).otherwise(F.col("piece"))).alias("record"), whole.alias("whole"))
 
 
-def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """Rows of one tag, with an explicit schema: inference would read a single child as a struct. Broken records are left out; see ``read_xml_with_rejects``."""
-    return read_xml_with_rejects(spark, path, tag, schema)[0]
-
-
-def read_xml_with_rejects(spark: SparkSession, path: str, tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of one tag, and the records that cannot be read: record, reason.
-
-    A record is ``cut`` when its end is missing and ``malformed`` when no parser takes it; neither gives a row. One with a value
-    that does not fit its type gives a row with a null there, and is told as ``value``.
-    """
+def parsed_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """record, whole, row, reason: each record of one tag parsed, with what is wrong with it; the text only where something is. Nothing is written."""
     struct = T._parse_datatype_string(schema)
     corrupt = "corrupt"
     while corrupt.lower() in {n.lower() for n in struct.names}:
         corrupt = "_" + corrupt
     with_mark = T.StructType([*struct.fields, T.StructField(corrupt, T.StringType())])
     records = xml_records(spark, path, tag)
-    parsed = records.select("record", "whole", F.from_xml(F.when(F.col("whole"), F.col("record")), with_mark, {"rowTag": tag, "columnNameOfCorruptRecord": corrupt, "mode": "PERMISSIVE"}).alias("row"))
+    row = F.from_xml(F.when(F.col("whole"), F.col("record")), with_mark, {"rowTag": tag, "columnNameOfCorruptRecord": corrupt, "mode": "PERMISSIVE"})
+    # made by a generator, so that conditions on the row are no conditions on its text, which would parse it once more for each use
+    parsed = records.select("record", "whole", F.explode(F.array(row)).alias("row"))
     bad = F.col(f"row.{corrupt}").isNotNull()
     empty = F.lit(True)
     for n in struct.names:
         empty = empty & F.col("row").getField(n).isNull()
     reason = F.when(~F.col("whole"), "cut").when(bad & empty, "malformed").when(bad, "value")
-    told = parsed.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
-    told = checkpoint(told, "records")  # parsed once for both; of the texts only those of rejects are written
-    rows = told.filter("whole and (reason is null or reason = 'value')").select(*[F.col("row").getField(n).alias(n) for n in struct.names])
-    return rows, told.filter("reason is not null").select("record", "reason")
+    return parsed.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
+
+
+def rows_of(parsed: DataFrame, schema: str) -> DataFrame:
+    """The rows of parsed records."""
+    names = T._parse_datatype_string(schema).names
+    return parsed.filter("whole and (reason is null or reason = 'value')").select(*[F.col("row").getField(n).alias(n) for n in names])
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """record, reason of those parsed records that something is wrong with."""
+    return parsed.filter("reason is not null").select("record", "reason")
+
+
+def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """Rows of one tag, with an explicit schema: inference would read a single child as a struct. Broken records are left out; see ``read_xml_with_rejects``.
+
+    Nothing is written, so each use of the rows parses the files.
+    """
+    return rows_of(parsed_xml(spark, path, tag, schema), schema)
+
+
+def read_xml_with_rejects(spark: SparkSession, path: str, tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of one tag, and the records that cannot be read: record, reason.
+
+    A record is ``cut`` when its end is missing and ``malformed`` when no parser takes it; neither gives a row. One with a value
+    that does not fit its type gives a row with a null there, and is told as ``value``.
+    """
+    told = checkpoint(parsed_xml(spark, path, tag, schema), "records")  # parsed once for both; of the texts only those of rejects are written
+    return rows_of(told, schema), rejects_of(told)
 
 
 def parse_stores(xml: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -468,3 +468,38 @@ def test_texts_of_good_records_are_not_written(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(readers, "checkpoint", lambda df, name: kept.append(df) or df)
     readers.read_xml_with_rejects(spark, str(tmp_path / "r.xml"), "A", "x long")
     assert [(r.record is None, r.reason) for r in kept[0].orderBy("reason").collect()] == [(True, None), (False, "malformed")]
+
+
+def test_xml_documents_are_small_and_prices_shuffled_once(spark, monkeypatch, tmp_path):
+    from pricegrain.plans import mapping, xml_queries
+
+    t = mapping.Tables(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(xml_queries, "scratch", lambda session, name: str(tmp_path / name))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where stores are many
+    try:
+        plan = xml_queries.records(t)._jdf.queryExecution().executedPlan().toString()
+        path = xml_queries.documents(t)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(l_partkey#" in plan and "hashpartitioning(store_id#" not in plan and "hashpartitioning(l_suppkey#" not in plan
+    written = sum(f.stat().st_size for f in (tmp_path / "xml").glob("part-*"))
+    texts = spark.read.text(path)
+    assert texts.count() == t.current().count()
+    assert 4 * written < texts.agg(F.sum(F.length("value"))).first()[0]
+
+
+@pytest.mark.parametrize("name", ["xml_stores"])
+def test_xml_queries_write_their_documents_alone(spark, monkeypatch, name):
+    from pricegrain.plans import mapping, xml_queries
+
+    monkeypatch.setattr(readers, "checkpoint", lambda df, what: pytest.fail(f"{what} were written"))
+    df = getattr(xml_queries, name)(mapping.Tables(spark, "/root/testdata/sf0.001"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1  # each record is parsed once
+    assert df.count() > 0
+
+
+def test_records_are_cut_where_names_stand_in_texts_too(spark, tmp_path):
+    (tmp_path / "r.xml").write_text("x<As>1</As> A <A>A<As/></A><A ><A>lost<A y='&#1;'>2 A</A>A<As></As>")
+    got = readers.xml_records(spark, str(tmp_path), "A").collect()
+    assert sorted((r["record"], r["whole"]) for r in got) == [("<A >", False), ("<A y=''>2 A</A>", True), ("<A>A<As/></A>", True), ("<A>lost", False)]
