@@ -43,8 +43,7 @@ def read(t: Tables) -> DataFrame:
 
 
 def xml_prices(t: Tables) -> DataFrame:
-    rows = readers.read_xml_with_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)[0]
-    return readers.parse_stores(rows)[1].select("product_id", "store_id", "cents", F.substring("price_date", 1, 10).alias("price_date"), "promo", "brand", "unit")
+    return readers.parse_stores(read(t))[1].select("product_id", "store_id", "cents", F.substring("price_date", 1, 10).alias("price_date"), "promo", "brand", "unit")
 
 
 def xml_stores(t: Tables) -> DataFrame:

@@ -489,7 +489,7 @@ def test_xml_documents_are_small_and_prices_shuffled_once(spark, monkeypatch, tm
     assert 4 * written < texts.agg(F.sum(F.length("value"))).first()[0]
 
 
-@pytest.mark.parametrize("name", ["xml_stores"])
+@pytest.mark.parametrize("name", ["xml_stores", "xml_prices"])
 def test_xml_queries_write_their_documents_alone(spark, monkeypatch, name):
     from pricegrain.plans import mapping, xml_queries
 
