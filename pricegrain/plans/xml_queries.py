@@ -52,7 +52,7 @@ def xml_stores(t: Tables) -> DataFrame:
 
 def xml_rejects(t: Tables) -> DataFrame:
     at = F.regexp_extract("record", "<Id>([0-9]+)</Id>", 1).cast("long")
-    rejects = readers.read_xml_with_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)[1]
+    rejects = readers.read_xml_rejects(t.spark, documents(t), "RetailStore", readers.STORE_XML)
     return rejects.groupBy(at.alias("store_id"), "reason").agg(F.count(F.lit(1)).alias("records"))
 
 

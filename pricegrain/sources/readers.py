@@ -70,6 +70,11 @@ def read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame
     return rows_of(parsed_xml(spark, path, tag, schema), schema)
 
 
+def read_xml_rejects(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """The rejects of ``read_xml_with_rejects`` alone; nothing is written."""
+    return rejects_of(parsed_xml(spark, path, tag, schema))
+
+
 def read_xml_with_rejects(spark: SparkSession, path: str, tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Rows of one tag, and the records that cannot be read: record, reason.
 

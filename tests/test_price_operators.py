@@ -489,12 +489,12 @@ def test_xml_documents_are_small_and_prices_shuffled_once(spark, monkeypatch, tm
     assert 4 * written < texts.agg(F.sum(F.length("value"))).first()[0]
 
 
-@pytest.mark.parametrize("name", ["xml_stores", "xml_prices"])
+@pytest.mark.parametrize("name", ["xml_stores", "xml_prices", "xml_rejects"])
 def test_xml_queries_write_their_documents_alone(spark, monkeypatch, name):
     from pricegrain.plans import mapping, xml_queries
 
     monkeypatch.setattr(readers, "checkpoint", lambda df, what: pytest.fail(f"{what} were written"))
-    df = getattr(xml_queries, name)(mapping.Tables(spark, "/root/testdata/sf0.001"))
+    df = getattr(xml_queries, name)(mapping.Tables(spark, "/root/testdata/sf0.01"))  # the smallest that has rejects
     assert df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1  # each record is parsed once
     assert df.count() > 0
 
